@@ -19,6 +19,7 @@ from reelhouse.operators.keys import assign_keys  # noqa: E402
 from reelhouse.operators.latest import latest_rows  # noqa: E402
 from reelhouse.operators.suites import SUITES  # noqa: E402
 from reelhouse.plans import credits, episodes, reports, titles, warehouse  # noqa: E402
+from reelhouse.schemas import TABLES  # noqa: E402
 from reelhouse.session import shared_folder  # noqa: E402
 from reelhouse.sources.files import TSV, read_raw, snapshot_path  # noqa: E402
 from reelhouse.sources.sinks import load  # noqa: E402
@@ -40,17 +41,40 @@ def _dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(day)
 
 
-def _warehouse(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    raw = {name: _known(spark, sf_dir, name) for name in warehouse.RAW_FILES}
-    return warehouse.warehouse_tables(raw, _dates(spark, sf_dir), AS_OF_YEAR)
+def _catalogue(spark: SparkSession, sf_dir: str, **settings) -> warehouse.Catalogue:
+    return warehouse.Catalogue(
+        lambda name: _known(spark, sf_dir, name), _dates(spark, sf_dir), AS_OF_YEAR, **settings
+    )
 
 
-def _over(report: Callable[..., DataFrame], *names: str, **settings) -> Query:
-    """A report over warehouse tables."""
+def _plan(name: str, report: Callable[..., DataFrame] | None = None) -> Query:
+    """A table, or a report over one, as a single plan from the raw files."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = getattr(_catalogue(spark, sf_dir), name)
+        return report(rows) if report else rows
+
+    return run
+
+
+_written: dict[tuple[str, str], warehouse.Catalogue] = {}
+
+
+def _warehouse(spark: SparkSession, sf_dir: str) -> warehouse.Catalogue:
+    """The warehouse of one session and data folder; a table is written when first asked for."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _written:
+        keep = warehouse.written(spark, shared_folder(spark, "warehouse"))
+        _written[key] = _catalogue(spark, sf_dir, keep=keep)
+    return _written[key]
+
+
+def _report(report: Callable[..., DataFrame], *names: str, **settings) -> Query:
+    """A report over written tables, as dashboards ask for it."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         tables = _warehouse(spark, sf_dir)
-        return report(*[tables[n] for n in names], **settings)
+        return report(*[getattr(tables, n) for n in names], **settings)
 
     return run
 
@@ -78,6 +102,11 @@ def _snapshot_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return titles.snapshot_dim(_dates(spark, sf_dir)).withColumn("stamp", stamp)
 
 
+def _age_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    catalogue = _catalogue(spark, sf_dir)
+    return reports.age_distribution(catalogue.cast_people, catalogue.crew_people)
+
+
 def _title_keys_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = assign_keys(_known(spark, sf_dir, "title.ratings").select("tconst"), "tconst")
     return assign_keys(_known(spark, sf_dir, "title.basics").select("tconst"), "tconst", "id", first)
@@ -106,13 +135,9 @@ def _repeated_principals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Written first: each table takes part in several checks."""
-    root = shared_folder(spark, "constraints")
-    written = {}
-    for name, rows in _warehouse(spark, sf_dir).items():
-        load(rows, f"{root}/{name}")
-        written[name] = spark.read.parquet(f"{root}/{name}")
-    return constraints.check_constraints(written)
+    """Over written tables, as each takes part in several checks."""
+    tables = _warehouse(spark, sf_dir)
+    return constraints.check_constraints({name: getattr(tables, name) for name in TABLES})
 
 
 def _orphan_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,10 +210,9 @@ def _tsv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _warehouse_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per table after loading one drop twice."""
-    raw = {name: _known(spark, sf_dir, name) for name in warehouse.RAW_FILES}
-    root = shared_folder(spark, "warehouse")
+    root = shared_folder(spark, "drops")
     for _ in range(2):
-        warehouse.load_drop(spark, raw, root, DROP)
+        warehouse.load_drop(spark, lambda name: _known(spark, sf_dir, name), root, DROP)
     counts = [
         warehouse.read_drop(spark, root, name).agg(F.count(F.lit(1)).alias("n")).select(
             F.lit(name).alias("table_name"), "n"
@@ -198,10 +222,6 @@ def _warehouse_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def _same(df: DataFrame) -> DataFrame:
-    return df
-
-
 def _keys(name: str, key: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return assign_keys(_known(spark, sf_dir, name).select(key), key)
@@ -219,41 +239,41 @@ def queries() -> dict[str, Query]:
     people = ("casts", "crew", "titles_casts", "titles_crew")
     return {
         "titles_typed": _raw(titles.titles, "title.basics", "title.ratings"),
-        "titles_dim": _over(_same, "titles"),
+        "titles_dim": _plan("titles"),
         "snapshot_dim": _snapshot_dim,
         "episode_summary": _raw(episodes.episode_summary, "title.episode"),
-        "episodes_dim": _over(_same, "episodes"),
+        "episodes_dim": _plan("episodes"),
         "people_age_alive": _raw(credits.people, "name.basics", as_of_year=AS_OF_YEAR),
         "cast_characters": _raw(
             lambda p: credits.explode_characters(credits.cast_credits(p)), "title.principals"
         ),
         "crew_roles": _raw(credits.crew_credits, "title.principals"),
-        "cast_dim": _over(_same, "casts"),
-        "crew_dim": _over(_same, "crew"),
-        "cast_bridge": _over(_same, "titles_casts"),
-        "crew_bridge": _over(_same, "titles_crew"),
+        "cast_dim": _plan("casts"),
+        "crew_dim": _plan("crew"),
+        "cast_bridge": _plan("titles_casts"),
+        "crew_bridge": _plan("titles_crew"),
         "title_keys": _keys("title.basics", "tconst"),
         "person_keys": _keys("name.basics", "nconst"),
         "title_keys_append": _title_keys_append,
-        "age_distribution": _over(reports.age_distribution, "casts", "crew"),
-        "genre_counts": _over(reports.genre_counts, "titles"),
-        "adult_split": _over(reports.adult_split, "titles"),
-        "adult_pair": _over(reports.adult_pair, "titles"),
-        "top_rated": _over(reports.top_rated, "titles"),
-        "top_episode_counts": _over(reports.top_episode_counts, "titles", "episodes"),
-        "cast_appearances": _over(
+        "age_distribution": _age_distribution,
+        "genre_counts": _plan("rated_titles", reports.genre_counts),
+        "adult_split": _plan("rated_titles", reports.adult_split),
+        "adult_pair": _plan("rated_titles", reports.adult_pair),
+        "top_rated": _plan("rated_titles", reports.top_rated),
+        "top_episode_counts": _report(reports.top_episode_counts, "titles", "episodes"),
+        "cast_appearances": _report(
             reports.top_names, "casts", "titles_casts", person_col="cast_id", limit=100
         ),
-        "crew_appearances": _over(
+        "crew_appearances": _report(
             reports.top_names, "crew", "titles_crew", person_col="crew_id", limit=50
         ),
-        "cast_titles_by_person": _over(
+        "cast_titles_by_person": _report(
             reports.top_names, "casts", "titles_casts", person_col="cast_id", limit=100, by="person"
         ),
-        "crew_titles_by_person": _over(
+        "crew_titles_by_person": _report(
             reports.top_names, "crew", "titles_crew", person_col="crew_id", limit=50, by="person"
         ),
-        "people_of_top_titles": _over(reports.people_of_top_titles, "titles", *people),
+        "people_of_top_titles": _report(reports.people_of_top_titles, "titles", *people),
         **{f"dq_{name.replace('.', '_')}": _suite(name) for name in SUITES},
         "dq_title_basics_marker_is_null": _suite("title.basics", sentinel_is_null=True),
         "dq_failing_rows": _failing_rows,

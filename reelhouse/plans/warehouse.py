@@ -1,8 +1,10 @@
-"""The whole catalogue: all tables in one go, or loaded drop by drop."""
+"""The whole catalogue: plans of all tables, written out once, or loaded drop by drop."""
 
 from __future__ import annotations
 
 import datetime
+from collections.abc import Callable
+from functools import cache, cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from reelhouse.operators.constraints import conform
 from reelhouse.operators.keys import assign_keys
 from reelhouse.plans import credits, episodes, titles
+from reelhouse.schemas import TABLES
 from reelhouse.sources.sinks import SNAPSHOT, load, read_table
 
 RAW_FILES = ("title.basics", "title.ratings", "title.episode", "title.principals", "name.basics")
@@ -22,31 +25,106 @@ def with_episode_ids(rows: DataFrame) -> DataFrame:
     return assign_keys(keyed, "_key").drop("_key")
 
 
-def warehouse_tables(
-    raw: dict[str, DataFrame], dates: DataFrame, as_of_year: int, parse: str = "split"
-) -> dict[str, DataFrame]:
-    """The seven tables as plans over decoded raw files, ids included; nothing is run or written."""
-    snapshots = titles.snapshot_dim(dates)
-    title = assign_keys(titles.titles(raw["title.basics"], raw["title.ratings"], snapshots), "tconst")
-    cast = credits.cast_credits(raw["title.principals"])
-    crew = credits.crew_credits(raw["title.principals"])
-    persons = credits.people(raw["name.basics"], as_of_year)
-    cast_dim = assign_keys(credits.person_dim(cast, persons), "nconst")
-    crew_dim = assign_keys(credits.person_dim(crew, persons), "nconst")
-    return {
-        "download_date": snapshots,
-        "titles": title,
-        "episodes": with_episode_ids(episodes.episodes(raw["title.episode"], title)),
-        "casts": cast_dim,
-        "crew": crew_dim,
-        "titles_casts": credits.titles_casts(cast, cast_dim, title, parse),
-        "titles_crew": credits.titles_crew(crew, crew_dim, title),
-    }
+def _number(_: str, rows: DataFrame, key: str) -> DataFrame:
+    return assign_keys(rows, key)
+
+
+def _plan_only(_: str, rows: DataFrame) -> DataFrame:
+    return rows
+
+
+def written(spark: SparkSession, root: str) -> Callable[[str, DataFrame], DataFrame]:
+    """A `keep` that writes each table below `root` and goes on from what it wrote."""
+
+    def keep(name: str, rows: DataFrame) -> DataFrame:
+        load(rows, f"{root}/{name}")
+        return spark.read.parquet(f"{root}/{name}")
+
+    return keep
+
+
+class Catalogue:
+    """The warehouse tables over decoded raw files, each put together when first asked for.
+
+    `read` gives a raw file by name. `keep` says what becomes of a finished table: by default it stays a
+    plan, and with `written` later tables read it back, so that its work is done once. `number` adds the
+    ids of titles, casts and crew. `rated_titles`, `cast_people` and `crew_people` are these without
+    ids, for reports that join nothing.
+    """
+
+    def __init__(
+        self,
+        read: Callable[[str], DataFrame],
+        dates: DataFrame,
+        as_of_year: int,
+        parse: str = "split",
+        keep: Callable[[str, DataFrame], DataFrame] = _plan_only,
+        number: Callable[[str, DataFrame, str], DataFrame] = _number,
+    ):
+        self._read, self._keep, self._number = cache(read), keep, number
+        self._dates, self._as_of_year, self._parse = dates, as_of_year, parse
+
+    @cached_property
+    def download_date(self) -> DataFrame:
+        return self._keep("download_date", titles.snapshot_dim(self._dates))
+
+    @cached_property
+    def rated_titles(self) -> DataFrame:
+        return titles.titles(self._read("title.basics"), self._read("title.ratings"))
+
+    @cached_property
+    def titles(self) -> DataFrame:
+        drop = titles.snapshot_id(self.download_date)
+        numbered = self._number("titles", self.rated_titles, "tconst")
+        return self._keep("titles", numbered.withColumn("download_date_id", drop))
+
+    @cached_property
+    def episodes(self) -> DataFrame:
+        rows = episodes.episodes(self._read("title.episode"), self.titles)
+        return self._keep("episodes", with_episode_ids(rows))
+
+    @cached_property
+    def _people(self) -> DataFrame:
+        return credits.people(self._read("name.basics"), self._as_of_year)
+
+    @cached_property
+    def _cast_credits(self) -> DataFrame:
+        return credits.cast_credits(self._read("title.principals"))
+
+    @cached_property
+    def _crew_credits(self) -> DataFrame:
+        return credits.crew_credits(self._read("title.principals"))
+
+    @cached_property
+    def cast_people(self) -> DataFrame:
+        return credits.person_dim(self._cast_credits, self._people)
+
+    @cached_property
+    def crew_people(self) -> DataFrame:
+        return credits.person_dim(self._crew_credits, self._people)
+
+    @cached_property
+    def casts(self) -> DataFrame:
+        return self._keep("casts", self._number("casts", self.cast_people, "nconst"))
+
+    @cached_property
+    def crew(self) -> DataFrame:
+        return self._keep("crew", self._number("crew", self.crew_people, "nconst"))
+
+    @cached_property
+    def titles_casts(self) -> DataFrame:
+        rows = credits.titles_casts(self._cast_credits, self.casts, self.titles, self._parse)
+        return self._keep("titles_casts", rows)
+
+    @cached_property
+    def titles_crew(self) -> DataFrame:
+        rows = credits.titles_crew(self._crew_credits, self.crew, self.titles)
+        return self._keep("titles_crew", rows)
 
 
 def load_drop(
     spark: SparkSession,
-    raw: dict[str, DataFrame],
+    read: Callable[[str], DataFrame],
     root: str,
     snapshot_date: datetime.date,
     as_of_year: int | None = None,
@@ -55,43 +133,32 @@ def load_drop(
     """Load one drop into the warehouse at `root`; running it again changes nothing.
 
     Ids live in key tables that only grow, so a title or person keeps its id in every drop. Each other
-    table holds one partition per drop, replaced as a whole. Later steps read what earlier ones wrote
-    and do not work it out again. Drops must be loaded one at a time.
+    table holds one partition per drop, replaced as a whole; download_date grows by a row per drop.
+    Drops must be loaded one at a time, in order of date.
     """
-    year = as_of_year or snapshot_date.year
 
-    def ids(kind: str, rows: DataFrame, key: str) -> DataFrame:
+    def number(kind: str, rows: DataFrame, key: str) -> DataFrame:
         path = f"{root}/keys/{kind}"
-        known = read_table(spark, path)
         distinct = rows.select(key).filter(F.col(key).isNotNull()).distinct()
-        load(assign_keys(distinct, key, "id", known), path, "append_new", [key])
-        return spark.read.parquet(path)
+        numbered = assign_keys(distinct, key, "id", read_table(spark, path))
+        load(numbered, path, "append_new", [key])
+        return rows.join(spark.read.parquet(path), key)
 
-    def put(name: str, rows: DataFrame) -> DataFrame:
+    def keep(name: str, rows: DataFrame) -> DataFrame:
         path = f"{root}/{name}"
+        if name == "download_date":
+            known = titles.snapshot_dim(dates, read_table(spark, path))
+            load(conform(known, name), path, "append_new", ["year", "month", "day"])
+            return spark.read.parquet(path)
         dated = conform(rows, name).withColumn(SNAPSHOT, F.lit(snapshot_date))
         load(dated, path, "overwrite_snapshot")
         return read_drop(spark, root, name, snapshot_date)
 
-    date_path = f"{root}/download_date"
-    day = titles.snapshot_dim(titles.snapshot_row(spark, snapshot_date), read_table(spark, date_path))
-    load(conform(day, "download_date"), date_path, "append_new", ["year", "month", "day"])
-    snapshots = spark.read.parquet(date_path)
-
-    rated = titles.titles(raw["title.basics"], raw["title.ratings"], snapshots, snapshot_date)
-    title = put("titles", rated.join(ids("titles", rated, "tconst"), "tconst"))
-    put("episodes", with_episode_ids(episodes.episodes(raw["title.episode"], title)))
-
-    persons = credits.people(raw["name.basics"], year)
-    cast = credits.cast_credits(raw["title.principals"])
-    crew = credits.crew_credits(raw["title.principals"])
-    for kind, held in (("casts", cast), ("crew", crew)):
-        dim = credits.person_dim(held, persons)
-        dim = put(kind, dim.join(ids(kind, dim, "nconst"), "nconst"))
-        if kind == "casts":
-            put("titles_casts", credits.titles_casts(held, dim, title, parse))
-        else:
-            put("titles_crew", credits.titles_crew(held, dim, title))
+    dates = titles.snapshot_row(spark, snapshot_date)
+    year = as_of_year or snapshot_date.year
+    catalogue = Catalogue(read, dates, year, parse, keep, number)
+    for name in TABLES:
+        getattr(catalogue, name)
 
 
 def read_drop(
