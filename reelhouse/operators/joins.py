@@ -10,11 +10,16 @@ HOT_KEYS = 10_000  # the most keys that are split: bounds the broadcast list
 SALTS = 64  # pieces per split key
 
 
+def hottest(counts: DataFrame, key: str, n: str, hot_rows: int = HOT_ROWS, most: int = HOT_KEYS):
+    """The heaviest keys of a table of counts, at most `most`; ties are cut by key, so repeatable."""
+    heavy = counts.filter(F.col(n) >= hot_rows).orderBy(F.desc(n), key).limit(most)
+    return heavy.select(key, F.lit(True).alias("_hot"))
+
+
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, most: int = HOT_KEYS) -> DataFrame:
-    """The heaviest keys, at most `most`; counted exactly, with ties cut by key, so repeatable."""
-    n = F.count(F.lit(1)).alias("_n")
-    heavy = df.filter(F.col(key).isNotNull()).groupBy(key).agg(n).filter(F.col("_n") >= hot_rows)
-    return heavy.orderBy(F.desc("_n"), key).limit(most).select(key, F.lit(True).alias("_hot"))
+    """The heaviest keys of a table, counted exactly."""
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return hottest(counts, key, "_n", hot_rows, most)
 
 
 def skew_join(

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelhouse.functions.columns import decode
+from reelhouse.operators.joins import HOT_ROWS, hottest, skew_join
 
 _GROUPED = ("unique", "unique_together")
 
@@ -123,7 +124,7 @@ def _run_unique(
     keyed = df.select(
         *[(decode(F.col(c).cast("string")) if sentinel_is_null else F.col(c)).alias(c) for c in columns]
     )
-    missing = F.coalesce(*columns).isNull() if len(columns) > 1 else F.col(columns[0]).isNull()
+    missing = ~reduce(or_, [F.col(c).isNotNull() for c in columns])
     rows = F.col("rows")
     total = keyed.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows")).agg(
         F.coalesce(F.sum(rows), F.lit(0)).alias("e"),
@@ -162,16 +163,19 @@ def run_suites(
     )
 
 
-def failing_rows(df: DataFrame, rule: dict, sentinel_is_null: bool = False) -> DataFrame:
-    """The rows that break one rule."""
-    columns = _columns(rule)
+def failing_rows(
+    df: DataFrame, rule: dict, sentinel_is_null: bool = False, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """The rows that break one rule. A key held by very many rows is split over tasks."""
     if rule["type"] not in _GROUPED:
         return df.filter(_unexpected(rule, sentinel_is_null))
-    held = F.count(F.lit(1)).alias("_rows")
-    shared = df.groupBy(*columns).agg(held).filter(F.col("_rows") > 1).select(*columns)
-    same = reduce(lambda a, b: a & b, [F.col(f"d.{c}").eqNullSafe(F.col(f"s.{c}")) for c in columns])
-    judged = F.coalesce(*columns).isNotNull() if len(columns) > 1 else F.col(columns[0]).isNotNull()
-    return df.filter(judged).alias("d").join(shared.alias("s"), same, "left_semi")
+    columns = _columns(rule)
+    held = [decode(F.col(c).cast("string")) if sentinel_is_null else F.col(c) for c in columns]
+    judged = reduce(or_, [c.isNotNull() for c in held])
+    keyed = df.filter(judged).withColumn("_key", F.struct(*held))
+    shared = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > 1)
+    hot = hottest(shared, "_key", "_rows", hot_rows)
+    return skew_join(keyed, shared.select("_key"), "_key", hot).select(*df.columns)
 
 
 def store_results(results: DataFrame, path: str) -> None:

@@ -38,7 +38,7 @@ def written(spark: SparkSession, root: str) -> Callable[[str, DataFrame], DataFr
 
     def keep(name: str, rows: DataFrame) -> DataFrame:
         load(rows, f"{root}/{name}")
-        return spark.read.parquet(f"{root}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{root}/{name}")
 
     return keep
 

@@ -35,9 +35,8 @@ KINDS = {
 }
 
 
-def compare(spark, con, sf_dir: str, name: str, query, sql: str) -> str | None:
+def compare(df, con, sql: str) -> str | None:
     """None when rows, columns and types agree, else what differs."""
-    df = query(spark, sf_dir)
     result = con.sql(sql)
     columns = sorted(df.columns)
     if columns != sorted(result.columns):
@@ -68,7 +67,7 @@ def main() -> None:
             continue
         start = time.time()
         try:
-            problem = compare(spark, con, sf_dir, name, query, sql[name])
+            problem = compare(query(spark, sf_dir), con, sql[name])
         except Exception as e:  # report and go on with the others
             problem = f"{type(e).__name__}: {str(e)[:600]}"
         bad += problem is not None
