@@ -10,7 +10,9 @@ HOT_KEYS = 10_000  # the most keys that are split: bounds the broadcast list
 SALTS = 64  # pieces per split key
 
 
-def hottest(counts: DataFrame, key: str, n: str, hot_rows: int = HOT_ROWS, most: int = HOT_KEYS):
+def hottest(
+    counts: DataFrame, key: str, n: str, hot_rows: int = HOT_ROWS, most: int = HOT_KEYS
+) -> DataFrame:
     """The heaviest keys of a table of counts, at most `most`; ties are cut by key, so repeatable."""
     heavy = counts.filter(F.col(n) >= hot_rows).orderBy(F.desc(n), key).limit(most)
     return heavy.select(key, F.lit(True).alias("_hot"))

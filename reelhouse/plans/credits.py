@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelhouse.functions.columns import age, characters, is_alive
-from reelhouse.operators.joins import HOT_ROWS, hot_keys, skew_join
+from reelhouse.operators.joins import hot_keys, skew_join
 from reelhouse.operators.latest import latest_rows
 from reelhouse.schemas import CAST_CATEGORIES
 
@@ -22,16 +22,34 @@ def people(names: DataFrame, as_of_year: int) -> DataFrame:
     )
 
 
+def _on_screen():
+    return F.col("category").isin(*CAST_CATEGORIES)
+
+
 def cast_credits(principals: DataFrame) -> DataFrame:
     """tconst, nconst and the unparsed character list of everyone on screen."""
-    on_screen = F.col("category").isin(*CAST_CATEGORIES)
-    return principals.filter(on_screen).select("tconst", "nconst", "characters")
+    return principals.filter(_on_screen()).select("tconst", "nconst", "characters")
 
 
 def crew_credits(principals: DataFrame) -> DataFrame:
     """tconst, nconst, role of everyone else; a missing category is neither cast nor crew."""
-    off_screen = ~F.col("category").isin(*CAST_CATEGORIES)
-    return principals.filter(off_screen).select("tconst", "nconst", F.col("category").alias("role"))
+    off_screen = principals.filter(~_on_screen())
+    return off_screen.select("tconst", "nconst", F.col("category").alias("role"))
+
+
+def credit_counts(principals: DataFrame, key: str) -> DataFrame:
+    """`key`, cast_rows, crew_rows: the credits of every person or title.
+
+    One pass that tells who is cast and crew, and which keys are heavy, for both at once.
+    """
+    return (
+        principals.filter(F.col(key).isNotNull() & F.col("category").isNotNull())
+        .groupBy(key)
+        .agg(
+            F.count_if(_on_screen()).alias("cast_rows"),
+            F.count_if(~_on_screen()).alias("crew_rows"),
+        )
+    )
 
 
 def explode_characters(credits: DataFrame, parse: str = "split") -> DataFrame:
@@ -57,18 +75,22 @@ def link(
     person_ids: DataFrame,
     title_ids: DataFrame,
     person_col: str,
-    hot_rows: int = HOT_ROWS,
+    hot_persons: DataFrame | None = None,
+    hot_titles: DataFrame | None = None,
 ) -> DataFrame:
     """Credits with both keys replaced: title_id, `person_col` and the credit's other columns.
 
     `person_ids` holds id and nconst, `title_ids` id and tconst. Credits of a title without an id drop
-    out. Either key may be very frequent, so both look-ups split their heavy keys.
+    out. Either key may be very frequent, so both look-ups split their heavy keys; without a list of
+    these they are counted here.
     """
     title_map = title_ids.select("tconst", F.col("id").alias("title_id"))
     person_map = person_ids.select("nconst", F.col("id").alias(person_col))
     rest = [c for c in credits.columns if c not in ("tconst", "nconst")]
-    linked = skew_join(credits, title_map, "tconst", hot_keys(credits, "tconst", hot_rows))
-    linked = skew_join(linked, person_map, "nconst", hot_keys(credits, "nconst", hot_rows))
+    hot_titles = hot_keys(credits, "tconst") if hot_titles is None else hot_titles
+    hot_persons = hot_keys(credits, "nconst") if hot_persons is None else hot_persons
+    linked = skew_join(credits, title_map, "tconst", hot_titles)
+    linked = skew_join(linked, person_map, "nconst", hot_persons)
     return linked.select("title_id", person_col, *rest)
 
 
@@ -77,14 +99,14 @@ def titles_casts(
     cast_ids: DataFrame,
     title_ids: DataFrame,
     parse: str = "split",
-    hot_rows: int = HOT_ROWS,
+    **hot: DataFrame,
 ) -> DataFrame:
     """title_id, cast_id, character. Lists are spread out last, so the joins move one row per credit."""
-    return explode_characters(link(credits, cast_ids, title_ids, "cast_id", hot_rows), parse)
+    return explode_characters(link(credits, cast_ids, title_ids, "cast_id", **hot), parse)
 
 
 def titles_crew(
-    credits: DataFrame, crew_ids: DataFrame, title_ids: DataFrame, hot_rows: int = HOT_ROWS
+    credits: DataFrame, crew_ids: DataFrame, title_ids: DataFrame, **hot: DataFrame
 ) -> DataFrame:
     """title_id, crew_id, role."""
-    return link(credits, crew_ids, title_ids, "crew_id", hot_rows)
+    return link(credits, crew_ids, title_ids, "crew_id", **hot)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelhouse.operators.constraints import conform
+from reelhouse.operators.joins import hottest
 from reelhouse.operators.keys import assign_keys
 from reelhouse.plans import credits, episodes, titles
 from reelhouse.schemas import TABLES
@@ -80,28 +81,36 @@ class Catalogue:
 
     @cached_property
     def episodes(self) -> DataFrame:
-        rows = episodes.episodes(self._read("title.episode"), self.titles)
-        return self._keep("episodes", with_episode_ids(rows))
+        totals = self._keep("episode_totals", episodes.episode_summary(self._read("title.episode")))
+        return self._keep("episodes", with_episode_ids(episodes.with_title_ids(totals, self.titles)))
 
     @cached_property
     def _people(self) -> DataFrame:
         return credits.people(self._read("name.basics"), self._as_of_year)
 
     @cached_property
-    def _cast_credits(self) -> DataFrame:
-        return credits.cast_credits(self._read("title.principals"))
+    def _by_person(self) -> DataFrame:
+        counts = credits.credit_counts(self._read("title.principals"), "nconst")
+        return self._keep("credits_by_person", counts)
 
     @cached_property
-    def _crew_credits(self) -> DataFrame:
-        return credits.crew_credits(self._read("title.principals"))
+    def _by_title(self) -> DataFrame:
+        counts = credits.credit_counts(self._read("title.principals"), "tconst")
+        return self._keep("credits_by_title", counts)
+
+    def _hot(self, n: str) -> dict[str, DataFrame]:
+        return {
+            "hot_persons": hottest(self._by_person, "nconst", n),
+            "hot_titles": hottest(self._by_title, "tconst", n),
+        }
 
     @cached_property
     def cast_people(self) -> DataFrame:
-        return credits.person_dim(self._cast_credits, self._people)
+        return credits.person_dim(self._by_person.filter("cast_rows > 0"), self._people)
 
     @cached_property
     def crew_people(self) -> DataFrame:
-        return credits.person_dim(self._crew_credits, self._people)
+        return credits.person_dim(self._by_person.filter("crew_rows > 0"), self._people)
 
     @cached_property
     def casts(self) -> DataFrame:
@@ -113,13 +122,16 @@ class Catalogue:
 
     @cached_property
     def titles_casts(self) -> DataFrame:
-        rows = credits.titles_casts(self._cast_credits, self.casts, self.titles, self._parse)
+        held = credits.cast_credits(self._read("title.principals"))
+        hot = self._hot("cast_rows")
+        rows = credits.titles_casts(held, self.casts, self.titles, self._parse, **hot)
         return self._keep("titles_casts", rows)
 
     @cached_property
     def titles_crew(self) -> DataFrame:
-        rows = credits.titles_crew(self._crew_credits, self.crew, self.titles)
-        return self._keep("titles_crew", rows)
+        held = credits.crew_credits(self._read("title.principals"))
+        hot = self._hot("crew_rows")
+        return self._keep("titles_crew", credits.titles_crew(held, self.crew, self.titles, **hot))
 
 
 def load_drop(
@@ -150,7 +162,8 @@ def load_drop(
             known = titles.snapshot_dim(dates, read_table(spark, path))
             load(conform(known, name), path, "append_new", ["year", "month", "day"])
             return spark.read.parquet(path)
-        dated = conform(rows, name).withColumn(SNAPSHOT, F.lit(snapshot_date))
+        checked = conform(rows, name) if name in TABLES else rows
+        dated = checked.withColumn(SNAPSHOT, F.lit(snapshot_date))
         load(dated, path, "overwrite_snapshot")
         return read_drop(spark, root, name, snapshot_date)
 
@@ -161,6 +174,12 @@ def load_drop(
         getattr(catalogue, name)
 
 
+def register_views(spark: SparkSession, root: str, snapshot_date: datetime.date | None = None) -> None:
+    """The warehouse tables under their own names, for dashboards that bring their SQL."""
+    for name in TABLES:
+        read_drop(spark, root, name, snapshot_date).createOrReplaceTempView(name)
+
+
 def read_drop(
     spark: SparkSession, root: str, name: str, snapshot_date: datetime.date | None = None
 ) -> DataFrame:

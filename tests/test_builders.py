@@ -6,6 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from reelhouse.functions import columns
+from reelhouse.operators.joins import hot_keys
 from reelhouse.operators.keys import assign_keys
 from reelhouse.plans import credits, episodes, titles
 from tests.conftest import rows
@@ -133,23 +134,40 @@ def test_person_dim_has_one_row_each(spark, film):
     assert rows(again) == rows(credits.person_dim(cast.repartition(7), twice.repartition(5)))
 
 
-def build(film, hot_rows=1_000_000):
+def build(film, hot_rows=None):
     title_ids = assign_keys(titles.titles(film["title.basics"], film["title.ratings"]), "tconst")
     persons = credits.people(film["name.basics"], 2021)
     cast = credits.cast_credits(film["title.principals"])
     crew = credits.crew_credits(film["title.principals"])
     cast_dim = assign_keys(credits.person_dim(cast, persons), "nconst")
     crew_dim = assign_keys(credits.person_dim(crew, persons), "nconst")
+
+    def hot(held):
+        if hot_rows is None:
+            return {}
+        return {
+            "hot_persons": hot_keys(held, "nconst", hot_rows),
+            "hot_titles": hot_keys(held, "tconst", hot_rows),
+        }
+
     return (
         title_ids,
         cast_dim,
         crew_dim,
-        credits.titles_casts(cast, cast_dim, title_ids, hot_rows=hot_rows),
-        credits.titles_crew(crew, crew_dim, title_ids, hot_rows=hot_rows),
+        credits.titles_casts(cast, cast_dim, title_ids, **hot(cast)),
+        credits.titles_crew(crew, crew_dim, title_ids, **hot(crew)),
     )
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 1])
+def test_credit_counts(film):
+    counts = credits.credit_counts(film["title.principals"], "nconst")
+    assert rows(counts) == [
+        ("nm1", 2, 1), ("nm2", 2, 0), ("nm3", 0, 3), ("nm4", 0, 1), ("nm5", 1, 0), ("nm6", 1, 0),
+        ("nm9", 1, 0),
+    ]
+
+
+@pytest.mark.parametrize("hot_rows", [None, 1, 2])
 def test_bridges(film, hot_rows):
     title_ids, cast_dim, crew_dim, casts, crew = build(film, hot_rows)
     title_of = {r.id: r.tconst for r in title_ids.collect()}

@@ -101,6 +101,15 @@ def test_ids_outlive_a_drop(spark, film, loaded):
     assert warehouse.read_drop(spark, root, "download_date").count() == 2
 
 
+def test_dashboards_bring_their_sql(spark, loaded):
+    root, _ = loaded
+    warehouse.register_views(spark, root, DROP)
+    found = spark.sql("""
+        SELECT name AS `Cast Name`, count(name) AS c FROM casts JOIN titles_casts ON cast_id = id
+        GROUP BY name ORDER BY c DESC, name LIMIT 1""")
+    assert found.columns == ["Cast Name", "c"] and rows(found) == [("Ann", 4)]
+
+
 def land_both_ways(spark, source, out):
     """Rows a stream run and a manifest run have landed so far."""
     drops.stream_drops(spark, "title.ratings", source, f"{out}/stream", f"{out}/checkpoint")
