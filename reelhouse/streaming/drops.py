@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelhouse.schemas import SENTINEL, raw_schema
-from reelhouse.sources.files import TSV, drop_files, list_files
+from reelhouse.sources.files import TSV, drop_files, list_files, snapshot_path
 from reelhouse.sources.sinks import SNAPSHOT, load, read_table
 
 _DATED = r"/(\d{4}-\d{2})/(\d{2})/"
@@ -53,26 +53,24 @@ def pending_files(listing: DataFrame, manifest: DataFrame | None) -> DataFrame:
 
 
 def land(spark: SparkSession, name: str, source: str, target: str, manifest: str) -> int:
-    """The same without a stream: a table of files done is kept at `manifest`. Returns files taken.
+    """The same without a stream: a table of files done is kept at `manifest`. Returns new files.
 
-    Data is written before the manifest and by replacing whole drop dates, so a run that broke off in
-    between is simply repeated. A late file for a date already landed replaces that date with all of
-    its files.
+    Dates with a new file are landed whole, replacing what they held, and only then is the listing that
+    was taken at the start added to the manifest. So a run that broke off in between is repeated
+    without harm, and a file that arrives meanwhile counts as new the next time.
     """
     listing = list_files(spark, drop_files(source, name)).withColumn(SNAPSHOT, drop_date(F.col("path")))
-    done = read_table(spark, manifest)
-    fresh = pending_files(listing, done)
-    dates = fresh.select(SNAPSHOT).distinct()
-    # File names only: one per kind and day, and what the reader needs to be told anyway.
-    taken = [r.path for r in listing.join(dates, SNAPSHOT, "left_semi").select("path").collect()]
-    if not taken:
+    fresh = pending_files(listing, read_table(spark, manifest))
+    by_date = fresh.groupBy(SNAPSHOT).agg(F.count(F.lit(1)).alias("n")).collect()  # a row per day
+    if not by_date:
         return 0
+    dates = [row[SNAPSHOT] for row in by_date]
     rows = (
         spark.read.schema(raw_schema(name))
         .options(**TSV, enforceSchema="false", nullValue=SENTINEL)
-        .csv(taken)
+        .csv([f"{snapshot_path(source, date)}/{name}.tsv*" for date in dates])
     )
-    load(rows.withColumn(SNAPSHOT, drop_date(F.col("_metadata.file_path"))), target, "overwrite_snapshot")
-    entry = spark.createDataFrame([(p,) for p in taken], "path string")
-    load(entry, manifest, "append_new", ["path"])
-    return len(taken)
+    dated = rows.withColumn(SNAPSHOT, drop_date(F.col("_metadata.file_path")))
+    load(dated, target, "overwrite_snapshot")
+    load(listing.filter(F.col(SNAPSHOT).isin(dates)).select("path"), manifest, "append_new", ["path"])
+    return sum(row["n"] for row in by_date)

@@ -137,6 +137,17 @@ def test_a_run_broken_off_before_the_manifest_is_repeated(spark, tmp_path):
     assert spark.read.parquet(f"{out}/batch").count() == 1
 
 
+def test_a_late_file_replaces_its_date(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    day = source / "2021-06" / "26" / "title.ratings.tsv"
+    write_tsv(day / "part-0.tsv", "title.ratings", [["tt1", "1.0", "2"]])
+    args = (spark, "title.ratings", str(source), f"{out}/batch", f"{out}/manifest")
+    assert drops.land(*args) == 1
+    write_tsv(day / "part-1.tsv", "title.ratings", [["tt2", "1.0", "2"]])
+    assert drops.land(*args) == 1 and drops.land(*args) == 0
+    assert rows(spark.read.parquet(f"{out}/batch"), "tconst") == [("tt1",), ("tt2",)]
+
+
 def test_pending_files(spark, drop):
     listing = list_files(spark, drop_files(drop, "*"))
     done = listing.limit(2).select("path")
