@@ -21,8 +21,18 @@ def test_append_and_append_new(spark, tmp_path):
     sinks.load(first, path, "append_new", ["k"])
     sinks.load(first.withColumn("k", F.lit("c")), path, "append_new", ["k"])
     assert rows(spark.read.parquet(path)) == [("a", 2), ("b", 1), ("c", 2)]
+    assert spark.read.parquet(path).columns == ["k", "v"]
     sinks.load(first, path)
     assert spark.read.parquet(path).count() == 6
+
+
+def test_new_rows_keep_the_column_order(spark):
+    df = spark.createDataFrame([(1, "a")], "v int, k string")
+    assert sinks.new_rows(df, df, ["k"]).columns == ["v", "k"]
+
+
+def test_unknown_mode(spark, tmp_path):
+    path, first = str(tmp_path / "t"), spark.range(1)
     with pytest.raises(ValueError):
         sinks.load(first, path, "other")
 
