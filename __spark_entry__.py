@@ -112,6 +112,14 @@ def _title_keys_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_keys(_known(spark, sf_dir, "title.basics").select("tconst"), "tconst", "id", first)
 
 
+def _stored_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "results")
+    batch = {"title.ratings": raw_view(spark, sf_dir, "title.ratings")}
+    now = datetime.datetime.now(datetime.timezone.utc)
+    quality.store_results(quality.run_suites(batch, SUITES, "check", now), path)
+    return spark.read.parquet(path).drop("run_name", "run_time", "run_date")
+
+
 def _failing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = {"type": "length_between", "column": "region", "min": 2, "max": 4}
     form = {"type": "matches", "column": "region", "regex": "^[A-Z]{2}$"}
@@ -247,9 +255,17 @@ def queries() -> dict[str, Query]:
         "cast_characters": _raw(
             lambda p: credits.explode_characters(credits.cast_credits(p)), "title.principals"
         ),
+        "cast_characters_json": _raw(
+            lambda p: credits.explode_characters(credits.cast_credits(p), "json"), "title.principals"
+        ),
         "crew_roles": _raw(credits.crew_credits, "title.principals"),
         "cast_dim": _plan("casts"),
         "crew_dim": _plan("crew"),
+        "casts_checked": _plan("casts", lambda casts: constraints.conform(casts, "casts")),
+        "titles_required": _plan(
+            "rated_titles",
+            lambda t: constraints.require_not_null(t, ["tconst", "primary_title", "original_title"]),
+        ),
         "cast_bridge": _plan("titles_casts"),
         "crew_bridge": _plan("titles_crew"),
         "title_keys": _keys("title.basics", "tconst"),
@@ -276,6 +292,7 @@ def queries() -> dict[str, Query]:
         "people_of_top_titles": _report(reports.people_of_top_titles, "titles", *people),
         **{f"dq_{name.replace('.', '_')}": _suite(name) for name in SUITES},
         "dq_title_basics_marker_is_null": _suite("title.basics", sentinel_is_null=True),
+        "dq_stored_results": _stored_results,
         "dq_failing_rows": _failing_rows,
         "dq_repeated_principals": _repeated_principals,
         "constraint_report": _constraint_report,

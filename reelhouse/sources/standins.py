@@ -31,7 +31,7 @@ VIEWS = {
         SELECT 'tt' || lpad(cast(o_orderkey AS STRING), 7, '0') AS tconst,
                cast(cast(1 + (o_orderkey % 91) / 10.0 AS DECIMAL(10,1)) AS STRING) AS averageRating,
                cast(cast(floor(o_totalprice) AS BIGINT) AS STRING) AS numVotes
-        FROM {src} WHERE o_orderkey % 5 <> 0"""),
+        FROM {src} WHERE o_totalprice >= 100000"""),
     "title.episode": ("lineitem", """
         SELECT 'tt' || lpad(cast(10000000 + l_orderkey * 10 + l_linenumber AS STRING), 9, '0') AS tconst,
                'tt' || lpad(cast(l_orderkey AS STRING), 7, '0') AS parentTconst,

@@ -35,11 +35,22 @@ def land_stream(arriving: DataFrame, target: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def stream_drops(spark: SparkSession, name: str, source: str, target: str, checkpoint: str) -> None:
-    """Land the raw files of one kind from the dated folders below `source`."""
+def stream_drops(
+    spark: SparkSession,
+    name: str,
+    source: str,
+    target: str,
+    checkpoint: str,
+    files_per_batch: int = 1000,
+) -> None:
+    """Land the raw files of one kind from the dated folders below `source`.
+
+    A backlog is taken in batches; a run that breaks off goes on after the last one.
+    """
     arriving = (
         spark.readStream.schema(raw_schema(name))
         .options(**TSV, enforceSchema="false", nullValue=SENTINEL)
+        .option("maxFilesPerTrigger", files_per_batch)
         .csv(drop_files(source, name))
     )
     land_stream(
