@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Four hex digits: at most 65,536 buckets, whatever the data, so the offset table has a fixed bound.
-BUCKET_DIGITS = 4
+# Two bytes of the hash: at most 65,536 buckets, whatever the data, so the offset table is bounded.
+BUCKET_BYTES = 2
 
 
 def assign_keys(
@@ -15,14 +15,16 @@ def assign_keys(
 ) -> DataFrame:
     """Add a dense id, 1 to n, to a table that is unique in the text column `key`.
 
-    Rows are numbered in the order of (md5(key), key). The leading hash digits cut that order into even
+    Rows are numbered in the order of (md5(key), key). The leading hash bytes cut that order into even
     buckets for any key shape; a bucket is numbered by itself and moved up by the rows in the buckets
     before it. Ids depend on the set of keys alone: not on partitioning, retries or run.
 
     With `existing` (`key`, `id_col`), known keys keep their id and new ones follow its highest.
+    Of a wide table, number the keys alone and join them back: they move twice, the rest once.
     """
-    tagged = df.withColumn("_hash", F.coalesce(F.md5(F.col(key)), F.lit(""))).withColumn(
-        "_bucket", F.substring("_hash", 1, BUCKET_DIGITS)
+    digest = F.coalesce(F.unhex(F.md5(F.col(key))), F.lit(b""))
+    tagged = df.withColumn("_hash", digest).withColumn(
+        "_bucket", F.substring("_hash", 1, BUCKET_BYTES)
     )
     if existing is None:
         tagged, base = tagged.withColumn("_old", F.lit(None).cast("long")), F.lit(0)

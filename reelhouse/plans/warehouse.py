@@ -26,8 +26,8 @@ def with_episode_ids(rows: DataFrame) -> DataFrame:
     return assign_keys(keyed, "_key").drop("_key")
 
 
-def _number(_: str, rows: DataFrame, key: str) -> DataFrame:
-    return assign_keys(rows, key)
+def _number(_: str, keys: DataFrame, key: str) -> DataFrame:
+    return assign_keys(keys, key)
 
 
 def _plan_only(_: str, rows: DataFrame) -> DataFrame:
@@ -48,9 +48,9 @@ class Catalogue:
     """The warehouse tables over decoded raw files, each put together when first asked for.
 
     `read` gives a raw file by name. `keep` says what becomes of a finished table: by default it stays a
-    plan, and with `written` later tables read it back, so that its work is done once. `number` adds the
-    ids of titles, casts and crew. `rated_titles`, `cast_people` and `crew_people` are these without
-    ids, for reports that join nothing.
+    plan, and with `written` later tables read it back, so that its work is done once. `number` gives
+    the distinct keys of titles, casts and crew their ids. `rated_titles`, `cast_people` and
+    `crew_people` are these tables without ids, for reports that join nothing.
     """
 
     def __init__(
@@ -73,16 +73,23 @@ class Catalogue:
     def rated_titles(self) -> DataFrame:
         return titles.titles(self._read("title.basics"), self._read("title.ratings"))
 
+    def _ids(self, name: str, rows: DataFrame, key: str) -> DataFrame:
+        return self._keep(name, self._number(name, rows.select(key).distinct(), key))
+
+    @cached_property
+    def _title_ids(self) -> DataFrame:
+        return self._ids("title_ids", self.rated_titles, "tconst")
+
     @cached_property
     def titles(self) -> DataFrame:
         drop = titles.snapshot_id(self.download_date)
-        numbered = self._number("titles", self.rated_titles, "tconst")
-        return self._keep("titles", numbered.withColumn("download_date_id", drop))
+        rows = self.rated_titles.join(self._title_ids, "tconst").withColumn("download_date_id", drop)
+        return self._keep("titles", rows)
 
     @cached_property
     def episodes(self) -> DataFrame:
         totals = self._keep("episode_totals", episodes.episode_summary(self._read("title.episode")))
-        return self._keep("episodes", with_episode_ids(episodes.with_title_ids(totals, self.titles)))
+        return self._keep("episodes", with_episode_ids(episodes.with_title_ids(totals, self._title_ids)))
 
     @cached_property
     def _people(self) -> DataFrame:
@@ -112,26 +119,35 @@ class Catalogue:
     def crew_people(self) -> DataFrame:
         return credits.person_dim(self._by_person.filter("crew_rows > 0"), self._people)
 
+    @cached_property
+    def _cast_ids(self) -> DataFrame:
+        return self._ids("cast_ids", self.cast_people, "nconst")
+
+    @cached_property
+    def _crew_ids(self) -> DataFrame:
+        return self._ids("crew_ids", self.crew_people, "nconst")
+
     @cached_property
     def casts(self) -> DataFrame:
-        return self._keep("casts", self._number("casts", self.cast_people, "nconst"))
+        return self._keep("casts", self.cast_people.join(self._cast_ids, "nconst"))
 
     @cached_property
     def crew(self) -> DataFrame:
-        return self._keep("crew", self._number("crew", self.crew_people, "nconst"))
+        return self._keep("crew", self.crew_people.join(self._crew_ids, "nconst"))
 
     @cached_property
     def titles_casts(self) -> DataFrame:
         held = credits.cast_credits(self._read("title.principals"))
         hot = self._hot("cast_rows")
-        rows = credits.titles_casts(held, self.casts, self.titles, self._parse, **hot)
+        rows = credits.titles_casts(held, self._cast_ids, self._title_ids, self._parse, **hot)
         return self._keep("titles_casts", rows)
 
     @cached_property
     def titles_crew(self) -> DataFrame:
         held = credits.crew_credits(self._read("title.principals"))
         hot = self._hot("crew_rows")
-        return self._keep("titles_crew", credits.titles_crew(held, self.crew, self.titles, **hot))
+        rows = credits.titles_crew(held, self._crew_ids, self._title_ids, **hot)
+        return self._keep("titles_crew", rows)
 
 
 def load_drop(
@@ -149,12 +165,11 @@ def load_drop(
     Drops must be loaded one at a time, in order of date.
     """
 
-    def number(kind: str, rows: DataFrame, key: str) -> DataFrame:
+    def number(kind: str, keys: DataFrame, key: str) -> DataFrame:
         path = f"{root}/keys/{kind}"
-        distinct = rows.select(key).filter(F.col(key).isNotNull()).distinct()
-        numbered = assign_keys(distinct, key, "id", read_table(spark, path))
+        numbered = assign_keys(keys, key, "id", read_table(spark, path))
         load(numbered, path, "append_new", [key])
-        return rows.join(spark.read.parquet(path), key)
+        return spark.read.parquet(path).join(keys, key, "left_semi")
 
     def keep(name: str, rows: DataFrame) -> DataFrame:
         path = f"{root}/{name}"
