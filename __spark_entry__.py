@@ -108,8 +108,11 @@ def _age_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _title_keys_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = assign_keys(_known(spark, sf_dir, "title.ratings").select("tconst"), "tconst")
-    return assign_keys(_known(spark, sf_dir, "title.basics").select("tconst"), "tconst", "id", first)
+    rated, every = (
+        _known(spark, sf_dir, name).select("tconst").distinct()
+        for name in ("title.ratings", "title.basics")
+    )
+    return assign_keys(every, "tconst", "id", assign_keys(rated, "tconst"))
 
 
 def _stored_results(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,7 +235,7 @@ def _warehouse_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _keys(name: str, key: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return assign_keys(_known(spark, sf_dir, name).select(key), key)
+        return assign_keys(_known(spark, sf_dir, name).select(key).distinct(), key)
 
     return run
 

@@ -5,17 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000  # a key with this many rows is worth splitting
+HOT_ROWS = 1_000_000  # rows one task should get of one key; a key with more is split
 HOT_KEYS = 10_000  # the most keys that are split: bounds the broadcast list
-SALTS = 64  # pieces per split key
 
 
 def hottest(
     counts: DataFrame, key: str, n: str, hot_rows: int = HOT_ROWS, most: int = HOT_KEYS
 ) -> DataFrame:
-    """The heaviest keys of a table of counts, at most `most`; ties are cut by key, so repeatable."""
-    heavy = counts.filter(F.col(n) >= hot_rows).orderBy(F.desc(n), key).limit(most)
-    return heavy.select(key, F.lit(True).alias("_hot"))
+    """The heaviest keys of a table of counts and into how many pieces each is to be split.
+
+    At most `most` keys; ties are cut by key, so the list is repeatable. The number of pieces grows with
+    the key, so a piece stays one task's work at any size.
+    """
+    heavy = counts.filter(F.col(n) > hot_rows).orderBy(F.desc(n), key).limit(most)
+    return heavy.select(key, F.ceil(F.col(n) / hot_rows).cast("int").alias("_pieces"))
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, most: int = HOT_KEYS) -> DataFrame:
@@ -24,27 +27,24 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, most: int = HOT_
     return hottest(counts, key, "_n", hot_rows, most)
 
 
-def skew_join(
-    large: DataFrame, lookup: DataFrame, key: str, hot: DataFrame, salts: int = SALTS
-) -> DataFrame:
-    """Inner join on `key`, in which the rows of a key listed in `hot` go to `salts` tasks.
+def skew_join(large: DataFrame, lookup: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """Inner join on `key`, in which the rows of a key listed in `hot` go to many tasks.
 
-    The look-up rows of a hot key are repeated once per salt, all others stay single. A key that is not
-    listed joins as usual, so the result is the plain inner join for any list. The salt hangs on the
-    row's content and its partition number, which a lost and repeated task reproduces.
+    The look-up rows of a listed key are repeated once per piece, all others stay single. A key that is
+    not listed joins as usual, so the result is the plain inner join for any list. The piece of a row
+    hangs on its content and its partition number, which a lost and repeated task reproduces.
     """
     listed = F.broadcast(hot)
-    spread = F.pmod(F.hash(*large.columns) + F.spark_partition_id(), F.lit(salts))
+    pieces = F.col("_pieces")
+    spot = F.hash(*large.columns).cast("bigint") + F.spark_partition_id()
     large = (
         large.filter(F.col(key).isNotNull())
         .join(listed, key, "left")
-        .withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(0))
-        .drop("_hot")
+        .withColumn("_piece", F.coalesce(F.pmod(spot, pieces).cast("int"), F.lit(0)))
+        .drop("_pieces")
     )
-    all_salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+    every = F.sequence(F.lit(0), F.coalesce(pieces, F.lit(1)) - 1)
     lookup = (
-        lookup.join(listed, key, "left")
-        .withColumn("_salt", F.explode(F.coalesce(all_salts, F.array(F.lit(0)))))
-        .drop("_hot")
+        lookup.join(listed, key, "left").withColumn("_piece", F.explode(every)).drop("_pieces")
     )
-    return large.join(lookup, [key, "_salt"]).drop("_salt")
+    return large.join(lookup, [key, "_piece"]).drop("_piece")

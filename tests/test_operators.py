@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from reelhouse.operators.joins import hot_keys, skew_join
+from reelhouse.operators.joins import hot_keys, hottest, skew_join
 from reelhouse.operators.keys import assign_keys
 from reelhouse.operators.latest import latest_rows
 from tests.conftest import rows
@@ -98,6 +98,11 @@ def test_hot_key_is_spread(spark):
     assert max(split) < sum(plain) / 2 and sum(split) == sum(plain)
 
 
+def test_pieces_grow_with_the_key(spark):
+    counts = spark.createDataFrame([("a", 10**12), ("b", 2_500_001), ("c", 10**6)], "k string, n long")
+    assert rows(hottest(counts, "k", "n")) == [("a", 10**6), ("b", 3)]
+
+
 def test_hot_keys_are_bounded_and_repeatable(spark):
     large, _ = skewed(spark)
     few = rows(hot_keys(large, "k", 1, 5))
