@@ -24,6 +24,12 @@ def snapshot_path(root: str, date: datetime.date, name: str = "") -> str:
     return f"{folder}/{name}.tsv" if name else folder
 
 
+def raw_options(decode_sentinel: bool = True) -> dict:
+    """Reader options of a raw file: headers are checked, the marker is read as NULL if wanted."""
+    options = {**TSV, "enforceSchema": "false"}
+    return {**options, "nullValue": SENTINEL} if decode_sentinel else options
+
+
 def read_raw(
     spark: SparkSession,
     root: str,
@@ -38,16 +44,17 @@ def read_raw(
     be misread. The suites read with `decode_sentinel=False`, since they judge the marker too.
     """
     folder = snapshot_path(root, snapshot_date) if snapshot_date else root.rstrip("/")
-    reader = spark.read.schema(raw_schema(name)).options(**TSV, enforceSchema="false")
-    if decode_sentinel:
-        reader = reader.option("nullValue", SENTINEL)
+    reader = spark.read.schema(raw_schema(name)).options(**raw_options(decode_sentinel))
     return reader.csv(f"{folder}/{name}.tsv*")
 
 
 def read_asset(spark: SparkSession, folder: str, glob: str = "*.tsv") -> DataFrame:
-    """Every file below a folder whose name fits the glob, columns named by the header."""
+    """Every file below a folder whose name fits the glob, columns named by the header.
+
+    The files must share one header; one that differs fails the job.
+    """
     return (
-        spark.read.options(**TSV)
+        spark.read.options(**TSV, enforceSchema="false")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
         .csv(folder)

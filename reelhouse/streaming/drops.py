@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.schemas import SENTINEL, raw_schema
-from reelhouse.sources.files import TSV, drop_files, list_files, snapshot_path
+from reelhouse.schemas import raw_schema
+from reelhouse.sources.files import drop_files, list_files, raw_options, snapshot_path
 from reelhouse.sources.sinks import SNAPSHOT, load, read_table
 
 _DATED = r"/(\d{4}-\d{2})/(\d{2})/"
@@ -42,14 +42,16 @@ def stream_drops(
     target: str,
     checkpoint: str,
     files_per_batch: int = 1000,
+    decode_sentinel: bool = True,
 ) -> None:
     """Land the raw files of one kind from the dated folders below `source`.
 
-    A backlog is taken in batches; a run that breaks off goes on after the last one.
+    A backlog is taken in batches; a run that breaks off goes on after the last one. With
+    `decode_sentinel=False` the marker stays, for suites that are to run on the landed rows.
     """
     arriving = (
         spark.readStream.schema(raw_schema(name))
-        .options(**TSV, enforceSchema="false", nullValue=SENTINEL)
+        .options(**raw_options(decode_sentinel))
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(drop_files(source, name))
     )
@@ -63,7 +65,14 @@ def pending_files(listing: DataFrame, manifest: DataFrame | None) -> DataFrame:
     return listing if manifest is None else listing.join(manifest.select("path"), "path", "left_anti")
 
 
-def land(spark: SparkSession, name: str, source: str, target: str, manifest: str) -> int:
+def land(
+    spark: SparkSession,
+    name: str,
+    source: str,
+    target: str,
+    manifest: str,
+    decode_sentinel: bool = True,
+) -> int:
     """The same without a stream: a table of files done is kept at `manifest`. Returns new files.
 
     Dates with a new file are landed whole, replacing what they held, and only then is the listing that
@@ -78,7 +87,7 @@ def land(spark: SparkSession, name: str, source: str, target: str, manifest: str
     dates = [row[SNAPSHOT] for row in by_date]
     rows = (
         spark.read.schema(raw_schema(name))
-        .options(**TSV, enforceSchema="false", nullValue=SENTINEL)
+        .options(**raw_options(decode_sentinel))
         .csv([f"{snapshot_path(source, date)}/{name}.tsv*" for date in dates])
     )
     dated = rows.withColumn(SNAPSHOT, drop_date(F.col("_metadata.file_path")))

@@ -60,6 +60,14 @@ def test_read_asset_by_glob(spark, drop):
     assert asset.count() == len(FILM["title.episode"])
 
 
+def test_an_asset_has_one_header(spark, tmp_path):
+    write_tsv(tmp_path / "a.tsv", "title.ratings", [["tt1", "1.0", "5"]])
+    write_tsv(tmp_path / "b.tsv", "title.ratings", [["tt2", "5", "1.0"]], header=["tconst", "numVotes", "averageRating"])
+    assert files.read_asset(spark, str(tmp_path), "a.tsv").count() == 1
+    with pytest.raises(Exception, match="FAILED_READ_FILE"):
+        files.read_asset(spark, str(tmp_path)).collect()
+
+
 def test_list_files_reads_no_content(spark, drop):
     listing = files.list_files(spark, files.drop_files(drop, "*"))
     assert listing.count() == len(FILM)
