@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000  # rows one task should get of one key; a key with more is split
+HOT_ROWS = 250_000  # rows one task should get of one key; a key with more is split
 HOT_KEYS = 10_000  # the most keys that are split: bounds the broadcast list
 
 

@@ -169,7 +169,7 @@ def load_drop(
         path = f"{root}/keys/{kind}"
         numbered = assign_keys(keys, key, "id", read_table(spark, path))
         load(numbered, path, "append_new", [key])
-        return spark.read.parquet(path).join(keys, key, "left_semi")
+        return spark.read.schema(numbered.schema).parquet(path).join(keys, key, "left_semi")
 
     def keep(name: str, rows: DataFrame) -> DataFrame:
         path = f"{root}/{name}"
@@ -180,7 +180,8 @@ def load_drop(
         checked = conform(rows, name) if name in TABLES else rows
         dated = checked.withColumn(SNAPSHOT, F.lit(snapshot_date))
         load(dated, path, "overwrite_snapshot")
-        return read_drop(spark, root, name, snapshot_date)
+        whole = spark.read.schema(dated.schema).parquet(path)
+        return whole.filter(F.col(SNAPSHOT) == F.lit(snapshot_date)).drop(SNAPSHOT)
 
     dates = titles.snapshot_row(spark, snapshot_date)
     year = as_of_year or snapshot_date.year

@@ -100,7 +100,7 @@ def test_hot_key_is_spread(spark):
 
 def test_pieces_grow_with_the_key(spark):
     counts = spark.createDataFrame([("a", 10**12), ("b", 2_500_001), ("c", 10**6)], "k string, n long")
-    assert rows(hottest(counts, "k", "n")) == [("a", 10**6), ("b", 3)]
+    assert rows(hottest(counts, "k", "n", 10**6)) == [("a", 10**6), ("b", 3)]
 
 
 def test_hot_keys_are_bounded_and_repeatable(spark):
