@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime
+import importlib
+import importlib.util
 import sys
 from collections.abc import Callable
 from functools import reduce
@@ -240,6 +242,23 @@ def _keys(name: str, key: str) -> Query:
     return run
 
 
+def _present(name: str) -> bool:
+    """Whether a module of that name, with code of its own, can be imported."""
+    spec = importlib.util.find_spec(name)
+    return spec is not None and spec.origin is not None
+
+
+def _extra() -> dict[str, Query]:
+    """What the optional parts add, if they are there: the text operators and the corpus pipeline."""
+    found: dict[str, Query] = {}
+    if _present("reelhouse.llm"):
+        found |= importlib.import_module("reelhouse.llm.registry").QUERIES
+        if _present("corpus_pipeline"):
+            pipeline = importlib.import_module("corpus_pipeline")
+            found["pipeline"] = pipeline.run
+    return found
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The fifty best rated titles of the smallest tables."""
     return queries()["top_rated"](spark, "/root/testdata/sf0.001")
@@ -247,6 +266,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Name to (spark, sf_dir) -> DataFrame."""
+    return {**_library(), **_extra()}
+
+
+def _library() -> dict[str, Query]:
     people = ("casts", "crew", "titles_casts", "titles_crew")
     return {
         "titles_typed": _raw(titles.titles, "title.basics", "title.ratings"),

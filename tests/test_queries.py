@@ -2,7 +2,8 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import _library as queries
+from __spark_entry__ import entry, oracle_sql
 from reelhouse.sources.standins import VIEWS
 from tests.compare import compare, duck
 
