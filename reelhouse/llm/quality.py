@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.llm.common import SPACES, read, words
+from reelhouse.llm.common import SPACES, kept, read, words
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -155,22 +155,21 @@ def learn(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUNDS) ->
     return trust
 
 
-def judge(df: DataFrame, text: str = "text") -> DataFrame:
-    """The rows with the counts of `counted`, the votes (`vote_<rule>`), `quality` (posterior of good),
-    `base_failed` and `kept`.
+def judge(df: DataFrame, carry: list[str], text: str = "text") -> DataFrame:
+    """The columns `carry` with the counts of `counted`, the votes (`vote_<rule>`), `quality` (posterior
+    of good), `base_failed` and `kept`.
 
-    Every row gives one row; null and empty texts have no words and fail the base. An empty table gives
-    an empty one. Columns of the same names are replaced, all others stay.
+    The counted rows are written once, as both the patterns and the verdicts are read from them. Every row gives one row; null and empty texts have no words and fail the base. An empty table gives
+    an empty one. Carried columns of the same names give way.
     """
     rules = _rules()
     votes = [f"vote_{name}" for name in rules]
     made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *votes]
-    old = [c for c in df.columns if c in {*made, "quality", "base_failed", "kept"} and c != text]
-    voted = (
-        counted(df.drop(*old), text)
-        .withColumns({f"vote_{name}": vote for name, vote in rules.items()})
+    carry = [c for c in carry if c not in {*made, "quality", "base_failed", "kept"}]
+    voted = counted(df.select(*dict.fromkeys([*carry, text])), text).withColumns(
+        {f"vote_{name}": vote for name, vote in rules.items()}
     )
-    voted = voted.drop(*[c for c in voted.columns if c.startswith("_q_")])
+    voted = kept(voted.select(*carry, *made), "votes")
     found = voted.groupBy(*votes).count().collect()  # at most 3 ** rules
     trust = learn(sorted((tuple(r[:-1]), r[-1]) for r in found))
 
@@ -189,9 +188,9 @@ def judge(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def op10_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    return judge(read(spark, sf_dir, "documents"), ["doc_id"])
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the rules keep."""
-    return judge(docs).filter("kept").select(*docs.columns)
+    return judge(docs, docs.columns).filter("kept").select(*docs.columns)

@@ -1,9 +1,15 @@
 """The registered queries of this subpackage."""
 
 from reelhouse.llm.bpe import op8_byte_bpe
+from reelhouse.llm.fingerprints import op3_bloom_fingerprints
 from reelhouse.llm.quality import op10_weak_supervision
+from reelhouse.llm.shards import op9_kd_shards
+from reelhouse.llm.toxicity import op1_toxic_segments
 
 QUERIES = {
+    "op1_toxic_segments": op1_toxic_segments,
+    "op3_bloom_fingerprints": op3_bloom_fingerprints,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_kd_shards": op9_kd_shards,
     "op10_weak_supervision": op10_weak_supervision,
 }
