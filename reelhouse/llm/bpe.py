@@ -191,3 +191,14 @@ def digests(df: DataFrame) -> DataFrame:
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(read(spark, sf_dir, "documents"))
+
+
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids (packed) and the digests of ids and decoded bytes."""
+    return encode(docs).select(
+        "doc_id",
+        "n_tokens",
+        "ids",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

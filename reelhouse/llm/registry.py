@@ -1,15 +1,26 @@
 """The registered queries of this subpackage."""
 
+from reelhouse.llm.bagminhash import op2_bag_minhash
 from reelhouse.llm.bpe import op8_byte_bpe
+from reelhouse.llm.chaining import op5_chained_passages
 from reelhouse.llm.fingerprints import op3_bloom_fingerprints
+from reelhouse.llm.html import op4_site_templates
+from reelhouse.llm.mixing import op7_soft_mixing
 from reelhouse.llm.quality import op10_weak_supervision
 from reelhouse.llm.shards import op9_kd_shards
 from reelhouse.llm.toxicity import op1_toxic_segments
 
 QUERIES = {
-    "op1_toxic_segments": op1_toxic_segments,
-    "op3_bloom_fingerprints": op3_bloom_fingerprints,
-    "op8_byte_bpe": op8_byte_bpe,
-    "op9_kd_shards": op9_kd_shards,
-    "op10_weak_supervision": op10_weak_supervision,
+    query.__name__: query
+    for query in (
+        op1_toxic_segments,
+        op2_bag_minhash,
+        op3_bloom_fingerprints,
+        op4_site_templates,
+        op5_chained_passages,
+        op7_soft_mixing,
+        op8_byte_bpe,
+        op9_kd_shards,
+        op10_weak_supervision,
+    )
 }
