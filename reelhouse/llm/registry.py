@@ -4,6 +4,7 @@ from reelhouse.llm.bagminhash import op2_bag_minhash
 from reelhouse.llm.bpe import op8_byte_bpe
 from reelhouse.llm.chaining import op5_chained_passages
 from reelhouse.llm.fingerprints import op3_bloom_fingerprints
+from reelhouse.llm.hmm import op6_hidden_markov
 from reelhouse.llm.html import op4_site_templates
 from reelhouse.llm.mixing import op7_soft_mixing
 from reelhouse.llm.quality import op10_weak_supervision
@@ -18,6 +19,7 @@ QUERIES = {
         op3_bloom_fingerprints,
         op4_site_templates,
         op5_chained_passages,
+        op6_hidden_markov,
         op7_soft_mixing,
         op8_byte_bpe,
         op9_kd_shards,
