@@ -6,25 +6,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 250_000  # rows one task should get of one key; a key with more is split
-HOT_KEYS = 10_000  # the most keys that are split: bounds the broadcast list
+SHARE = 1_000_000  # nor is a key split that holds less than one row in so many
 
 
-def hottest(
-    counts: DataFrame, key: str, n: str, hot_rows: int = HOT_ROWS, most: int = HOT_KEYS
-) -> DataFrame:
-    """The heaviest keys of a table of counts and into how many pieces each is to be split.
+def hottest(counts: DataFrame, key: str, n: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The heavy keys of a table of counts and into how many pieces each is to be split.
 
-    At most `most` keys; ties are cut by key, so the list is repeatable. The number of pieces grows with
-    the key, so a piece stays one task's work at any size.
+    Heavy is what has more than `hot_rows` rows and more than one row in SHARE. Fewer than SHARE keys can
+    have that, so the list is bounded by arithmetic and none is cut off it; no piece, and no key that is
+    left whole, has more rows than the larger of the two.
     """
-    heavy = counts.filter(F.col(n) > hot_rows).orderBy(F.desc(n), key).limit(most)
-    return heavy.select(key, F.ceil(F.col(n) / hot_rows).cast("int").alias("_pieces"))
+    total = counts.agg(F.coalesce(F.sum(n), F.lit(0)).alias("_n")).select(F.ceil(F.col("_n") / SHARE)).scalar()
+    least = F.greatest(F.lit(hot_rows).cast("bigint"), total.cast("bigint"))
+    heavy = counts.select(key, F.col(n).alias("_rows"), least.alias("_least")).filter("_rows > _least")
+    return heavy.select(key, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_pieces"))
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, most: int = HOT_KEYS) -> DataFrame:
-    """The heaviest keys of a table, counted exactly."""
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The heavy keys of a table, counted exactly."""
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return hottest(counts, key, "_n", hot_rows, most)
+    return hottest(counts, key, "_n", hot_rows)
 
 
 def skew_join(large: DataFrame, lookup: DataFrame, key: str, hot: DataFrame) -> DataFrame:

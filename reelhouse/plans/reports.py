@@ -1,4 +1,4 @@
-"""Dashboard reports over the warehouse tables. `limit=None` returns every row."""
+"""Dashboard reports over the warehouse tables. `limit=None` returns every row, where a report allows it."""
 
 from __future__ import annotations
 
@@ -9,7 +9,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 MOST_PLAUSIBLE_AGE = 150  # Fixed value: ages outside 0 < age < 150 are left out of the chart.
-BROADCAST_ROWS = 10_000  # a cut up to this many rows is broadcast
 
 
 def _cut(df: DataFrame, order: Sequence[Column | str], limit: int | None) -> DataFrame:
@@ -17,11 +16,6 @@ def _cut(df: DataFrame, order: Sequence[Column | str], limit: int | None) -> Dat
     return ordered if limit is None else ordered.limit(limit)
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    """Mark a table known to hold at most `rows` rows for broadcast, if that is few enough."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
 def _by_rating() -> list[Column]:
     return [F.desc_nulls_last("num_votes"), F.desc_nulls_last("av_rating"), F.asc("tconst")]
 
@@ -112,6 +106,8 @@ def people_of_top_titles(
     product is never formed, yet the rows are those of cutting it. Bridge rows are taken to name
     existing people, as their foreign keys say.
     """
+    if limit is None:
+        raise ValueError("people_of_top_titles needs a limit: all pairs of cast and crew are not listed")
     sides = titles_casts.select(
         "title_id", F.lit("cast").alias("side"), F.col("cast_id").alias("id"), F.col("character").alias("part")
     ).unionByName(
@@ -136,7 +132,7 @@ def people_of_top_titles(
     first = W.partitionBy("title_id", "side").orderBy("id", F.asc_nulls_last("part"))
     member = F.struct("id", "part")
     pairs = (
-        sides.join(_small(top, limit), "title_id")
+        sides.join(top, "title_id")
         .withColumn("place", F.row_number().over(first))
         .filter(F.col("place") <= limit)
         .groupBy(*facts)  # at most `limit` members of each side per group
@@ -173,7 +169,7 @@ def people_of_top_titles(
             F.col("name").alias(f"{who}_name"),
             F.col("age").alias(f"{who}_age"),
         )
-        best = person.join(_small(best, limit), f"{who}_id")
+        best = person.join(best, f"{who}_id")
     return _cut(best, order, limit).select(
         "crew_name", "crew_age", "cast_name", "cast_age", "primary_title"
     )

@@ -8,6 +8,7 @@ from functools import cache, cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reelhouse.operators.constraints import conform
 from reelhouse.operators.joins import hottest
@@ -19,11 +20,10 @@ from reelhouse.sources.sinks import SNAPSHOT, load, read_table
 RAW_FILES = ("title.basics", "title.ratings", "title.episode", "title.principals", "name.basics")
 
 
-def with_episode_ids(rows: DataFrame) -> DataFrame:
-    """Add the id of an episode row; a title has one row per season and one without."""
+def with_episode_key(rows: DataFrame) -> DataFrame:
+    """Add the key of an episode row; a title has one row per season and one without."""
     season = F.coalesce(F.col("season").cast("string"), F.lit(""))
-    keyed = rows.withColumn("_key", F.concat_ws("|", F.col("title_id").cast("string"), season))
-    return assign_keys(keyed, "_key").drop("_key")
+    return rows.withColumn("_key", F.concat_ws("|", F.col("title_id").cast("string"), season))
 
 
 def _number(_: str, keys: DataFrame, key: str) -> DataFrame:
@@ -50,7 +50,8 @@ class Catalogue:
     `read` gives a raw file by name. `keep` says what becomes of a finished table: by default it stays a
     plan, and with `written` later tables read it back, so that its work is done once. `number` gives
     the distinct keys of titles, casts and crew their ids. `rated_titles`, `cast_people` and
-    `crew_people` are these tables without ids, for reports that join nothing.
+    `crew_people` are these tables without ids, for reports that join nothing. Titles are stamped with the
+    drop of the date `drop`, or with the latest.
     """
 
     def __init__(
@@ -61,8 +62,9 @@ class Catalogue:
         parse: str = "split",
         keep: Callable[[str, DataFrame], DataFrame] = _plan_only,
         number: Callable[[str, DataFrame, str], DataFrame] = _number,
+        drop: datetime.date | None = None,
     ):
-        self._read, self._keep, self._number = cache(read), keep, number
+        self._read, self._keep, self._number, self._drop = cache(read), keep, number, drop
         self._dates, self._as_of_year, self._parse = dates, as_of_year, parse
 
     @cached_property
@@ -82,14 +84,16 @@ class Catalogue:
 
     @cached_property
     def titles(self) -> DataFrame:
-        drop = titles.snapshot_id(self.download_date)
+        drop = titles.snapshot_id(self.download_date, self._drop)
         rows = self.rated_titles.join(self._title_ids, "tconst").withColumn("download_date_id", drop)
         return self._keep("titles", rows)
 
     @cached_property
     def episodes(self) -> DataFrame:
         totals = self._keep("episode_totals", episodes.episode_summary(self._read("title.episode")))
-        return self._keep("episodes", with_episode_ids(episodes.with_title_ids(totals, self._title_ids)))
+        keyed = with_episode_key(episodes.with_title_ids(totals, self._title_ids))
+        ids = self._ids("episode_ids", keyed, "_key")
+        return self._keep("episodes", keyed.join(ids, "_key").drop("_key"))
 
     @cached_property
     def _people(self) -> DataFrame:
@@ -162,7 +166,8 @@ def load_drop(
 
     Ids live in key tables that only grow, so a title or person keeps its id in every drop. Each other
     table holds one partition per drop, replaced as a whole; download_date grows by a row per drop.
-    Drops must be loaded one at a time, in order of date.
+    Drops must be loaded one at a time; an earlier one may be loaded again at any time, and a corrected one
+    replaces what it held, also where nothing is left of a table.
     """
 
     def number(kind: str, keys: DataFrame, key: str) -> DataFrame:
@@ -179,17 +184,27 @@ def load_drop(
             return spark.read.parquet(path)
         checked = conform(rows, name) if name in TABLES else rows
         dated = checked.withColumn(SNAPSHOT, F.lit(snapshot_date))
-        load(dated, path, "overwrite_snapshot")
+        load(dated, path, "overwrite_snapshot", snapshot=snapshot_date)
         whole = spark.read.schema(dated.schema).parquet(path)
         return whole.filter(F.col(SNAPSHOT) == F.lit(snapshot_date)).drop(SNAPSHOT)
 
     dates = titles.snapshot_row(spark, snapshot_date)
     year = as_of_year or snapshot_date.year
-    catalogue = Catalogue(read, dates, year, parse, keep, number)
+    catalogue = Catalogue(read, dates, year, parse, keep, number, snapshot_date)
     for name in TABLES:
         getattr(catalogue, name)
 
 
+def plain_schema(name: str) -> T.StructType:
+    """The declared columns of a table as files hold them: text without its length."""
+    return T.StructType(
+        [
+            T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.VarcharType) else f.dataType)
+            for f in TABLES[name].columns
+        ]
+    )
+
+
 def register_views(spark: SparkSession, root: str, snapshot_date: datetime.date | None = None) -> None:
     """The warehouse tables under their own names, for dashboards that bring their SQL."""
     for name in TABLES:
@@ -200,8 +215,11 @@ def read_drop(
     spark: SparkSession, root: str, name: str, snapshot_date: datetime.date | None = None
 ) -> DataFrame:
     """A warehouse table: the partition of one drop, or of the latest."""
-    df = spark.read.parquet(f"{root}/{name}")
+    schema = plain_schema(name)
     if name == "download_date":
-        return df
-    wanted = F.lit(snapshot_date) if snapshot_date else df.agg(F.max(SNAPSHOT)).scalar()
-    return df.filter(F.col(SNAPSHOT) == wanted).drop(SNAPSHOT)
+        return spark.read.schema(schema).parquet(f"{root}/{name}")
+    if snapshot_date is None:
+        dates = read_drop(spark, root, "download_date")
+        snapshot_date = dates.agg(F.max(F.make_date("year", "month", "day"))).first()[0]
+    df = spark.read.schema(T.StructType([*schema, T.StructField(SNAPSHOT, T.DateType())])).parquet(f"{root}/{name}")
+    return df.filter(F.col(SNAPSHOT) == F.lit(snapshot_date)).drop(SNAPSHOT)

@@ -13,6 +13,17 @@ from reelhouse.schemas import SENTINEL, raw_schema
 TSV = {"sep": "\t", "header": "true", "quote": ""}
 
 
+FORMS = "{tsv,tsv.gz}"  # a file, zipped or not, or a folder of parts; no other ending is read
+
+
+def matching(spark: SparkSession, glob: str) -> list[str]:
+    """Paths that fit a glob, on whatever file system it names."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(glob)
+    found = path.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(f.getPath().toString() for f in found or [])
+
+
 def snapshot_stamp(date: datetime.date) -> str:
     """Folder of one drop, `2021-06/26`."""
     return date.strftime("%Y-%m/%d")
@@ -45,7 +56,10 @@ def read_raw(
     """
     folder = snapshot_path(root, snapshot_date) if snapshot_date else root.rstrip("/")
     reader = spark.read.schema(raw_schema(name)).options(**raw_options(decode_sentinel))
-    return reader.csv(f"{folder}/{name}.tsv*")
+    found = matching(spark, f"{folder}/{name}.{FORMS}")
+    if len(found) > 1:
+        raise ValueError(f"one file in several forms, which would count its rows twice: {found}")
+    return reader.csv(found[0] if found else f"{folder}/{name}.tsv")
 
 
 def read_asset(spark: SparkSession, folder: str, glob: str = "*.tsv") -> DataFrame:
@@ -63,7 +77,7 @@ def read_asset(spark: SparkSession, folder: str, glob: str = "*.tsv") -> DataFra
 
 def drop_files(root: str, name: str) -> str:
     """Glob for one raw file in every dated folder below `root`."""
-    return f"{root.rstrip('/')}/*/*/{name}.tsv*"
+    return f"{root.rstrip('/')}/[0-9][0-9][0-9][0-9]-[0-9][0-9]/[0-9][0-9]/{name}.{FORMS}"
 
 
 def list_files(spark: SparkSession, glob: str) -> DataFrame:
@@ -76,15 +90,18 @@ def list_files(spark: SparkSession, glob: str) -> DataFrame:
 
 
 def as_batch(spark: SparkSession, source: DataFrame | str, kind: str = "path") -> DataFrame:
-    """A batch to validate: a DataFrame as it is, or a path, a table or a query by `kind`."""
+    """A batch to validate: a DataFrame as it is, or a path (parquet, or one raw file), a folder of
+    text, a table or a query by `kind`."""
     if isinstance(source, DataFrame):
         return source
     if kind == "path":
         if source.rstrip("/").endswith((".tsv", ".tsv.gz")):
             return spark.read.options(**TSV).csv(source)
         return spark.read.parquet(source)
+    if kind == "text":
+        return read_asset(spark, source, "*.tsv*")
     if kind == "table":
         return spark.table(source)
     if kind == "query":
         return spark.sql(source)
-    raise ValueError(f"kind must be 'path', 'table' or 'query', not {kind!r}")
+    raise ValueError(f"kind must be 'path', 'text', 'table' or 'query', not {kind!r}")

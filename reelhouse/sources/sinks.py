@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -31,17 +32,25 @@ def new_rows(df: DataFrame, target: DataFrame | None, keys: Sequence[str]) -> Da
     return rows.select(*df.columns)
 
 
-def load(df: DataFrame, path: str, mode: str = "append", keys: Sequence[str] = ()) -> None:
+def load(
+    df: DataFrame,
+    path: str,
+    mode: str = "append",
+    keys: Sequence[str] = (),
+    snapshot: datetime.date | None = None,
+) -> None:
     """Write to a parquet table.
 
     `append` adds all rows. `append_new` adds the rows whose keys are not there yet, so a second run
     adds nothing. `overwrite_snapshot` replaces the partitions of the snapshot dates in `df` and leaves
-    the others. Each write is committed as a whole; after a failure, run it again.
+    the others; with `snapshot`, the partition of that date alone, whether or not `df` has any rows. Each write is committed as a whole; after a failure, run it again.
     """
     if mode == "append":
         df.write.mode("append").parquet(path)
     elif mode == "append_new":
         new_rows(df, read_table(df.sparkSession, path), keys).write.mode("append").parquet(path)
+    elif mode == "overwrite_snapshot" and snapshot is not None:
+        df.drop(SNAPSHOT).write.mode("overwrite").parquet(f"{path}/{SNAPSHOT}={snapshot.isoformat()}")
     elif mode == "overwrite_snapshot":
         (
             df.write.option("partitionOverwriteMode", "dynamic")

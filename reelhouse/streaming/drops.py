@@ -6,17 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelhouse.schemas import raw_schema
-from reelhouse.sources.files import drop_files, list_files, raw_options, snapshot_path
+from reelhouse.sources.files import FORMS, drop_files, list_files, raw_options, snapshot_path
 from reelhouse.sources.sinks import SNAPSHOT, load, read_table
 
 _DATED = r"/(\d{4}-\d{2})/(\d{2})/"
 
 
 def drop_date(path) -> F.Column:
-    """Date of the dated folder that a file lies in."""
-    return F.to_date(
-        F.concat_ws("-", F.regexp_extract(path, _DATED, 1), F.regexp_extract(path, _DATED, 2))
-    )
+    """Date of the dated folder that a file lies in; null where its name is no date."""
+    stamp = F.concat_ws("-", F.regexp_extract(path, _DATED, 1), F.regexp_extract(path, _DATED, 2))
+    return F.try_to_timestamp(stamp, F.lit("yyyy-MM-dd")).cast("date")
 
 
 def land_stream(arriving: DataFrame, target: str, checkpoint: str) -> None:
@@ -80,6 +79,7 @@ def land(
     without harm, and a file that arrives meanwhile counts as new the next time.
     """
     listing = list_files(spark, drop_files(source, name)).withColumn(SNAPSHOT, drop_date(F.col("path")))
+    listing = listing.filter(F.col(SNAPSHOT).isNotNull())  # a folder like 2021-13/99 is no drop
     fresh = pending_files(listing, read_table(spark, manifest))
     by_date = fresh.groupBy(SNAPSHOT).agg(F.count(F.lit(1)).alias("n")).collect()  # a row per day
     if not by_date:
@@ -88,7 +88,7 @@ def land(
     rows = (
         spark.read.schema(raw_schema(name))
         .options(**raw_options(decode_sentinel))
-        .csv([f"{snapshot_path(source, date)}/{name}.tsv*" for date in dates])
+        .csv([f"{snapshot_path(source, date)}/{name}.{FORMS}" for date in dates])
     )
     dated = rows.withColumn(SNAPSHOT, drop_date(F.col("_metadata.file_path")))
     load(dated, target, "overwrite_snapshot")

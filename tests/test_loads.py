@@ -176,3 +176,47 @@ def test_landed_rows_are_those_read_raw(spark, drop, tmp_path, decode):
     drops.land(spark, "title.basics", drop, str(tmp_path / "b"), str(tmp_path / "m"), decode)
     for way in ("s", "b"):
         assert rows(spark.read.parquet(str(tmp_path / way)).drop("snapshot_date")) == want
+
+
+def test_an_earlier_drop_can_be_loaded_again(spark, film, tmp_path):
+    root = str(tmp_path)
+    for day in (DROP, NEXT, DROP):
+        warehouse.load_drop(spark, film.__getitem__, root, day)
+    dates = {r.id: r.day for r in warehouse.read_drop(spark, root, "download_date").collect()}
+    for day in (DROP, NEXT):
+        stamps = warehouse.read_drop(spark, root, "titles", day).select("download_date_id").distinct().collect()
+        assert [dates[r[0]] for r in stamps] == [day.day]
+    first, second = (warehouse.read_drop(spark, root, "episodes", d) for d in (DROP, NEXT))
+    assert rows(first) == rows(second)  # ids included
+
+
+def test_a_table_that_comes_out_empty_is_replaced(spark, film, tmp_path):
+    root = str(tmp_path)
+    no_crew = {**film, "title.principals": film["title.principals"].filter("category in ('actor', 'actress')")}
+    warehouse.load_drop(spark, film.__getitem__, root, DROP)
+    assert warehouse.read_drop(spark, root, "titles_crew").count() > 0
+    warehouse.load_drop(spark, no_crew.__getitem__, root, DROP)
+    assert warehouse.read_drop(spark, root, "titles_crew").count() == 0
+    assert warehouse.read_drop(spark, root, "crew").count() == 0
+
+
+def test_a_first_drop_with_an_empty_table_can_be_read(spark, film, tmp_path):
+    none = {**film, "title.episode": film["title.episode"].limit(0)}
+    warehouse.load_drop(spark, none.__getitem__, str(tmp_path), DROP)
+    assert warehouse.read_drop(spark, str(tmp_path), "episodes").count() == 0
+
+
+def test_look_alikes_are_not_read_and_two_forms_fail(spark, tmp_path):
+    write_tsv(tmp_path / "title.ratings.tsv", "title.ratings", [["tt1", "1.0", "1"]])
+    write_tsv(tmp_path / "title.ratings.tsv.bak", "title.ratings", [["tt2", "1.0", "1"]])
+    assert read_raw(spark, str(tmp_path), "title.ratings").count() == 1
+    write_tsv(tmp_path / "title.ratings.tsv.gz", "title.ratings", [["tt1", "1.0", "1"]], zipped=True)
+    with pytest.raises(ValueError, match="several forms"):
+        read_raw(spark, str(tmp_path), "title.ratings")
+
+
+def test_undated_folders_are_left_alone(spark, tmp_path):
+    write_tsv(tmp_path / "x" / "y" / "title.ratings.tsv", "title.ratings", [["tt1", "1.0", "1"]])
+    write_tsv(tmp_path / "2021-06" / "26" / "title.ratings.tsv", "title.ratings", [["tt2", "1.0", "1"]])
+    landed = drops.land(spark, "title.ratings", str(tmp_path), str(tmp_path / "out"), str(tmp_path / "done"))
+    assert landed == 1 and spark.read.parquet(str(tmp_path / "out")).count() == 1

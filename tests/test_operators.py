@@ -65,10 +65,10 @@ def skewed(spark, n=3000):
     return large, spark.createDataFrame(lookup, "k string, id int")
 
 
-@pytest.mark.parametrize("hot_rows, most", [(10**9, 10), (100, 10), (1, 10_000), (1, 7)])
-def test_skew_join_is_the_inner_join(spark, hot_rows, most):
+@pytest.mark.parametrize("hot_rows", [10**9, 100, 7, 1])
+def test_skew_join_is_the_inner_join(spark, hot_rows):
     large, lookup = skewed(spark)
-    joined = skew_join(large, lookup, "k", hot_keys(large, "k", hot_rows, most))
+    joined = skew_join(large, lookup, "k", hot_keys(large, "k", hot_rows))
     assert joined.columns == ["k", "v", "id"]
     assert rows(joined) == rows(large.join(lookup, "k"))
 
@@ -103,10 +103,15 @@ def test_pieces_grow_with_the_key(spark):
     assert rows(hottest(counts, "k", "n", 10**6)) == [("a", 10**6), ("b", 3)]
 
 
-def test_hot_keys_are_bounded_and_repeatable(spark):
-    large, _ = skewed(spark)
-    few = rows(hot_keys(large, "k", 1, 5))
-    assert len(few) == 5 and few == rows(hot_keys(large.repartition(2), "k", 1, 5))
+def test_every_heavy_key_is_split(spark):
+    counts = spark.range(12_000).select(F.col("id").cast("string").alias("k"), F.lit(4).alias("n"))
+    assert hottest(counts, "k", "n", 3).count() == 12_000
+    assert hottest(counts, "k", "n", 4).count() == 0
+
+
+def test_a_key_below_its_share_stays_whole(spark):
+    counts = spark.createDataFrame([("a", 5 * 10**6), ("b", 5), ("c", 6)], "k string, n long")
+    assert rows(hottest(counts, "k", "n", 1)) == [("a", 5 * 10**6)]  # six rows are a millionth
 
 
 def test_latest_rows(spark):
