@@ -136,7 +136,7 @@ def _clusters(texts: list[np.ndarray], unigram: np.ndarray) -> tuple[np.ndarray,
     rng = np.random.default_rng(0)
     belongs = rng.dirichlet(np.full(STATES, 0.5), len(texts))
     emit = np.zeros((len(unigram), STATES))
-    sizes = np.array([len(t) for t in texts])
+    sizes = np.array([len(t) for t in texts], np.int64)
     ids = np.concatenate(texts) if texts else np.empty(0, np.int64)
     owner = np.repeat(np.arange(len(texts)), sizes)
     for turn in range(CLUSTER_ROUNDS if texts else 0):

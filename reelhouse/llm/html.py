@@ -127,6 +127,7 @@ def blocks(html: str) -> list[tuple[str, list[int]]]:
                 current = []
                 found.append((current, holder, kind(holder)))
             current.append(text)
+            found[-1][1].parts.append(" ".join(text.split()))
             continue
         if m[2] is None:
             continue
