@@ -26,7 +26,8 @@ CLASSES = 256  # of rarer words
 SAMPLE = 3_000  # texts that the states begin from
 CLUSTER_ROUNDS, SAMPLE_ROUNDS, FULL_ROUNDS = 12, 2, 1
 SMOOTH = 300.0  # symbols' worth of the unigram in each state
-GROUP = 64  # texts that go through the recursions side by side
+GROUP = 256  # texts that go through the recursions side by side at most,
+PLACES = 4_000_000  # and places in them, padded to the longest, unless one text alone has more
 END = ""  # no word is empty
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LOWER = {ord(c): c.lower() for c in _UPPER}
@@ -58,6 +59,15 @@ class Symbols:
         return np.array(out, np.int64), rare
 
 
+def _groups(texts: list[np.ndarray], order: list[int]) -> Iterator[list[int]]:
+    """The texts in order, longest first, in groups."""
+    at = 0
+    while at < len(order):
+        size = max(1, min(GROUP, PLACES // len(texts[order[at]])))
+        yield order[at : at + size]
+        at += size
+
+
 class Model:
     """Start, moves and emissions; `emit` is symbols x states."""
 
@@ -98,17 +108,16 @@ class Model:
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
         order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
         out = np.zeros(len(texts))
-        for at in range(0, len(order), GROUP):
-            part = order[at : at + GROUP]
+        for part in _groups(texts, order):
             out[part] = self._forward([texts[i] for i in part], keep=False)[0]
         return out
 
     def expected(self, texts: list[np.ndarray], start, move, emit) -> None:
         """Add the expected counts of the texts."""
         order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
-        symbols, weights = [], []
-        for at in range(0, len(order), GROUP):
-            group = [texts[i] for i in order[at : at + GROUP]]
+        for part in _groups(texts, order):
+            symbols, weights = [], []
+            group = [texts[i] for i in part]
             _, padded, running, alphas, scales = self._forward(group, keep=True)
             beta = np.ones_like(alphas[-1])
             for step in range(len(alphas) - 1, -1, -1):
@@ -125,7 +134,6 @@ class Model:
                 wider = np.ones((running[step - 1], len(self.start)))
                 wider[:n] = ahead @ self.move.T
                 beta = wider
-        if symbols:
             ids, gammas = np.concatenate(symbols), np.concatenate(weights)
             for s in range(gammas.shape[1]):
                 emit[:, s] += np.bincount(ids, gammas[:, s], minlength=len(emit))
@@ -172,15 +180,16 @@ def _gathered(rows: DataFrame, symbols: Symbols, model: Model) -> tuple[np.ndarr
         yield pa.RecordBatch.from_arrays(columns, names=["symbol", *names])
 
     sums = rows.select("_text").mapInArrow(run, "symbol long, " + ", ".join(f"{n} double" for n in names))
-    found = sums.groupBy("symbol").agg(*[F.sum(n).alias(n) for n in names]).collect()
+    found = sums.groupBy("symbol").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
     start, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((symbols.size, STATES))
-    for r in found:
-        if r[0] >= 0:
-            emit[r[0]] = r[1:]
-        elif r[0] == -1:
-            start[:] = r[1:]
+    at = found.column("symbol").to_numpy()
+    values = np.stack([found.column(n).to_numpy() for n in names], axis=1)
+    emit[at[at >= 0]] = values[at >= 0]
+    for i in np.flatnonzero(at < 0):
+        if at[i] == -1:
+            start[:] = values[i]
         else:
-            move[-2 - r[0]] = r[1:]
+            move[-2 - at[i]] = values[i]
     return start, move, emit
 
 
