@@ -23,10 +23,10 @@ from reelhouse.operators.suites import SUITES  # noqa: E402
 from reelhouse.plans import credits, episodes, reports, titles, warehouse  # noqa: E402
 from reelhouse.schemas import TABLES  # noqa: E402
 from reelhouse.session import shared_folder  # noqa: E402
-from reelhouse.sources.files import TSV, read_raw, snapshot_path  # noqa: E402
+from reelhouse.sources.files import TSV, as_batch, read_raw, snapshot_path  # noqa: E402
 from reelhouse.sources.sinks import load  # noqa: E402
 from reelhouse.sources.standins import raw_view, table  # noqa: E402
-from reelhouse.streaming.drops import land_stream, pending_files  # noqa: E402
+from reelhouse.streaming.drops import land, land_stream, pending_files, read_landed  # noqa: E402
 
 AS_OF_YEAR = 2021
 DROP = datetime.date(2021, 6, 26)
@@ -221,6 +221,76 @@ def _tsv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw(spark, root, "title.basics", DROP)
 
 
+def _titles_of_a_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles stamped with a given drop date: the earliest there is."""
+    dates = _dates(spark, sf_dir)
+    first = dates.agg(F.min("snapshot_date")).first()[0]
+    raw = [_known(spark, sf_dir, name) for name in ("title.basics", "title.ratings")]
+    return titles.titles(*raw, titles.snapshot_dim(dates), first)
+
+
+def _landed_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles built from gzipped text that was landed before."""
+    root = shared_folder(spark, "landed")
+    names = ("title.basics", "title.ratings")
+    for name in names:
+        view = raw_view(spark, sf_dir, name)
+        view.write.options(**TSV, compression="gzip").csv(snapshot_path(f"{root}/raw", DROP, name))
+        land(spark, name, f"{root}/raw", f"{root}/{name}", f"{root}/done/{name}")
+    return titles.titles(*[read_landed(spark, f"{root}/{name}", name, DROP) for name in names])
+
+
+def _all_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All suites in one run over folders of text."""
+    root = shared_folder(spark, "texts")
+    batches = {}
+    for name in SUITES:
+        raw_view(spark, sf_dir, name).write.options(**TSV).csv(f"{root}/{name}.tsv")
+        batches[name] = as_batch(spark, f"{root}/{name}.tsv")
+    now = datetime.datetime.now(datetime.timezone.utc)
+    return quality.run_suites(batches, SUITES, "check", now).drop("run_name", "run_time")
+
+
+def _two_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of all tables, ids included, after a small drop, a larger one, and the small one again."""
+    root = shared_folder(spark, "two_drops")
+    fewer = {"title.ratings": "cast(numVotes as int) < 300000", "title.principals": "cast(ordering as int) <= 3"}
+
+    def small(name: str) -> DataFrame:
+        return _known(spark, sf_dir, name).filter(fewer.get(name, "true"))
+
+    def large(name: str) -> DataFrame:
+        return _known(spark, sf_dir, name)
+
+    days = (DROP, DROP + datetime.timedelta(days=1))
+    for day, drop in ((days[0], small), (days[1], large), (days[0], small)):
+        warehouse.load_drop(spark, drop, root, day, AS_OF_YEAR)
+    columns = {
+        "titles": "id tconst type primary_title original_title is_adult start_year end_year runtime_minutes "
+        "av_rating num_votes genre_1 genre_2 genre_3 download_date_id",
+        "episodes": "id title_id season total_episodes",
+        "casts": "id nconst name age is_alive",
+        "crew": "id nconst name age is_alive",
+        "titles_casts": "title_id cast_id character",
+        "titles_crew": "title_id crew_id role",
+    }
+    found = [
+        warehouse.read_drop(spark, root, name, day).select(
+            F.lit(name).alias("table_name"),
+            F.lit(i).alias("drop_id"),
+            F.concat_ws("|", *[F.col(c).cast("string") for c in listed.split()]).alias("line"),
+        )
+        for name, listed in columns.items()
+        for i, day in enumerate(days, 1)
+    ]
+    dates = warehouse.read_drop(spark, root, "download_date").select(
+        F.lit("download_date").alias("table_name"),
+        F.col("id").cast("int").alias("drop_id"),
+        F.concat_ws("|", *[F.col(c).cast("string") for c in ("id", "year", "month", "day")]).alias("line"),
+    )
+    return reduce(DataFrame.unionByName, [*found, dates])
+
+
 def _warehouse_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per table after loading one drop twice."""
     root = shared_folder(spark, "drops")
@@ -274,6 +344,8 @@ def _library() -> dict[str, Query]:
     return {
         "titles_typed": _raw(titles.titles, "title.basics", "title.ratings"),
         "titles_dim": _plan("titles"),
+        "titles_of_a_date": _titles_of_a_date,
+        "landed_build": _landed_build,
         "snapshot_dim": _snapshot_dim,
         "episode_summary": _raw(episodes.episode_summary, "title.episode"),
         "episodes_dim": _plan("episodes"),
@@ -318,6 +390,7 @@ def _library() -> dict[str, Query]:
         "people_of_top_titles": _report(reports.people_of_top_titles, "titles", *people),
         **{f"dq_{name.replace('.', '_')}": _suite(name) for name in SUITES},
         "dq_title_basics_marker_is_null": _suite("title.basics", sentinel_is_null=True),
+        "dq_all_files": _all_files,
         "dq_stored_results": _stored_results,
         "dq_failing_rows": _failing_rows,
         "dq_repeated_principals": _repeated_principals,
@@ -329,6 +402,7 @@ def _library() -> dict[str, Query]:
         "streamed_drops": _streamed_drops,
         "tsv_round_trip": _tsv_round_trip,
         "warehouse_reload": _warehouse_reload,
+        "two_drops": _two_drops,
     }
 
 

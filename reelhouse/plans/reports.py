@@ -90,6 +90,43 @@ def top_names(
     raise ValueError(f"by must be 'name' or 'person', not {by!r}")
 
 
+def _first_pairs(members: DataFrame, facts: Sequence[str], limit: int) -> DataFrame:
+    """The first `limit` pairs of each title: `facts`, cast_id, character, crew_id, role.
+
+    `members` are bridge rows (`facts`, side, id, part). Sorted by cast and then by crew, a pair's place
+    follows from those of its members: all crew rows come with the earlier cast rows, and equal cast
+    rows take turns with each crew row.
+    """
+    first = W.partitionBy("title_id", "side").orderBy("id", F.asc_nulls_last("part"))
+    equal = W.partitionBy("title_id", "side", "id", "part")
+    member = F.struct("id", "part", "place", "start", "same")
+    paired = (
+        members.withColumn("place", F.row_number().over(first))
+        .filter(F.col("place") <= limit)
+        .withColumns({"start": F.min("place").over(equal), "same": F.count(F.lit(1)).over(equal)})
+        .groupBy(*facts)  # at most `limit` members of each side per group
+        .agg(
+            F.collect_list(F.when(F.col("side") == "cast", member)).alias("casts"),
+            F.collect_list(F.when(F.col("side") == "crew", member)).alias("crews"),
+        )
+        .select(*facts, F.explode("casts").alias("cast"), "crews")
+        .withColumn(
+            "before",
+            (F.col("cast.start") - 1).cast("long") * F.size("crews") + F.col("cast.place") - F.col("cast.start"),
+        )
+        .filter(F.col("before") < limit)
+        .select(*facts, "cast", "before", F.explode("crews").alias("crew"))
+        .filter(F.col("before") + F.col("cast.same") * (F.col("crew.place") - 1) < limit)
+    )
+    return paired.select(
+        *facts,
+        F.col("cast.id").alias("cast_id"),
+        F.col("cast.part").alias("character"),
+        F.col("crew.id").alias("crew_id"),
+        F.col("crew.part").alias("role"),
+    )
+
+
 def people_of_top_titles(
     titles: DataFrame,
     casts: DataFrame,
@@ -102,9 +139,9 @@ def people_of_top_titles(
 
     Pairs of one title are ordered by (cast_id, character, crew_id, role). Every title with both sides
     gives at least one pair, so `limit` titles suffice; and the first `limit` pairs of a title use only
-    its first `limit` rows of either side. The cut is therefore made on the bridge rows, and the full
-    product is never formed, yet the rows are those of cutting it. Bridge rows are taken to name
-    existing people, as their foreign keys say.
+    its first `limit` rows of either side. The cut is therefore made on the bridge rows, and of what they
+    pair up to, only the first `limit` pairs of a title are formed, yet the rows are those of cutting the
+    full product. Bridge rows are taken to name existing people, as their foreign keys say.
     """
     if limit is None:
         raise ValueError("people_of_top_titles needs a limit: all pairs of cast and crew are not listed")
@@ -129,32 +166,7 @@ def people_of_top_titles(
         limit,
     ).select(*facts)
 
-    first = W.partitionBy("title_id", "side").orderBy("id", F.asc_nulls_last("part"))
-    member = F.struct("id", "part")
-    pairs = (
-        sides.join(top, "title_id")
-        .withColumn("place", F.row_number().over(first))
-        .filter(F.col("place") <= limit)
-        .groupBy(*facts)  # at most `limit` members of each side per group
-        .agg(
-            F.collect_list(F.when(F.col("side") == "cast", member)).alias("casts"),
-            F.collect_list(F.when(F.col("side") == "crew", member)).alias("crews"),
-        )
-        .select(*facts, F.explode("casts").alias("cast"), "crews")
-        .select(
-            *facts,
-            F.col("cast.id").alias("cast_id"),
-            F.col("cast.part").alias("character"),
-            F.explode("crews").alias("crew"),
-        )
-        .select(
-            *facts,
-            "cast_id",
-            "character",
-            F.col("crew.id").alias("crew_id"),
-            F.col("crew.part").alias("role"),
-        )
-    )
+    pairs = _first_pairs(sides.join(top, "title_id"), facts, limit)
     order = [
         *_by_rating(),
         F.asc("cast_id"),

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reelhouse.schemas import raw_schema
 from reelhouse.sources.files import FORMS, drop_files, list_files, raw_options, snapshot_path
@@ -94,3 +97,10 @@ def land(
     load(dated, target, "overwrite_snapshot")
     load(listing.filter(F.col(SNAPSHOT).isin(dates)).select("path"), manifest, "append_new", ["path"])
     return sum(row["n"] for row in by_date)
+
+
+def read_landed(spark: SparkSession, target: str, name: str, snapshot_date: datetime.date) -> DataFrame:
+    """One drop of what was landed at `target`, under the schema of the raw file; a drop that was not
+    landed has no rows. What `load_drop` reads, so that text is parsed once."""
+    schema = T.StructType([*raw_schema(name), T.StructField(SNAPSHOT, T.DateType())])
+    return spark.read.schema(schema).parquet(target).filter(F.col(SNAPSHOT) == F.lit(snapshot_date)).drop(SNAPSHOT)

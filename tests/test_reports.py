@@ -110,6 +110,21 @@ def test_people_of_top_titles_equals_the_cut_product(spark, limit):
     assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
+def test_a_title_gives_no_more_pairs_than_the_limit(spark):
+    """Two titles: one with many equal cast rows, one with many rows on both sides."""
+    limit = 1000
+    cast = [(1, "cast", 1 + i // 30, "a") for i in range(90)] + [(2, "cast", i, None) for i in range(1500)]
+    crew = [(1, "crew", i, "x") for i in range(200)] + [(2, "crew", i, "x") for i in range(1200)]
+    members = spark.createDataFrame(cast + crew, "title_id long, side string, id long, part string")
+    pairs = reports._first_pairs(members, ["title_id"], limit)
+    got = {1: [], 2: []}
+    for r in pairs.collect():
+        got[r.title_id].append((r.cast_id, r.crew_id))
+    for title in got:
+        one, other = ([m[2] for m in side if m[0] == title] for side in (cast, crew))
+        assert sorted(got[title]) == sorted((c, w) for c in one for w in other)[:limit]
+
+
 def test_people_of_top_titles_without_a_match(tables):
     none = tables["titles_crew"].filter("false")
     found = reports.people_of_top_titles(
