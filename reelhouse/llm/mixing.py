@@ -25,12 +25,12 @@ STEPS = 20
 ENOUGH = 1e-3  # relative distance from the targets at which steps end
 
 
-def features(text: Column) -> Column:
-    """Distinct hashed features: the first five letters of each word; words with symbols and words in
-    capitals have one feature each."""
+def features(listed: Column) -> Column:
+    """Distinct hashed features of a list of words: the first five letters of each word; words with symbols
+    and words in capitals have one feature each. Repeated words are looked at once."""
     return F.array_distinct(
         F.transform(
-            words(text),
+            F.array_distinct(listed),
             lambda w: F.when(w.rlike(r"[#*$%&|<>!]{2}|^\|$"), 0)
             .when(w.rlike(r"^\p{Lu}{3,}"), 1)
             .otherwise(F.pmod(F.xxhash64(F.lower(F.substring(w, 1, 5))), F.lit(BUCKETS - 2)) + 2)
@@ -60,7 +60,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, list[float]]:
     rows = docs.select(F.col("doc_id").alias("_k"), "text").join(F.broadcast(chosen), "_k")
     is_in = [F.count(F.when(F.col("_d") == k, 1)) for k in range(len(DOMAINS))]
     counts = kept(
-        rows.select("_d", F.explode(features(F.col("text"))).alias("_f"))
+        rows.select("_d", F.explode(features(words(F.col("text")))).alias("_f"))
         .groupBy("_f")
         .agg(*[c.alias(f"_c{k}") for k, c in enumerate(is_in)]),
         "features",
@@ -87,12 +87,14 @@ def posteriors(docs: DataFrame, model: tuple[DataFrame, list[float]], key: str =
     """`_row`, key, `tokens` (words), `mark` (a hash of the text) and `p_<domain>`; one row for each row.
     Texts without words have the priors."""
     ratios, prior = model
-    rows = docs.select(
+    worded = docs.select(
         F.monotonically_increasing_id().alias("_row"),
         key,
-        F.size(words(F.col("text"))).cast("long").alias("tokens"),
+        words(F.col("text")).alias("_words"),
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark"),
-        features(F.col("text")).alias("_fs"),
+    )
+    rows = worded.select(
+        "_row", key, F.size("_words").cast("long").alias("tokens"), "mark", features(F.col("_words")).alias("_fs")
     )
     narrow = rows.select("_row", key, "tokens", "mark", F.explode_outer("_fs").alias("_f"))
     names = [f"_l{k}" for k in range(1, len(DOMAINS))]
