@@ -143,7 +143,7 @@ def _seeded(rows: DataFrame) -> DataFrame:
 
         return work
 
-    listed = map_rows(rows, start, "_id bigint, seeds array<struct<h:bigint,at:int>>")
+    listed = kept(map_rows(rows, start, "_id bigint, seeds array<struct<h:bigint,at:int>>"), "seeds")
     return listed.select("_id", F.explode("seeds").alias("_s")).select("_id", "_s.h", "_s.at")
 
 
@@ -206,9 +206,11 @@ def passages(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     """
     rows = _rows(df, key, text)
     found = _seeded(rows)
-    shared = found.groupBy("h").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last")).filter("_first < _last")
-    some = kept(found.join(shared.select("h", "_first"), "h"), "seeds")
-    place = some.filter("_id = _first").groupBy("h").agg(F.min("at").alias("to"))
+    ends = found.groupBy("h").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"))
+    # written, so that both sides of the joins below are plain shuffles, whose hot keys are split at run time
+    shared = kept(ends.filter("_first < _last").select("h", "_first"), "shared")
+    some = kept(found.join(shared, "h"), "matches")
+    place = kept(some.filter("_id = _first").groupBy("h").agg(F.min("at").alias("to")), "places")
     matches = some.filter("_id <> _first").join(place, "h")
     pairs = matches.groupBy("_id", "_first").agg(
         F.collect_set(F.struct("at", "to")).alias("matches")  # at most the seeds of one text
