@@ -21,7 +21,7 @@ from reelhouse.operators.keys import assign_keys  # noqa: E402
 from reelhouse.operators.latest import latest_rows  # noqa: E402
 from reelhouse.operators.suites import SUITES  # noqa: E402
 from reelhouse.plans import credits, episodes, reports, titles, warehouse  # noqa: E402
-from reelhouse.schemas import TABLES  # noqa: E402
+from reelhouse.schemas import RAW_TYPES, TABLES  # noqa: E402
 from reelhouse.session import shared_folder  # noqa: E402
 from reelhouse.sources.files import TSV, as_batch, read_raw, snapshot_path  # noqa: E402
 from reelhouse.sources.sinks import load  # noqa: E402
@@ -153,6 +153,10 @@ def _constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return constraints.check_constraints({name: getattr(tables, name) for name in TABLES})
 
 
+def _cast_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return constraints.cast_losses({name: _known(spark, sf_dir, name) for name in RAW_TYPES})
+
+
 def _orphan_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = (
         ("title.ratings", "tconst", "title.basics", "tconst"),
@@ -395,6 +399,7 @@ def _library() -> dict[str, Query]:
         "dq_failing_rows": _failing_rows,
         "dq_repeated_principals": _repeated_principals,
         "constraint_report": _constraint_report,
+        "cast_losses": _cast_losses,
         "orphan_report": _orphan_report,
         "latest_snapshot": _latest_snapshot,
         "idempotent_load": _idempotent_load,

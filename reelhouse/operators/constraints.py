@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reelhouse.schemas import TABLES, Table
+from reelhouse.schemas import RAW_TYPES, TABLES, Table
 
 _SHORT_MIN, _SHORT_MAX = -(2**15), 2**15 - 1
 
@@ -101,6 +101,33 @@ def orphan_report(links: Sequence[tuple[str, DataFrame, str, str, DataFrame, str
     return reduce(DataFrame.unionByName, parts)
 
 
+def cast_losses(files: dict[str, DataFrame], types: dict[str, dict[str, str]] = RAW_TYPES) -> DataFrame:
+    """table_name, column_name, type, present, lost for the typed columns of decoded raw files.
+
+    `lost` counts values that are there as text and NULL once cast. One pass per file.
+    """
+    parts = []
+    for name, df in files.items():
+        kinds = types[name]
+        known = [F.count(c).alias(f"p{i}") for i, c in enumerate(kinds)]
+        gone = [
+            F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()).alias(f"l{i}")
+            for i, (c, t) in enumerate(kinds.items())
+        ]
+        found = [
+            F.struct(
+                F.lit(name).alias("table_name"),
+                F.lit(c).alias("column_name"),
+                F.lit(t).alias("type"),
+                F.col(f"p{i}").alias("present"),
+                F.col(f"l{i}").alias("lost"),
+            )
+            for i, (c, t) in enumerate(kinds.items())
+        ]
+        parts.append(df.agg(*known, *gone).select(F.inline(F.array(*found))))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def require_not_null(df: DataFrame, columns: Sequence[str], label: str = "table") -> DataFrame:
     """The same rows; reading one with a NULL in `columns` fails the job."""
     return df.select(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelhouse.functions.columns import age, characters, is_alive
+from reelhouse.operators.constraints import repeated_keys
 from reelhouse.operators.joins import hot_keys, skew_join
 from reelhouse.operators.latest import latest_rows
 from reelhouse.schemas import CAST_CATEGORIES
@@ -64,10 +65,13 @@ def person_dim(credits: DataFrame, persons: DataFrame) -> DataFrame:
     """The people who hold at least one credit, one row each.
 
     The credits are cut to distinct keys before the join, so a person with very many credits moves a
-    few rows only.
+    few rows only. Only people whose key repeats, found by a count, have to be compared row by row.
     """
     credited = credits.select("nconst").distinct()
-    return latest_rows(persons.join(credited, "nconst", "left_semi"), ["nconst"])
+    found = persons.join(credited, "nconst", "left_semi")
+    several = repeated_keys(persons, "nconst").select("nconst")
+    once = found.join(several, "nconst", "left_anti")
+    return once.unionByName(latest_rows(found.join(several, "nconst", "left_semi"), ["nconst"]))
 
 
 def link(

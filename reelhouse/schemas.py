@@ -56,6 +56,14 @@ _PERSON = T.StructType([
     _col("nconst", _text(15), True),
 ])
 
+# What columns of the raw text are cast to.
+RAW_TYPES = {
+    "title.basics": {"startYear": "smallint", "endYear": "smallint", "runtimeMinutes": "smallint"},
+    "title.ratings": {"averageRating": "decimal(10,1)", "numVotes": "int"},
+    "title.episode": {"seasonNumber": "smallint", "episodeNumber": "smallint"},
+    "name.basics": {"birthYear": "int", "deathYear": "int"},
+}
+
 # Names, types, text lengths, keys and references of the seven tables.
 TABLES = {
     "download_date": Table(

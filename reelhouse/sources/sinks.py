@@ -26,10 +26,9 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
 
 def new_rows(df: DataFrame, target: DataFrame | None, keys: Sequence[str]) -> DataFrame:
     """Rows, one per key, whose key the target lacks."""
-    rows = latest_rows(df, keys)
     if target is not None:
-        rows = rows.join(target.select(*keys), list(keys), "left_anti")
-    return rows.select(*df.columns)
+        df = df.join(target.select(*keys), list(keys), "left_anti").select(*df.columns)
+    return latest_rows(df, keys)
 
 
 def load(

@@ -20,6 +20,7 @@ VIEWS = {
                CASE WHEN o_orderstatus = 'F' THEN cast(year(o_orderdate) + 1 AS STRING)
                     ELSE concat(chr(92), 'N') END AS endYear,
                CASE WHEN o_orderkey % 10 = 0 THEN concat(chr(92), 'N')
+                    WHEN o_orderkey % 97 = 0 THEN '51420'
                     ELSE cast(1 + o_orderkey % 180 AS STRING) END AS runtimeMinutes,
                CASE o_orderkey % 4
                     WHEN 0 THEN concat(chr(92), 'N')
@@ -50,7 +51,7 @@ VIEWS = {
                concat(chr(92), 'N') AS job,
                CASE WHEN l_returnflag = 'A' AND l_linenumber % 2 = 0
                     THEN '["Lead ' || cast(l_suppkey AS STRING)
-                         || '","Guest ' || cast(l_linenumber AS STRING) || '"]'
+                         || '","Guest, ' || cast(l_linenumber AS STRING) || '"]'
                     WHEN l_returnflag = 'A' THEN '["Lead ' || cast(l_suppkey AS STRING) || '"]'
                     ELSE concat(chr(92), 'N') END AS characters
         FROM {src}"""),
