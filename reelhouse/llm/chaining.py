@@ -5,7 +5,7 @@ words has a seed in common. A seed that occurs in several documents is matched w
 of them alone, so a passage in a thousand documents gives a thousand matches and not a million pairs. The
 matches of two documents are chained in order of both texts, with costs for gaps; a Fenwick tree holds the
 best chain so far up to each place of the other text. Chains are then aligned word by word, between matches
-and beyond the ends, and those that are long and alike enough are passages.
+and beyond the ends, and their stretches that are long and alike enough are passages.
 """
 
 from __future__ import annotations
@@ -21,23 +21,34 @@ from reelhouse.llm.common import kept, map_rows, read
 
 WORDS_K = 8
 WINDOW = 8
-GAP = 0.2  # cost of a word passed over in either text; a match is worth WORDS_K
+GAP = 0.5  # cost of a word passed over; a match is worth the words it adds
 LEAST_WORDS = 50
 LEAST_ALIKE = 0.8
 DROP = 10.0  # an end is extended until it is this far below its best
 _NONE = -(1 << 63)
 
 
-def seeds(text: str, memo) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and places (in words) of the window minima."""
+def coded(text: str, memo) -> np.ndarray:
+    """The hash of each word in lower case."""
     words = WORD.findall(text.lower())
-    if len(words) < WORDS_K:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    h = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
-    n = len(words) - WORDS_K + 1
+    return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+
+
+def kmers(h: np.ndarray, size: int) -> np.ndarray:
+    """The hash of each run of `size` words."""
+    n = max(0, len(h) - size + 1)
     key = np.zeros(n, np.uint64)
-    for i in range(WORDS_K):
+    for i in range(size if n else 0):
         key = mix(key * _A + h[i : i + n])
+    return key
+
+
+def minima(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and places (in words) of the window minima."""
+    key = kmers(h, WORDS_K)
+    n = len(key)
+    if not n:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
     if n <= WINDOW:
         at = np.array([int(key.argmin())])
     else:
@@ -69,17 +80,27 @@ class Fenwick:
 
 
 def chains(matches: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
-    """Disjoint chains of matches (place, other place), ascending in both, best ones first."""
+    """Disjoint chains of matches (place, other place), ascending in both, best ones first.
+
+    A match is worth the words that it adds to the one before; words passed over cost GAP each.
+    """
     matches = sorted(set(matches), key=lambda m: (m[0], -m[1]))
     ranks = {c: i for i, c in enumerate(sorted({c for _, c in matches}))}
     tree = Fenwick(len(ranks))
     worth, previous = [], []
+    beside: dict[int, int] = {}  # the last match on each diagonal
     for i, (a, c) in enumerate(matches):
-        value, j = tree.before(ranks[c])
-        gain = value - GAP * (a + c)
-        worth.append(WORDS_K + max(0.0, gain))
-        previous.append(j if gain > 0 else -1)
-        tree.put(ranks[c], worth[i] + GAP * (a + c), i)
+        best, whose = float(WORDS_K), -1
+        for j in {tree.before(ranks[c])[1], beside.get(a - c, -1)} - {-1}:
+            steps = a - matches[j][0], c - matches[j][1]
+            new = min(WORDS_K, *steps)
+            value = worth[j] + new - GAP * (max(steps) - new)
+            if value > best:
+                best, whose = value, j
+        worth.append(best)
+        previous.append(whose)
+        beside[a - c] = i
+        tree.put(ranks[c], best + GAP * (a + c) / 2, i)
     used = [False] * len(matches)
     out = []
     for i in sorted(range(len(matches)), key=lambda i: -worth[i]):
@@ -93,41 +114,79 @@ def chains(matches: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
     return out
 
 
-def _extend(a: list, b: list, i: int, j: int, step: int) -> tuple[int, int]:
-    """How far words go on being alike from i, j on: words passed, and how many of them agree."""
-    score = best = 0.0
-    passed = agreed = best_passed = best_agreed = 0
-    while 0 <= i < len(a) and 0 <= j < len(b):
-        same = a[i] == b[j]
-        score += 1 if same else -3
-        passed += 1
-        agreed += same
-        if score > best:
-            best, best_passed, best_agreed = score, passed, agreed
-        if score < best - DROP:
-            break
-        i, j = i + step, j + step
-    return best_passed, best_agreed
-
-
-def align(a: list, b: list, chain: list[tuple[int, int]]) -> tuple[int, int, int, int, float]:
-    """from, to in a, from, to in b, and the share of words that agree, of the passage around a chain."""
-    start_a, start_b = chain[0]
-    at_a, at_b, agreed = start_a, start_b, 0
+def _extend(a: np.ndarray, b: np.ndarray) -> int:
+    """For how many words from the start on a and b go on being alike."""
+    size, limit = min(len(a), len(b)), 256
+    while size:
+        score = np.where(a[:limit][:size] == b[:limit][:size], 1, -3).cumsum()
+        fallen = np.flatnonzero(score < np.maximum(np.maximum.accumulate(score), 0) - DROP)
+        if len(fallen) or limit >= size:
+            best = int(score[: fallen[0] + 1].argmax() if len(fallen) else score.argmax())
+            return best + 1 if score[best] > 0 else 0
+        limit *= 4
+    return 0
+
+
+def blocks(a: np.ndarray, b: np.ndarray, chain: list[tuple[int, int]]) -> np.ndarray:
+    """Rows place, other place, length of the runs of words that agree around a chain, ascending in both."""
+    out: list[list[int]] = []
+
+    def put(i: int, j: int, n: int) -> None:
+        if out and out[-1][0] + out[-1][2] == i and out[-1][1] + out[-1][2] == j:
+            out[-1][2] += n
+        elif n:
+            out.append([i, j, n])
+
+    def along(i: int, j: int, n: int) -> None:
+        same = np.concatenate([[False], a[i : i + n] == b[j : j + n], [False]])
+        turns = np.flatnonzero(same[1:] != same[:-1]).tolist()
+        for begin, end in zip(turns[::2], turns[1::2]):
+            put(i + begin, j + begin, end - begin)
+
+    at_a, at_b = chain[0]
+    left = _extend(a[:at_a][::-1], b[:at_b][::-1])
+    along(at_a - left, at_b - left, left)
     for i, j in [*chain, (chain[-1][0] + WORDS_K, chain[-1][1] + WORDS_K)]:
         if i <= at_a or j <= at_b:
             continue
         if i - at_a == j - at_b:
-            agreed += sum(x == y for x, y in zip(a[at_a:i], b[at_b:j]))
+            along(at_a, at_b, i - at_a)
         else:
-            matcher = SequenceMatcher(None, a[at_a:i], b[at_b:j], autojunk=False)
-            agreed += sum(m.size for m in matcher.get_matching_blocks())
+            matcher = SequenceMatcher(None, a[at_a:i].tolist(), b[at_b:j].tolist(), autojunk=False)
+            for m in matcher.get_matching_blocks():
+                put(at_a + m.a, at_b + m.b, m.size)
         at_a, at_b = i, j
-    left, more = _extend(a, b, start_a - 1, start_b - 1, -1)
-    right, even = _extend(a, b, at_a, at_b, 1)
-    start_a, start_b, at_a, at_b = start_a - left, start_b - left, at_a + right, at_b + right
-    size = max(at_a - start_a, at_b - start_b)
-    return start_a, at_a, start_b, at_b, (agreed + more + even) / size
+    along(at_a, at_b, _extend(a[at_a:], b[at_b:]))
+    return np.array(out, np.int64).reshape(-1, 3)
+
+
+def parts(runs: np.ndarray) -> list[tuple[int, int, int, int, float]]:
+    """from, to in a, from, to in b, and the share of words that agree, of those stretches of agreeing runs
+    that are long and alike enough. Of all ways to cut, the one with the most words that agree less words
+    that do not is taken, so unlike text between two passages belongs to neither."""
+    if not len(runs):
+        return []
+    from_a, from_b, size = runs.T
+    to_a, to_b = from_a + size, from_b + size
+    sums = np.concatenate([[0], size.cumsum()])
+    best, cut = np.zeros(len(runs) + 1), np.full(len(runs) + 1, -1)
+    for j in range(len(runs)):
+        span = np.maximum(to_a[j] - from_a[: j + 1], to_b[j] - from_b[: j + 1])
+        agreed = sums[j + 1] - sums[: j + 1]
+        fits = (to_a[j] - from_a[: j + 1] >= LEAST_WORDS) & (agreed >= LEAST_ALIKE * span)
+        value = np.where(fits, best[: j + 1] + 2 * agreed - span, -1.0)
+        i = int(value.argmax())
+        best[j + 1], cut[j + 1] = (value[i], i) if value[i] > best[j] else (best[j], -1)
+    out, j = [], len(runs)
+    while j > 0:
+        i = int(cut[j])
+        if i < 0:
+            j -= 1
+            continue
+        a, b = (int(from_a[i]), int(to_a[j - 1])), (int(from_b[i]), int(to_b[j - 1]))
+        out.append((*a, *b, float(sums[j] - sums[i]) / max(a[1] - a[0], b[1] - b[0])))
+        j = i
+    return out[::-1]
 
 
 def _seeded(rows: DataFrame) -> DataFrame:
@@ -137,7 +196,7 @@ def _seeded(rows: DataFrame) -> DataFrame:
         def work(batch: dict[str, list]) -> dict[str, list]:
             out = []
             for text in batch["_text"]:
-                key, at = seeds(text, memo)
+                key, at = minima(coded(text, memo))
                 out.append([{"h": h, "at": p} for h, p in zip(key.view(np.int64).tolist(), at.tolist())])
             return {"_id": batch["_id"], "seeds": out}
 
@@ -173,15 +232,16 @@ def _chained(pairs: DataFrame) -> DataFrame:
 
 def _aligned(pairs: DataFrame) -> DataFrame:
     def start():
+        memo = word_hashes()
+
         def work(batch: dict[str, list]) -> dict[str, list]:
             names = ("_id", "_first", "from_word", "to_word", "first_from", "first_to", "alike")
             out: dict[str, list] = {n: [] for n in names}
             for i, f, found, x, y in zip(*(batch[c] for c in ("_id", "_first", "chains", "_text", "_other"))):
-                a, b = WORD.findall(x.lower()), WORD.findall(y.lower())
+                a, b = coded(x, memo), coded(y, memo)
                 for chain in found:
-                    ends = align(a, b, [(m["at"], m["to"]) for m in chain])
-                    if ends[1] - ends[0] >= LEAST_WORDS and ends[4] >= LEAST_ALIKE:
-                        for name, value in zip(names, (i, f, *ends)):
+                    for part in parts(blocks(a, b, [(m["at"], m["to"]) for m in chain])):
+                        for name, value in zip(names, (i, f, *part)):
                             out[name].append(value)
             return out
 

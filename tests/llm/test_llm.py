@@ -153,6 +153,15 @@ def test_passages(spark, docs):
     assert chaining.passages(empty(docs)).count() == 0
 
 
+def test_passages_apart_are_kept_apart(spark):
+    for before, gap, after in [(60, 40, 60), (60, 100, 60), (300, 600, 300)]:
+        one, two = prose(201, before), prose(202, after)
+        rows = [(1, f"{one} {prose(203, gap)} {two}"), (2, f"{one} {prose(204, gap)} {two}")]
+        found = chaining.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        spans = sorted((r.from_word, r.to_word, r.first_from, r.first_to) for r in found)
+        assert spans == [(0, before, 0, before), *[(before + gap, before + gap + after) * 2]]
+
+
 def test_forward_recursion_is_exact():
     rng = np.random.default_rng(2)
     start, move, emit = rng.dirichlet(np.ones(3)), rng.dirichlet(np.ones(3), 3), rng.dirichlet(np.ones(5), 3).T
