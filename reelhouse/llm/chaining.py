@@ -190,20 +190,29 @@ def parts(runs: np.ndarray) -> list[tuple[int, int, int, int, float]]:
 
 
 def _seeded(rows: DataFrame) -> DataFrame:
+    """`_key`, `_t`, `n` (words) and `seeds` of each row."""
+
     def start():
         memo = word_hashes()
 
         def work(batch: dict[str, list]) -> dict[str, list]:
-            out = []
+            out, sizes = [], []
             for text in batch["_text"]:
-                key, at = minima(coded(text, memo))
+                h = coded(text, memo)
+                key, at = minima(h)
                 out.append([{"h": h, "at": p} for h, p in zip(key.view(np.int64).tolist(), at.tolist())])
-            return {"_id": batch["_id"], "seeds": out}
+                sizes.append(len(h))
+            return {"_key": batch["_key"], "_t": batch["_t"], "n": sizes, "seeds": out}
 
         return work
 
-    listed = kept(map_rows(rows, start, "_id bigint, seeds array<struct<h:bigint,at:int>>"), "seeds")
-    return listed.select("_id", F.explode("seeds").alias("_s")).select("_id", "_s.h", "_s.at")
+    return map_rows(rows, start, "_key bigint, _t bigint, n int, seeds array<struct<h:bigint,at:int>>")
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """`_t`, its least key `_own`, and `_id`, which ascends by both: one row for each text."""
+    least = rows.groupBy("_t").agg(F.min("_key").alias("_own"))
+    return least.orderBy("_own", "_t").select("_t", "_own", F.monotonically_increasing_id().alias("_id"))
 
 
 def _chained(pairs: DataFrame) -> DataFrame:
@@ -253,19 +262,34 @@ def _aligned(pairs: DataFrame) -> DataFrame:
 
 def _rows(df: DataFrame, key: str, text: str) -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
-    return df.select(F.coalesce(F.col(key).cast("long"), F.lit(_NONE)).alias("_id"), body.alias("_text"))
+    own = F.coalesce(F.col(key).cast("long"), F.lit(_NONE))
+    return df.select(own.alias("_key"), F.xxhash64(body).alias("_t"), body.alias("_text"))
+
+
+def _texts(rows: DataFrame, ids: DataFrame, wanted: DataFrame) -> DataFrame:
+    """`_id` and `_text` of the ids that are wanted."""
+    chosen = ids.join(wanted, "_id").select("_id", "_t", F.col("_own").alias("_key"))
+    return rows.join(chosen, ["_t", "_key"]).groupBy("_id").agg(F.any_value("_text").alias("_text"))
 
 
 def passages(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Passages of at least LEAST_WORDS words that a document shares with the first document that has them:
-    `key`, `first_id`, `from_word`, `to_word`, `first_from`, `first_to`, `alike`.
+    `key`, `mark` (a hash of the text), `first_id`, `from_word`, `to_word`, `first_from`, `first_to`, `alike`.
 
-    "First" is by key; words are compared in lower case. Null and short texts have no passages. Rows with a
-    null key count as one document before all others, rows of one key as versions of one document of which
-    the longest is looked at; an empty table gives no passages.
+    Documents are told apart by key and text, so each version of a key and each text without a key is one.
+    "First" is by key, null keys before all others, and then by the hash of the text; words are compared in
+    lower case. Texts that are equal are looked at once: the later ones are one passage each. Null and short
+    texts have no passages; an empty table gives none. Texts are told apart by a 64-bit hash.
     """
     rows = _rows(df, key, text)
-    found = _seeded(rows)
+    ids = kept(_numbered(rows), "ids")
+    listed = kept(
+        _seeded(rows).join(ids, "_t").select(
+            "_key", "_t", "_own", "_id", "n", F.when(F.col("_key") == F.col("_own"), F.col("seeds")).alias("seeds")
+        ),
+        "seeds",
+    )
+    found = listed.select("_id", F.explode("seeds").alias("_s")).select("_id", "_s.h", "_s.at")
     ends = found.groupBy("h").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"))
     # written, so that both sides of the joins below are plain shuffles, whose hot keys are split at run time
     shared = kept(ends.filter("_first < _last").select("h", "_first"), "shared")
@@ -277,15 +301,22 @@ def passages(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     )
     chained = kept(_chained(pairs), "chains")
     wanted = chained.select(F.explode(F.array("_id", "_first")).alias("_id")).distinct()
-    longest = F.max_by("_text", F.struct(F.length("_text"), F.xxhash64("_text"))).alias("_text")
-    texts = kept(rows.join(wanted, "_id").groupBy("_id").agg(longest), "texts")
+    texts = kept(_texts(rows, ids, wanted), "texts")
     both = chained.join(texts, "_id").join(texts.toDF("_first", "_other"), "_first")
     out = _aligned(both)
-    return out.select(
-        F.nullif("_id", F.lit(_NONE)).alias(key),
-        F.nullif("_first", F.lit(_NONE)).alias("first_id"),
-        "from_word", "to_word", "first_from", "first_to", "alike",
+    owner = F.nullif("_own", F.lit(_NONE))
+    parts_ = (
+        out.join(ids.select("_id", owner.alias(key), F.col("_t").alias("mark")), "_id")
+        .join(ids.select(F.col("_id").alias("_first"), owner.alias("first_id")), "_first")
+        .select(key, "mark", "first_id", "from_word", "to_word", "first_from", "first_to", "alike")
+    )
+    copies = listed.filter((F.col("_key") != F.col("_own")) & (F.col("n") >= LEAST_WORDS))
+    whole = copies.select("_key", "_t", "_own", "n").distinct().select(
+        F.col("_key").alias(key), F.col("_t").alias("mark"), owner.alias("first_id"),
+        F.lit(0).alias("from_word"), F.col("n").alias("to_word"),
+        F.lit(0).alias("first_from"), F.col("n").alias("first_to"), F.lit(1.0).alias("alike"),
     )
+    return parts_.unionByName(whole)
 
 
 def op5_chained_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,8 +333,6 @@ def _cut(df: DataFrame) -> DataFrame:
                 places = [m.span() for m in WORD.finditer(text)]
                 parts, done = [], 0
                 for s in sorted(spans, key=lambda s: (s["from_word"], s["to_word"])):
-                    if s["to_word"] > len(places):
-                        continue  # of a longer version of the document
                     begin, end = places[s["from_word"]][0], places[s["to_word"] - 1][1]
                     if begin > done:
                         parts.append(text[done:begin])
@@ -319,14 +348,15 @@ def _cut(df: DataFrame) -> DataFrame:
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without passages that an earlier document has; who has no word left goes."""
-    spans = passages(docs).groupBy(F.coalesce("doc_id", F.lit(_NONE)).alias("_id")).agg(
+    own = F.coalesce("doc_id", F.lit(_NONE))
+    spans = passages(docs).groupBy(own.alias("_id"), F.col("mark").alias("_mark")).agg(
         F.collect_list(F.struct("from_word", "to_word")).alias("_spans")  # of one text
     )
     spans = kept(spans, "spans")
     body = F.coalesce("text", F.lit(""))
     keyed = docs.withColumns(
-        {"_id": F.coalesce("doc_id", F.lit(_NONE)), "_row": F.xxhash64("doc_id", body)}
-    ).join(spans, "_id", "left")
+        {"_id": own, "_mark": F.xxhash64(body), "_row": F.xxhash64("doc_id", body)}
+    ).join(spans, ["_id", "_mark"], "left")
     same = keyed.filter("_spans is null").select(*docs.columns)
     touched = keyed.filter("_spans is not null")
     cut = _cut(touched.select("_row", F.col("text").alias("_text"), "_spans")).dropDuplicates(["_row"])

@@ -162,6 +162,20 @@ def test_passages_apart_are_kept_apart(spark):
         assert spans == [(0, before, 0, before), *[(before + gap, before + gap + after) * 2]]
 
 
+def test_passages_of_null_and_repeated_keys(spark):
+    one, two, rest = prose(211, 80), prose(212, 60), prose(213, 300)
+    rows = [
+        (None, prose(214, 400)), (None, one + " " + prose(215, 20)), (None, prose(216, 30) + " " + one),
+        (1, prose(217, 9) + " " + two), (5, prose(218, 40) + " " + two), (5, rest), (7, prose(219, 10) + " " + one),
+    ]
+    docs = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, n_chars long")
+    found = chaining.passages(docs).collect()
+    spans = sorted((r.doc_id or 0, r.first_id or 0, r.to_word - r.from_word) for r in found)
+    assert spans == [(0, 0, 80), (5, 1, 60), (7, 0, 80)]
+    left = sorted(len(r.text.split()) for r in chaining.substring_stage(spark, docs, "").collect())
+    assert left in (sorted([400, 100, 30, 69, 40, 300, 10]), sorted([400, 20, 110, 69, 40, 300, 10]))
+
+
 def test_forward_recursion_is_exact():
     rng = np.random.default_rng(2)
     start, move, emit = rng.dirichlet(np.ones(3)), rng.dirichlet(np.ones(3), 3), rng.dirichlet(np.ones(5), 3).T
