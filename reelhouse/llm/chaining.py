@@ -1,9 +1,10 @@
 """Repeated passages by collinear chaining of shared word k-mers.
 
 Of every window of k-mers the one with the least hash is a seed, so an exact repeat of WORDS_K + WINDOW - 1
-words has a seed in common. A seed that occurs in several documents is matched with its place in the first
-of them alone, so a passage in a thousand documents gives a thousand matches and not a million pairs. The
-matches of two documents are chained in order of both texts, with costs for gaps; a Fenwick tree holds the
+words has a seed in common. A document that has a seed is paired with the first document that has it alone,
+so a passage in a thousand documents gives a thousand pairs and not a million. Of two paired documents all places
+of all seeds that they share are matches, periodic runs as their first and last place; the
+matches are chained in order of both texts, with costs for gaps; a Fenwick tree holds the
 best chain so far up to each place of the other text. Chains are then aligned word by word, between matches
 and beyond the ends, and their stretches that are long and alike enough are passages.
 """
@@ -11,6 +12,7 @@ and beyond the ends, and their stretches that are long and alike enough are pass
 from __future__ import annotations
 
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +26,7 @@ WINDOW = 8
 GAP = 0.5  # cost of a word passed over; a match is worth the words it adds
 LEAST_WORDS = 50
 LEAST_ALIKE = 0.8
+EVERY = 4096  # matches of one seed in two texts up to which each place meets each
 DROP = 10.0  # an end is extended until it is this far below its best
 _NONE = -(1 << 63)
 
@@ -215,43 +218,66 @@ def _numbered(rows: DataFrame) -> DataFrame:
     return least.orderBy("_own", "_t").select("_t", "_own", F.monotonically_increasing_id().alias("_id"))
 
 
-def _chained(pairs: DataFrame) -> DataFrame:
-    """Pairs `_id`, `_first`, `matches` that have a chain which may be long enough, with those chains."""
-    slack = 2 * (WORDS_K + WINDOW)
+def _spots(key: np.ndarray, at: np.ndarray) -> dict[int, list[int]]:
+    """The places of each seed; of places at even steps (a periodic run) the first and the last."""
+    spots: dict[int, list[int]] = {}
+    for k, p in zip(key.tolist(), at.tolist()):
+        spots.setdefault(k, []).append(p)
+    for k, x in spots.items():
+        if len(x) > 2:
+            inner = [q for p, q, r in zip(x, x[1:], x[2:]) if q - p != r - q]
+            spots[k] = [x[0], *inner, x[-1]]
+    return spots
+
+
+def places(ours: tuple[np.ndarray, np.ndarray], others: tuple[np.ndarray, np.ndarray]) -> list[tuple[int, int]]:
+    """Matches of all places of the seeds that two texts share. Seeds with more than EVERY of them are
+    matched in order, from both ends."""
+    common = np.intersect1d(ours[0], others[0])
+    left, right = (_spots(*(x[np.isin(found[0], common)] for x in found)) for found in (ours, others))
+    out: list[tuple[int, int]] = []
+    for k, x in left.items():
+        y = right[k]
+        if len(x) * len(y) <= EVERY:
+            out.extend((p, q) for p in x for q in y)
+        else:
+            n = min(len(x), len(y))
+            out.extend([*zip(x, y), *zip(x[-n:], y[-n:])])
+    return out
 
-    def start():
-        def work(batch: dict[str, list]) -> dict[str, list]:
-            out = {"_id": [], "_first": [], "chains": []}
-            for i, f, matches in zip(batch["_id"], batch["_first"], batch["matches"]):
-                found = [
-                    [{"at": a, "to": c} for a, c in chain]
-                    for chain in chains([(m["at"], m["to"]) for m in matches])
-                    if chain[-1][0] + WORDS_K - chain[0][0] + slack >= LEAST_WORDS
-                ]
-                if found:
-                    out["_id"].append(i)
-                    out["_first"].append(f)
-                    out["chains"].append(found)
-            return out
 
-        return work
-
-    return map_rows(pairs, start, "_id bigint, _first bigint, chains array<array<struct<at:int,to:int>>>")
+def shared_parts(a: np.ndarray, b: np.ndarray, matches: list[tuple[int, int]]) -> list[tuple]:
+    """The passages of a that b has, none inside another."""
+    found: list[tuple] = []
+    for chain in chains(matches):
+        if not any(f[0] <= chain[0][0] and chain[-1][0] + WORDS_K <= f[1] for f in found):
+            found.extend(parts(blocks(a, b, chain)))
+    out: list[tuple] = []
+    for f in sorted(found, key=lambda f: (f[0], -f[1])):
+        if not out or f[1] > out[-1][1]:
+            out.append(f)
+    return out
 
 
 def _aligned(pairs: DataFrame) -> DataFrame:
+    """Passages of pairs `_id`, `_first`, `_text`, `_other`."""
+
     def start():
         memo = word_hashes()
 
+        @lru_cache(8)
+        def known(text: str) -> tuple:
+            h = coded(text, memo)
+            return h, minima(h)
+
         def work(batch: dict[str, list]) -> dict[str, list]:
             names = ("_id", "_first", "from_word", "to_word", "first_from", "first_to", "alike")
             out: dict[str, list] = {n: [] for n in names}
-            for i, f, found, x, y in zip(*(batch[c] for c in ("_id", "_first", "chains", "_text", "_other"))):
-                a, b = coded(x, memo), coded(y, memo)
-                for chain in found:
-                    for part in parts(blocks(a, b, [(m["at"], m["to"]) for m in chain])):
-                        for name, value in zip(names, (i, f, *part)):
-                            out[name].append(value)
+            for i, f, x, y in zip(*(batch[c] for c in ("_id", "_first", "_text", "_other"))):
+                (a, ours), (b, others) = known(x), known(y)
+                for part in shared_parts(a, b, places(ours, others)):
+                    for name, value in zip(names, (i, f, *part)):
+                        out[name].append(value)
             return out
 
         return work
@@ -294,15 +320,10 @@ def passages(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     # written, so that both sides of the joins below are plain shuffles, whose hot keys are split at run time
     shared = kept(ends.filter("_first < _last").select("h", "_first"), "shared")
     some = kept(found.join(shared, "h"), "matches")
-    place = kept(some.filter("_id = _first").groupBy("h").agg(F.min("at").alias("to")), "places")
-    matches = some.filter("_id <> _first").join(place, "h")
-    pairs = matches.groupBy("_id", "_first").agg(
-        F.collect_set(F.struct("at", "to")).alias("matches")  # at most the seeds of one text
-    )
-    chained = kept(_chained(pairs), "chains")
-    wanted = chained.select(F.explode(F.array("_id", "_first")).alias("_id")).distinct()
+    pairs = kept(some.filter("_id <> _first").select("_id", "_first").distinct(), "pairs")
+    wanted = pairs.select(F.explode(F.array("_id", "_first")).alias("_id")).distinct()
     texts = kept(_texts(rows, ids, wanted), "texts")
-    both = chained.join(texts, "_id").join(texts.toDF("_first", "_other"), "_first")
+    both = pairs.join(texts, "_id").join(texts.toDF("_first", "_other"), "_first")
     out = _aligned(both)
     owner = F.nullif("_own", F.lit(_NONE))
     parts_ = (

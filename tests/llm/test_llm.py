@@ -176,6 +176,16 @@ def test_passages_of_null_and_repeated_keys(spark):
     assert left in (sorted([400, 100, 30, 69, 40, 300, 10]), sorted([400, 20, 110, 69, 40, 300, 10]))
 
 
+def test_repetitive_passages(spark):
+    lines = " ".join(prose(220, 3).split() * 30)
+    long_lines = " ".join(prose(221, 17).split() * 9)
+    runs = ["so " * 200, lines, long_lines, "one two " * 26]
+    rows = [(10 * k + side, f"{prose(230 + 2 * k + side, 20 + side)} {run}") for k, run in enumerate(runs) for side in (0, 1)]
+    found = chaining.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    spans = sorted((r.doc_id, r.from_word, r.to_word) for r in found)
+    assert spans == [(10 * k + 1, 21, 21 + len(run.split())) for k, run in enumerate(runs)]
+
+
 def test_forward_recursion_is_exact():
     rng = np.random.default_rng(2)
     start, move, emit = rng.dirichlet(np.ones(3)), rng.dirichlet(np.ones(3), 3), rng.dirichlet(np.ones(5), 3).T
