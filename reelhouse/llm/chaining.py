@@ -7,10 +7,15 @@ of all seeds that they share are matches, periodic runs as their first and last
 matches are chained in order of both texts, with costs for gaps; a Fenwick tree holds the
 best chain so far up to each place of the other text. Chains are then aligned word by word, between matches
 and beyond the ends, and their stretches that are long and alike enough are passages.
+
+The seeds of a passage may first be seen in several documents, none of which has enough of it. So where shared
+seeds follow each other for LEAST_WORDS words and no passage covers them, a second round matches all runs of
+LEAST_WORDS words there with the first document that holds the run whole.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from difflib import SequenceMatcher
 from functools import lru_cache
 
@@ -286,6 +291,132 @@ def _aligned(pairs: DataFrame) -> DataFrame:
     return map_rows(pairs, start, schema)
 
 
+def _starts(at: np.ndarray) -> list[tuple[int, int]]:
+    """Ranges of places where LEAST_WORDS words can start whose window minima are all among the places `at`."""
+    ends = [] if not len(at) else np.split(at, np.flatnonzero(np.diff(at) > WINDOW) + 1)
+    ranges = [(max(0, int(x[0]) - WINDOW + 1), int(x[-1]) + WORDS_K + WINDOW - LEAST_WORDS) for x in ends]
+    return [(begin, end) for begin, end in ranges if begin < end]
+
+
+def _uncovered(docs: DataFrame) -> DataFrame:
+    """Of `_id`, `_seeds` and `_spans`: `ranges` where a passage can start that has a shared seed outside the
+    spans, and the hashes of its seeds."""
+
+    def start():
+        def work(batch: dict[str, list]) -> dict[str, list]:
+            out: dict[str, list] = {"_id": [], "ranges": [], "hashes": []}
+            for i, found, spans in zip(batch["_id"], batch["_seeds"], batch["_spans"]):
+                h = {m["at"]: m["h"] for m in found}
+                at = np.array(sorted(h))
+                left = np.zeros(at[-1] + LEAST_WORDS + WORDS_K + WINDOW, bool)
+                for p in at.tolist():
+                    left[p : p + WORDS_K] = True
+                for s in spans or ():
+                    left[s["from_word"] : s["to_word"]] = False
+                sums = np.concatenate([[0], left.cumsum()])
+                ranges, hashes = [], set()
+                for begin, end in _starts(at):
+                    p = np.arange(begin, end)
+                    some = np.concatenate([[False], sums[p + LEAST_WORDS] > sums[p], [False]])
+                    turns = (np.flatnonzero(some[1:] != some[:-1]) + begin).tolist()
+                    for x, y in zip(turns[::2], turns[1::2]):
+                        ranges.append({"begin": x, "end": y})
+                        hashes.update(h[q] for q in at[(at >= x) & (at < y + LEAST_WORDS - WORDS_K)].tolist())
+                if ranges:
+                    out["_id"].append(i)
+                    out["ranges"].append(ranges)
+                    out["hashes"].append(list(hashes))
+            return out
+
+        return work
+
+    return map_rows(docs, start, "_id bigint, ranges array<struct<begin:int,end:int>>, hashes array<bigint>")
+
+
+def _long_kmers(docs: DataFrame) -> DataFrame:
+    """`_id` and the runs of LEAST_WORDS words that start where `_ats` say."""
+
+    def start():
+        memo = word_hashes()
+
+        def work(batch: dict[str, list]) -> dict[str, list]:
+            out = []
+            for ats, text in zip(batch["_ats"], batch["_text"]):
+                h, found = coded(text, memo), []
+                for begin, end in _starts(np.array(sorted(ats))):
+                    keys = kmers(h[begin : end + LEAST_WORDS - 1], LEAST_WORDS).view(np.int64).tolist()
+                    found.extend({"h": k, "at": begin + p} for p, k in enumerate(keys))
+                out.append(found)
+            return {"_id": batch["_id"], "seeds": out}
+
+        return work
+
+    return map_rows(docs, start, "_id bigint, seeds array<struct<h:bigint,at:int>>")
+
+
+def exact_parts(a: np.ndarray, b: np.ndarray, to: dict[int, int]) -> list[tuple]:
+    """Equal stretches of a and b that cover all runs of LEAST_WORDS words at the places `to`."""
+
+    def agree(x: np.ndarray, y: np.ndarray) -> int:
+        n = min(len(x), len(y))
+        other = np.flatnonzero(x[:n] != y[:n])
+        return int(other[0]) if len(other) else n
+
+    order, out, done, p = sorted(to), [], 0, min(to, default=None)
+    while p is not None:
+        q = to[p]
+        n, after = agree(a[p:], b[q:]), p
+        if n >= LEAST_WORDS:
+            back = agree(a[done:p][::-1], b[:q][::-1])
+            out.append((p - back, p + n, q - back, q + n, 1.0))
+            done = after = p + n
+        # the last run that goes on from what is covered, else the next one
+        on = next((r for r in range(after, max(p, after - LEAST_WORDS), -1) if r in to), None)
+        i = bisect_right(order, after)
+        p = on if on is not None else order[i] if i < len(order) else None
+    return out
+
+
+def _exact(pairs: DataFrame) -> DataFrame:
+    def start():
+        memo = word_hashes()
+
+        def work(batch: dict[str, list]) -> dict[str, list]:
+            names = ("_id", "_first", "from_word", "to_word", "first_from", "first_to", "alike")
+            out: dict[str, list] = {n: [] for n in names}
+            columns = ("_id", "_first", "matches", "ranges", "_text", "_other")
+            for i, f, matches, ranges, x, y in zip(*(batch[c] for c in columns)):
+                to = {m["at"]: m["to"] for m in matches}
+                wanted = {p: to[p] for r in ranges for p in range(r["begin"], r["end"]) if p in to}
+                for part in exact_parts(coded(x, memo), coded(y, memo), wanted):
+                    for name, value in zip(names, (i, f, *part)):
+                        out[name].append(value)
+            return out
+
+        return work
+
+    schema = "_id bigint, _first bigint, from_word int, to_word int, first_from int, first_to int, alike double"
+    return map_rows(pairs, start, schema)
+
+
+def _second_round(rows: DataFrame, ids: DataFrame, some: DataFrame, left: DataFrame) -> DataFrame:
+    """Passages of the documents `left` whose seeds are first seen in several documents: runs of LEAST_WORDS
+    words are matched with the first document that holds them whole."""
+    hashes = kept(left.select(F.explode("hashes").alias("h")).distinct(), "hashes")
+    holders = kept(some.join(hashes, "h").groupBy("_id").agg(F.collect_set("at").alias("_ats")), "holders")
+    texts = kept(_texts(rows, ids, holders.select("_id")), "texts")
+    listed = kept(_long_kmers(holders.join(texts, "_id")), "runs")
+    found = listed.select("_id", F.explode("seeds").alias("_s")).select("_id", "_s.h", "_s.at")
+    ends = found.groupBy("h").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"))
+    shared = kept(ends.filter("_first < _last").select("h", "_first"), "shared")
+    held = kept(found.join(shared, "h"), "held")
+    place = kept(held.filter("_id = _first").groupBy("h").agg(F.min("at").alias("to")), "places")
+    ours = held.filter("_id <> _first").join(left.select("_id"), "_id", "left_semi")
+    pairs = ours.join(place, "h").groupBy("_id", "_first").agg(F.collect_set(F.struct("at", "to")).alias("matches"))
+    both = pairs.join(left.select("_id", "ranges"), "_id").join(texts, "_id")
+    return _exact(both.join(texts.toDF("_first", "_other"), "_first"))
+
+
 def _rows(df: DataFrame, key: str, text: str) -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
     own = F.coalesce(F.col(key).cast("long"), F.lit(_NONE))
@@ -320,11 +451,22 @@ def passages(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     # written, so that both sides of the joins below are plain shuffles, whose hot keys are split at run time
     shared = kept(ends.filter("_first < _last").select("h", "_first"), "shared")
     some = kept(found.join(shared, "h"), "matches")
-    pairs = kept(some.filter("_id <> _first").select("_id", "_first").distinct(), "pairs")
+    per = kept(
+        some.filter("_id <> _first").groupBy("_id").agg(
+            F.collect_set(F.struct("at", "h", "_first")).alias("_seeds")  # at most the seeds of one text
+        ),
+        "per",
+    )
+    each = F.array_distinct(F.transform("_seeds", lambda s: s["_first"]))
+    pairs = kept(per.select("_id", F.explode(each).alias("_first")), "pairs")
     wanted = pairs.select(F.explode(F.array("_id", "_first")).alias("_id")).distinct()
     texts = kept(_texts(rows, ids, wanted), "texts")
     both = pairs.join(texts, "_id").join(texts.toDF("_first", "_other"), "_first")
-    out = _aligned(both)
+    out = kept(_aligned(both), "passages")
+    spans = out.groupBy("_id").agg(F.collect_list(F.struct("from_word", "to_word")).alias("_spans"))
+    left = kept(_uncovered(per.join(spans, "_id", "left")), "left")
+    if not left.isEmpty():
+        out = out.unionByName(_second_round(rows, ids, some, left))
     owner = F.nullif("_own", F.lit(_NONE))
     parts_ = (
         out.join(ids.select("_id", owner.alias(key), F.col("_t").alias("mark")), "_id")

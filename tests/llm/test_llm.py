@@ -186,6 +186,18 @@ def test_repetitive_passages(spark):
     assert spans == [(10 * k + 1, 21, 21 + len(run.split())) for k, run in enumerate(runs)]
 
 
+def test_passages_whose_parts_are_first_seen_apart(spark):
+    whole = prose(240, 60).split()
+    pieces = [" ".join(whole[a:b]) for a, b in ((0, 30), (20, 45), (35, 60))]
+    rows = [(k, f"{prose(250 + k, 30)} {piece} {prose(260 + k, 30)}") for k, piece in enumerate(pieces)]
+    rows += [(k, f"{prose(250 + k, 9)} {' '.join(whole)} {prose(260 + k, 9)}") for k in (5, 6)]
+    rows += [(7, prose(270, 10) + " so" * 60), (8, prose(271, 11) + " so" * 200)]
+    found = chaining.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [tuple(r)[2:] for r in found if r.doc_id in (5, 6)] == [(5, 9, 69, 9, 69, 1.0)]
+    covered = {w for r in found if (r.doc_id, r.first_id) == (8, 7) for w in range(r.from_word, r.to_word)}
+    assert covered == set(range(11, 211))
+
+
 def test_forward_recursion_is_exact():
     rng = np.random.default_rng(2)
     start, move, emit = rng.dirichlet(np.ones(3)), rng.dirichlet(np.ones(3), 3), rng.dirichlet(np.ones(5), 3).T
