@@ -3,8 +3,8 @@
 Words are counted over all training texts. The HEAD most frequent ones are symbols of their own; every rarer
 word shares a symbol with those of the same hashed ending, and its own probability within that class comes
 from its count, by a join, wherever it stands in the text. States begin as clusters of a bounded sample of
-texts and are trained by Baum-Welch: a last pass sums expected counts over all training texts, partition by
-partition. The scaled forward recursion gives the exact likelihood of a text's symbols.
+distinct texts and are trained by Baum-Welch: each round sums expected counts over all training texts, partition
+by partition, until the likelihood grows no more. The scaled forward recursion gives the exact likelihood of a text's symbols.
 """
 
 from __future__ import annotations
@@ -23,8 +23,9 @@ from reelhouse.llm.common import kept, map_rows, part_of, read, words
 STATES = 8
 HEAD = 60_000  # words with a symbol of their own: bounds the model
 CLASSES = 256  # of rarer words
-SAMPLE = 3_000  # texts that the states begin from
-CLUSTER_ROUNDS, SAMPLE_ROUNDS, FULL_ROUNDS = 12, 2, 1
+SAMPLE = 3_000  # distinct texts that the states begin from
+CLUSTER_ROUNDS = 12
+ENOUGH = 0.002  # gain in log10 likelihood of a token below which training ends
 SMOOTH = 300.0  # symbols' worth of the unigram in each state
 GROUP = 256  # texts that go through the recursions side by side at most,
 PLACES = 4_000_000  # and places in them, padded to the longest, unless one text alone has more
@@ -112,13 +113,15 @@ class Model:
             out[part] = self._forward([texts[i] for i in part], keep=False)[0]
         return out
 
-    def expected(self, texts: list[np.ndarray], start, move, emit) -> None:
-        """Add the expected counts of the texts."""
+    def expected(self, texts: list[np.ndarray], start, move, emit) -> float:
+        """Add the expected counts of the texts; their log10 likelihood."""
+        likely = 0.0
         order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
         for part in _groups(texts, order):
             symbols, weights = [], []
             group = [texts[i] for i in part]
-            _, padded, running, alphas, scales = self._forward(group, keep=True)
+            log, padded, running, alphas, scales = self._forward(group, keep=True)
+            likely += float(log.sum())
             beta = np.ones_like(alphas[-1])
             for step in range(len(alphas) - 1, -1, -1):
                 n = running[step]
@@ -137,6 +140,7 @@ class Model:
             ids, gammas = np.concatenate(symbols), np.concatenate(weights)
             for s in range(gammas.shape[1]):
                 emit[:, s] += np.bincount(ids, gammas[:, s], minlength=len(emit))
+        return likely
 
 
 def _clusters(texts: list[np.ndarray], unigram: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -160,8 +164,8 @@ def _clusters(texts: list[np.ndarray], unigram: np.ndarray) -> tuple[np.ndarray,
     return belongs.sum(axis=0), move, emit
 
 
-def _gathered(rows: DataFrame, symbols: Symbols, model: Model) -> tuple[np.ndarray, ...]:
-    """Expected counts over all `rows`: each task sends one row per symbol it has met; Spark sums them.
+def _gathered(rows: DataFrame, symbols: Symbols, model: Model) -> tuple[tuple[np.ndarray, ...], float]:
+    """Expected counts over all `rows`, and their log10 likelihood under the model: each task sends one row per symbol it has met; Spark sums them.
     The driver gets one row per symbol, HEAD + CLASSES at most, and those of starts and moves."""
     sent = rows.sparkSession.sparkContext.broadcast((symbols, model))
     names = [f"c{s}" for s in range(STATES)]
@@ -169,28 +173,52 @@ def _gathered(rows: DataFrame, symbols: Symbols, model: Model) -> tuple[np.ndarr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols, model = sent.value
         start, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((symbols.size, STATES))
+        likely = 0.0
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 texts = batch.column(0).slice(at, 512).to_pylist()
-                model.expected([symbols.encode(t)[0] for t in texts], start, move, emit)
+                likely += model.expected([symbols.encode(t)[0] for t in texts], start, move, emit)
         met = np.flatnonzero(emit.any(axis=1))
-        table = np.concatenate([emit[met], start[None], move])
-        ids = np.concatenate([met, -1 - np.arange(1 + STATES)])
+        table = np.concatenate([emit[met], start[None], move, np.full((1, STATES), likely)])
+        ids = np.concatenate([met, -1 - np.arange(2 + STATES)])
         columns = [pa.array(ids, pa.int64()), *[pa.array(table[:, s]) for s in range(STATES)]]
         yield pa.RecordBatch.from_arrays(columns, names=["symbol", *names])
 
     sums = rows.select("_text").mapInArrow(run, "symbol long, " + ", ".join(f"{n} double" for n in names))
     found = sums.groupBy("symbol").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
     start, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((symbols.size, STATES))
+    likely = 0.0
     at = found.column("symbol").to_numpy()
     values = np.stack([found.column(n).to_numpy() for n in names], axis=1)
     emit[at[at >= 0]] = values[at >= 0]
     for i in np.flatnonzero(at < 0):
         if at[i] == -1:
             start[:] = values[i]
+        elif at[i] == -2 - STATES:
+            likely = float(values[i][0])
         else:
             move[-2 - at[i]] = values[i]
-    return start, move, emit
+    return (start, move, emit), likely
+
+
+def _begun(rows: DataFrame, symbols: Symbols, unigram: np.ndarray) -> Model:
+    """The model that training starts from, of SAMPLE distinct texts, so copies of a text count once."""
+    body = rows.filter(F.col("_text").isNotNull()).select("_text", F.xxhash64("_text", F.lit(3)).alias("_h"))
+    marks = body.select("_h").distinct().orderBy("_h").limit(SAMPLE)
+    chosen = body.join(F.broadcast(marks), "_h").groupBy("_h").agg(F.any_value("_text").alias("_text"))
+    sample = [symbols.encode(r["_text"])[0] for r in chosen.orderBy("_h").collect()]
+    return Model.from_counts(*_clusters(sample, unigram), unigram)
+
+
+def trained(rows: DataFrame, symbols: Symbols, model: Model, unigram: np.ndarray, total: int) -> tuple[Model, list[float]]:
+    """The model after Baum-Welch rounds over all `rows`, and the log10 likelihood of a token before each
+    round: rounds end when it has grown by less than ENOUGH."""
+    likely: list[float] = []
+    while len(likely) < 2 or likely[-1] - likely[-2] >= ENOUGH:
+        counts, found = _gathered(rows, symbols, model)
+        likely.append(found / max(total, 1))
+        model = Model.from_counts(*counts, unigram)
+    return model, likely
 
 
 def score(train: DataFrame, df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -223,15 +251,7 @@ def score(train: DataFrame, df: DataFrame, key: str = "doc_id", text: str = "tex
     unigram = np.concatenate([head_c, class_n]) + 0.5
     unigram /= unigram.sum()
 
-    chosen = rows.orderBy(F.xxhash64("_text", F.lit(3))).limit(SAMPLE).collect()
-    sample = [symbols.encode(r[0])[0] for r in chosen]
-    model = Model.from_counts(*_clusters(sample, unigram), unigram)
-    for _ in range(SAMPLE_ROUNDS):
-        start, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((symbols.size, STATES))
-        model.expected(sample, start, move, emit)
-        model = Model.from_counts(start, move, emit, unigram)
-    for _ in range(FULL_ROUNDS):
-        model = Model.from_counts(*_gathered(rows, symbols, model), unigram)
+    model, _ = trained(rows, symbols, _begun(rows, symbols, unigram), unigram, total)
 
     floor = float(np.log10(total + 0.5 * (distinct + 1)))
     sent = spark.sparkContext.broadcast((symbols, model, np.log10(head_c + 0.5) - floor, np.log10(class_n + 0.5 * (class_v + 1))))

@@ -216,6 +216,24 @@ def test_forward_recursion_is_exact():
     assert math.isclose(counts[0].sum(), 3) and math.isclose(counts[1].sum(), 8) and math.isclose(counts[2].sum(), 11)
 
 
+def test_training_sees_all_texts_in_each_round(spark, monkeypatch):
+    copies, others = ["same words all over"] * 40, [f"{prose(300 + k % 3, 12)} text{k}" for k in range(60)]
+    rows = spark.createDataFrame([(t,) for t in copies + others], "_text string")
+    words_ = sorted({w for t in copies + others for w in WORD.findall(t)})
+    symbols, unigram = hmm.Symbols(["", *words_]), np.full(1 + len(words_) + hmm.CLASSES, 1.0)
+    unigram /= unigram.sum()
+    seen, clusters = [], hmm._clusters
+    monkeypatch.setattr(hmm, "SAMPLE", 20)
+    monkeypatch.setattr(hmm, "_clusters", lambda texts, u: seen.extend(map(tuple, texts)) or clusters(texts, u))
+    begun = hmm._begun(rows, symbols, unigram)
+    assert len(seen) == len(set(seen)) == 20
+    total = sum(len(WORD.findall(t)) + 1 for t in copies + others)
+    model, likely = hmm.trained(rows, symbols, begun, unigram, total)
+    coded = [symbols.encode(t)[0] for t in copies + others]
+    assert math.isclose(likely[0], begun.score(coded).sum() / total) and len(likely) > 1
+    assert model.score(coded).sum() / total >= likely[-1] - 0.01 and likely[-1] >= likely[0]
+
+
 def test_language_model_base(docs):
     train = docs.filter("doc_id % 2 = 0 or doc_id is null")
     tok = lambda t: [*WORD.findall((t or "").lower()), ""]
