@@ -18,6 +18,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -34,42 +35,94 @@ END = 2  # the id after each document
 STRIPE_BYTES = 64 << 20
 INDEX_ROWS = 1_000  # rows of an index entry, and of a Bloom filter
 FALSE_HITS = 0.01
-PIECES = 1 << 19  # pieces a worker remembers, some 100 MB; it starts anew when there are more
+PIECES = 1 << 19  # pieces a worker remembers, some 100 MB; it remembers no more then
 PIECE_CHARS = 64  # longer ones are not remembered
-ROWS = 256  # texts encoded together
+CHUNK = 8 << 20  # bytes of text encoded together, or one text that is longer
+TOGETHER = 4096  # new pieces encoded as one text
 
 # A blank between two characters that no definition of white space takes for white space.
 _SOLID = r"[^\s\x00-\x20\x7f-\xa0 ᠎ -‏ -  -⁯　﻿]"
 _CUT = re.compile(rf" (?={_SOLID})(?<={_SOLID} )")
+_WHOLE = re.compile(rf"{_SOLID}(?:.*{_SOLID})?\Z", re.DOTALL)
 
 
 class Encoder:
     """Ids of texts as little-endian 32-bit integers, as the tokenizers library gives them.
 
     The vocabulary's rules part a text before every blank between two solid characters, and no merge
-    crosses such a place. Pieces between these places are encoded by the library one by one, and the ids of
-    short ones are remembered, as words repeat.
+    crosses such a place. So the ids of pieces between these places may be remembered, as words repeat. New
+    pieces are handed to the library in one text; the lengths of the tokens tell where each piece ends.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        vocabulary = self.tokenizer.get_vocab()
+        self.lengths = np.zeros(max(vocabulary.values()) + 1, int)  # a character of a token stands for a byte
+        for token, i in vocabulary.items():
+            self.lengths[i] = len(token)
         self.known: dict[str, bytes] = {}
 
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        cut = []
-        for text in texts:
-            first, *rest = _CUT.split(text or "")
-            cut.append([first, *[" " + piece for piece in rest]])
-        if len(self.known) > PIECES:
-            self.known = {}
-        fresh = list({piece for pieces in cut for piece in pieces if piece not in self.known})
-        found = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        ids = {piece: np.array(e.ids, "<i4").tobytes() for piece, e in zip(fresh, found)}
-        self.known.update((piece, x) for piece, x in ids.items() if len(piece) <= PIECE_CHARS)
-        long = {piece: x for piece, x in ids.items() if len(piece) > PIECE_CHARS}
-        return [b"".join([self.known[p] if p in self.known else long[p] for p in pieces]) for pieces in cut]
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<i4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learned(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of pieces, each with a blank before it; all begin and end with solid characters."""
+        sizes = [len(piece.encode()) + 1 for piece in pieces]
+        [ids] = self._ids([" " + " ".join(pieces)])
+        ends, reached = np.cumsum(sizes), np.cumsum(self.lengths[ids])
+        at = np.searchsorted(reached, ends) + 1
+        if not np.array_equal(reached[at - 1], ends):
+            raise ValueError("a token crosses a place where the vocabulary parts a text")
+        raw = ids.tobytes()
+        return {piece: raw[4 * a : 4 * b] for piece, a, b in zip(pieces, [0, *at], at)}
+
+    def _cut(self, text: str) -> np.ndarray:
+        """Ids of one text, cut at the places themselves."""
+        first, *rest = _CUT.split(text)
+        last = [" " + rest.pop()] if rest else []  # may end with a space
+        found = self._learned([p for p in dict.fromkeys(rest) if p not in self.known]) if rest else {}
+        middle = b"".join([self.known.get(p) or found[p] for p in rest])
+        ends = self._ids([first, *last])
+        return np.concatenate([ends[0], np.frombuffer(middle, "<i4"), *ends[1:]])
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and how many each text has. Null counts as empty.
+
+        Most texts are cut at every blank, as all their blanks stand between solid characters; each different
+        piece of the batch is looked up once, and what the texts share is put together by its number.
+        """
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        parts = pc.split_pattern(texts, " ")
+        coded = parts.flatten().dictionary_encode()
+        pieces, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        at = parts.offsets.to_numpy() - parts.offsets[0].as_py()
+        held = [self.known.get(p) for p in pieces]
+        new = [p for p, x in zip(pieces, held) if x is None and _WHOLE.match(p)]
+        found: dict[str, bytes] = {}
+        for i in range(0, len(new), TOGETHER):
+            found |= self._learned(new[i : i + TOGETHER])
+        if len(self.known) < PIECES:  # words that occur often come early
+            self.known.update((p, x) for p, x in found.items() if len(p) <= PIECE_CHARS)
+        held = [found.get(p, b"") if x is None else x for p, x in zip(pieces, held)]
+
+        sizes = np.array([len(x) // 4 for x in held], np.int64)
+        rough = np.add.reduceat(sizes[codes] == 0, at[:-1]) > 0 if len(codes) else np.zeros(0, bool)
+        # the first piece of a text has no blank before it, and a text with other blanks is cut by itself
+        firsts = np.where(rough, "", np.array(pieces, object)[codes[at[:-1]]]).tolist()
+        firsts = self._ids(firsts)
+        for i in np.flatnonzero(rough):
+            firsts[i] = self._cut(texts[int(i)].as_py())
+        none = len(pieces) + len(firsts)
+        codes[np.repeat(rough, np.diff(at))] = none
+        codes[at[:-1]] = np.arange(len(pieces), none)
+        values = np.concatenate([np.frombuffer(b"".join(held), "<i4"), *firsts])
+        sizes = np.concatenate([sizes, [len(x) for x in firsts], [0]]).astype(np.int64)
+        begins, lengths = np.cumsum(sizes) - sizes, sizes[codes]
+        before = np.cumsum(lengths) - lengths
+        ids = values[np.repeat(begins[codes] - before, lengths) + np.arange(lengths.sum())]
+        return ids, np.add.reduceat(lengths, at[:-1]) if len(codes) else np.zeros(0, np.int64)
 
 
 @cache
@@ -86,6 +139,17 @@ def _schema(key: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
 
 
+def _chunks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of about CHUNK bytes of text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    ends, at = np.cumsum(sizes.astype(np.int64)), 0
+    while at < batch.num_rows:
+        before = int(ends[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + CHUNK, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def write_ids(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY,
               end: int = END) -> None:
     """Write the ids of every whole text, with `end` after each, as ORC files below `path`.
@@ -102,12 +166,11 @@ def write_ids(df: DataFrame, path: str, key: str = "doc_id", text: str = "text",
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, row, before = _encoder(vocabulary), TaskContext.get().partitionId(), 0, 0
-        last = np.array([end], "<i4").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                some = batch.slice(at, ROWS)
-                ids = [x + last for x in encoder(some.column("text").to_pylist())]
-                ends = np.cumsum([0, *[len(x) // 4 for x in ids]])
+            for some in _chunks(batch):
+                ids, sizes = encoder(some.column("text"))
+                ids = np.insert(ids, np.cumsum(sizes), end)
+                ends = np.concatenate([[0], np.cumsum(sizes + 1)])
                 n = some.num_rows
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -116,7 +179,7 @@ def write_ids(df: DataFrame, path: str, key: str = "doc_id", text: str = "text",
                         pa.array(np.arange(row, row + n)),
                         pa.array(before + ends[:-1]),
                         pa.array(np.diff(ends)),
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4"))),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32())),
                     ],
                     names=schema.fieldNames(),
                 )
