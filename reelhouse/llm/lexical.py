@@ -20,10 +20,8 @@ from __future__ import annotations
 
 import heapq
 import math
-import re
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -34,193 +32,198 @@ from pyspark.sql import types as T
 
 from reelhouse.llm.common import kept, read
 
-# Terms, and the numbers of the scoring formula.
-TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 TOP = 10
 PAIRS = 200_000  # (query, term) pairs that are searched for together; a task holds them in memory
-BLOCK = 16  # documents a block should have
+BLOCK = 8  # documents a block should have
 PLANES = 24  # hyperplanes at most
-FLUSH = 100_000  # maxima a task gathers before it hands them on
-
-_find = re.compile(TERM).findall
-_lower = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
-
-
-def terms(text: str | None) -> list[str]:
-    """The terms of a text, with repeats; only A to Z are lower-cased."""
-    return _find((text or "").translate(_lower))
-
-
-def _listed(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[list[dict]]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows).to_pylist()
+CELLS = 1 << 22  # numbers a task holds as a matrix
 
+_BREAKS = bytes(
+    c + 32 if ord("A") <= c <= ord("Z") else c if c >= 0x80 or chr(c).isalnum() else ord(" ") for c in range(256)
+)
 
-def _batch(rows: list[tuple], schema: T.StructType) -> pa.RecordBatch:
-    from pyspark.sql.pandas.types import to_arrow_schema
 
-    arrow = to_arrow_schema(schema)
-    columns = list(zip(*rows)) if rows else [[] for _ in arrow]
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+def terms(text: str | None) -> list[bytes]:
+    """The terms of a text in UTF-8, with repeats: what is left between ASCII characters that are neither letters
+    nor digits, only A to Z lower-cased."""
+    return (text or "").encode().translate(_BREAKS).split()
 
 
 def query_terms(queries: DataFrame, key: str, text: str) -> DataFrame:
     """_q and term, once each; rows of one key count as one query."""
-    schema = T.StructType([T.StructField("_q", queries.schema[key].dataType), T.StructField("term", T.StringType())])
+    schema = T.StructType([T.StructField("_q", queries.schema[key].dataType), T.StructField("term", T.BinaryType())])
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _listed(batches):
-            yield _batch([(r["_q"], t) for r in rows for t in sorted(set(terms(r["text"])))], schema)
+        for batch in batches:
+            found = [sorted(set(terms(t.as_py()))) for t in batch.column("text")]
+            at = np.repeat(np.arange(len(found)), [len(x) for x in found])
+            listed = pa.array([t for x in found for t in x], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("_q").take(pa.array(at)), listed], names=["_q", "term"])
 
     plain = queries.select(F.col(key).alias("_q"), F.col(text).alias("text"))
     return plain.mapInArrow(split, schema).distinct()
 
 
-@dataclass
 class Queries:
-    """The queries that are searched for together, numbered, as plain dictionaries."""
+    """The queries that are searched for together; queries and terms are numbered."""
 
-    keys: list
-    terms: list[list[str]]
-    of: dict[str, list[int]]  # queries of a term
-
-    @classmethod
-    def gathered(cls, pairs: list) -> Queries:
+    def __init__(self, pairs: list):
         by_key = defaultdict(list)
-        for key, term in sorted(pairs, key=lambda p: (p[0] is None, p)):
-            by_key[key].append(term)
-        of = defaultdict(list)
-        for i, listed in enumerate(by_key.values()):
+        for key, term in pairs:
+            by_key[key].append(bytes(term))
+        self.keys = sorted(by_key, key=lambda k: (k is None, k))
+        self.number = {t: i for i, t in enumerate(sorted({t for listed in by_key.values() for t in listed}))}
+        self.terms = [np.array(sorted(self.number[t] for t in by_key[k])) for k in self.keys]
+        self.of: list[list[int]] = [[] for _ in self.number]  # queries of a term
+        for q, listed in enumerate(self.terms):
             for t in listed:
-                of[t].append(i)
-        return cls(list(by_key), list(by_key.values()), dict(of))
+                self.of[t].append(q)
+
 
+VECTOR = "held array<int>, {} array<bigint>"
 
-def vectors(docs: DataFrame, vocabulary: set[str], key: str, text: str) -> DataFrame:
-    """_key, n, held and tf for each document with a term: how many terms, and which of the vocabulary."""
+
+def _fields(ddl: str) -> list[T.StructField]:
+    return list(T.StructType.fromDDL(ddl))
+
+
+def vectors(docs: DataFrame, queries, key: str, text: str) -> DataFrame:
+    """_key, n, held and tf for each document with a term: how many terms, and which of the queries'."""
     schema = T.StructType(
-        [
-            T.StructField("_key", docs.schema[key].dataType),
-            T.StructField("n", T.LongType()),
-            T.StructField("held", T.ArrayType(T.StringType())),
-            T.StructField("tf", T.ArrayType(T.LongType())),
-        ]
+        [T.StructField("_key", docs.schema[key].dataType), T.StructField("n", T.LongType()), *_fields(VECTOR.format("tf"))]
     )
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = shared.value
-        for rows in _listed(batches, 128):
-            found = []
-            for r in rows:
-                listed = terms(r["text"])
+        number = queries.value.number
+        for batch in batches:
+            rows, n, held, tf = [], [], [], []
+            for i, text in enumerate(batch.column("text")):
+                listed = terms(text.as_py())
                 if listed:
-                    some = Counter(t for t in listed if t in wanted)
-                    found.append((r["_key"], len(listed), list(some), list(some.values())))
-            yield _batch(found, schema)
+                    some = Counter([number[t] for t in listed if t in number])
+                    rows.append(i)
+                    n.append(len(listed))
+                    held.append(list(some))
+                    tf.append(list(some.values()))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("_key").take(pa.array(rows, pa.int64())),
+                    pa.array(n, pa.int64()),
+                    pa.array(held, pa.list_(pa.int32())),
+                    pa.array(tf, pa.list_(pa.int64())),
+                ],
+                names=schema.fieldNames(),
+            )
 
     plain = docs.select(F.col(key).alias("_key"), F.col(text).alias("text"))
     return plain.mapInArrow(count, schema)
 
 
+def _flat(batch: pa.RecordBatch, values: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, term and value of each entry of the vectors in a batch."""
+    held, listed = batch.column("held"), batch.column(values)
+    sizes = np.diff(held.offsets.to_numpy())
+    row = np.repeat(np.arange(batch.num_rows), sizes)
+    return row, held.flatten().to_numpy().astype(np.int64), listed.flatten().to_numpy(zero_copy_only=False)
+
+
 def weight(documents: int, df: int) -> int:
     return math.floor(1000 * math.log((2 * documents + 2) / (2 * df + 1)))
 
 
-def impact(w: int, tf: int, m: int) -> int:
+def impacts(w: np.ndarray, tf: np.ndarray, n: np.ndarray, documents: int, tokens: int) -> np.ndarray:
+    """What each entry adds to a score, in 64-bit integers."""
+    m = 100 - 90 + 90 * n * documents // tokens
     return w * (1_000_000_000 * tf // (1000 * tf + 8 * m))
 
 
-def length_factor(n: int, documents: int, tokens: int) -> int:
-    return 100 - 90 + 90 * n * documents // tokens
-
-
-def planes(vocabulary: list[str]) -> dict[str, np.ndarray]:
-    """For each term which side of the hyperplanes it pulls to, +1 or -1."""
-    sides = np.random.default_rng(13).integers(0, 2, (len(vocabulary), PLANES)) * 2 - 1
-    return dict(zip(vocabulary, sides.astype("i8")))
-
-
 def depth(df: int) -> int:
     """Hyperplanes that cut the list of a term held by so many documents."""
     return min(PLANES, max(0, math.ceil(math.log2(max(df, 1) / BLOCK))))
 
 
-def _weighed(found: DataFrame, weights: dict[str, int], documents: int, tokens: int) -> DataFrame:
-    """_d, _key, code (sides of the hyperplanes), held and impacts."""
+def _weighed(found: DataFrame, weights: np.ndarray, documents: int, tokens: int) -> DataFrame:
+    """_d, _key, code (sides of the hyperplanes), held and impacts, in the order of the code: documents that
+    are alike meet in a file, also where very many are the same."""
     schema = T.StructType(
-        [
-            found.schema["_d"],
-            found.schema["_key"],
-            T.StructField("code", T.IntegerType()),
-            found.schema["held"],
-            T.StructField("impacts", T.ArrayType(T.LongType())),
-        ]
+        [found.schema["_d"], found.schema["_key"], *_fields("code int, " + VECTOR.format("impacts"))]
     )
-    shared = found.sparkSession.sparkContext.broadcast((weights, planes(sorted(weights))))
+    sides = np.random.default_rng(13).integers(0, 2, (len(weights), PLANES)) * 2.0 - 1  # which way a term pulls
+    shared = found.sparkSession.sparkContext.broadcast((weights, sides))
     bits = 1 << np.arange(PLANES - 1, -1, -1)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, sides = shared.value
-        for rows in _listed(batches):
-            out = []
-            for r in rows:
-                m = length_factor(r["n"], documents, tokens)
-                impacts = [impact(weights[t], tf, m) for t, tf in zip(r["held"], r["tf"])]
-                pulled = np.array(impacts, float) @ np.array([sides[t] for t in r["held"]], float)
-                out.append((r["_d"], r["_key"], int(bits[pulled > 0].sum()), r["held"], impacts))
-            yield _batch(out, schema)
-
-    return found.filter(F.size("held") > 0).mapInArrow(weigh, schema)
+        for whole in batches:
+            for batch in _portions(whole, CELLS // PLANES):
+                row, term, tf = _flat(batch, "tf")
+                found = impacts(weights[term], tf, batch.column("n").to_numpy()[row], documents, tokens)
+                pulled = np.zeros((batch.num_rows, PLANES))
+                first = np.flatnonzero(np.diff(row, prepend=-1))
+                pulled[row[first]] = np.add.reduceat(sides[term] * found[:, None], first)
+                held = batch.column("held")
+                ends = held.offsets.to_numpy()
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("_d"),
+                        batch.column("_key"),
+                        pa.array(((pulled > 0) @ bits).astype("i4")),
+                        held,
+                        pa.ListArray.from_arrays(pa.array(ends - ends[0], pa.int32()), pa.array(found)),
+                    ],
+                    names=schema.fieldNames(),
+                )
+
+    out = found.filter(F.size("held") > 0).mapInArrow(weigh, schema)
+    return out.repartitionByRange("code", "_d").sortWithinPartitions("code", "_d")
+
+
+def _portions(batch: pa.RecordBatch, entries: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch whose vectors have so many entries together, or one row."""
+    ends, at = batch.column("held").offsets.to_numpy().astype(np.int64), 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + entries, "right")) - 1)
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def _dense(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """Some rows at a time: the rows, row and term of their entries, and their impacts as a matrix."""
+    rows = max(1, CELLS // width)
+    for whole in batches:
+        for at in range(0, whole.num_rows, rows):
+            batch = whole.slice(at, rows)
+            row, term, value = _flat(batch, "impacts")
+            table = np.zeros((batch.num_rows, width), np.int64)
+            table[row, term] = value
+            yield batch, row, term, table
 
 
 def _champions(weighed: DataFrame) -> DataFrame:
-    """term, _d, impact of the TOP documents of highest impact of each term."""
-    schema = T.StructType([T.StructField("term", T.StringType()), weighed.schema["_d"], T.StructField("impact", T.LongType())])
+    """term, impact, _d of the TOP documents of highest impact of each term."""
+    schema = T.StructType.fromDDL("term int, impact bigint, _d bigint")
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heaps: dict[str, list] = defaultdict(list)
-        for rows in _listed(batches):
-            for r in rows:
-                for t, i in zip(r["held"], r["impacts"]):
-                    _push(heaps[t], (i, -r["_d"]))
-        yield _batch([(t, -d, i) for t, heap in heaps.items() for i, d in heap], schema)
+        term, value, doc = (np.zeros(0, np.int64) for _ in range(3))
+        for batch in batches:
+            row, t, v = _flat(batch, "impacts")
+            term, value = np.concatenate([term, t]), np.concatenate([value, v])
+            doc = np.concatenate([doc, batch.column("_d").to_numpy()[row]])
+            order = np.lexsort((doc, -value, term))
+            term, value, doc = term[order], value[order], doc[order]
+            starts = np.flatnonzero(np.diff(term, prepend=-1))
+            place = np.arange(len(term)) - np.repeat(starts, np.diff([*starts, len(term)]))
+            term, value, doc = (x[place < TOP] for x in (term, value, doc))
+        columns = [pa.array(term.astype("i4")), pa.array(value), pa.array(doc)]
+        yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
 
     order = W.partitionBy("term").orderBy(F.desc("impact"), "_d")
     found = weighed.select("_d", "held", "impacts").mapInArrow(best, schema)
     return found.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= TOP).drop("_r")
 
 
-def _push(heap: list, entry) -> None:
-    if len(heap) < TOP:
-        heapq.heappush(heap, entry)
-    elif entry > heap[0]:
-        heapq.heapreplace(heap, entry)
-
-
-def _scored(chosen: DataFrame, queries) -> DataFrame:
-    """_i (number of the query), _d, _key, score: the best TOP of each task for each query, by score above 0
-    and then by key, nulls last. `chosen` has `_qs`, the queries to score a document for."""
-    kind = chosen.schema["_key"]
-    schema = T.StructType([T.StructField("_i", T.IntegerType()), chosen.schema["_d"], kind, T.StructField("score", T.LongType())])
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        listed, heaps = queries.value.terms, defaultdict(list)
-        for rows in _listed(batches):
-            for r in rows:
-                entries = dict(zip(r["held"], r["impacts"]))
-                for q in set(r["_qs"]):
-                    total = sum(entries.get(t, 0) for t in listed[q])
-                    if total > 0:
-                        _push(heaps[q], (total, _Last(r["_key"]), -r["_d"]))
-        yield _batch([(q, -d, k.key, s) for q, heap in heaps.items() for s, k, d in heap], schema)
-
-    return chosen.select("_d", "_key", "held", "impacts", "_qs").mapInArrow(score, schema)
-
-
-class _Last:
-    """Keys in falling order, null lowest."""
+class _Falling:
+    """Keys in falling order, null first, so that a heap gives up high keys first."""
 
     __slots__ = ("key",)
 
@@ -235,8 +238,43 @@ class _Last:
             return self.key is None and other.key is not None
         return self.key > other.key
 
-    def __gt__(self, other):
-        return other < self
+
+def _scored(chosen: DataFrame, queries) -> DataFrame:
+    """_i (number of the query), _d, _key, score: the best TOP of each task for each query, by score above 0
+    and then by key, nulls last. `chosen` has `_qs`, the queries to score a document for."""
+    schema = T.StructType([*_fields("_i int, _d bigint, score bigint"), chosen.schema["_key"]])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, heaps = queries.value, defaultdict(list)
+        for batch, _, _, table in _dense(batches, len(asked.number)):
+            listed = batch.column("_qs")
+            row = np.repeat(np.arange(batch.num_rows), np.diff(listed.offsets.to_numpy()))
+            pairs = np.unique(np.stack([listed.flatten().to_numpy(), row]), axis=1)
+            starts = np.flatnonzero(np.diff(pairs[0], prepend=-1))
+            keys, docs = batch.column("_key"), batch.column("_d").to_numpy()
+            for q, rows in zip(pairs[0][starts], np.split(pairs[1], starts[1:])):
+                total, heap = table[np.ix_(rows, asked.terms[q])].sum(axis=1), heaps[q]
+                for i in np.argsort(-total, kind="stable"):
+                    s = int(total[i])
+                    if s <= 0 or len(heap) == TOP and s < heap[0][0]:
+                        break
+                    entry = (s, _Falling(keys[int(rows[i])].as_py()), -int(docs[rows[i]]))
+                    if len(heap) < TOP:
+                        heapq.heappush(heap, entry)
+                    elif heap[0] < entry:
+                        heapq.heapreplace(heap, entry)
+        out = [(q, -d, s, k.key) for q, heap in heaps.items() for s, k, d in heap]
+        columns = list(zip(*out)) if out else [()] * 4
+        kinds = [pa.int32(), pa.int64(), pa.int64(), _arrow(schema["_key"])]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=schema.fieldNames())
+
+    return chosen.select("_d", "_key", "held", "impacts", "_qs").mapInArrow(score, schema)
+
+
+def _arrow(field: T.StructField) -> pa.DataType:
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    return to_arrow_type(field.dataType)
 
 
 def _ranked(scored: DataFrame) -> DataFrame:
@@ -244,97 +282,108 @@ def _ranked(scored: DataFrame) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(order).cast("int")).filter(F.col("rank") <= TOP)
 
 
-@dataclass
 class Plan:
-    """What search goes by: the floors of the queries, and which lists each has to go through."""
+    """What search goes by: the floors of the queries, which queries go through the list of a term, and at how
+    many hyperplanes the list is cut. A block is a term and the sides its documents lie on, as one number."""
 
-    floors: list[int]
-    lists: dict[str, list[int]]  # term to the queries that go through its list
-    depths: dict[str, int]
-
-    @classmethod
-    def made(cls, queries: Queries, floors: list[int], greatest: dict[str, int], df: dict[str, int]) -> Plan:
+    def __init__(self, queries: Queries, floors: list[int], greatest: np.ndarray, df: np.ndarray):
+        self.floors = floors
         lists = defaultdict(list)
         for q, listed in enumerate(queries.terms):
             reach = 0
-            for t in sorted((t for t in listed if t in greatest), key=lambda t: (greatest[t], t)):
-                reach += greatest[t]
+            for t in sorted(listed[greatest[listed] > 0].tolist(), key=lambda t: (greatest[t], t)):
+                reach += int(greatest[t])
                 if reach >= floors[q]:
                     lists[t].append(q)
-        return cls(floors, dict(lists), {t: depth(df[t]) for t in lists})
+        self.lists = dict(lists)
+        self.cut = np.full(len(df), -1)
+        for t in lists:
+            self.cut[t] = depth(int(df[t]))
+
+    def blocks(self, term: np.ndarray, code: np.ndarray) -> np.ndarray:
+        return (term << PLANES) | (code >> (PLANES - self.cut[term]))
 
-    def block(self, term: str, code: int) -> int:
-        return code >> (PLANES - self.depths[term])
+    def mates(self, queries: Queries, term: int) -> np.ndarray:
+        """The coordinates that a query with this list may ask for."""
+        return np.unique(np.concatenate([queries.terms[q] for q in self.lists[term]]))
 
 
 def _maxima(weighed: DataFrame, queries, plan) -> DataFrame:
-    """term, block, other, most: the summary of each block, one row per coordinate that is not 0."""
-    schema = T.StructType.fromDDL("term string, block int, other string, most bigint")
+    """block, others, most: the summary of each block, its coordinates above 0."""
+    schema = T.StructType.fromDDL("block bigint, other int, most bigint")
 
     def sum_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked, by = queries.value, plan.value
-        most: dict[tuple, int] = {}
-        for rows in _listed(batches):
-            for r in rows:
-                entries = dict(zip(r["held"], r["impacts"]))
-                for t in entries:
-                    if t not in by.lists:
-                        continue
-                    block = by.block(t, r["code"])
-                    for other in {o for q in by.lists[t] for o in asked.terms[q] if o in entries}:
-                        at = (t, block, other)
-                        if most.get(at, -1) < entries[other]:
-                            most[at] = entries[other]
-                if len(most) > FLUSH:
-                    yield _batch([(*at, m) for at, m in most.items()], schema)
-                    most = {}
-        yield _batch([(*at, m) for at, m in most.items()], schema)
+        mates: dict[int, np.ndarray] = {}
+        for batch, row, term, table in _dense(batches, len(asked.number)):
+            listed = by.cut[term] >= 0
+            row, term = row[listed], term[listed]
+            if not len(row):
+                continue
+            block = by.blocks(term, batch.column("code").to_numpy().astype(np.int64)[row])
+            order = np.argsort(block, kind="stable")
+            block, row = block[order], row[order]
+            starts = np.flatnonzero(np.diff(block, prepend=-1))
+            found = []
+            for at, rows in zip(block[starts].tolist(), np.split(row, starts[1:])):
+                t = at >> PLANES
+                if t not in mates:
+                    mates = {} if sum(map(len, mates.values())) > CELLS else mates
+                    mates[t] = by.mates(asked, t)
+                most = table[np.ix_(rows, mates[t])].max(axis=0)
+                there = np.flatnonzero(most)
+                found.append((np.full(len(there), at), mates[t][there], most[there]))
+            columns = [np.concatenate(c) for c in zip(*found)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(columns[0]), pa.array(columns[1].astype("i4")), pa.array(columns[2])], names=schema.fieldNames()
+            )
 
     found = weighed.select("code", "held", "impacts").mapInArrow(sum_up, schema)
-    return found.groupBy("term", "block", "other").agg(F.max("most").alias("most"))
+    # one shuffle by block serves both groupings
+    most = found.repartition("block").groupBy("block", "other").agg(F.max("most").alias("most"))
+    return most.groupBy("block").agg(F.collect_list("other").alias("others"), F.collect_list("most").alias("most"))
 
 
 def _open_blocks(maxima: DataFrame, queries, plan) -> DataFrame:
-    """term, block and _qs: the queries for which the bound of the block does not lie below the floor."""
-    schema = T.StructType.fromDDL("term string, block int, _i int, most bigint")
+    """block and _qs: the queries for which the bound of the block does not lie below the floor."""
+    schema = T.StructType.fromDDL("block bigint, _qs array<int>")
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked, by = queries.value, plan.value
-        sets = [set(x) for x in asked.terms]
-        for rows in _listed(batches, 4096):
-            yield _batch(
-                [
-                    (r["term"], r["block"], q, r["most"])
-                    for r in rows
-                    for q in by.lists[r["term"]]
-                    if r["other"] in sets[q]
-                ],
-                schema,
+        dense = np.zeros(len(asked.number), np.int64)
+        for batch in batches:
+            blocks, left = [], []
+            for block, others, most in zip(*(batch.column(c) for c in ("block", "others", "most"))):
+                at, others = block.as_py(), others.values.to_numpy()
+                dense[others] = most.values.to_numpy()
+                some = [q for q in by.lists[at >> PLANES] if dense[asked.terms[q]].sum() >= by.floors[q]]
+                dense[others] = 0
+                if some:
+                    blocks.append(at)
+                    left.append(some)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(blocks, pa.int64()), pa.array(left, pa.list_(pa.int32()))], names=schema.fieldNames()
             )
 
-    bounds = maxima.mapInArrow(ask, schema).groupBy("term", "block", "_i").agg(F.sum("most").alias("bound"))
-    kind = T.StructType.fromDDL("term string, block int, _i int")
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        floors = plan.value.floors
-        for rows in _listed(batches, 4096):
-            yield _batch([(r["term"], r["block"], r["_i"]) for r in rows if r["bound"] >= floors[r["_i"]]], kind)
-
-    return bounds.mapInArrow(keep, kind)
+    return maxima.mapInArrow(ask, schema)
 
 
 def _members(weighed: DataFrame, plan) -> DataFrame:
-    """term, block, _d for the lists that are gone through."""
-    schema = T.StructType.fromDDL("term string, block int").add(weighed.schema["_d"])
+    """block, _d for the lists that are gone through."""
+    schema = T.StructType.fromDDL("block bigint, _d bigint")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by = plan.value
-        for rows in _listed(batches):
-            yield _batch(
-                [(t, by.block(t, r["code"]), r["_d"]) for r in rows for t in r["held"] if t in by.lists], schema
-            )
+        for whole in batches:
+            for batch in _portions(whole, CELLS):
+                row, term, _ = _flat(batch, "impacts")
+                listed = by.cut[term] >= 0
+                row, term = row[listed], term[listed]
+                block = by.blocks(term, batch.column("code").to_numpy().astype(np.int64)[row])
+                doc = batch.column("_d").to_numpy()[row]
+                yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(doc)], names=schema.fieldNames())
 
-    return weighed.select("_d", "code", "held").mapInArrow(place, schema)
+    return weighed.select("_d", "code", "held", "impacts").mapInArrow(place, schema)
 
 
 def search_together(docs: DataFrame, pairs: list, kind: T.DataType, key: str, text: str,
@@ -342,22 +391,22 @@ def search_together(docs: DataFrame, pairs: list, kind: T.DataType, key: str, te
     """_q, rank, _key, score for queries given as (key, term) pairs, which have to fit into memory."""
     spark = docs.sparkSession
     share = spark.sparkContext.broadcast
-    queries = Queries.gathered(pairs)
-    found = vectors(docs, set(queries.of), key, text).withColumn("_d", F.monotonically_increasing_id())
-    found = kept(found, "vectors")
-    whole = found.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    counts = found.select(F.explode("held").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df")).collect()
-    df = {r["term"]: r["df"] for r in counts}  # of the queries' terms only
-    weights = {t: weight(whole[0], n) for t, n in df.items()}
-    weighed = kept(_weighed(found, weights, whole[0], max(whole[1], 1)), "weighed")
+    queries = Queries(pairs)
     asked = share(queries)
+    found = vectors(docs, asked, key, text).withColumn("_d", F.monotonically_increasing_id())
+    found = kept(found, "vectors")
+    documents, tokens = found.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    df = np.zeros(len(queries.number), np.int64)
+    for r in found.select(F.explode("held").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect():
+        df[r["t"]] = r["n"]  # a row for each of the queries' terms
+    weights = np.array([weight(documents, n) for n in df.tolist()])
+    weighed = kept(_weighed(found, weights, documents, max(tokens, 1)), "weighed")
 
     # 1. floors; at most TOP documents for each of the queries' terms
-    champions = _champions(weighed).collect()
-    greatest: dict[str, int] = {}
+    greatest = np.zeros(len(df), np.int64)
     chosen = defaultdict(set)
-    for r in champions:
-        greatest[r["term"]] = max(greatest.get(r["term"], 0), r["impact"])
+    for r in _champions(weighed).collect():
+        greatest[r["term"]] = max(greatest[r["term"]], r["impact"])
         chosen[r["_d"]].update(queries.of[r["term"]])
     seeds = spark.createDataFrame([(d, sorted(q)) for d, q in chosen.items()], "_d bigint, _qs array<int>")
     best = _ranked(_scored(weighed.join(F.broadcast(seeds), "_d"), asked))
@@ -366,16 +415,16 @@ def search_together(docs: DataFrame, pairs: list, kind: T.DataType, key: str, te
         floors[r["_i"]] = r["score"]
 
     # 2. lists and blocks
-    made = Plan.made(queries, floors, greatest, df)
+    made = Plan(queries, floors, greatest, df)
     plan = share(made)
-    bounded = _open_blocks(_maxima(weighed, asked, plan), asked, plan)
+    left = _open_blocks(_maxima(weighed, asked, plan), asked, plan)
     if seen:
-        bounded = kept(bounded, "blocks")
-        seen(queries, made, weighed, bounded)
-    candidates = _members(weighed, plan).join(bounded, ["term", "block"]).select("_d", "_i").distinct()
+        left = kept(left, "blocks")
+        seen(queries, made, weighed, left)
+    candidates = _members(weighed, plan).join(left, "block")
 
     # 3. scores; what a document is scored for comes as one list, bounded by the queries searched for together
-    wanted = candidates.groupBy("_d").agg(F.collect_list("_i").alias("_qs"))
+    wanted = candidates.groupBy("_d").agg(F.array_distinct(F.flatten(F.collect_set("_qs"))).alias("_qs"))
     ranked = _ranked(_scored(weighed.join(wanted, "_d"), asked))
     names = spark.createDataFrame(
         [(i, k) for i, k in enumerate(queries.keys)],

@@ -158,7 +158,7 @@ def test_large_entries_are_exact(spark):
     assert [r.deviation for r in found if r.component == 1] == [a if a < 1 << 63 else None for a in exact]
 
 
-TERM = re.compile(lexical.TERM)
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 
 def ranked(docs, items):
@@ -208,20 +208,22 @@ def test_search_equals_brute_force(spark):
 def test_any_block_size_gives_the_same(spark, monkeypatch, block):
     docs = [(i, prose(i % 50, 12) + " " + prose(500 + i, 6)) for i in range(300)]
     items = [(i, prose(i, 9)) for i in range(10)]
-    monkeypatch.setattr(lexical, "FLUSH", 5)
+    monkeypatch.setattr(lexical, "CELLS", 500)
     monkeypatch.setattr(lexical, "depth", lambda df: min(lexical.PLANES, max(0, math.ceil(math.log2(df / block)))))
     assert sorted(found(spark, docs, items)) == sorted(ranked(docs, items))
 
 
-def test_blocks_are_skipped(spark):
+def test_blocks_are_skipped(spark, monkeypatch):
     docs = [(i, prose(i % 50, 12) + " " + prose(500 + i, 6)) for i in range(600)]
     items = [(i, prose(i, 9)) for i in range(10)]
+    monkeypatch.setattr(lexical, "BLOCK", 2)
     figures = []
 
     def seen(queries, plan, weighed, blocks):
         shared = spark.sparkContext.broadcast(plan)
-        every = lexical._members(weighed, shared).select("term", "block").distinct().collect()
-        figures.append((sum(len(plan.lists[r.term]) for r in every), blocks.count()))
+        every = lexical._members(weighed, shared).select("block").distinct().collect()
+        left = blocks.agg(F.sum(F.size("_qs"))).first()[0]
+        figures.append((sum(len(plan.lists[r.block >> lexical.PLANES]) for r in every), left))
 
     assert sorted(found(spark, docs, items, seen=seen)) == sorted(ranked(docs, items))
     assert 0 < figures[0][1] < figures[0][0]
