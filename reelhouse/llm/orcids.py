@@ -40,9 +40,11 @@ PIECE_CHARS = 64  # longer ones are not remembered
 CHUNK = 8 << 20  # bytes of text encoded together, or one text that is longer
 TOGETHER = 4096  # new pieces encoded as one text
 
+MARKS = ".,;:!?"
 # A blank between two characters that no definition of white space takes for white space.
 _SOLID = r"[^\s\x00-\x20\x7f-\xa0 ᠎ -‏ -  -⁯　﻿]"
 _CUT = re.compile(rf" (?={_SOLID})(?<={_SOLID} )")
+_MARKED = re.compile(rf"[A-Za-z][{MARKS}]\Z")
 _WHOLE = re.compile(rf"{_SOLID}(?:.*{_SOLID})?\Z", re.DOTALL)
 
 
@@ -63,6 +65,7 @@ class Encoder:
         for token, i in vocabulary.items():
             self.lengths[i] = len(token)
         self.known: dict[str, bytes] = {}
+        self.marks = dict(zip(MARKS, (x.tobytes() for x in self._ids(list(MARKS)))))
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<i4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -99,13 +102,20 @@ class Encoder:
         pieces, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
         at = parts.offsets.to_numpy() - parts.offsets[0].as_py()
         held = [self.known.get(p) for p in pieces]
-        new = [p for p, x in zip(pieces, held) if x is None and _WHOLE.match(p)]
+        # a mark after a letter begins a part of its own, so the word before it may be known without it
+        bases = {p: p[:-1] for p, x in zip(pieces, held) if x is None and _MARKED.search(p)}
+        new = [bases.get(p, p) for p, x in zip(pieces, held) if x is None and _WHOLE.match(p)]
+        new = [p for p in dict.fromkeys(new) if p not in self.known]
         found: dict[str, bytes] = {}
         for i in range(0, len(new), TOGETHER):
             found |= self._learned(new[i : i + TOGETHER])
         if len(self.known) < PIECES:  # words that occur often come early
             self.known.update((p, x) for p, x in found.items() if len(p) <= PIECE_CHARS)
-        held = [found.get(p, b"") if x is None else x for p, x in zip(pieces, held)]
+        for i, (p, x) in enumerate(zip(pieces, held)):
+            if x is None:
+                base = bases.get(p, p)
+                x = found.get(base) or self.known.get(base, b"")
+                held[i] = x + self.marks[p[-1]] if x and p in bases else x
 
         sizes = np.array([len(x) // 4 for x in held], np.int64)
         rough = np.add.reduceat(sizes[codes] == 0, at[:-1]) > 0 if len(codes) else np.zeros(0, bool)
