@@ -15,7 +15,8 @@ from reelhouse.operators.joins import hottest
 from reelhouse.operators.keys import assign_keys
 from reelhouse.plans import credits, episodes, titles
 from reelhouse.schemas import TABLES
-from reelhouse.sources.sinks import SNAPSHOT, load, read_table
+from reelhouse.sources.sinks import SNAPSHOT, create_warehouse, load
+from reelhouse.sources.versions import Load, Version, latest
 
 RAW_FILES = ("title.basics", "title.ratings", "title.episode", "title.principals", "name.basics")
 
@@ -73,7 +74,7 @@ class Catalogue:
 
     @cached_property
     def rated_titles(self) -> DataFrame:
-        return titles.titles(self._read("title.basics"), self._read("title.ratings"))
+        return self._keep("rated_titles", titles.titles(self._read("title.basics"), self._read("title.ratings")))
 
     def _ids(self, name: str, rows: DataFrame, key: str) -> DataFrame:
         return self._keep(name, self._number(name, rows.select(key).distinct(), key))
@@ -117,11 +118,13 @@ class Catalogue:
 
     @cached_property
     def cast_people(self) -> DataFrame:
-        return credits.person_dim(self._by_person.filter("cast_rows > 0"), self._people)
+        held = credits.person_dim(self._by_person.filter("cast_rows > 0"), self._people)
+        return self._keep("cast_people", held)
 
     @cached_property
     def crew_people(self) -> DataFrame:
-        return credits.person_dim(self._by_person.filter("crew_rows > 0"), self._people)
+        held = credits.person_dim(self._by_person.filter("crew_rows > 0"), self._people)
+        return self._keep("crew_people", held)
 
     @cached_property
     def _cast_ids(self) -> DataFrame:
@@ -161,38 +164,62 @@ def load_drop(
     snapshot_date: datetime.date,
     as_of_year: int | None = None,
     parse: str = "split",
-) -> None:
+    database: str | None = None,
+) -> Version:
     """Load one drop into the warehouse at `root`; running it again changes nothing.
 
-    Ids live in key tables that only grow, so a title or person keeps its id in every drop. Each other
-    table holds one partition per drop, replaced as a whole; download_date grows by a row per drop.
-    Drops must be loaded one at a time; an earlier one may be loaded again at any time, and a corrected one
-    replaces what it held, also where nothing is left of a table.
+    The load is published as a whole at its end: until then, and if it breaks off, readers see the version
+    before. Ids live in key tables that only grow, so a title or person keeps its id in every drop; only keys
+    that are new are ranked, from the highest id on. Each other table holds one part per drop, replaced as a
+    whole; download_date grows by a row per drop. An earlier drop may be loaded again at any time, and a
+    corrected one replaces what it held, also where nothing is left of a table. Of two loads that overlap,
+    the later to finish is refused. With `database`, the declared tables there are filled from what was published.
     """
+    load = Load.begun(spark, root)
+    part = snapshot_date.isoformat()
 
     def number(kind: str, keys: DataFrame, key: str) -> DataFrame:
-        path = f"{root}/keys/{kind}"
-        numbered = assign_keys(keys, key, "id", read_table(spark, path))
-        load(numbered, path, "append_new", [key])
-        return spark.read.schema(numbered.schema).parquet(path).join(keys, key, "left_semi")
+        name = f"keys/{kind}"
+        schema = T.StructType([T.StructField(key, T.StringType()), T.StructField("id", T.LongType())])
+        if not load.base.of(name):
+            return load.grow(name, assign_keys(keys, key), "id")
+        known = load.base.read(spark, name, schema)
+        # one join finds the ids of the known keys and which keys are new
+        met = load.write(f"{name}.met", keys.join(known, key, "left"))
+        fresh = assign_keys(met.filter("id IS NULL").select(key), key)
+        fresh = fresh.withColumn("id", F.col("id") + load.high(name))
+        added = load.grow(name, fresh, "id").filter(F.col("id") > load.high(name))
+        return met.filter("id IS NOT NULL").unionByName(added)
 
     def keep(name: str, rows: DataFrame) -> DataFrame:
-        path = f"{root}/{name}"
         if name == "download_date":
-            known = titles.snapshot_dim(dates, read_table(spark, path))
-            load(conform(known, name), path, "append_new", ["year", "month", "day"])
-            return spark.read.parquet(path)
-        checked = conform(rows, name) if name in TABLES else rows
-        dated = checked.withColumn(SNAPSHOT, F.lit(snapshot_date))
-        load(dated, path, "overwrite_snapshot", snapshot=snapshot_date)
-        whole = spark.read.schema(dated.schema).parquet(path)
-        return whole.filter(F.col(SNAPSHOT) == F.lit(snapshot_date)).drop(SNAPSHOT)
+            known = load.base.read(spark, name, plain_schema(name))
+            dim = conform(titles.snapshot_dim(dates, known), name)
+            return load.grow(name, dim.join(known, ["year", "month", "day"], "left_anti").select(*dim.columns))
+        if name in TABLES:
+            return load.replace(name, part, conform(rows, name))
+        return rows if name.endswith("_ids") else load.write(name, rows)
 
     dates = titles.snapshot_row(spark, snapshot_date)
     year = as_of_year or snapshot_date.year
     catalogue = Catalogue(read, dates, year, parse, keep, number, snapshot_date)
     for name in TABLES:
         getattr(catalogue, name)
+    published = load.publish()
+    if database:
+        fill_tables(spark, published, database, snapshot_date)
+    return published
+
+
+def fill_tables(spark: SparkSession, version: Version, database: str, snapshot_date: datetime.date) -> None:
+    """Fill the declared tables of a database from a published drop: its partition is replaced, columns go by
+    name, and Spark's store assignment holds them to the declared types and text lengths."""
+    create_warehouse(spark, database)
+    for name in TABLES:
+        rows = read_version(spark, version, name, snapshot_date)
+        listed = ", ".join(TABLES[name].names)
+        dated = "" if name == "download_date" else f"PARTITION ({SNAPSHOT} = DATE'{snapshot_date.isoformat()}')"
+        spark.sql(f"INSERT OVERWRITE TABLE {database}.{name} {dated} ({listed}) SELECT {listed} FROM {{rows}}", rows=rows)
 
 
 def plain_schema(name: str) -> T.StructType:
@@ -207,19 +234,29 @@ def plain_schema(name: str) -> T.StructType:
 
 def register_views(spark: SparkSession, root: str, snapshot_date: datetime.date | None = None) -> None:
     """The warehouse tables under their own names, for dashboards that bring their SQL."""
+    version = latest(spark, root)
     for name in TABLES:
-        read_drop(spark, root, name, snapshot_date).createOrReplaceTempView(name)
+        read_version(spark, version, name, snapshot_date).createOrReplaceTempView(name)
 
 
-def read_drop(
-    spark: SparkSession, root: str, name: str, snapshot_date: datetime.date | None = None
-) -> DataFrame:
-    """A warehouse table: the partition of one drop, or of the latest."""
+def read_version(spark: SparkSession, version: Version, name: str, snapshot_date: datetime.date | None = None) -> DataFrame:
+    """A table of a version: one drop of it, or the latest."""
     schema = plain_schema(name)
     if name == "download_date":
-        return spark.read.schema(schema).parquet(f"{root}/{name}")
-    if snapshot_date is None:
-        dates = read_drop(spark, root, "download_date")
-        snapshot_date = dates.agg(F.max(F.make_date("year", "month", "day"))).first()[0]
-    df = spark.read.schema(T.StructType([*schema, T.StructField(SNAPSHOT, T.DateType())])).parquet(f"{root}/{name}")
-    return df.filter(F.col(SNAPSHOT) == F.lit(snapshot_date)).drop(SNAPSHOT)
+        return version.read(spark, name, schema)
+    if snapshot_date is not None:
+        return version.read(spark, name, schema, snapshot_date.isoformat())
+    parts = [e.part for e in version.of(name)]
+    return version.read(spark, name, schema, max(parts) if parts else "")
+
+
+def read_drop(
+    spark: SparkSession,
+    root: str,
+    name: str,
+    snapshot_date: datetime.date | None = None,
+    number: int | None = None,
+) -> DataFrame:
+    """A warehouse table: the rows of one drop, or of the latest, as published last or as version `number`
+    had them. All tables of one report are best read from one `versions.latest`."""
+    return read_version(spark, latest(spark, root, number), name, snapshot_date)

@@ -61,14 +61,24 @@ def load(
         raise ValueError(f"unknown mode {mode!r}")
 
 
-def create_warehouse(spark: SparkSession, database: str, reset: bool = False) -> None:
-    """Create the seven tables where they are missing. `reset=True` drops the whole database before."""
+def create_warehouse(
+    spark: SparkSession, database: str, reset: bool = False, location: str | None = None
+) -> None:
+    """Create the seven tables where they are missing, in a database at `location` if it is new.
+
+    Tables that are loaded drop by drop are partitioned by the drop's date. `reset=True` drops the whole
+    database before.
+    """
     if reset:
         spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
     for name, table in TABLES.items():
-        columns = ", ".join(
+        columns = [
             f"{f.name} {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}"
             for f in table.columns
-        )
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet")
+        ]
+        dated = name != "download_date"
+        listed = ", ".join(columns + [f"{SNAPSHOT} date"] * dated)
+        parts = f" PARTITIONED BY ({SNAPSHOT})" if dated else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({listed}) USING parquet{parts}")

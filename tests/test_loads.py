@@ -58,7 +58,7 @@ def test_create_warehouse(spark):
     assert names == set(TABLES)
     described = {r.col_name: r.data_type for r in spark.sql("DESCRIBE films.titles").collect()}
     assert described["tconst"] == "varchar(20)" and described["start_year"] == "smallint"
-    spark.sql("INSERT INTO films.crew VALUES (1, 'Ann', 50, false, 'nm1')")
+    spark.sql("INSERT INTO films.crew VALUES (1, 'Ann', 50, false, 'nm1', DATE'2021-06-26')")
     sinks.create_warehouse(spark, "films")
     assert spark.table("films.crew").count() == 1
     sinks.create_warehouse(spark, "films", reset=True)
