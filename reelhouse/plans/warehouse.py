@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import cache, cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +46,15 @@ def written(spark: SparkSession, root: str) -> Callable[[str, DataFrame], DataFr
     return keep
 
 
+# What can be put together side by side, each group from what the groups before it made.
+SIDE_BY_SIDE = (
+    ("download_date", "rated_titles", "_episode_totals", "_by_person", "_by_title"),
+    ("_title_ids", "cast_people", "crew_people"),
+    ("titles", "episodes", "_cast_ids", "_crew_ids"),
+    ("casts", "crew", "titles_casts", "titles_crew"),
+)
+
+
 class Catalogue:
     """The warehouse tables over decoded raw files, each put together when first asked for.
 
@@ -89,10 +99,13 @@ class Catalogue:
         rows = self.rated_titles.join(self._title_ids, "tconst").withColumn("download_date_id", drop)
         return self._keep("titles", rows)
 
+    @cached_property
+    def _episode_totals(self) -> DataFrame:
+        return self._keep("episode_totals", episodes.episode_summary(self._read("title.episode")))
+
     @cached_property
     def episodes(self) -> DataFrame:
-        totals = self._keep("episode_totals", episodes.episode_summary(self._read("title.episode")))
-        keyed = with_episode_key(episodes.with_title_ids(totals, self._title_ids))
+        keyed = with_episode_key(episodes.with_title_ids(self._episode_totals, self._title_ids))
         ids = self._ids("episode_ids", keyed, "_key")
         return self._keep("episodes", keyed.join(ids, "_key").drop("_key"))
 
@@ -203,8 +216,9 @@ def load_drop(
     dates = titles.snapshot_row(spark, snapshot_date)
     year = as_of_year or snapshot_date.year
     catalogue = Catalogue(read, dates, year, parse, keep, number, snapshot_date)
-    for name in TABLES:
-        getattr(catalogue, name)
+    with ThreadPoolExecutor(max(map(len, SIDE_BY_SIDE))) as pool:  # small jobs of one group share the cluster
+        for group in SIDE_BY_SIDE:
+            list(pool.map(lambda name: getattr(catalogue, name), group))
     published = load.publish()
     if database:
         fill_tables(spark, published, database, snapshot_date)
