@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import datetime
 import importlib
-import importlib.util
 import sys
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,13 +22,20 @@ from reelhouse.operators.suites import SUITES  # noqa: E402
 from reelhouse.plans import credits, episodes, reports, titles, warehouse  # noqa: E402
 from reelhouse.schemas import RAW_TYPES, TABLES  # noqa: E402
 from reelhouse.session import shared_folder  # noqa: E402
-from reelhouse.sources.files import TSV, as_batch, read_raw, snapshot_path  # noqa: E402
-from reelhouse.sources.sinks import load  # noqa: E402
+from reelhouse.sources.files import TSV, as_batch, read_asset, read_raw, snapshot_path  # noqa: E402
+from reelhouse.sources.sinks import create_warehouse, load  # noqa: E402
 from reelhouse.sources.standins import raw_view, table  # noqa: E402
-from reelhouse.streaming.drops import land, land_stream, pending_files, read_landed  # noqa: E402
+from reelhouse.streaming.drops import (  # noqa: E402
+    land,
+    land_stream,
+    pending_files,
+    read_landed,
+    read_quarantine,
+)
 
 AS_OF_YEAR = 2021
 DROP = datetime.date(2021, 6, 26)
+DAYS = (DROP, DROP + datetime.timedelta(days=1))
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +44,12 @@ def _known(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return decode_all(raw_view(spark, sf_dir, name))
 
 
+def _small(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A smaller drop: the titles with fewer votes, the first credits of each."""
+    fewer = {"title.ratings": "cast(numVotes as int) < 300000", "title.principals": "cast(ordering as int) <= 3"}
+    return _known(spark, sf_dir, name).filter(fewer.get(name, "true"))
+
+
 def _dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.to_date("o_orderdate").alias("snapshot_date")
     return table(spark, sf_dir, "orders").select(day)
@@ -244,6 +256,78 @@ def _landed_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return titles.titles(*[read_landed(spark, f"{root}/{name}", name, DROP) for name in names])
 
 
+def _written_lines(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """title.ratings as text of two dates; some lines lack a field, others have one too many."""
+    votes = F.col("numVotes").cast("int")
+    fields = F.concat_ws("\t", "tconst", "averageRating", "numVotes")
+    line = (
+        F.when(votes % 7 == 0, F.concat_ws("\t", "tconst", "averageRating"))
+        .when(votes % 11 == 0, F.concat_ws("\t", fields, F.lit("more")))
+        .otherwise(fields)
+    )
+    view = raw_view(spark, sf_dir, "title.ratings")
+    first = F.pmod(F.monotonically_increasing_id(), F.lit(1 << 33)) == 0  # of a file, as each task writes one
+    header = F.lit("\t".join(view.columns) + "\n")
+    for i, day in enumerate(DAYS):
+        rows = view.filter(F.pmod(votes, F.lit(2)) == i).select(line.alias("line"))
+        rows.select(F.concat(F.when(first, header).otherwise(""), "line")).write.text(
+            snapshot_path(root, day, "title.ratings")
+        )
+
+
+def _quarantined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a landed file by drop and number of fields: good ones, and those that were set apart."""
+    root = shared_folder(spark, "quarantine")
+    _written_lines(spark, sf_dir, f"{root}/raw")
+    land(spark, "title.ratings", f"{root}/raw", f"{root}/landed", f"{root}/done")
+    found = []
+    for i, day in enumerate(DAYS, 1):
+        good = read_landed(spark, f"{root}/landed", "title.ratings", day)
+        bad = read_quarantine(spark, f"{root}/landed", "title.ratings", day)
+        found += [
+            good.select(F.lit(i).alias("drop_id"), F.concat_ws("\t", *good.columns).alias("line")),
+            bad.select(F.lit(i).alias("drop_id"), F.col("bad_line").alias("line")),
+        ]
+    lines = reduce(DataFrame.unionByName, found)
+    return lines.groupBy("drop_id", F.size(F.split("line", "\t")).alias("fields")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("line").alias("first_line"), F.max("line").alias("last_line")
+    )
+
+
+def _mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of files whose headers differ: in another order, with one column more, with one less."""
+    root = shared_folder(spark, "mixed")
+    view = raw_view(spark, sf_dir, "title.ratings")
+    votes = F.col("numVotes").cast("int")
+    kinds = (["tconst", "averageRating", "numVotes"], ["numVotes", "tconst", "averageRating"],
+             ["tconst", "numVotes", "parity"], ["averageRating", "tconst"])
+    for i, columns in enumerate(kinds):
+        rows = view.withColumn("parity", F.pmod(votes, F.lit(2)).cast("string"))
+        rows.filter(F.pmod(votes, F.lit(4)) == i).select(*columns).write.options(**TSV).csv(f"{root}/part_{i}.tsv")
+    return read_asset(spark, root, "part-*")
+
+
+def _declared_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the tables of a database after two drops: of each drop, told apart by partition."""
+    root = shared_folder(spark, "declared")
+    database = "films_" + root.rsplit("-", 1)[1]
+    create_warehouse(spark, database, location=f"{root}/tables")
+    for i, day in enumerate(DAYS):
+        drop = _small if i == 0 else _known
+        warehouse.load_drop(spark, partial(drop, spark, sf_dir), f"{root}/house", day, AS_OF_YEAR, database=database)
+    found = []
+    for name, columns in {
+        "titles": "id tconst type primary_title is_adult start_year av_rating num_votes genre_1",
+        "casts": "id nconst name age is_alive",
+        "titles_crew": "title_id crew_id role",
+    }.items():
+        rows = spark.table(f"{database}.{name}")
+        drop_id = F.when(F.col("snapshot_date") == F.lit(DAYS[0]), 1).otherwise(2)
+        line = F.concat_ws("|", *[F.col(c).cast("string") for c in columns.split()])
+        found.append(rows.select(F.lit(name).alias("table_name"), drop_id.alias("drop_id"), line.alias("line")))
+    return reduce(DataFrame.unionByName, found)
+
+
 def _all_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All suites in one run over folders of text."""
     root = shared_folder(spark, "texts")
@@ -258,17 +342,8 @@ def _all_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _two_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of all tables, ids included, after a small drop, a larger one, and the small one again."""
     root = shared_folder(spark, "two_drops")
-    fewer = {"title.ratings": "cast(numVotes as int) < 300000", "title.principals": "cast(ordering as int) <= 3"}
-
-    def small(name: str) -> DataFrame:
-        return _known(spark, sf_dir, name).filter(fewer.get(name, "true"))
-
-    def large(name: str) -> DataFrame:
-        return _known(spark, sf_dir, name)
-
-    days = (DROP, DROP + datetime.timedelta(days=1))
-    for day, drop in ((days[0], small), (days[1], large), (days[0], small)):
-        warehouse.load_drop(spark, drop, root, day, AS_OF_YEAR)
+    for day, drop in ((DAYS[0], _small), (DAYS[1], _known), (DAYS[0], _small)):
+        warehouse.load_drop(spark, partial(drop, spark, sf_dir), root, day, AS_OF_YEAR)
     columns = {
         "titles": "id tconst type primary_title original_title is_adult start_year end_year runtime_minutes "
         "av_rating num_votes genre_1 genre_2 genre_3 download_date_id",
@@ -285,7 +360,7 @@ def _two_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat_ws("|", *[F.col(c).cast("string") for c in listed.split()]).alias("line"),
         )
         for name, listed in columns.items()
-        for i, day in enumerate(days, 1)
+        for i, day in enumerate(DAYS, 1)
     ]
     dates = warehouse.read_drop(spark, root, "download_date").select(
         F.lit("download_date").alias("table_name"),
@@ -316,20 +391,22 @@ def _keys(name: str, key: str) -> Query:
     return run
 
 
-def _present(name: str) -> bool:
-    """Whether a module of that name, with code of its own, can be imported."""
-    spec = importlib.util.find_spec(name)
-    return spec is not None and spec.origin is not None
+def _optional(name: str, wanted: str) -> dict:
+    """A table of queries or SQL of an optional module; nothing if it, or what it needs, cannot be imported."""
+    try:
+        return dict(getattr(importlib.import_module(name), wanted))
+    except ImportError:
+        return {}
 
 
 def _extra() -> dict[str, Query]:
-    """What the optional parts add, if they are there: the text operators and the corpus pipeline."""
-    found: dict[str, Query] = {}
-    if _present("reelhouse.llm"):
-        found |= importlib.import_module("reelhouse.llm.registry").QUERIES
-        if _present("corpus_pipeline"):
-            pipeline = importlib.import_module("corpus_pipeline")
-            found["pipeline"] = pipeline.run
+    """What the optional parts add, if they can be imported: the text operators and the corpus pipeline."""
+    found: dict[str, Query] = _optional("reelhouse.llm.registry", "QUERIES")
+    if found:
+        try:
+            found["pipeline"] = importlib.import_module("corpus_pipeline").run
+        except ImportError:
+            pass
     return found
 
 
@@ -408,6 +485,9 @@ def _library() -> dict[str, Query]:
         "tsv_round_trip": _tsv_round_trip,
         "warehouse_reload": _warehouse_reload,
         "two_drops": _two_drops,
+        "declared_tables": _declared_tables,
+        "quarantined_lines": _quarantined_lines,
+        "mixed_headers": _mixed_headers,
     }
 
 
@@ -415,4 +495,4 @@ def oracle_sql() -> dict[str, str]:
     """Name to DuckDB SQL over the same tables."""
     from oracle_queries import QUERIES
 
-    return dict(QUERIES)
+    return {**QUERIES, **_optional("reelhouse.llm.registry", "SQL")}

@@ -9,7 +9,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelhouse.schemas import raw_schema
-from reelhouse.sources.files import FORMS, drop_files, list_files, raw_options, snapshot_path
+from reelhouse.sources.files import (
+    BAD_LINE,
+    FORMS,
+    SOURCE_FILE,
+    drop_files,
+    list_files,
+    marked,
+    matching,
+    one_form,
+    raw_options,
+    snapshot_path,
+    with_bad_line,
+)
 from reelhouse.sources.sinks import SNAPSHOT, load, read_table
 
 _DATED = r"/(\d{4}-\d{2})/(\d{2})/"
@@ -49,17 +61,22 @@ def stream_drops(
     """Land the raw files of one kind from the dated folders below `source`.
 
     A backlog is taken in batches; a run that breaks off goes on after the last one. With
-    `decode_sentinel=False` the marker stays, for suites that are to run on the landed rows.
+    `decode_sentinel=False` the marker stays, for suites that are to run on the landed rows. Lines that do
+    not fit are landed apart (`read_quarantine`); a file both plain and zipped is refused.
     """
+    one_form(matching(spark, drop_files(source, name)))
     arriving = (
-        spark.readStream.schema(raw_schema(name))
-        .options(**raw_options(decode_sentinel))
+        spark.readStream.schema(with_bad_line(raw_schema(name)))
+        .options(**raw_options(decode_sentinel, "keep"))
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(drop_files(source, name))
     )
-    land_stream(
-        arriving.withColumn(SNAPSHOT, drop_date(F.col("_metadata.file_path"))), target, checkpoint
-    )
+    land_stream(_dated(arriving), target, checkpoint)
+
+
+def _dated(rows: DataFrame) -> DataFrame:
+    """Rows read with `bad_line`, marked and stamped with the date of their folder."""
+    return marked(rows).withColumn(SNAPSHOT, drop_date(F.col("_metadata.file_path")))
 
 
 def pending_files(listing: DataFrame, manifest: DataFrame | None) -> DataFrame:
@@ -79,8 +96,10 @@ def land(
 
     Dates with a new file are landed whole, replacing what they held, and only then is the listing that
     was taken at the start added to the manifest. So a run that broke off in between is repeated
-    without harm, and a file that arrives meanwhile counts as new the next time.
+    without harm, and a file that arrives meanwhile counts as new the next time. Lines that do not fit are
+    landed apart (`read_quarantine`), in the same pass; a file both plain and zipped is refused.
     """
+    one_form(matching(spark, drop_files(source, name)))
     listing = list_files(spark, drop_files(source, name)).withColumn(SNAPSHOT, drop_date(F.col("path")))
     listing = listing.filter(F.col(SNAPSHOT).isNotNull())  # a folder like 2021-13/99 is no drop
     fresh = pending_files(listing, read_table(spark, manifest))
@@ -89,18 +108,36 @@ def land(
         return 0
     dates = [row[SNAPSHOT] for row in by_date]
     rows = (
-        spark.read.schema(raw_schema(name))
-        .options(**raw_options(decode_sentinel))
+        spark.read.schema(with_bad_line(raw_schema(name)))
+        .options(**raw_options(decode_sentinel, "keep"))
         .csv([f"{snapshot_path(source, date)}/{name}.{FORMS}" for date in dates])
     )
-    dated = rows.withColumn(SNAPSHOT, drop_date(F.col("_metadata.file_path")))
-    load(dated, target, "overwrite_snapshot")
+    load(_dated(rows), target, "overwrite_snapshot")
     load(listing.filter(F.col(SNAPSHOT).isin(dates)).select("path"), manifest, "append_new", ["path"])
     return sum(row["n"] for row in by_date)
 
 
+def _landed(spark: SparkSession, target: str, name: str) -> DataFrame:
+    strings = [T.StructField(c, T.StringType()) for c in (BAD_LINE, SOURCE_FILE)]
+    schema = T.StructType([*raw_schema(name), *strings, T.StructField(SNAPSHOT, T.DateType())])
+    return spark.read.schema(schema).parquet(target)
+
+
 def read_landed(spark: SparkSession, target: str, name: str, snapshot_date: datetime.date) -> DataFrame:
-    """One drop of what was landed at `target`, under the schema of the raw file; a drop that was not
-    landed has no rows. What `load_drop` reads, so that text is parsed once."""
-    schema = T.StructType([*raw_schema(name), T.StructField(SNAPSHOT, T.DateType())])
-    return spark.read.schema(schema).parquet(target).filter(F.col(SNAPSHOT) == F.lit(snapshot_date)).drop(SNAPSHOT)
+    """One drop of what was landed at `target`, under the schema of the raw file, without the lines that do
+    not fit; a drop that was not landed has no rows. What `load_drop` reads, so that text is parsed once."""
+    rows = _landed(spark, target, name).filter(F.col(SNAPSHOT) == F.lit(snapshot_date))
+    return rows.filter(F.col(BAD_LINE).isNull()).select(*raw_schema(name).fieldNames())
+
+
+def read_quarantine(
+    spark: SparkSession, target: str, name: str, snapshot_date: datetime.date | None = None
+) -> DataFrame:
+    """bad_line, source_file and snapshot_date of the lines that were landed apart, of one drop or of all.
+
+    With the rows of `read_landed` they make up all lines of the files, headers and blank lines aside.
+    """
+    rows = _landed(spark, target, name).filter(F.col(BAD_LINE).isNotNull())
+    if snapshot_date is not None:
+        rows = rows.filter(F.col(SNAPSHOT) == F.lit(snapshot_date))
+    return rows.select(BAD_LINE, SOURCE_FILE, SNAPSHOT)

@@ -175,7 +175,9 @@ def test_landed_rows_are_those_read_raw(spark, drop, tmp_path, decode):
     )
     drops.land(spark, "title.basics", drop, str(tmp_path / "b"), str(tmp_path / "m"), decode)
     for way in ("s", "b"):
-        assert rows(spark.read.parquet(str(tmp_path / way)).drop("snapshot_date")) == want
+        found = spark.read.parquet(str(tmp_path / way))
+        assert found.filter("bad_line is not null or source_file is not null").count() == 0
+        assert rows(found.drop("snapshot_date", "bad_line", "source_file")) == want
 
 
 def test_an_earlier_drop_can_be_loaded_again(spark, film, tmp_path):
@@ -220,3 +222,39 @@ def test_undated_folders_are_left_alone(spark, tmp_path):
     write_tsv(tmp_path / "2021-06" / "26" / "title.ratings.tsv", "title.ratings", [["tt2", "1.0", "1"]])
     landed = drops.land(spark, "title.ratings", str(tmp_path), str(tmp_path / "out"), str(tmp_path / "done"))
     assert landed == 1 and spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def test_lines_that_do_not_fit_land_apart(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    day = source / "2021-06" / "26" / "title.ratings.tsv"
+    write_tsv(day / "a.tsv", "title.ratings", [["tt1", "1.0", N], ["tt2", "2.0"], ["tt3", "3.0", "4", "x"]])
+    write_tsv(day / "b.tsv.gz", "title.ratings", [["tt4", "4.0", "1"], ["alone"]], zipped=True)
+    write_tsv(source / "2021-06" / "27" / "title.ratings.tsv", "title.ratings", [["tt5", "5.0", "2"]])
+    drops.stream_drops(spark, "title.ratings", str(source), f"{out}/stream", f"{out}/checkpoint")
+    drops.land(spark, "title.ratings", str(source), f"{out}/batch", f"{out}/manifest")
+    for way in ("stream", "batch"):
+        good = drops.read_landed(spark, f"{out}/{way}", "title.ratings", DROP)
+        assert rows(good) == [("tt1", "1.0", None), ("tt4", "4.0", "1")]
+        bad = drops.read_quarantine(spark, f"{out}/{way}", "title.ratings", DROP).collect()
+        assert sorted((r.bad_line, r.source_file.rsplit("/", 1)[1]) for r in bad) == [
+            ("alone", "b.tsv.gz"), ("tt2\t2.0", "a.tsv"), ("tt3\t3.0\t4\tx", "a.tsv")
+        ]
+        assert drops.read_quarantine(spark, f"{out}/{way}", "title.ratings", NEXT).count() == 0
+        assert drops.read_quarantine(spark, f"{out}/{way}", "title.ratings").count() == 3
+    # a corrected file replaces its date, and what was set aside goes
+    write_tsv(day / "c.tsv", "title.ratings", [["tt6", "1.0", "1"]])
+    (day / "a.tsv").write_text("")
+    (day / "b.tsv.gz").unlink()
+    drops.land(spark, "title.ratings", str(source), f"{out}/batch", f"{out}/manifest")
+    assert drops.read_quarantine(spark, f"{out}/batch", "title.ratings").count() == 0
+
+
+def test_a_file_in_two_forms_is_not_landed_twice(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    day = source / "2021-06" / "26"
+    write_tsv(day / "title.ratings.tsv", "title.ratings", [["tt1", "1.0", "2"]])
+    write_tsv(day / "title.ratings.tsv.gz", "title.ratings", [["tt1", "1.0", "2"]], zipped=True)
+    with pytest.raises(ValueError, match="several forms"):
+        drops.land(spark, "title.ratings", str(source), f"{out}/batch", f"{out}/manifest")
+    with pytest.raises(ValueError, match="several forms"):
+        drops.stream_drops(spark, "title.ratings", str(source), f"{out}/stream", f"{out}/checkpoint")

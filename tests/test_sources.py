@@ -60,12 +60,70 @@ def test_read_asset_by_glob(spark, drop):
     assert asset.count() == len(FILM["title.episode"])
 
 
-def test_an_asset_has_one_header(spark, tmp_path):
+def test_files_of_several_headers_meet_by_name(spark, tmp_path):
     write_tsv(tmp_path / "a.tsv", "title.ratings", [["tt1", "1.0", "5"]])
-    write_tsv(tmp_path / "b.tsv", "title.ratings", [["tt2", "5", "1.0"]], header=["tconst", "numVotes", "averageRating"])
-    assert files.read_asset(spark, str(tmp_path), "a.tsv").count() == 1
-    with pytest.raises(Exception, match="FAILED_READ_FILE"):
-        files.read_asset(spark, str(tmp_path)).collect()
+    write_tsv(tmp_path / "b.tsv", "title.ratings", [["tt2", "6", "2.0"]], header=["tconst", "numVotes", "averageRating"])
+    write_tsv(tmp_path / "c.tsv.gz", "title.ratings", [["x", "tt3"]], header=["extra", "tconst"], zipped=True)
+    write_tsv(tmp_path / "d.tsv", "title.ratings", [["tt4", "3.0", "7"], ["tt5", "", "\\N"]])
+    (tmp_path / "e.tsv").write_text("")
+    want = [("tt1", "1.0", "5", None), ("tt2", "2.0", "6", None), ("tt3", None, None, "x"), ("tt4", "3.0", "7", None),
+            ("tt5", None, "\\N", None)]
+    found = files.read_asset(spark, str(tmp_path), "*.tsv*")
+    assert found.columns == ["tconst", "averageRating", "numVotes", "extra"] and rows(found) == want
+    assert rows(files.as_batch(spark, str(tmp_path), "text")) == want
+    heads = {r.file.rsplit("/", 1)[1]: r.header for r in files.headers(spark, str(tmp_path)).collect()}
+    assert heads["c.tsv.gz"] == "extra\ttconst" and "e.tsv" not in heads
+
+
+def test_parts_of_several_headers_are_not_misread(spark, tmp_path):
+    write_tsv(tmp_path / "x.tsv" / "part-0.tsv", "", [["1", "2"]], header=["a", "b"])
+    write_tsv(tmp_path / "x.tsv" / "part-1.tsv", "", [["4", "3"]], header=["b", "a"])
+    assert rows(files.as_batch(spark, str(tmp_path / "x.tsv")), "a", "b") == [("1", "2"), ("3", "4")]
+    write_tsv(tmp_path / "y.tsv", "", [["4", "3"]], header=["b", "b"])
+    with pytest.raises(ValueError, match="twice"):
+        files.as_batch(spark, str(tmp_path / "y.tsv"))
+
+
+def test_an_asset_without_files_has_no_rows(spark, tmp_path):
+    (tmp_path / "e.tsv").write_text("")
+    assert files.read_asset(spark, str(tmp_path)).count() == 0
+
+
+def test_the_header_is_found_in_files_of_many_splits(spark, tmp_path):
+    held = [[f"tt{i}", "1.0", str(i)] for i in range(3000)]
+    write_tsv(tmp_path / "a.tsv", "title.ratings", held)
+    write_tsv(tmp_path / "b.tsv", "title.ratings", [r[::-1] for r in held], header=["numVotes", "averageRating", "tconst"])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        found = files.read_asset(spark, str(tmp_path))
+        assert found.count() == 6000 and found.filter("tconst not like 'tt%'").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+BROKEN = [["tt1", "1.0", "5"], ["tt2", "2.0"], ["tt3", "3.0", "7", "more"], ["tt4", "", "\\N"]]
+
+
+def test_lines_that_do_not_fit_are_not_padded_or_cut(spark, tmp_path):
+    write_tsv(tmp_path / "title.ratings.tsv", "title.ratings", BROKEN)
+    for columns in (["*"], ["tconst"], ["numVotes"]):
+        with pytest.raises(Exception, match="MALFORMED_RECORD|FAILED_READ_FILE"):
+            files.read_raw(spark, str(tmp_path), "title.ratings").select(*columns).collect()
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILED_READ_FILE"):
+        files.as_batch(spark, str(tmp_path / "title.ratings.tsv")).collect()
+    kept = files.read_raw(spark, str(tmp_path), "title.ratings", malformed="keep")
+    assert rows(kept.drop("source_file")) == rows(
+        spark.createDataFrame(
+            [("tt1", "1.0", "5", None), (None, None, None, "tt2\t2.0"), (None, None, None, "tt3\t3.0\t7\tmore"),
+             ("tt4", None, None, None)], kept.drop("source_file").schema)
+    )
+    assert kept.filter("(bad_line is null) <> (source_file is null)").count() == 0
+    assert kept.filter("source_file like '%/title.ratings.tsv'").count() == 2
+    assert kept.select("tconst").filter("tconst is not null").count() == 2  # also when few columns are asked for
+    asset = files.read_asset(spark, str(tmp_path), malformed="keep")
+    assert asset.filter("bad_line is not null").count() == 2
+    with pytest.raises(ValueError, match="malformed"):
+        files.read_raw(spark, str(tmp_path), "title.ratings", malformed="drop")
 
 
 def test_list_files_reads_no_content(spark, drop):
