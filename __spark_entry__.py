@@ -178,9 +178,7 @@ def _orphan_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("title.crew", "tconst", "title.ratings", "tconst"),
     )
     views = {n: raw_view(spark, sf_dir, n) for link in links for n in (link[0], link[2])}
-    return constraints.orphan_report(
-        [(child, views[child], column, parent, views[parent], key) for child, column, parent, key in links]
-    )
+    return constraints.orphan_report(views, links)
 
 
 def _latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:

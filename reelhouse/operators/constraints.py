@@ -42,13 +42,52 @@ def repeated_keys(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
-def orphan_keys(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
-    """Values of `column` that are no `key` of the parent, with their rows; NULL refers to nothing.
+Link = tuple[str, str, str, str]  # child, its column, parent, its key
 
-    Counting per value comes first, so a value held by very many rows meets the parent once.
+
+def key_counts(
+    tables: dict[str, DataFrame], unique: Sequence[tuple[str, str]], links: Sequence[Link]
+) -> DataFrame:
+    """One row: `u<i>`, the values that more than one row holds in `unique[i]` (table, column), and `o<i>`, the
+    rows of the child of `links[i]` whose value is no key of the parent; NULL refers to nothing.
+
+    Each table is read once, and gives a row for every part one of its columns plays, as a key or as a
+    reference. One grouping by key, counted before the shuffle, meets them all, so that a value held by very
+    many rows counts once per task.
     """
-    held = child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return held.join(parent.select(F.col(key).alias(column)), column, "left_anti")
+    keys = list(dict.fromkeys([*unique, *[(parent, key) for *_, parent, key in links]]))
+    tags = {key: i for i, key in enumerate(keys)}
+    roles: dict[str, list[tuple[int, int, str]]] = {}
+    for (name, column), tag in tags.items():
+        roles.setdefault(name, []).append((tag, -1, column))
+    for i, (child, column, parent, key) in enumerate(links):
+        roles.setdefault(child, []).append((tags[parent, key], i, column))
+    kinds = {tables[name].schema[column].dataType.simpleString() for name, told in roles.items() for *_, column in told}
+    kind = kinds.pop() if len(kinds) == 1 else "string"
+    parts = []
+    for name, told in roles.items():
+        played = [
+            F.when(F.col(column).isNotNull() | F.lit(role < 0), F.struct(
+                F.lit(tag).alias("tag"), F.lit(role).alias("role"), F.col(column).cast(kind).alias("value")))
+            for tag, role, column in told
+        ]
+        parts.append(tables[name].select(F.inline(F.array_compact(F.array(*played)))))
+    counted = (
+        reduce(DataFrame.unionByName, parts)
+        .groupBy("tag", "value")
+        .agg(
+            F.count_if(F.col("role") < 0).alias("held"),
+            *[F.count_if(F.col("role") == i).alias(f"c{i}") for i in range(len(links))],
+        )
+    )
+    tag, held = F.col("tag"), F.col("held")
+    return counted.agg(
+        *[F.count_if((tag == tags[key]) & (held > 1)).alias(f"u{i}") for i, key in enumerate(unique)],
+        *[
+            F.coalesce(F.sum(F.when((tag == tags[parent, key]) & (held == 0), F.col(f"c{i}"))), F.lit(0)).alias(f"o{i}")
+            for i, (*_, parent, key) in enumerate(links)
+        ],
+    )
 
 
 def check_constraints(
@@ -59,9 +98,9 @@ def check_constraints(
     """table_name, rule, columns, violations; one row per constraint of the tables given.
 
     Violations are rows for row checks and references, and key values for uniqueness. All row checks of
-    a table share one pass.
+    a table share one pass, and all keys and references of all tables share another.
     """
-    parts = []
+    parts, unique, links = [], [], []
     for name, df in tables.items():
         table = spec[name]
         checks = _row_checks(name, table) if "rows" in kinds else []
@@ -72,33 +111,37 @@ def check_constraints(
                 for i, (rule, column, _) in enumerate(checks)
             ]
             parts.append(df.agg(*counts).select(F.inline(F.array(*found))))
-        for column in table.unique if "unique" in kinds else ():
-            count = repeated_keys(df, column).agg(F.count(F.lit(1)).alias("v"))
-            parts.append(count.select(F.inline(F.array(_finding(name, "unique", column, F.col("v"))))))
-        for column, parent in table.references.items() if "references" in kinds else ():
-            if parent in tables:
-                count = orphan_keys(df, column, tables[parent], "id").agg(F.sum("n").alias("v"))
-                finding = _finding(name, f"references {parent}", column, F.col("v"))
-                parts.append(count.select(F.inline(F.array(finding))))
+        unique += [(name, column) for column in table.unique if "unique" in kinds]
+        links += [
+            (name, column, parent, "id")
+            for column, parent in table.references.items()
+            if "references" in kinds and parent in tables
+        ]
+    if unique or links:
+        found = [_finding(name, "unique", column, F.col(f"u{i}")) for i, (name, column) in enumerate(unique)]
+        found += [
+            _finding(child, f"references {parent}", column, F.col(f"o{i}"))
+            for i, (child, column, parent, _) in enumerate(links)
+        ]
+        parts.append(key_counts(tables, unique, links).select(F.inline(F.array(*found))))
     if not parts:
         raise ValueError("no constraint to check")
     return reduce(DataFrame.unionByName, parts)
 
 
-def orphan_report(links: Sequence[tuple[str, DataFrame, str, str, DataFrame, str]]) -> DataFrame:
-    """child, columns, parent, orphans for (child name, child, column, parent name, parent, key)."""
-    parts = [
-        orphan_keys(child, column, parent, key)
-        .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("orphans"))
-        .select(
-            F.lit(child_name).alias("child"),
+def orphan_report(tables: dict[str, DataFrame], links: Sequence[Link]) -> DataFrame:
+    """child, columns, parent, orphans for each link (child, its column, parent, its key); every table is
+    read once."""
+    found = [
+        F.struct(
+            F.lit(child).alias("child"),
             F.lit(column).alias("columns"),
-            F.lit(parent_name).alias("parent"),
-            "orphans",
+            F.lit(parent).alias("parent"),
+            F.col(f"o{i}").cast("bigint").alias("orphans"),
         )
-        for child_name, child, column, parent_name, parent, key in links
+        for i, (child, column, parent, _) in enumerate(links)
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return key_counts(tables, [], links).select(F.inline(F.array(*found)))
 
 
 def cast_losses(files: dict[str, DataFrame], types: dict[str, dict[str, str]] = RAW_TYPES) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Suites compiled to aggregations: one pass for all row rules, one grouping per uniqueness rule."""
+"""Suites compiled to aggregations: one scan for all rules of a suite, and one shuffle if any asks for uniqueness."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reelhouse.functions.columns import decode
 from reelhouse.operators.joins import HOT_ROWS, hottest, skew_join
@@ -84,58 +85,95 @@ def _result(
 
 def _run_suite(df: DataFrame, suite: str, rules: Sequence[dict], sentinel_is_null: bool) -> DataFrame:
     none = F.lit(None).cast("bigint")
-    measures, rows, grouped = [F.count(F.lit(1)).alias("elements")], [], []
-    elements = F.col("elements")
+    judged, rows = {}, []
     for position, rule in enumerate(rules, 1):
-        kind = rule["type"]
         present = all(c in df.columns for c in _columns(rule))
-        if kind == "column_exists" or not present:
-            success = F.lit(present)
-            rows.append(_result(suite, position, rule, none, none, none, none, success))
-        elif kind in _GROUPED:
-            grouped.append(_run_unique(df, suite, position, rule, sentinel_is_null))
-        else:
-            value, bad = _value(rule, sentinel_is_null), _unexpected(rule, sentinel_is_null)
-            measures += [
-                F.count_if(value.isNull()).alias(f"m{position}"),
-                F.count_if(bad).alias(f"u{position}"),
-            ]
-            absent, success = none, F.col(f"u{position}") == 0
-            if kind == "distinct_set":
-                seen = [F.coalesce(F.max((value == m).cast("int")), F.lit(0)) for m in rule["members"]]
-                measures.append((len(seen) - sum(seen[1:], seen[0])).alias(f"a{position}"))
-                absent = F.col(f"a{position}")
-                success = success & (absent == 0)
-            rows.append(
-                _result(
-                    suite, position, rule, elements,
-                    F.col(f"m{position}"), F.col(f"u{position}"), absent, success,
-                )
+        if rule["type"] == "column_exists" or not present:
+            rows.append(_result(suite, position, rule, none, none, none, none, F.lit(present)))
+            continue
+        judged[position] = rule
+        absent, success = none, F.col(f"u{position}") == 0
+        if rule["type"] == "distinct_set":
+            absent = F.col(f"a{position}")
+            success = success & (absent == 0)
+        rows.append(
+            _result(
+                suite, position, rule, F.col("elements"),
+                F.col(f"m{position}"), F.col(f"u{position}"), absent, success,
             )
-    parts = [df.agg(*measures).select(F.inline(F.array(*rows)))] if rows else []
-    return reduce(DataFrame.unionByName, parts + grouped)
-
-
-def _run_unique(
-    df: DataFrame, suite: str, position: int, rule: dict, sentinel_is_null: bool
-) -> DataFrame:
-    """Rows whose key another row holds too; a key that is missing altogether is not judged."""
-    columns = _columns(rule)
-    keyed = df.select(
-        *[(decode(F.col(c).cast("string")) if sentinel_is_null else F.col(c)).alias(c) for c in columns]
-    )
-    missing = ~reduce(or_, [F.col(c).isNotNull() for c in columns])
-    rows = F.col("rows")
-    total = keyed.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows")).agg(
-        F.coalesce(F.sum(rows), F.lit(0)).alias("e"),
-        F.coalesce(F.sum(F.when(missing, rows)), F.lit(0)).alias("m"),
-        F.coalesce(F.sum(F.when(~missing & (rows > 1), rows)), F.lit(0)).alias("u"),
-    )
-    none = F.lit(None).cast("bigint")
-    result = _result(
-        suite, position, rule, F.col("e"), F.col("m"), F.col("u"), none, F.col("u") == 0
-    )
-    return total.select(F.inline(F.array(result)))
+        )
+    grouped = any(rule["type"] in _GROUPED for rule in judged.values())
+    measured = _by_events(df, judged, sentinel_is_null) if grouped else _by_rows(df, judged, sentinel_is_null)
+    return measured.select(F.inline(F.array(*rows)))
+
+
+def _by_rows(df: DataFrame, rules: dict[int, dict], sentinel_is_null: bool) -> DataFrame:
+    """elements, and m, u, a with the position of each rule: one row, without a shuffle of any."""
+    measures = [F.count(F.lit(1)).alias("elements")]
+    for position, rule in rules.items():
+        value, bad = _value(rule, sentinel_is_null), _unexpected(rule, sentinel_is_null)
+        measures += [
+            F.count_if(value.isNull()).alias(f"m{position}"),
+            F.count_if(bad).alias(f"u{position}"),
+        ]
+        if rule["type"] == "distinct_set":
+            seen = [F.coalesce(F.max((value == m).cast("int")), F.lit(0)) for m in rule["members"]]
+            measures.append((len(seen) - sum(seen[1:], seen[0])).alias(f"a{position}"))
+    return df.agg(*measures)
+
+
+def _key_text(c: Column, kind: T.DataType) -> Column:
+    """A value as text that differs whenever the values do."""
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return (c + F.lit(0.0)).cast("string")  # 0 and -0 are one value
+    if isinstance(kind, T.BinaryType):
+        return F.hex(c)
+    if isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
+        return F.to_json(c)
+    return c.cast("string")
+
+
+def _by_events(df: DataFrame, rules: dict[int, dict], sentinel_is_null: bool) -> DataFrame:
+    """The same where keys have to be compared: rows become events, and one grouping counts them all.
+
+    An event is a key that a uniqueness rule looks at, a value that is missing or unexpected, or a member of
+    a set that is there. All but the keys come down to a few groups before the shuffle, and so does a key
+    held by very many rows.
+    """
+    width = max(len(_columns(rule)) for rule in rules.values() if rule["type"] in _GROUPED)
+
+    def event(position: int, kind: str, *keys: Column) -> Column:
+        text = [*keys, *[F.lit(None).cast("string")] * (width - len(keys))]
+        return F.struct(
+            F.lit(position).alias("position"), F.lit(kind).alias("kind"), *[k.alias(f"k{i}") for i, k in enumerate(text)]
+        )
+
+    events, counted = [event(0, "row")], [_sum_of(0, "row").alias("elements")]
+    for position, rule in rules.items():
+        missing, unexpected = _sum_of(position, "missing"), _sum_of(position, "unexpected")
+        if rule["type"] in _GROUPED:
+            held = [decode(F.col(c).cast("string")) if sentinel_is_null else F.col(c) for c in _columns(rule)]
+            kinds = [T.StringType() if sentinel_is_null else df.schema[c].dataType for c in _columns(rule)]
+            known = reduce(or_, [c.isNotNull() for c in held])
+            keys = [_key_text(c, kind) for c, kind in zip(held, kinds)]
+            events.append(F.when(known, event(position, "key", *keys)).otherwise(event(position, "missing")))
+            unexpected = _sum_of(position, "key", F.col("n") > 1)
+        else:
+            value = _value(rule, sentinel_is_null)
+            events.append(F.when(value.isNull(), event(position, "missing")))
+            events.append(F.when(_unexpected(rule, sentinel_is_null), event(position, "unexpected")))
+        if rule["type"] == "distinct_set":
+            events.append(F.when(value.isin(*rule["members"]), event(position, "member", value.cast("string"))))
+            seen = F.count_if((F.col("position") == position) & (F.col("kind") == "member"))
+            counted.append((len(set(rule["members"])) - seen).alias(f"a{position}"))
+        counted += [missing.alias(f"m{position}"), unexpected.alias(f"u{position}")]
+    told = df.select(F.inline(F.array_compact(F.array(*events))))
+    return told.groupBy(*told.columns).agg(F.count(F.lit(1)).alias("n")).agg(*counted)
+
+
+def _sum_of(position: int, kind: str, also: Column | None = None) -> Column:
+    fits = (F.col("position") == position) & (F.col("kind") == kind)
+    return F.coalesce(F.sum(F.when(fits if also is None else fits & also, F.col("n"))), F.lit(0))
 
 
 def run_suites(

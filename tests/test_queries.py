@@ -75,3 +75,20 @@ def test_standins_cover_all_raw_files():
     from reelhouse.schemas import RAW_COLUMNS
 
     assert set(VIEWS) == set(RAW_COLUMNS)
+
+
+def test_a_suite_with_uniqueness_reads_its_file_once(spark):
+    for name in ("dq_title_principals", "dq_title_basics", "dq_title_episode"):
+        text = plan(queries()[name](spark, SF_DIR))
+        assert text.count("FileScan") == 1 and text.count("Exchange hashpartitioning") == 1
+
+
+def test_references_read_each_table_once(spark):
+    assert plan(queries()["orphan_report"](spark, SF_DIR)).count("FileScan") == 6
+    from __spark_entry__ import _warehouse
+    from reelhouse.operators.constraints import check_constraints
+    from reelhouse.schemas import TABLES
+
+    tables = _warehouse(spark, SF_DIR)
+    found = check_constraints({n: getattr(tables, n) for n in TABLES}, ("unique", "references"))
+    assert plan(found).count("FileScan") == len(TABLES)
