@@ -36,20 +36,18 @@ STRIPE_BYTES = 64 << 20
 INDEX_ROWS = 1_000  # rows of an index entry, and of a Bloom filter
 FALSE_HITS = 0.01
 PIECES = 1 << 19  # pieces a worker remembers, some 100 MB; it remembers no more then
-PIECE_CHARS = 64  # longer ones are not remembered
+PIECE_BYTES = 64  # longer ones are not remembered
 CHUNK = 8 << 20  # bytes of text encoded together, or one text that is longer
 TOGETHER = 4096  # new pieces encoded as one text
 
-MARKS = ".,;:!?"
 # A blank between two characters that no definition of white space takes for white space.
-_SOLID = r"[^\s\x00-\x20\x7f-\xa0 ᠎ -‏ -  -⁯　﻿]"
+_SOLID = r"[^\x00-\x20\x7f-\xa0 ᠎ -‏ -  -⁯　﻿]"
 _CUT = re.compile(rf" (?={_SOLID})(?<={_SOLID} )")
-_MARKED = re.compile(rf"[A-Za-z][{MARKS}]\Z")
-_WHOLE = re.compile(rf"{_SOLID}(?:.*{_SOLID})?\Z", re.DOTALL)
+_WHOLE = rf"(?s)^{_SOLID}(?:.*{_SOLID})?$"
 
 
 class Encoder:
-    """Ids of texts as little-endian 32-bit integers, as the tokenizers library gives them.
+    """Ids of texts as the tokenizers library gives them.
 
     The vocabulary's rules part a text before every blank between two solid characters, and no merge
     crosses such a place. So the ids of pieces between these places may be remembered, as words repeat. New
@@ -64,75 +62,90 @@ class Encoder:
         self.lengths = np.zeros(max(vocabulary.values()) + 1, int)  # a character of a token stands for a byte
         for token, i in vocabulary.items():
             self.lengths[i] = len(token)
-        self.known: dict[str, bytes] = {}
-        self.marks = dict(zip(MARKS, (x.tobytes() for x in self._ids(list(MARKS)))))
+        self.known = pa.array([], pa.large_string())  # pieces, and where their ids lie in `values`
+        self.values = np.zeros(0, "<i4")
+        self.begins = self.sizes = np.zeros(0, np.int64)
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<i4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learned(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of pieces, each with a blank before it; all begin and end with solid characters."""
-        sizes = [len(piece.encode()) + 1 for piece in pieces]
-        [ids] = self._ids([" " + " ".join(pieces)])
-        ends, reached = np.cumsum(sizes), np.cumsum(self.lengths[ids])
+    def _learned(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces, each with a blank before it, and how many each has; all begin and end with solid
+        characters."""
+        if not len(pieces):
+            return np.zeros(0, "<i4"), np.zeros(0, np.int64)
+        listed = pieces.to_pylist()
+        groups = [" " + " ".join(listed[i : i + TOGETHER]) for i in range(0, len(listed), TOGETHER)]
+        ids = np.concatenate(self._ids(groups))
+        ends = np.cumsum(pc.binary_length(pieces).to_numpy() + 1)
+        reached = np.cumsum(self.lengths[ids])
         at = np.searchsorted(reached, ends) + 1
         if not np.array_equal(reached[at - 1], ends):
             raise ValueError("a token crosses a place where the vocabulary parts a text")
-        raw = ids.tobytes()
-        return {piece: raw[4 * a : 4 * b] for piece, a, b in zip(pieces, [0, *at], at)}
-
-    def _cut(self, text: str) -> np.ndarray:
-        """Ids of one text, cut at the places themselves."""
-        first, *rest = _CUT.split(text)
-        last = [" " + rest.pop()] if rest else []  # may end with a space
-        found = self._learned([p for p in dict.fromkeys(rest) if p not in self.known]) if rest else {}
-        middle = b"".join([self.known.get(p) or found[p] for p in rest])
-        ends = self._ids([first, *last])
-        return np.concatenate([ends[0], np.frombuffer(middle, "<i4"), *ends[1:]])
+        return ids, np.diff(at, prepend=0)
+
+    def _looked_up(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and for each piece where its ids begin and how many they are; none where the piece begins or
+        ends otherwise than with a solid character."""
+        coded = pieces.dictionary_encode()
+        several, codes = coded.dictionary, coded.indices.to_numpy()
+        place = pc.fill_null(pc.index_in(several, value_set=self.known), -1).to_numpy()
+        new = np.flatnonzero(place < 0)
+        whole = pc.match_substring_regex(several.take(pa.array(new)), _WHOLE).to_numpy(zero_copy_only=False)
+        new = new[whole]
+        fresh = several.take(pa.array(new))
+        ids, sizes = self._learned(fresh)
+        values = np.concatenate([self.values, ids])
+        at = len(self.values) + np.cumsum(sizes) - sizes
+        begins, counts = np.zeros(len(several), np.int64), np.zeros(len(several), np.int64)
+        begins[place >= 0], counts[place >= 0] = self.begins[place[place >= 0]], self.sizes[place[place >= 0]]
+        begins[new], counts[new] = at, sizes
+        if len(self.known) < PIECES and len(fresh):  # words that occur often come early
+            short = pc.less_equal(pc.binary_length(fresh), PIECE_BYTES).to_numpy(zero_copy_only=False)
+            self.known = pa.concat_arrays([self.known, fresh.filter(pa.array(short))])
+            self.begins, self.sizes = np.append(self.begins, at[short]), np.append(self.sizes, sizes[short])
+            self.values = values
+        return values, begins[codes], counts[codes]
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each text has. Null counts as empty.
 
-        Most texts are cut at every blank, as all their blanks stand between solid characters; each different
-        piece of the batch is looked up once, and what the texts share is put together by its number.
+        Most texts are cut at every blank, as all their blanks stand between solid characters; the others
+        are cut at the places themselves.
         """
+        n = len(texts)
+        if not n:
+            return np.zeros(0, "<i4"), np.zeros(0, np.int64)
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         parts = pc.split_pattern(texts, " ")
-        coded = parts.flatten().dictionary_encode()
-        pieces, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
         at = parts.offsets.to_numpy() - parts.offsets[0].as_py()
-        held = [self.known.get(p) for p in pieces]
-        # a mark after a letter begins a part of its own, so the word before it may be known without it
-        bases = {p: p[:-1] for p, x in zip(pieces, held) if x is None and _MARKED.search(p)}
-        new = [bases.get(p, p) for p, x in zip(pieces, held) if x is None and _WHOLE.match(p)]
-        new = [p for p in dict.fromkeys(new) if p not in self.known]
-        found: dict[str, bytes] = {}
-        for i in range(0, len(new), TOGETHER):
-            found |= self._learned(new[i : i + TOGETHER])
-        if len(self.known) < PIECES:  # words that occur often come early
-            self.known.update((p, x) for p, x in found.items() if len(p) <= PIECE_CHARS)
-        for i, (p, x) in enumerate(zip(pieces, held)):
-            if x is None:
-                base = bases.get(p, p)
-                x = found.get(base) or self.known.get(base, b"")
-                held[i] = x + self.marks[p[-1]] if x and p in bases else x
-
-        sizes = np.array([len(x) // 4 for x in held], np.int64)
-        rough = np.add.reduceat(sizes[codes] == 0, at[:-1]) > 0 if len(codes) else np.zeros(0, bool)
-        # the first piece of a text has no blank before it, and a text with other blanks is cut by itself
-        firsts = np.where(rough, "", np.array(pieces, object)[codes[at[:-1]]]).tolist()
-        firsts = self._ids(firsts)
-        for i in np.flatnonzero(rough):
-            firsts[i] = self._cut(texts[int(i)].as_py())
-        none = len(pieces) + len(firsts)
-        codes[np.repeat(rough, np.diff(at))] = none
-        codes[at[:-1]] = np.arange(len(pieces), none)
-        values = np.concatenate([np.frombuffer(b"".join(held), "<i4"), *firsts])
-        sizes = np.concatenate([sizes, [len(x) for x in firsts], [0]]).astype(np.int64)
-        begins, lengths = np.cumsum(sizes) - sizes, sizes[codes]
-        before = np.cumsum(lengths) - lengths
-        ids = values[np.repeat(begins[codes] - before, lengths) + np.arange(lengths.sum())]
-        return ids, np.add.reduceat(lengths, at[:-1]) if len(codes) else np.zeros(0, np.int64)
+        pieces, owner = parts.flatten(), np.repeat(np.arange(n), np.diff(at))
+        values, begins, sizes = self._looked_up(pieces)
+        rough = np.add.reduceat(sizes == 0, at[:-1]) > 0
+        firsts = pieces.take(pa.array(at[:-1])).to_pylist()
+        cut = {i: _CUT.split(texts[i].as_py()) for i in np.flatnonzero(rough).tolist()}
+        for i, listed in cut.items():
+            firsts[i] = listed[0]
+        middle = pa.array([p for listed in cut.values() for p in listed[1:-1]], pa.large_string())
+        of_middle = np.repeat(np.array(list(cut), int), [max(len(x) - 2, 0) for x in cut.values()])
+        more, begins_more, sizes_more = self._looked_up(middle)
+        lasts = {i: " " + listed[-1] for i, listed in cut.items() if len(listed) > 1}  # may end with a space
+        edges = self._ids([*firsts, *lasts.values()])
+
+        plain = np.flatnonzero(~rough[owner])
+        plain = plain[plain != at[owner[plain]]]  # the first piece of a text has no blank before it
+        edge_sizes = np.array([len(x) for x in edges], np.int64)
+        edge_begins = len(values) + len(more) + np.cumsum(edge_sizes) - edge_sizes
+        values = np.concatenate([values, more, *edges])
+        owners = [np.arange(n), owner[plain], of_middle, np.array(list(lasts), int)]
+        begins = [edge_begins[:n], begins[plain], begins_more + len(values) - len(more) - edge_sizes.sum(), edge_begins[n:]]
+        sizes = [edge_sizes[:n], sizes[plain], sizes_more, edge_sizes[n:]]
+        owner, begins, sizes = (np.concatenate(x) for x in (owners, begins, sizes))
+        order = np.argsort(owner, kind="stable")
+        begins, sizes = begins[order], sizes[order]
+        before = np.cumsum(sizes) - sizes
+        ids = values[np.repeat(begins - before, sizes) + np.arange(sizes.sum())]
+        return ids, np.add.reduceat(sizes, np.searchsorted(owner[order], np.arange(n)))
 
 
 @cache

@@ -48,7 +48,7 @@ def test_forgetting_changes_nothing(monkeypatch):
     texts = [prose(i, 50) for i in range(20)]
     whole = orcids.Encoder(orcids.VOCABULARY)
     monkeypatch.setattr(orcids, "PIECES", 10)
-    monkeypatch.setattr(orcids, "PIECE_CHARS", 4)
+    monkeypatch.setattr(orcids, "PIECE_BYTES", 4)
     short = orcids.Encoder(orcids.VOCABULARY)
     assert [split(whole, [t]) for t in texts] == [split(short, [t]) for t in texts]
     assert split(short, texts) == split(whole, texts) and split(whole, []) == []
