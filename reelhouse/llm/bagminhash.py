@@ -9,8 +9,9 @@ a horizon are drawn, which is moved out until all components are filled.
 Bands of the signature bring candidates together. In a bucket, texts are compared to one leader, not with
 each other; those not joined by that meet other leaders in further rounds. In buckets that are then still
 apart, every text meets every other, block by block, but only in a longer signature of one byte a component;
-what comes near the limit there is compared in full. So no link between different texts is lost, no pairs
-of a bucket are listed, and a bucket of copies costs about as many comparisons as it has texts.
+what comes near the limit there is compared in full, unless links found in the same piece of work join the two
+already. Such a piece hands on the links that join its texts and no others, fewer than it has texts. So no two texts
+that belong together are kept apart, and a bucket of copies costs about as many comparisons as it has texts.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ import math
 import re
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -35,6 +37,7 @@ LEADERS = 3  # rounds of comparisons with one leader
 SKETCH = 512  # components of the longer signature
 NEAR = 0.72  # of them that a pair at 0.8 has in common but for a chance of 1e-5
 BLOCK = 256  # texts of a bucket that meet as many others in one piece of work
+BLOCK_BYTES = 16 << 20  # of shingles that these have together; longer texts meet in smaller blocks
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -219,7 +222,9 @@ def links(nodes: DataFrame, texts: DataFrame, similar: float = SIMILAR) -> DataF
                 F.greatest("node", "lead").alias("a"), F.least("node", "lead").alias("b")
             )
         else:
-            found = _near(here.join(bags.select("node", "sketch"), "node"))
+            joined = kept(_near(here.select("bucket", "node", "label", "n"), bags, similar), "verified")
+            tested = tested.unionByName(joined)
+            continue
         pairs = kept(found.distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
         if pairs.isEmpty():
             continue
@@ -228,37 +233,70 @@ def links(nodes: DataFrame, texts: DataFrame, similar: float = SIMILAR) -> DataF
     return tested.filter(F.col("similar") >= similar).select("a", "b")
 
 
-def _near(members: DataFrame) -> DataFrame:
-    """`a`, `b`: pairs of one bucket (`bucket`, `n` texts, `node`, `label`, `sketch`) with unlike labels and
-    sketches that agree in NEAR of their components."""
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    met = members.select("bucket", "node", "label", "sketch", own.alias("_own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("_k"))
-    tiles = met.groupBy("bucket", F.least("_own", "_k").alias("_i"), F.greatest("_own", "_k").alias("_j")).agg(
-        F.collect_list(F.struct("_own", "node", "label", "sketch")).alias("_rows")  # of two blocks
-    )
+class _Joined:
+    """Which labels belong together so far."""
+
+    def __init__(self):
+        self.of: dict[int, int] = {}
+
+    def root(self, label: int) -> int:
+        while (above := self.of.get(label, label)) != label:
+            self.of[label] = label = self.of.get(above, above)
+        return label
+
+    def join(self, a: int, b: int) -> None:
+        self.of[self.root(a)] = self.root(b)
+
+
+def tile_links(left: list[dict], right: list[dict], similar: float) -> list[tuple[int, int, float]]:
+    """Links (a, b, similarity) that join the texts of two blocks wherever links between them do; texts have
+    `node`, `label`, `sketch`, `bag`. Only what is near by sketch and not yet joined is compared."""
+    joined, out = _Joined(), []
+    sketches = np.array([np.frombuffer(r["sketch"], np.uint8) for r in right])
+    for r in left:
+        near = (sketches == np.frombuffer(r["sketch"], np.uint8)).mean(axis=1) >= NEAR
+        bag = np.frombuffer(r["bag"], np.uint64)
+        for i in np.flatnonzero(near):
+            other = right[i]
+            if joined.root(r["label"]) == joined.root(other["label"]):
+                continue
+            found = overlap(bag, np.frombuffer(other["bag"], np.uint64))
+            if found >= similar:
+                joined.join(r["label"], other["label"])
+                out.append((max(r["node"], other["node"]), min(r["node"], other["node"]), found))
+    return out
 
-    def start():
-        def work(rows: dict[str, list]) -> dict[str, list]:
-            out = {"a": [], "b": []}
-            for i, j, tile in zip(rows["_i"], rows["_j"], rows["_rows"]):
-                left = [r for r in tile if r["_own"] == i]
-                right = left if i == j else [r for r in tile if r["_own"] == j]
-                if not left or not right:
-                    continue
-                y = np.array([np.frombuffer(r["sketch"], np.uint8) for r in right])
-                labels = np.array([r["label"] for r in right])
-                nodes = np.array([r["node"] for r in right])
-                for r in left:
-                    near = (y == np.frombuffer(r["sketch"], np.uint8)).mean(axis=1) >= NEAR
-                    for other in nodes[near & (labels != r["label"])].tolist():
-                        out["a"].append(max(other, r["node"]))
-                        out["b"].append(min(other, r["node"]))
-            return out
 
-        return work
+def _near(members: DataFrame, bags: DataFrame, similar: float) -> DataFrame:
+    """`a`, `b`, `similar`: links that join the texts of one bucket (`bucket`, `n` texts, `node`, `label`) which are
+    alike and have unlike labels; a spanning forest for each two blocks."""
+    whole = kept(members.join(bags, "node"), "apart")
+    sizes = whole.groupBy("bucket").agg(F.sum(F.octet_length("bag")).alias("_bytes"))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("_bytes") / BLOCK_BYTES)).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int")
+    met = whole.join(sizes, "bucket").withColumn("_blocks", blocks).select(
+        "bucket", "node", "label", "sketch", "bag", own.alias("_own"),
+        F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_k"),
+    )
+    tiles = met.groupBy("bucket", F.least("_own", "_k").alias("_i"), F.greatest("_own", "_k").alias("_j")).agg(
+        F.collect_list(F.struct("_own", "node", "label", "sketch", "bag")).alias("_rows")  # of two blocks
+    )
 
-    return map_rows(tiles.select("_i", "_j", "_rows"), start, "a bigint, b bigint")
+    def run(batches):
+        for batch in batches:
+            out = []
+            for at in range(batch.num_rows):  # a tile at a time
+                [tile] = batch.slice(at, 1).to_pylist()
+                left = [r for r in tile["_rows"] if r["_own"] == tile["_i"]]
+                right = left if tile["_i"] == tile["_j"] else [r for r in tile["_rows"] if r["_own"] == tile["_j"]]
+                if left and right:
+                    out += tile_links(left, right, similar)
+            a, b, found = zip(*out) if out else ((), (), ())
+            columns = [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(found, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "similar"])
+
+    links = tiles.select("_i", "_j", "_rows").mapInArrow(run, "a bigint, b bigint, similar double")
+    return links.groupBy("a", "b").agg(F.max("similar").alias("similar"))
 
 
 _NONE = -(1 << 63)  # stands for a null key
