@@ -27,7 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reelhouse.llm.bpe import Memo
-from reelhouse.llm.common import kept, map_rows, read
+from reelhouse.llm.common import kept, map_rows, read, stage
 from reelhouse.llm.components import components
 
 WORDS = 5
@@ -346,6 +346,7 @@ def op2_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(read(spark, sf_dir, "documents")).drop("_node")
 
 
+@stage
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class: the one with the least doc_id."""
     first = classes(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(

@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.llm.common import map_rows, read
+from reelhouse.llm.common import map_rows, read, stage
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 REMEMBERED = 500_000  # pieces, and neighbours, that a task keeps in mind before it starts anew
@@ -193,6 +193,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(read(spark, sf_dir, "documents"))
 
 
+@stage
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (packed) and the digests of ids and decoded bytes."""
     return encode(docs).select(

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelhouse.llm.bagminhash import _A, WORD, mix, word_hashes
-from reelhouse.llm.common import kept, map_rows, read
+from reelhouse.llm.common import kept, map_rows, read, stage
 
 WORDS_K = 8
 WINDOW = 8
@@ -509,6 +509,7 @@ def _cut(df: DataFrame) -> DataFrame:
     return map_rows(df.select("_row", "_text", "_spans"), start, "_row bigint, _left string")
 
 
+@stage
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without passages that an earlier document has; who has no word left goes."""
     own = F.coalesce("doc_id", F.lit(_NONE))

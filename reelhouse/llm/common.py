@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import wraps
+from urllib.parse import unquote, urlparse
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,13 +33,55 @@ def part_of(key: Column, parts: int = 5) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % parts
 
 
+# Working tables of the stage that runs, and of those before it, by application.
+_working: dict[str, list[str]] = {}
+_running: list[str] = []
+
+
 def kept(df: DataFrame, purpose: str) -> DataFrame:
     """The rows, written below `spark.checkpoint.dir` and read again: cuts lineage, survives executors."""
     path = shared_folder(df.sparkSession, purpose)
+    if _running:
+        _working.setdefault(_running[-1], []).append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage(function: Callable[[SparkSession, DataFrame, str], DataFrame]):
+    """A stage of a pipeline: `function(spark, docs, sf_dir)`.
+
+    A stage's working tables are needed until its result is written, which is so once the next stage is called
+    on what was read again; then they are deleted, so that the shared folder holds those of one stage only.
+    Tables that `docs` still reads stay.
+    """
+
+    @wraps(function)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        application = spark.sparkContext.applicationId
+        _release(spark, docs, application)
+        _running.append(application)
+        try:
+            return function(spark, docs, sf_dir)
+        finally:
+            _running.pop()
+
+    return run
+
+
+def _release(spark: SparkSession, docs: DataFrame, application: str) -> None:
+    context = spark.sparkContext
+    held = {unquote(urlparse(f).path) for f in docs.inputFiles()}
+    left = []
+    for path in _working.get(application, []):
+        folder = unquote(urlparse(path).path).rstrip("/") + "/"
+        if any(f.startswith(folder) for f in held):
+            left.append(path)
+            continue
+        where = context._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+    _working[application] = left
+
+
 def spread(df: DataFrame, factor: int = 1) -> int:
     """A number of partitions in step with the session's setting."""
     return factor * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

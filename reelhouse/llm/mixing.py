@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.llm.common import kept, read, words
+from reelhouse.llm.common import kept, read, stage, words
 
 DOMAINS = ("clean", "poor", "toxic")
 TARGETS = (0.90, 0.07, 0.03)  # shares of tokens
@@ -243,6 +243,7 @@ def op7_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).drop("mark")
 
 
+@stage
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What rates of at most 1 leave: clean documents all stay, the others are thinned out to their shares.
 

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.llm.common import SPACES, kept, read, words
+from reelhouse.llm.common import SPACES, kept, read, stage, words
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -191,6 +191,7 @@ def op10_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(read(spark, sf_dir, "documents"), ["doc_id"])
 
 
+@stage
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the rules keep."""
     return judge(docs, docs.columns).filter("kept").select(*docs.columns)
