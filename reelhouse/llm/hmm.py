@@ -2,36 +2,44 @@
 
 Words are counted over all training texts. The HEAD most frequent ones are symbols of their own; every rarer
 word shares a symbol with those of the same hashed ending, and its own probability within that class comes
-from its count, by a join, wherever it stands in the text. States begin as clusters of a bounded sample of
-distinct texts and are trained by Baum-Welch: each round sums expected counts over all training texts, partition
-by partition, until the likelihood grows no more. The scaled forward recursion gives the exact likelihood of a text's symbols.
+from its count, by a join, wherever it stands in the text. All training texts are written once as symbols. States
+begin as a mixture of unigrams fitted to all of them and are trained by Baum-Welch: each round sums expected counts
+over all training texts, partition by partition, until the likelihood grows no more. The scaled forward recursion
+gives the exact likelihood of a text's symbols.
+
+Within a task the recursions run over many texts of like length at once, block of steps by block of steps. A text
+too long for its forward values to be held keeps those at the block ends and works the blocks out again on the way
+back, so that memory beyond the symbols themselves is bounded whatever its length.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.llm.bagminhash import WORD
-from reelhouse.llm.common import kept, map_rows, part_of, read, words
+from reelhouse.llm.common import kept, part_of, read, words
 
 STATES = 8
 HEAD = 60_000  # words with a symbol of their own: bounds the model
 CLASSES = 256  # of rarer words
-SAMPLE = 3_000  # distinct texts that the states begin from
-CLUSTER_ROUNDS = 12
+CLUSTER_ROUNDS = 8  # of the mixture that training starts from
 ENOUGH = 0.002  # gain in log10 likelihood of a token below which training ends
 SMOOTH = 300.0  # symbols' worth of the unigram in each state
-GROUP = 256  # texts that go through the recursions side by side at most,
-PLACES = 4_000_000  # and places in them, padded to the longest, unless one text alone has more
-END = ""  # no word is empty
+GROUP = 2_048  # texts that go through the recursions side by side at most,
+PLACES = 1_000_000  # and places in them, padded to the longest, unless one text alone has more
+BLOCK = 250_000  # places worked on at a time
+SLICE = 16_000_000  # bytes of text, or of symbols, that a task looks at together, unless one text alone has more
+END = b""  # no word is empty
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_LOWER = {ord(c): c.lower() for c in _UPPER}
 
 
 def _class(word: Column) -> Column:
@@ -42,31 +50,70 @@ class Symbols:
     """Words to symbols: the head by a table, the rest by class; the end is a head word."""
 
     def __init__(self, head: list[str]):
-        self.of = {w: i for i, w in enumerate(head)}
+        self.of = {w.encode(): i for i, w in enumerate(head)}
         self.size = len(head) + CLASSES
 
-    def encode(self, text: str | None) -> tuple[np.ndarray, list[str]]:
-        """Symbols of a text and its end, and the words without a symbol of their own."""
-        found = WORD.findall((text or "").translate(_LOWER))
+    def encode(self, text: bytes | None) -> tuple[np.ndarray, list[str]]:
+        """Symbols of a text (UTF-8) and its end, and the words without a symbol of their own."""
+        found = (text or b"").lower().split()  # A-Z only, and just the six blanks
         found.append(END)
         get, base = self.of.get, self.size - CLASSES
-        out, rare = [], []
-        for w in found:
-            s = get(w)
-            if s is None:
-                rare.append(w)
-                s = base + zlib.crc32(w[-3:].encode()) % CLASSES
-            out.append(s)
-        return np.array(out, np.int64), rare
-
-
-def _groups(texts: list[np.ndarray], order: list[int]) -> Iterator[list[int]]:
-    """The texts in order, longest first, in groups."""
+        out = np.array([get(w, -1) for w in found], np.int32)
+        places = np.flatnonzero(out < 0)
+        rare = [found[i].decode() for i in places]
+        if rare:
+            out[places] = [base + zlib.crc32(w[-3:].encode()) % CLASSES for w in rare]
+        return out, rare
+
+
+def _slices(batch: pa.RecordBatch, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in pieces of SLICE bytes."""
+    part = np.cumsum(sizes) // SLICE
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for lo, hi in zip(cuts, cuts[1:]):
+        if hi > lo:
+            yield batch.slice(lo, hi - lo)
+
+
+def _texts(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+    return _slices(batch, sizes.to_numpy(zero_copy_only=False).astype(np.int64))
+
+
+def _coded_texts(batch: pa.RecordBatch) -> list[np.ndarray]:
+    lists = batch.column(0)
+    ends = lists.offsets.to_numpy()
+    return np.split(lists.flatten().to_numpy(), ends[1:-1] - ends[0])
+
+
+class _Group:
+    """Texts side by side, longest first: symbols by step and text, and how many texts reach each step."""
+
+    def __init__(self, texts: list[np.ndarray]):
+        sizes = np.array([len(t) for t in texts])
+        self.steps = int(sizes[0])
+        self.ids = np.zeros((self.steps, len(texts)), np.int32)
+        for i, t in enumerate(texts):
+            self.ids[: len(t), i] = t
+        self.running = np.searchsorted(-sizes, -np.arange(self.steps), side="left").tolist()
+
+    def blocks(self) -> list[tuple[int, int]]:
+        out, lo = [], 0
+        while lo < self.steps:
+            hi = min(self.steps, lo + max(1, BLOCK // self.running[lo]))
+            out.append((lo, hi))
+            lo = hi
+        return out
+
+
+def _groups(texts: list[np.ndarray]) -> Iterator[tuple[list[int], _Group]]:
+    """The places of texts that go together, and the texts."""
+    order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
     at = 0
     while at < len(order):
-        size = max(1, min(GROUP, PLACES // len(texts[order[at]])))
-        yield order[at : at + size]
-        at += size
+        part = order[at : at + max(1, min(GROUP, PLACES // len(texts[order[at]])))]
+        yield part, _Group([texts[i] for i in part])
+        at += len(part)
 
 
 class Model:
@@ -75,6 +122,10 @@ class Model:
     def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray):
         self.start, self.move, self.emit = start, move, emit
 
+    @cached_property
+    def by_state(self) -> np.ndarray:
+        return np.ascontiguousarray(self.emit.T)
+
     @classmethod
     def from_counts(cls, start, move, emit, unigram) -> Model:
         total = emit.sum(axis=0, keepdims=True)
@@ -84,138 +135,165 @@ class Model:
             (emit + SMOOTH * unigram[:, None]) / (total + SMOOTH),
         )
 
-    def _forward(self, texts: list[np.ndarray], keep: bool):
-        """log10 likelihoods; texts come longest first, so those still running are the first ones."""
-        sizes = np.array([len(t) for t in texts])
-        log = np.zeros(len(texts))
-        alphas, scales = [], []
-        padded = np.zeros((sizes[0], len(texts)), np.int64)
-        for i, t in enumerate(texts):
-            padded[: len(t), i] = t
-        alpha = None
-        running = np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")
-        for step in range(sizes[0]):
-            n = running[step]
-            now = self.emit[padded[step, :n]]
-            alpha = now * self.start if step == 0 else now * (alpha[:n] @ self.move)
-            scale = alpha.sum(axis=1)
-            alpha /= scale[:, None]
-            log[:n] += np.log10(scale)
-            if keep:
-                alphas.append(alpha)
-                scales.append(scale)
-        return log, padded, running, alphas, scales
+    def _walk(self, group: _Group, lo: int, hi: int, before: np.ndarray | None) -> tuple[np.ndarray, ...]:
+        """Emissions and forward values (states x steps x texts) and scales of a block; `before` holds the
+        forward values of the step before it."""
+        width, onward = group.running[lo], np.ascontiguousarray(self.move.T)
+        here = np.take(self.by_state, group.ids[lo:hi, :width], axis=1)
+        alphas, scales = np.zeros_like(here), np.ones((hi - lo, width))
+        for at, n in enumerate(group.running[lo:hi]):
+            now = here[:, at, :n] * (self.start[:, None] if before is None else onward @ before[:, :n])
+            scale = now.sum(axis=0)
+            now /= scale
+            alphas[:, at, :n] = before = now
+            scales[at, :n] = scale
+        return here, alphas, scales, before
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
-        order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
+        """log10 likelihoods."""
         out = np.zeros(len(texts))
-        for part in _groups(texts, order):
-            out[part] = self._forward([texts[i] for i in part], keep=False)[0]
+        for part, group in _groups(texts):
+            log, before = np.zeros(len(part)), None
+            for lo, hi in group.blocks():
+                _, _, scales, before = self._walk(group, lo, hi, before)
+                log[: scales.shape[1]] += np.log10(scales).sum(axis=0)
+            out[part] = log
         return out
 
     def expected(self, texts: list[np.ndarray], start, move, emit) -> float:
         """Add the expected counts of the texts; their log10 likelihood."""
         likely = 0.0
-        order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
-        for part in _groups(texts, order):
-            symbols, weights = [], []
-            group = [texts[i] for i in part]
-            log, padded, running, alphas, scales = self._forward(group, keep=True)
-            likely += float(log.sum())
-            beta = np.ones_like(alphas[-1])
-            for step in range(len(alphas) - 1, -1, -1):
-                n = running[step]
-                gamma = alphas[step] * beta
-                gamma /= gamma.sum(axis=1, keepdims=True)
-                symbols.append(padded[step, :n])
-                weights.append(gamma)
-                if step == 0:
-                    start += gamma.sum(axis=0)
-                    break
-                ahead = self.emit[padded[step, :n]] * beta / scales[step][:, None]
-                move += (alphas[step - 1][:n].T @ ahead) * self.move
-                wider = np.ones((running[step - 1], len(self.start)))
-                wider[:n] = ahead @ self.move.T
-                beta = wider
-            ids, gammas = np.concatenate(symbols), np.concatenate(weights)
-            for s in range(gammas.shape[1]):
-                emit[:, s] += np.bincount(ids, gammas[:, s], minlength=len(emit))
+        for part, group in _groups(texts):
+            hold = group.steps * len(part) <= PLACES
+            blocks, before, walked = group.blocks(), None, []
+            for lo, hi in blocks:
+                done = self._walk(group, lo, hi, before)
+                likely += float(np.log10(done[2]).sum())
+                walked.append((before, done[:3] if hold or hi == group.steps else None))
+                before = done[3]
+            after = np.ones((len(self.start), group.running[-1]))
+            while blocks:
+                (lo, hi), (before, done) = blocks.pop(), walked.pop()
+                here, alphas, scales = done or self._walk(group, lo, hi, before)[:3]
+                betas, ahead = np.ones_like(here), np.zeros_like(here)
+                here = here / scales
+                betas[:, -1, : after.shape[1]] = after
+                for at in range(hi - lo - 1, -1, -1):
+                    n = group.running[lo + at]
+                    ahead[:, at, :n] = here[:, at, :n] * betas[:, at, :n]
+                    after = self.move @ ahead[:, at, :n]
+                    if at:
+                        betas[:, at - 1, :n] = after
+                states = len(self.start)
+                moves = alphas[:, :-1].reshape(states, -1) @ ahead[:, 1:].reshape(states, -1).T
+                gamma = np.multiply(alphas, betas, out=betas)
+                if before is None:
+                    start += gamma[:, 0].sum(axis=1)
+                else:
+                    moves += before[:, : ahead.shape[2]] @ ahead[:, 0].T
+                move += moves * self.move
+                ids = group.ids[lo:hi, : here.shape[2]].ravel()
+                for s in range(states):
+                    emit[:, s] += np.bincount(ids, gamma[s].ravel(), minlength=len(emit))
         return likely
 
 
-def _clusters(texts: list[np.ndarray], unigram: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Counts to begin with: texts in STATES clusters by a mixture of unigrams, sticky moves."""
-    rng = np.random.default_rng(0)
-    belongs = rng.dirichlet(np.full(STATES, 0.5), len(texts))
-    emit = np.zeros((len(unigram), STATES))
-    sizes = np.array([len(t) for t in texts], np.int64)
-    ids = np.concatenate(texts) if texts else np.empty(0, np.int64)
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    for turn in range(CLUSTER_ROUNDS if texts else 0):
+def _begin_with(texts: list[np.ndarray]) -> np.ndarray:
+    """States x texts: what a text belongs to before anything is known, uneven and the same for equal texts."""
+    marks = np.array([zlib.crc32(t.tobytes()) for t in texts], np.uint64)
+    odd = np.arange(1, STATES + 1, dtype=np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (marks + np.uint64(1)) * odd
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    share = -np.log((mixed >> np.uint64(11)).astype(float) / 2.0**53 + 1e-12)
+    return share / share.sum(axis=0)
+
+
+def _mixture(log: np.ndarray | None, weights: np.ndarray | None):
+    """Work of a round of the mixture of unigrams: counts of symbols by state, each text belonging to states
+    as a whole; `log` is states x symbols, without it the first round."""
+
+    def work(texts: list[np.ndarray], start, move, emit) -> float:
+        sizes = np.array([len(t) for t in texts])
+        ids, firsts = np.concatenate(texts), np.cumsum(sizes) - sizes
+        if log is None:
+            belongs = _begin_with(texts)
+        else:
+            odds = np.stack([np.add.reduceat(log[s][ids], firsts) for s in range(STATES)]) + weights[:, None]
+            belongs = np.exp(odds - odds.max(axis=0))
+            belongs /= belongs.sum(axis=0)
         for s in range(STATES):
-            emit[:, s] = np.bincount(ids, belongs[owner, s], minlength=len(unigram))
-        log = np.log((emit + SMOOTH * unigram[:, None]) / (emit.sum(axis=0) + SMOOTH))
-        odds = np.stack([np.bincount(owner, log[ids, s], minlength=len(texts)) for s in range(STATES)], axis=1)
-        odds += np.log(belongs.mean(axis=0) + 1e-9)
-        odds = (odds - odds.max(axis=1, keepdims=True)) / max(1, 8 - turn)  # from soft to hard
-        belongs = np.exp(odds)
-        belongs /= belongs.sum(axis=1, keepdims=True)
-    move = np.full((STATES, STATES), 1.0) + np.eye(STATES) * 50 * STATES
-    return belongs.sum(axis=0), move, emit
+            emit[:, s] += np.bincount(ids, np.repeat(belongs[s], sizes), minlength=len(emit))
+        start += belongs.sum(axis=1)
+        return 0.0
+
+    return work
 
 
-def _gathered(rows: DataFrame, symbols: Symbols, model: Model) -> tuple[tuple[np.ndarray, ...], float]:
-    """Expected counts over all `rows`, and their log10 likelihood under the model: each task sends one row per symbol it has met; Spark sums them.
-    The driver gets one row per symbol, HEAD + CLASSES at most, and those of starts and moves."""
-    sent = rows.sparkSession.sparkContext.broadcast((symbols, model))
+def _summed(coded: DataFrame, size: int, sent: Broadcast, work_of: Callable) -> tuple[tuple[np.ndarray, ...], float]:
+    """Counts (start, moves, emissions) over all texts and their log10 likelihood, by the work that `work_of`
+    makes of the broadcast value: each task sends one row per symbol it has met, and Spark sums them. The driver
+    gets one row per symbol, HEAD + CLASSES at most, and those of starts and moves."""
     names = [f"c{s}" for s in range(STATES)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols, model = sent.value
-        start, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((symbols.size, STATES))
+        work = work_of(sent.value)
+        start, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((size, STATES))
         likely = 0.0
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                texts = batch.column(0).slice(at, 512).to_pylist()
-                likely += model.expected([symbols.encode(t)[0] for t in texts], start, move, emit)
+            lengths = pc.list_value_length(batch.column(0)).to_numpy(zero_copy_only=False)
+            for part in _slices(batch, 4 * lengths.astype(np.int64)):
+                likely += work(_coded_texts(part), start, move, emit)
         met = np.flatnonzero(emit.any(axis=1))
         table = np.concatenate([emit[met], start[None], move, np.full((1, STATES), likely)])
         ids = np.concatenate([met, -1 - np.arange(2 + STATES)])
         columns = [pa.array(ids, pa.int64()), *[pa.array(table[:, s]) for s in range(STATES)]]
         yield pa.RecordBatch.from_arrays(columns, names=["symbol", *names])
 
-    sums = rows.select("_text").mapInArrow(run, "symbol long, " + ", ".join(f"{n} double" for n in names))
+    sums = coded.select("_ids").mapInArrow(run, "symbol long, " + ", ".join(f"{n} double" for n in names))
     found = sums.groupBy("symbol").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
-    start, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((symbols.size, STATES))
-    likely = 0.0
     at = found.column("symbol").to_numpy()
     values = np.stack([found.column(n).to_numpy() for n in names], axis=1)
+    emit, rest = np.zeros((size, STATES)), np.zeros((2 + STATES, STATES))
     emit[at[at >= 0]] = values[at >= 0]
-    for i in np.flatnonzero(at < 0):
-        if at[i] == -1:
-            start[:] = values[i]
-        elif at[i] == -2 - STATES:
-            likely = float(values[i][0])
-        else:
-            move[-2 - at[i]] = values[i]
-    return (start, move, emit), likely
+    rest[-1 - at[at < 0]] = values[at < 0]
+    return (rest[0], rest[1:-1], emit), float(rest[-1, 0])
+
 
+def encoded(rows: DataFrame, symbols: Symbols) -> DataFrame:
+    """`_ids`, the symbols of each text of the column `_text`."""
+    sent = rows.sparkSession.sparkContext.broadcast(symbols)
 
-def _begun(rows: DataFrame, symbols: Symbols, unigram: np.ndarray) -> Model:
-    """The model that training starts from, of SAMPLE distinct texts, so copies of a text count once."""
-    body = rows.filter(F.col("_text").isNotNull()).select("_text", F.xxhash64("_text", F.lit(3)).alias("_h"))
-    marks = body.select("_h").distinct().orderBy("_h").limit(SAMPLE)
-    chosen = body.join(F.broadcast(marks), "_h").groupBy("_h").agg(F.any_value("_text").alias("_text"))
-    sample = [symbols.encode(r["_text"])[0] for r in chosen.orderBy("_h").collect()]
-    return Model.from_counts(*_clusters(sample, unigram), unigram)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _texts(batch, 0):
+                found = [sent.value.encode(t)[0] for t in part.column(0).to_pylist()]
+                ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
+                yield pa.RecordBatch.from_arrays([lists], names=["_ids"])
+
+    return rows.select(F.col("_text").cast("binary")).mapInArrow(run, "_ids array<int>")
+
+
+def begun(coded: DataFrame, unigram: np.ndarray) -> Model:
+    """The model that training starts from: a mixture of unigrams over all texts, with moves that stay."""
+    context = coded.sparkSession.sparkContext
+    log, weights = None, None
+    for _ in range(CLUSTER_ROUNDS):
+        sent = context.broadcast((log, weights))
+        (start, _, emit), _ = _summed(coded, len(unigram), sent, lambda value: _mixture(*value))
+        log = np.ascontiguousarray(np.log((emit + SMOOTH * unigram[:, None]) / (emit.sum(axis=0) + SMOOTH)).T)
+        weights = np.log((start + 1) / (start + 1).sum())
+    move = np.full((STATES, STATES), 1.0) + np.eye(STATES) * 50 * STATES
+    return Model.from_counts(start, move, emit, unigram)
 
 
-def trained(rows: DataFrame, symbols: Symbols, model: Model, unigram: np.ndarray, total: int) -> tuple[Model, list[float]]:
-    """The model after Baum-Welch rounds over all `rows`, and the log10 likelihood of a token before each
+def trained(coded: DataFrame, model: Model, unigram: np.ndarray, total: int) -> tuple[Model, list[float]]:
+    """The model after Baum-Welch rounds over all texts, and the log10 likelihood of a token before each
     round: rounds end when it has grown by less than ENOUGH."""
+    context = coded.sparkSession.sparkContext
     likely: list[float] = []
     while len(likely) < 2 or likely[-1] - likely[-2] >= ENOUGH:
-        counts, found = _gathered(rows, symbols, model)
+        counts, found = _summed(coded, len(unigram), context.broadcast(model), lambda model: model.expected)
         likely.append(found / max(total, 1))
         model = Model.from_counts(*counts, unigram)
     return model, likely
@@ -226,22 +304,22 @@ def score(train: DataFrame, df: DataFrame, key: str = "doc_id", text: str = "tex
     row of `df`, the model being learned from `train`.
 
     Tokens are words, A-Z in lower case, and one end for each text; null texts are their end only. Repeated
-    rows are scored each. Without training texts all words are unknown.
+    rows are scored each. Without training texts all words are unknown. Other columns are not looked at. A text's
+    symbols are held whole, four bytes a word; what the recursions keep of it is bounded.
     """
     spark = df.sparkSession
-    lower = F.translate(F.coalesce(F.col(text), F.lit("")), _UPPER, _UPPER.lower())
     rows = train.select(F.col(text).alias("_text"))
     each = rows.select(words(F.translate(F.coalesce("_text", F.lit("")), _UPPER, _UPPER.lower())).alias("_w"))
-    every = each.select(F.explode(F.concat("_w", F.array(F.lit(END)))).alias("word"))
+    every = each.select(F.explode(F.concat("_w", F.array(F.lit("")))).alias("word"))
     counts = kept(every.groupBy("word").agg(F.count(F.lit(1)).alias("c")), "counts")
     total, distinct = (x or 0 for x in counts.agg(F.sum("c"), F.count(F.lit(1))).first())
-    top = counts.orderBy((F.col("word") == END).desc(), F.col("c").desc(), "word").limit(HEAD).collect()
-    head = [r[0] for r in top] or [END]
+    top = counts.orderBy((F.col("word") == "").desc(), F.col("c").desc(), "word").limit(HEAD).collect()
+    head = [r[0] for r in top] or [""]
     symbols = Symbols(head)
     least = (top[-1]["c"], top[-1]["word"]) if top else (0, "")
     # the head is a prefix of this order, so what is not in it follows its last word
     rare = counts.filter(
-        (F.col("word") != END) & ((F.col("c") < least[0]) | ((F.col("c") == least[0]) & (F.col("word") > least[1])))
+        (F.col("word") != "") & ((F.col("c") < least[0]) | ((F.col("c") == least[0]) & (F.col("word") > least[1])))
     )
     by_class = rare.groupBy(_class(F.col("word")).alias("g")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()
     class_n, class_v = np.zeros(CLASSES), np.zeros(CLASSES)
@@ -251,40 +329,38 @@ def score(train: DataFrame, df: DataFrame, key: str = "doc_id", text: str = "tex
     unigram = np.concatenate([head_c, class_n]) + 0.5
     unigram /= unigram.sum()
 
-    model, _ = trained(rows, symbols, _begun(rows, symbols, unigram), unigram, total)
+    coded = kept(encoded(rows, symbols), "coded")
+    model, _ = trained(coded, begun(coded, unigram), unigram, total)
 
     floor = float(np.log10(total + 0.5 * (distinct + 1)))
     sent = spark.sparkContext.broadcast((symbols, model, np.log10(head_c + 0.5) - floor, np.log10(class_n + 0.5 * (class_v + 1))))
 
-    def begin():
-        symbols, model, base, inside = sent.value
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+    rare_kind = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
+    names = ["_key", "_row", "n_tokens", "_head", "_base", "_log", "_rare"]
 
-        def work(batch: dict[str, list]) -> dict[str, list]:
-            coded = [symbols.encode(t) for t in batch["_text"]]
-            out = {"_row": batch["_row"], "_key": batch["_key"], "n_tokens": [], "_head": [], "_base": []}
-            likely = model.score([ids for ids, _ in coded])
-            out["_log"], out["_rare"] = [], []
-            for (ids, rare), x in zip(coded, likely.tolist()):
-                known = ids[ids < len(base)]
-                out["n_tokens"].append(len(ids))
-                out["_head"].append(len(known))
-                out["_base"].append(float(base[known].sum()))
-                out["_log"].append(x - float(inside[ids[ids >= len(base)] - len(base)].sum()))
-                seen: dict[str, int] = {}
-                for w in rare:
-                    seen[w] = seen.get(w, 0) + 1
-                out["_rare"].append([{"word": w, "n": n} for w, n in seen.items()])
-            return out
-
-        return work
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        symbols, model, base, inside = sent.value
+        for batch in batches:
+            for part in _texts(batch, 1):
+                coded = [symbols.encode(t) for t in part.column(1).to_pylist()]
+                likely = model.score([ids for ids, _ in coded])
+                numbers, rares = [], []
+                for row, (ids, rare), x in zip(part.column(0).to_pylist(), coded, likely.tolist()):
+                    known = ids[ids < len(base)]
+                    classed = inside[ids[ids >= len(base)] - len(base)]
+                    numbers.append((row, len(ids), len(known), float(base[known].sum()), x - float(classed.sum())))
+                    rares.append([{"word": w, "n": n} for w, n in Counter(rare).items()])
+                columns = [pa.array(c, k) for c, k in zip(zip(*numbers), kinds)]
+                yield pa.RecordBatch.from_arrays([part.column(2), *columns, pa.array(rares, rare_kind)], names=names)
 
     kind = df.schema[key].dataType.simpleString()
-    given = df.select(F.monotonically_increasing_id().alias("_row"), F.col(key).alias("_key"), F.col(text).alias("_text"))
+    given = df.select(F.monotonically_increasing_id().alias("_row"), F.col(text).cast("binary").alias("_text"), F.col(key).alias("_key"))
     schema = (
-        f"_row bigint, _key {kind}, n_tokens bigint, _head bigint, _base double, _log double, "
+        f"_key {kind}, _row bigint, n_tokens bigint, _head bigint, _base double, _log double, "
         "_rare array<struct<word:string,n:bigint>>"
     )
-    scored = kept(map_rows(given, begin, schema), "scored")
+    scored = kept(given.mapInArrow(work, schema), "scored")
     # the likelihood of a rare word within its class, and its base, follow from its count
     listed = scored.select("_row", F.explode("_rare").alias("_r")).select("_row", "_r.word", "_r.n")
     log = F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("_more")
@@ -306,4 +382,5 @@ def score(train: DataFrame, df: DataFrame, key: str = "doc_id", text: str = "tex
 def op6_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     held = part_of(F.col("doc_id")) == 1
-    return score(docs.filter(~held), docs).withColumn("held_out", held)
+    found = score(docs.filter(~held), docs)
+    return found.select("doc_id", held.alias("held_out"), *found.columns[1:])

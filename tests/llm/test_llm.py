@@ -216,22 +216,53 @@ def test_forward_recursion_is_exact():
     assert math.isclose(counts[0].sum(), 3) and math.isclose(counts[1].sum(), 8) and math.isclose(counts[2].sum(), 11)
 
 
-def test_training_sees_all_texts_in_each_round(spark, monkeypatch):
-    copies, others = ["same words all over"] * 40, [f"{prose(300 + k % 3, 12)} text{k}" for k in range(60)]
-    rows = spark.createDataFrame([(t,) for t in copies + others], "_text string")
-    words_ = sorted({w for t in copies + others for w in WORD.findall(t)})
+def test_expected_counts_equal_those_over_all_paths(monkeypatch):
+    rng = np.random.default_rng(5)
+    start, move, emit = rng.dirichlet(np.ones(3)), rng.dirichlet(np.ones(3), 3), rng.dirichlet(np.ones(5), 3).T
+    texts = [rng.integers(0, 5, n) for n in (5, 7, 1, 7, 3)]
+    want = np.zeros(3), np.zeros((3, 3)), np.zeros((5, 3))
+    for text in texts:
+        paths = list(itertools.product(range(3), repeat=len(text)))
+        odds = np.array([
+            start[p[0]] * np.prod([move[a, b] for a, b in zip(p, p[1:])]) * np.prod([emit[s, z] for s, z in zip(text, p)])
+            for p in paths
+        ])
+        for p, share in zip(paths, odds / odds.sum()):
+            want[0][p[0]] += share
+            for a, b in zip(p, p[1:]):
+                want[1][a, b] += share
+            for s, z in zip(text, p):
+                want[2][s, z] += share
+    for places, block in ((1_000, 1_000), (1_000, 4), (3, 1), (6, 12)):  # held whole, in blocks, worked out again
+        monkeypatch.setattr(hmm, "PLACES", places)
+        monkeypatch.setattr(hmm, "BLOCK", block)
+        model, got = hmm.Model(start, move, emit), (np.zeros(3), np.zeros((3, 3)), np.zeros((5, 3)))
+        likely = model.expected(texts, *got)
+        assert math.isclose(likely, model.score(texts).sum())
+        assert all(np.allclose(a, b) for a, b in zip(want, got))
+
+
+def test_a_text_of_a_million_words():
+    rng = np.random.default_rng(6)
+    move, emit = rng.dirichlet(np.ones(hmm.STATES), hmm.STATES), rng.dirichlet(np.ones(50), hmm.STATES).T
+    model, text = hmm.Model(np.full(hmm.STATES, 1 / hmm.STATES), move, emit), rng.integers(0, 50, 1_000_001).astype(np.int32)
+    counts = np.zeros(hmm.STATES), np.zeros(move.shape), np.zeros(emit.shape)
+    likely = model.expected([text], *counts)
+    assert math.isclose(likely, model.score([text])[0]) and math.isclose(counts[2].sum(), len(text))
+
+
+def test_training_sees_all_texts_in_each_round(spark):
+    texts = ["same words all over"] * 40 + [f"{prose(300 + k % 3, 12)} text{k}" for k in range(60)]
+    words_ = sorted({w for t in texts for w in WORD.findall(t)})
     symbols, unigram = hmm.Symbols(["", *words_]), np.full(1 + len(words_) + hmm.CLASSES, 1.0)
     unigram /= unigram.sum()
-    seen, clusters = [], hmm._clusters
-    monkeypatch.setattr(hmm, "SAMPLE", 20)
-    monkeypatch.setattr(hmm, "_clusters", lambda texts, u: seen.extend(map(tuple, texts)) or clusters(texts, u))
-    begun = hmm._begun(rows, symbols, unigram)
-    assert len(seen) == len(set(seen)) == 20
-    total = sum(len(WORD.findall(t)) + 1 for t in copies + others)
-    model, likely = hmm.trained(rows, symbols, begun, unigram, total)
-    coded = [symbols.encode(t)[0] for t in copies + others]
-    assert math.isclose(likely[0], begun.score(coded).sum() / total) and len(likely) > 1
-    assert model.score(coded).sum() / total >= likely[-1] - 0.01 and likely[-1] >= likely[0]
+    coded = hmm.encoded(spark.createDataFrame([(t,) for t in texts], "_text string"), symbols)
+    begun = hmm.begun(coded, unigram)
+    total = sum(len(WORD.findall(t)) + 1 for t in texts)
+    model, likely = hmm.trained(coded, begun, unigram, total)
+    ids = [symbols.encode(t.encode())[0] for t in texts]
+    assert math.isclose(likely[0], begun.score(ids).sum() / total) and len(likely) > 1
+    assert model.score(ids).sum() / total >= likely[-1] - 0.01 and likely[-1] >= likely[0]
 
 
 def test_language_model_base(docs):
