@@ -26,7 +26,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.llm.common import kept, part_of, read, words
+from reelhouse.llm.common import kept, part_of, read
 
 STATES = 8
 HEAD = 60_000  # words with a symbol of their own: bounds the model
@@ -34,12 +34,11 @@ CLASSES = 256  # of rarer words
 CLUSTER_ROUNDS = 8  # of the mixture that training starts from
 ENOUGH = 0.002  # gain in log10 likelihood of a token below which training ends
 SMOOTH = 300.0  # symbols' worth of the unigram in each state
-GROUP = 2_048  # texts that go through the recursions side by side at most,
-PLACES = 1_000_000  # and places in them, padded to the longest, unless one text alone has more
-BLOCK = 250_000  # places worked on at a time
-SLICE = 16_000_000  # bytes of text, or of symbols, that a task looks at together, unless one text alone has more
+HOLD = 2_500_000  # places whose forward values are held, 64 bytes each
+BLOCK = 128_000  # places worked on at a time
+SLICE = 16_000_000  # bytes of text, or of symbols at eight a place, that a task looks at together, unless one text has more
+DISTINCT = 1_000_000  # words that a task counts before it hands them on
 END = b""  # no word is empty
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def _class(word: Column) -> Column:
@@ -87,33 +86,24 @@ def _coded_texts(batch: pa.RecordBatch) -> list[np.ndarray]:
 
 
 class _Group:
-    """Texts side by side, longest first: symbols by step and text, and how many texts reach each step."""
+    """Texts side by side, longest first: their symbols by step, those of a step by text, and for each step how
+    many texts reach it and where its places begin."""
 
     def __init__(self, texts: list[np.ndarray]):
         sizes = np.array([len(t) for t in texts])
-        self.steps = int(sizes[0])
-        self.ids = np.zeros((self.steps, len(texts)), np.int32)
-        for i, t in enumerate(texts):
-            self.ids[: len(t), i] = t
-        self.running = np.searchsorted(-sizes, -np.arange(self.steps), side="left").tolist()
+        self.order = np.argsort(-sizes, kind="stable")
+        sizes = sizes[self.order]
+        self.running = np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")
+        self.first = np.concatenate([[0], np.cumsum(self.running)])
+        step = np.arange(self.first[-1]) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        self.ids = np.empty(self.first[-1], np.int32)
+        self.ids[self.first[step] + np.repeat(np.arange(len(sizes)), sizes)] = np.concatenate([texts[i] for i in self.order])
 
     def blocks(self) -> list[tuple[int, int]]:
-        out, lo = [], 0
-        while lo < self.steps:
-            hi = min(self.steps, lo + max(1, BLOCK // self.running[lo]))
-            out.append((lo, hi))
-            lo = hi
-        return out
-
-
-def _groups(texts: list[np.ndarray]) -> Iterator[tuple[list[int], _Group]]:
-    """The places of texts that go together, and the texts."""
-    order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
-    at = 0
-    while at < len(order):
-        part = order[at : at + max(1, min(GROUP, PLACES // len(texts[order[at]])))]
-        yield part, _Group([texts[i] for i in part])
-        at += len(part)
+        """First steps and ends of stretches of about BLOCK places."""
+        part = self.first[:-1] // BLOCK
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(self.running)]
+        return list(zip(cuts, cuts[1:]))
 
 
 class Model:
@@ -135,66 +125,82 @@ class Model:
             (emit + SMOOTH * unigram[:, None]) / (total + SMOOTH),
         )
 
-    def _walk(self, group: _Group, lo: int, hi: int, before: np.ndarray | None) -> tuple[np.ndarray, ...]:
-        """Emissions and forward values (states x steps x texts) and scales of a block; `before` holds the
-        forward values of the step before it."""
-        width, onward = group.running[lo], np.ascontiguousarray(self.move.T)
-        here = np.take(self.by_state, group.ids[lo:hi, :width], axis=1)
-        alphas, scales = np.zeros_like(here), np.ones((hi - lo, width))
-        for at, n in enumerate(group.running[lo:hi]):
-            now = here[:, at, :n] * (self.start[:, None] if before is None else onward @ before[:, :n])
-            scale = now.sum(axis=0)
-            now /= scale
-            alphas[:, at, :n] = before = now
-            scales[at, :n] = scale
-        return here, alphas, scales, before
+    def _emissions(self, group: _Group, lo: int, hi: int) -> np.ndarray:
+        """States x places of the steps from lo to hi."""
+        return np.take(self.by_state, group.ids[group.first[lo] : group.first[hi]], axis=1)
+
+    def _walk(self, group: _Group, lo: int, hi: int, before: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """Forward values (states x places) and scales of a block; `before` holds those of the step before it."""
+        alphas, onward = self._emissions(group, lo, hi), np.ascontiguousarray(self.move.T)
+        scales = np.empty(alphas.shape[1])
+        at = 0
+        for n in group.running[lo:hi].tolist():
+            now, scale = alphas[:, at : at + n], scales[at : at + n]
+            np.multiply(now, self.start[:, None] if before is None else onward @ before[:, :n], out=now)
+            np.add.reduce(now, axis=0, out=scale)
+            np.divide(now, scale, out=now)
+            before = now
+            at += n
+        return alphas, scales
+
+    def _last(self, group: _Group, hi: int, alphas: np.ndarray) -> np.ndarray:
+        return alphas[:, alphas.shape[1] - group.running[hi - 1] :].copy()
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
         """log10 likelihoods."""
         out = np.zeros(len(texts))
-        for part, group in _groups(texts):
-            log, before = np.zeros(len(part)), None
-            for lo, hi in group.blocks():
-                _, _, scales, before = self._walk(group, lo, hi, before)
-                log[: scales.shape[1]] += np.log10(scales).sum(axis=0)
-            out[part] = log
-        return out
+        if not texts:
+            return out
+        group, before = _Group(texts), None
+        for lo, hi in group.blocks():
+            alphas, scales = self._walk(group, lo, hi, before)
+            before = self._last(group, hi, alphas)
+            text = np.arange(len(scales)) - np.repeat(group.first[lo:hi] - group.first[lo], group.running[lo:hi])
+            out += np.bincount(text, np.log10(scales), minlength=len(texts))
+        likely = np.empty_like(out)
+        likely[group.order] = out
+        return likely
 
     def expected(self, texts: list[np.ndarray], start, move, emit) -> float:
         """Add the expected counts of the texts; their log10 likelihood."""
-        likely = 0.0
-        for part, group in _groups(texts):
-            hold = group.steps * len(part) <= PLACES
-            blocks, before, walked = group.blocks(), None, []
-            for lo, hi in blocks:
-                done = self._walk(group, lo, hi, before)
-                likely += float(np.log10(done[2]).sum())
-                walked.append((before, done[:3] if hold or hi == group.steps else None))
-                before = done[3]
-            after = np.ones((len(self.start), group.running[-1]))
-            while blocks:
-                (lo, hi), (before, done) = blocks.pop(), walked.pop()
-                here, alphas, scales = done or self._walk(group, lo, hi, before)[:3]
-                betas, ahead = np.ones_like(here), np.zeros_like(here)
-                here = here / scales
-                betas[:, -1, : after.shape[1]] = after
-                for at in range(hi - lo - 1, -1, -1):
-                    n = group.running[lo + at]
-                    ahead[:, at, :n] = here[:, at, :n] * betas[:, at, :n]
-                    after = self.move @ ahead[:, at, :n]
-                    if at:
-                        betas[:, at - 1, :n] = after
-                states = len(self.start)
-                moves = alphas[:, :-1].reshape(states, -1) @ ahead[:, 1:].reshape(states, -1).T
-                gamma = np.multiply(alphas, betas, out=betas)
-                if before is None:
-                    start += gamma[:, 0].sum(axis=1)
+        likely, before, walked = 0.0, None, []
+        group = _Group(texts)
+        blocks, hold = group.blocks(), len(group.ids) <= HOLD
+        for lo, hi in blocks:
+            done = self._walk(group, lo, hi, before)
+            likely += float(np.log10(done[1]).sum())
+            walked.append((before, done if hold or hi == blocks[-1][1] else None))
+            before = self._last(group, hi, done[0])
+        after = np.ones((len(self.start), group.running[-1]))
+        while blocks:
+            (lo, hi), (before, done) = blocks.pop(), walked.pop()
+            alphas, scales = done or self._walk(group, lo, hi, before)
+            ahead, betas = self._emissions(group, lo, hi), np.ones_like(alphas)
+            ahead /= scales
+            counts = group.running[lo:hi].tolist()
+            at = len(scales) - counts[-1]
+            betas[:, at : at + after.shape[1]] = after
+            for step in range(len(counts) - 1, -1, -1):
+                n = counts[step]
+                here = ahead[:, at : at + n]
+                np.multiply(here, betas[:, at : at + n], out=here)
+                if step:
+                    at -= counts[step - 1]
+                    np.matmul(self.move, here, out=betas[:, at : at + n])
                 else:
-                    moves += before[:, : ahead.shape[2]] @ ahead[:, 0].T
-                move += moves * self.move
-                ids = group.ids[lo:hi, : here.shape[2]].ravel()
-                for s in range(states):
-                    emit[:, s] += np.bincount(ids, gamma[s].ravel(), minlength=len(emit))
+                    after = self.move @ here
+            first = counts[0]
+            source = np.arange(first, len(scales)) - np.repeat(group.running[lo : hi - 1], group.running[lo + 1 : hi])
+            moves = np.take(alphas, source, axis=1) @ ahead[:, first:].T
+            gamma = np.multiply(alphas, betas, out=betas)
+            if before is None:
+                start += gamma[:, :first].sum(axis=1)
+            else:
+                moves += before[:, :first] @ ahead[:, :first].T
+            move += moves * self.move
+            ids = group.ids[group.first[lo] : group.first[hi]]
+            for s, weights in enumerate(gamma):
+                emit[:, s] += np.bincount(ids, weights, minlength=len(emit))
         return likely
 
 
@@ -241,7 +247,7 @@ def _summed(coded: DataFrame, size: int, sent: Broadcast, work_of: Callable) ->
         likely = 0.0
         for batch in batches:
             lengths = pc.list_value_length(batch.column(0)).to_numpy(zero_copy_only=False)
-            for part in _slices(batch, 4 * lengths.astype(np.int64)):
+            for part in _slices(batch, 8 * lengths.astype(np.int64)):
                 likely += work(_coded_texts(part), start, move, emit)
         met = np.flatnonzero(emit.any(axis=1))
         table = np.concatenate([emit[met], start[None], move, np.full((1, STATES), likely)])
@@ -274,6 +280,32 @@ def encoded(rows: DataFrame, symbols: Symbols) -> DataFrame:
     return rows.select(F.col("_text").cast("binary")).mapInArrow(run, "_ids array<int>")
 
 
+def counted(rows: DataFrame) -> DataFrame:
+    """`word` and `c`, how often it occurs in the column `_text`, the end of each text included. Tasks count
+    first; a word that is nearly everywhere sends a row per task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter[bytes] = Counter()
+
+        def told() -> pa.RecordBatch:
+            words = pa.array(found.keys(), pa.binary()).cast(pa.string())
+            return pa.RecordBatch.from_arrays([words, pa.array(found.values(), pa.int64())], names=["word", "n"])
+
+        for batch in batches:
+            for part in _texts(batch, 0):
+                for text in part.column(0).to_pylist():
+                    found[END] += 1
+                    if text:
+                        found.update(text.lower().split())
+                    if len(found) > DISTINCT:
+                        yield told()
+                        found.clear()
+        yield told()
+
+    each = rows.select(F.col("_text").cast("binary")).mapInArrow(run, "word string, n long")
+    return each.groupBy("word").agg(F.sum("n").alias("c"))
+
+
 def begun(coded: DataFrame, unigram: np.ndarray) -> Model:
     """The model that training starts from: a mixture of unigrams over all texts, with moves that stay."""
     context = coded.sparkSession.sparkContext
@@ -309,9 +341,7 @@ def score(train: DataFrame, df: DataFrame, key: str = "doc_id", text: str = "tex
     """
     spark = df.sparkSession
     rows = train.select(F.col(text).alias("_text"))
-    each = rows.select(words(F.translate(F.coalesce("_text", F.lit("")), _UPPER, _UPPER.lower())).alias("_w"))
-    every = each.select(F.explode(F.concat("_w", F.array(F.lit("")))).alias("word"))
-    counts = kept(every.groupBy("word").agg(F.count(F.lit(1)).alias("c")), "counts")
+    counts = kept(counted(rows), "counts")
     total, distinct = (x or 0 for x in counts.agg(F.sum("c"), F.count(F.lit(1))).first())
     top = counts.orderBy((F.col("word") == "").desc(), F.col("c").desc(), "word").limit(HEAD).collect()
     head = [r[0] for r in top] or [""]

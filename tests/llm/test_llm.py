@@ -233,8 +233,8 @@ def test_expected_counts_equal_those_over_all_paths(monkeypatch):
                 want[1][a, b] += share
             for s, z in zip(text, p):
                 want[2][s, z] += share
-    for places, block in ((1_000, 1_000), (1_000, 4), (3, 1), (6, 12)):  # held whole, in blocks, worked out again
-        monkeypatch.setattr(hmm, "PLACES", places)
+    for hold, block in ((1_000, 1_000), (1_000, 4), (3, 1), (6, 12)):  # in one block, in several, worked out again
+        monkeypatch.setattr(hmm, "HOLD", hold)
         monkeypatch.setattr(hmm, "BLOCK", block)
         model, got = hmm.Model(start, move, emit), (np.zeros(3), np.zeros((3, 3)), np.zeros((5, 3)))
         likely = model.expected(texts, *got)
@@ -242,7 +242,8 @@ def test_expected_counts_equal_those_over_all_paths(monkeypatch):
         assert all(np.allclose(a, b) for a, b in zip(want, got))
 
 
-def test_a_text_of_a_million_words():
+def test_a_text_of_a_million_words_is_not_held(monkeypatch):
+    monkeypatch.setattr(hmm, "HOLD", 500_000)
     rng = np.random.default_rng(6)
     move, emit = rng.dirichlet(np.ones(hmm.STATES), hmm.STATES), rng.dirichlet(np.ones(50), hmm.STATES).T
     model, text = hmm.Model(np.full(hmm.STATES, 1 / hmm.STATES), move, emit), rng.integers(0, 50, 1_000_001).astype(np.int32)
