@@ -326,6 +326,14 @@ def _declared_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
+def _examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most frequent unexpected values under the shipped suites and two stricter rules."""
+    region = {"type": "matches", "column": "region", "regex": "^[A-Z]{2}$"}
+    birth = {"type": "between", "column": "birthYear", "min": 1900, "max": 1999}
+    suites = {**SUITES, "title.akas": [*SUITES["title.akas"], region], "name.basics": [*SUITES["name.basics"], birth]}
+    return quality.examples({name: raw_view(spark, sf_dir, name) for name in suites}, suites)
+
+
 def _all_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All suites in one run over folders of text."""
     root = shared_folder(spark, "texts")
@@ -470,6 +478,7 @@ def _library() -> dict[str, Query]:
         **{f"dq_{name.replace('.', '_')}": _suite(name) for name in SUITES},
         "dq_title_basics_marker_is_null": _suite("title.basics", sentinel_is_null=True),
         "dq_all_files": _all_files,
+        "dq_examples": _examples,
         "dq_stored_results": _stored_results,
         "dq_failing_rows": _failing_rows,
         "dq_repeated_principals": _repeated_principals,

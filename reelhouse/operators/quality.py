@@ -9,6 +9,7 @@ from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -201,6 +202,52 @@ def run_suites(
     )
 
 
+def examples(
+    batches: dict[str, DataFrame],
+    suites: dict[str, Sequence[dict]],
+    most: int = 20,
+    sentinel_is_null: bool = False,
+) -> DataFrame:
+    """The `most` most frequent unexpected values of every rule: suite, position, expectation, columns, place
+    (from 1), value as text, and rows, how many hold it; values of equal frequency come in their order.
+
+    For uniqueness rules these are the values that several rows share, of several columns as a JSON array.
+    Rules on missing values or columns have none. Each batch is read once; values are counted before they are
+    shuffled, and each task hands on `most` of them per rule at most.
+    """
+    told = [_unexpected_values(batch, name, suites[name], sentinel_is_null) for name, batch in batches.items() if suites.get(name)]
+    if not told:
+        raise ValueError("no suite has a batch")
+    best = W.partitionBy("suite", "position").orderBy(F.col("rows").desc(), "value")
+    ranked = reduce(DataFrame.unionByName, told).withColumn("place", F.row_number().over(best))
+    return ranked.filter(F.col("place") <= most)
+
+
+def _unexpected_values(df: DataFrame, suite: str, rules: Sequence[dict], sentinel_is_null: bool) -> DataFrame:
+    """Every unexpected value of a batch with its rule and the number of rows."""
+    events = []
+    for position, rule in enumerate(rules, 1):
+        columns = _columns(rule)
+        if rule["type"] in ("column_exists", "not_null") or any(c not in df.columns for c in columns):
+            continue
+        shared = rule["type"] in _GROUPED
+        if shared:
+            held = [decode(F.col(c).cast("string")) if sentinel_is_null else F.col(c) for c in columns]
+            kinds = [T.StringType() if sentinel_is_null else df.schema[c].dataType for c in columns]
+            texts = [_key_text(c, kind) for c, kind in zip(held, kinds)]
+            broken = reduce(or_, [c.isNotNull() for c in held])
+            value = texts[0] if len(texts) == 1 else F.to_json(F.array(*texts), {"ignoreNullFields": "false"})
+        else:
+            broken, value = _unexpected(rule, sentinel_is_null), _value(rule, sentinel_is_null).cast("string")
+        named = (F.lit(position), F.lit(rule["type"]), F.lit(",".join(columns)), F.lit(2 if shared else 1), value)
+        names = ("position", "expectation", "columns", "_least", "value")
+        events.append(F.when(broken, F.struct(*[v.alias(n) for n, v in zip(names, named)])))
+    kind = "array<struct<position:int,expectation:string,columns:string,_least:int,value:string>>"
+    found = df.select(F.inline(F.array_compact(F.array(*events)) if events else F.array().cast(kind)))
+    counted = found.groupBy(*found.columns).agg(F.count(F.lit(1)).alias("rows")).filter("rows >= _least")
+    return counted.select(F.lit(suite).alias("suite"), "position", "expectation", "columns", "value", "rows")
+
+
 def failing_rows(
     df: DataFrame, rule: dict, sentinel_is_null: bool = False, hot_rows: int = HOT_ROWS
 ) -> DataFrame:

@@ -283,3 +283,26 @@ def test_a_suite_of_an_empty_table(spark):
     rules = [{"type": "unique", "column": "c"}, {"type": "not_null", "column": "c"}]
     found = quality.run_suites({"s": df}, {"s": rules}, "r", datetime.datetime(2021, 1, 1)).collect()
     assert [(r.element_count, r.unexpected_count, r.success) for r in found] == [(0, 0, True)] * 2
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_examples_are_the_most_frequent_values(spark, parts):
+    held = [("x", 1)] * 3 + [("y", 2)] * 3 + [("z", 2)] + [("ok", k) for k in range(10, 13)] + [(None, None)] * 4
+    batch = spark.createDataFrame(held, "a string, b int").repartition(parts)
+    rules = [
+        {"type": "column_exists", "column": "b"},
+        {"type": "matches", "column": "a", "regex": "^ok$"},
+        {"type": "unique", "column": "b"},
+        {"type": "unique_together", "columns": ["a", "b"]},
+        {"type": "not_null", "column": "a"},
+        {"type": "matches", "column": "absent", "regex": "."},
+    ]
+    found = quality.examples({"f": batch}, {"f": rules, "g": rules}, most=2)
+    assert sorted((r.position, r.place, r.value, r.rows) for r in found.collect()) == [
+        (2, 1, "x", 3), (2, 2, "y", 3), (3, 1, "2", 4), (3, 2, "1", 3), (4, 1, '["x","1"]', 3), (4, 2, '["y","2"]', 3),
+    ]
+    assert quality.examples({"f": batch.limit(0)}, {"f": rules}).count() == 0
+    assert quality.examples({"f": batch}, {"f": rules[:1]}).count() == 0
+    assert "WindowGroupLimit" in found._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError):
+        quality.examples({}, {"f": rules})
