@@ -254,6 +254,18 @@ def _landed_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return titles.titles(*[read_landed(spark, f"{root}/{name}", name, DROP) for name in names])
 
 
+def _watched_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules on single rows of all suites, judged while the files are landed."""
+    root = shared_folder(spark, "watched")
+    found = []
+    for name, rules in SUITES.items():
+        raw_view(spark, sf_dir, name).write.options(**TSV).csv(snapshot_path(f"{root}/raw", DROP, name))
+        watch = quality.Watch(name, quality.row_rules(rules))
+        land(spark, name, f"{root}/raw", f"{root}/{name}", f"{root}/done/{name}", decode_sentinel=False, watch=watch)
+        found.append(watch.results(spark))
+    return reduce(DataFrame.unionByName, found)
+
+
 def _written_lines(spark: SparkSession, sf_dir: str, root: str) -> None:
     """title.ratings as text of two dates; some lines lack a field, others have one too many."""
     votes = F.col("numVotes").cast("int")
@@ -494,6 +506,7 @@ def _library() -> dict[str, Query]:
         "two_drops": _two_drops,
         "declared_tables": _declared_tables,
         "quarantined_lines": _quarantined_lines,
+        "watched_landing": _watched_landing,
         "mixed_headers": _mixed_headers,
     }
 

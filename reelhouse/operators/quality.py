@@ -8,7 +8,7 @@ from decimal import Decimal
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,11 +84,12 @@ def _result(
     )
 
 
-def _run_suite(df: DataFrame, suite: str, rules: Sequence[dict], sentinel_is_null: bool) -> DataFrame:
+def _planned(columns: Sequence[str], suite: str, rules: Sequence[dict]) -> tuple[dict[int, dict], list[Column]]:
+    """The rules that have values to look at, by position, and a result for every rule from their measures."""
     none = F.lit(None).cast("bigint")
     judged, rows = {}, []
     for position, rule in enumerate(rules, 1):
-        present = all(c in df.columns for c in _columns(rule))
+        present = all(c in columns for c in _columns(rule))
         if rule["type"] == "column_exists" or not present:
             rows.append(_result(suite, position, rule, none, none, none, none, F.lit(present)))
             continue
@@ -103,24 +104,67 @@ def _run_suite(df: DataFrame, suite: str, rules: Sequence[dict], sentinel_is_nul
                 F.col(f"m{position}"), F.col(f"u{position}"), absent, success,
             )
         )
-    grouped = any(rule["type"] in _GROUPED for rule in judged.values())
-    measured = _by_events(df, judged, sentinel_is_null) if grouped else _by_rows(df, judged, sentinel_is_null)
+    return judged, rows
+
+
+def _run_suite(df: DataFrame, suite: str, rules: Sequence[dict], sentinel_is_null: bool) -> DataFrame:
+    judged, rows = _planned(df.columns, suite, rules)
+    if any(rule["type"] in _GROUPED for rule in judged.values()):
+        measured = _by_events(df, judged, sentinel_is_null)
+    else:
+        measured = df.agg(*_row_measures(judged, sentinel_is_null))
     return measured.select(F.inline(F.array(*rows)))
 
 
-def _by_rows(df: DataFrame, rules: dict[int, dict], sentinel_is_null: bool) -> DataFrame:
-    """elements, and m, u, a with the position of each rule: one row, without a shuffle of any."""
-    measures = [F.count(F.lit(1)).alias("elements")]
+def _row_measures(rules: dict[int, dict], sentinel_is_null: bool, among: Column | None = None) -> list[Column]:
+    """elements, and m, u, a with the position of each rule, of the rows `among` (all, if None): aggregates that
+    need no shuffle of any row."""
+    among = F.lit(True) if among is None else among
+    measures = [F.count_if(among).alias("elements")]
     for position, rule in rules.items():
         value, bad = _value(rule, sentinel_is_null), _unexpected(rule, sentinel_is_null)
         measures += [
-            F.count_if(value.isNull()).alias(f"m{position}"),
-            F.count_if(bad).alias(f"u{position}"),
+            F.count_if(among & value.isNull()).alias(f"m{position}"),
+            F.count_if(among & bad).alias(f"u{position}"),
         ]
         if rule["type"] == "distinct_set":
-            seen = [F.coalesce(F.max((value == m).cast("int")), F.lit(0)) for m in rule["members"]]
+            seen = [F.coalesce(F.max((among & (value == m)).cast("int")), F.lit(0)) for m in rule["members"]]
             measures.append((len(seen) - sum(seen[1:], seen[0])).alias(f"a{position}"))
-    return df.agg(*measures)
+    return measures
+
+
+class Watch:
+    """Rules judged while rows pass on their way to a table, without a scan of their own.
+
+    `over` gives the rows on unchanged, to be written once; then `results` has what `run_suites` tells of
+    them, without run and time. Rules that compare rows (uniqueness) need a shuffle and are refused. One watch
+    serves one write; a write that breaks off leaves it without results.
+    """
+
+    def __init__(self, suite: str, rules: Sequence[dict], sentinel_is_null: bool = False):
+        if any(rule["type"] in _GROUPED for rule in rules):
+            raise ValueError("uniqueness is judged by run_suites")
+        self.suite, self.rules, self.sentinel_is_null = suite, list(rules), sentinel_is_null
+        self._seen, self._columns = Observation(), None
+
+    def over(self, df: DataFrame, among: Column | None = None) -> DataFrame:
+        """The rows of `df`, those `among` being judged."""
+        self._columns = df.columns
+        judged, _ = _planned(df.columns, self.suite, self.rules)
+        return df.observe(self._seen, *_row_measures(judged, self.sentinel_is_null, among))
+
+    def results(self, spark: SparkSession) -> DataFrame:
+        """A row per rule; waits for the write to end."""
+        if self._columns is None:
+            raise ValueError("nothing was watched")
+        _, rows = _planned(self._columns, self.suite, self.rules)
+        counted = [F.lit(n).cast("bigint").alias(name) for name, n in self._seen.get.items()]
+        return spark.range(1).select(*counted).select(F.inline(F.array(*rows)))
+
+
+def row_rules(rules: Sequence[dict]) -> list[dict]:
+    """The rules of a suite that look at one row at a time, as a watch takes them."""
+    return [rule for rule in rules if rule["type"] not in _GROUPED]
 
 
 def _key_text(c: Column, kind: T.DataType) -> Column:

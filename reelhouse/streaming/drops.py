@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reelhouse.operators.quality import Watch
 from reelhouse.schemas import raw_schema
 from reelhouse.sources.files import (
     BAD_LINE,
@@ -91,13 +92,15 @@ def land(
     target: str,
     manifest: str,
     decode_sentinel: bool = True,
+    watch: Watch | None = None,
 ) -> int:
     """The same without a stream: a table of files done is kept at `manifest`. Returns new files.
 
     Dates with a new file are landed whole, replacing what they held, and only then is the listing that
     was taken at the start added to the manifest. So a run that broke off in between is repeated
     without harm, and a file that arrives meanwhile counts as new the next time. Lines that do not fit are
-    landed apart (`read_quarantine`), in the same pass; a file both plain and zipped is refused.
+    landed apart (`read_quarantine`), in the same pass; a file both plain and zipped is refused. A watch
+    judges the lines that fit, in that pass too; it has results if there were new files.
     """
     one_form(matching(spark, drop_files(source, name)))
     listing = list_files(spark, drop_files(source, name)).withColumn(SNAPSHOT, drop_date(F.col("path")))
@@ -112,7 +115,8 @@ def land(
         .options(**raw_options(decode_sentinel, "keep"))
         .csv([f"{snapshot_path(source, date)}/{name}.{FORMS}" for date in dates])
     )
-    load(_dated(rows), target, "overwrite_snapshot")
+    dated = _dated(rows)
+    load(dated if watch is None else watch.over(dated, F.col(BAD_LINE).isNull()), target, "overwrite_snapshot")
     load(listing.filter(F.col(SNAPSHOT).isin(dates)).select("path"), manifest, "append_new", ["path"])
     return sum(row["n"] for row in by_date)
 

@@ -306,3 +306,28 @@ def test_examples_are_the_most_frequent_values(spark, parts):
     assert "WindowGroupLimit" in found._jdf.queryExecution().executedPlan().toString()
     with pytest.raises(ValueError):
         quality.examples({}, {"f": rules})
+
+
+def test_a_watch_tells_what_the_suite_tells(spark, drop, tmp_path):
+    for name in FILM:
+        plain, batch = quality.row_rules(SUITES[name]), read_raw(spark, drop, name, DROP, decode_sentinel=False)
+        watch = quality.Watch(name, plain)
+        watch.over(batch).write.parquet(str(tmp_path / name))
+        want = quality.run_suites({name: batch}, {name: plain}, "r", NOW).drop("run_name", "run_time")
+        assert sorted(map(tuple, watch.results(spark).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_a_watch_judges_some_rows_and_no_uniqueness(spark, tmp_path):
+    batch = spark.createDataFrame([("a", 1), ("b", 2), (None, 2)], "c string, n int")
+    rules = [{"type": "matches", "column": "c", "regex": "a"}, {"type": "distinct_set", "column": "c", "members": ["a", "b"]}]
+    watch = quality.Watch("s", rules)
+    with pytest.raises(ValueError):
+        watch.results(spark)
+    watch.over(batch, F.col("n") == 2).write.parquet(str(tmp_path / "t"))
+    found = [(r.element_count, r.missing_count, r.unexpected_count, r.absent_members) for r in watch.results(spark).collect()]
+    assert found == [(2, 1, 1, None), (2, 1, 0, 1)]
+    with pytest.raises(ValueError):
+        quality.Watch("s", [{"type": "unique", "column": "c"}])
+    nothing = quality.Watch("s", rules)
+    nothing.over(batch.limit(0)).write.parquet(str(tmp_path / "e"))
+    assert [r.element_count for r in nothing.results(spark).collect()] == [0, 0]
