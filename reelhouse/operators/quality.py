@@ -153,6 +153,10 @@ class Watch:
         judged, _ = _planned(df.columns, self.suite, self.rules)
         return df.observe(self._seen, *_row_measures(judged, self.sentinel_is_null, among))
 
+    def wait(self) -> None:
+        """Return once the measures of the write have arrived."""
+        _ = self._seen.get
+
     def results(self, spark: SparkSession) -> DataFrame:
         """A row per rule; waits for the write to end."""
         if self._columns is None:

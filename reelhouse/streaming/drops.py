@@ -117,6 +117,8 @@ def land(
     )
     dated = _dated(rows)
     load(dated if watch is None else watch.over(dated, F.col(BAD_LINE).isNull()), target, "overwrite_snapshot")
+    if watch is not None:
+        watch.wait()
     load(listing.filter(F.col(SNAPSHOT).isin(dates)).select("path"), manifest, "append_new", ["path"])
     return sum(row["n"] for row in by_date)
 
