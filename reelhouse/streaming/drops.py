@@ -115,7 +115,8 @@ def land(
         .options(**raw_options(decode_sentinel, "keep"))
         .csv([f"{snapshot_path(source, date)}/{name}.{FORMS}" for date in dates])
     )
-    dated = _dated(rows)
+    # of one date it is known: nothing is read off the path row by row, and nothing is sorted by date for the write
+    dated = _dated(rows) if len(dates) > 1 else marked(rows).withColumn(SNAPSHOT, F.lit(dates[0]))
     load(dated if watch is None else watch.over(dated, F.col(BAD_LINE).isNull()), target, "overwrite_snapshot")
     if watch is not None:
         watch.wait()
