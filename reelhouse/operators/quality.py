@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from decimal import Decimal
 from functools import reduce
 from operator import or_
@@ -116,19 +116,31 @@ def _run_suite(df: DataFrame, suite: str, rules: Sequence[dict], sentinel_is_nul
     return measured.select(F.inline(F.array(*rows)))
 
 
-def _row_measures(rules: dict[int, dict], sentinel_is_null: bool, among: Column | None = None) -> list[Column]:
-    """elements, and m, u, a with the position of each rule, of the rows `among` (all, if None): aggregates that
-    need no shuffle of any row."""
+def _row_measures(rules: dict[int, dict], sentinel_is_null: bool) -> list[Column]:
+    """elements, and m, u, a with the position of each rule: aggregates that need no shuffle of any row."""
+    return _measures(rules, _row_tests(rules, sentinel_is_null))
+
+
+def _row_tests(rules: dict[int, dict], sentinel_is_null: bool, among: Column | None = None) -> dict[str, Column]:
+    """What `_measures` counts, as tests of a row; only rows `among` (all, if None) pass them."""
     among = F.lit(True) if among is None else among
-    measures = [F.count_if(among).alias("elements")]
+    tests = {"elements": among}
     for position, rule in rules.items():
-        value, bad = _value(rule, sentinel_is_null), _unexpected(rule, sentinel_is_null)
-        measures += [
-            F.count_if(among & value.isNull()).alias(f"m{position}"),
-            F.count_if(among & bad).alias(f"u{position}"),
-        ]
+        value = _value(rule, sentinel_is_null)
+        tests[f"m{position}"] = among & value.isNull()
+        tests[f"u{position}"] = among & _unexpected(rule, sentinel_is_null)
         if rule["type"] == "distinct_set":
-            seen = [F.coalesce(F.max((among & (value == m)).cast("int")), F.lit(0)) for m in rule["members"]]
+            tests |= {f"s{position}_{i}": among & (value == m) for i, m in enumerate(rule["members"])}
+    return tests
+
+
+def _measures(rules: dict[int, dict], tests: dict[str, Column]) -> list[Column]:
+    measures = [F.count_if(tests["elements"]).alias("elements")]
+    for position, rule in rules.items():
+        measures += [F.count_if(tests[name]).alias(name) for name in (f"m{position}", f"u{position}")]
+        if rule["type"] == "distinct_set":
+            held = [tests[f"s{position}_{i}"] for i in range(len(rule["members"]))]
+            seen = [F.coalesce(F.max(test.cast("int")), F.lit(0)) for test in held]
             measures.append((len(seen) - sum(seen[1:], seen[0])).alias(f"a{position}"))
     return measures
 
@@ -151,7 +163,10 @@ class Watch:
         """The rows of `df`, those `among` being judged."""
         self._columns = df.columns
         judged, _ = _planned(df.columns, self.suite, self.rules)
-        return df.observe(self._seen, *_row_measures(judged, self.sentinel_is_null, among))
+        # the tests are columns for a moment, as Spark compiles a projection, while it interprets what is observed
+        tests = {f"_test_{name}": test for name, test in _row_tests(judged, self.sentinel_is_null, among).items()}
+        measures = _measures(judged, {name.removeprefix("_test_"): F.col(name) for name in tests})
+        return df.withColumns(tests).observe(self._seen, *measures).drop(*tests)
 
     def wait(self) -> None:
         """Return once the measures of the write have arrived."""
@@ -182,45 +197,55 @@ def _key_text(c: Column, kind: T.DataType) -> Column:
     return c.cast("string")
 
 
+_KEY, _MISSING, _UNEXPECTED, _MEMBER = range(4)  # kinds of events
+
+
+def _told(df: DataFrame, events: Sequence[Column]) -> DataFrame:
+    """The events of all rows, where an event is a struct with a position, or NULL where a row has none. These
+    are left out behind the generator, as filtering the array by a lambda is not compiled and takes longer."""
+    return df.select(F.inline(F.array(*events))).filter(F.col("position").isNotNull())
+
+
 def _by_events(df: DataFrame, rules: dict[int, dict], sentinel_is_null: bool) -> DataFrame:
     """The same where keys have to be compared: rows become events, and one grouping counts them all.
 
     An event is a key that a uniqueness rule looks at, a value that is missing or unexpected, or a member of
     a set that is there. All but the keys come down to a few groups before the shuffle, and so does a key
-    held by very many rows.
+    held by very many rows. Every row has a key or a missing one for each uniqueness rule, so these count the rows.
     """
-    width = max(len(_columns(rule)) for rule in rules.values() if rule["type"] in _GROUPED)
+    grouped = [position for position, rule in rules.items() if rule["type"] in _GROUPED]
+    width = max(len(_columns(rules[position])) for position in grouped)
 
-    def event(position: int, kind: str, *keys: Column) -> Column:
+    def event(position: int, kind: int, *keys: Column) -> Column:
         text = [*keys, *[F.lit(None).cast("string")] * (width - len(keys))]
         return F.struct(
             F.lit(position).alias("position"), F.lit(kind).alias("kind"), *[k.alias(f"k{i}") for i, k in enumerate(text)]
         )
 
-    events, counted = [event(0, "row")], [_sum_of(0, "row").alias("elements")]
+    events, counted = [], [(_sum_of(grouped[0], _KEY) + _sum_of(grouped[0], _MISSING)).alias("elements")]
     for position, rule in rules.items():
-        missing, unexpected = _sum_of(position, "missing"), _sum_of(position, "unexpected")
+        missing, unexpected = _sum_of(position, _MISSING), _sum_of(position, _UNEXPECTED)
         if rule["type"] in _GROUPED:
             held = [decode(F.col(c).cast("string")) if sentinel_is_null else F.col(c) for c in _columns(rule)]
             kinds = [T.StringType() if sentinel_is_null else df.schema[c].dataType for c in _columns(rule)]
             known = reduce(or_, [c.isNotNull() for c in held])
             keys = [_key_text(c, kind) for c, kind in zip(held, kinds)]
-            events.append(F.when(known, event(position, "key", *keys)).otherwise(event(position, "missing")))
-            unexpected = _sum_of(position, "key", F.col("n") > 1)
+            events.append(F.when(known, event(position, _KEY, *keys)).otherwise(event(position, _MISSING)))
+            unexpected = _sum_of(position, _KEY, F.col("n") > 1)
         else:
             value = _value(rule, sentinel_is_null)
-            events.append(F.when(value.isNull(), event(position, "missing")))
-            events.append(F.when(_unexpected(rule, sentinel_is_null), event(position, "unexpected")))
+            events.append(F.when(value.isNull(), event(position, _MISSING)))
+            events.append(F.when(_unexpected(rule, sentinel_is_null), event(position, _UNEXPECTED)))
         if rule["type"] == "distinct_set":
-            events.append(F.when(value.isin(*rule["members"]), event(position, "member", value.cast("string"))))
-            seen = F.count_if((F.col("position") == position) & (F.col("kind") == "member"))
+            events.append(F.when(value.isin(*rule["members"]), event(position, _MEMBER, value.cast("string"))))
+            seen = F.count_if((F.col("position") == position) & (F.col("kind") == _MEMBER))
             counted.append((len(set(rule["members"])) - seen).alias(f"a{position}"))
         counted += [missing.alias(f"m{position}"), unexpected.alias(f"u{position}")]
-    told = df.select(F.inline(F.array_compact(F.array(*events))))
+    told = _told(df, events)
     return told.groupBy(*told.columns).agg(F.count(F.lit(1)).alias("n")).agg(*counted)
 
 
-def _sum_of(position: int, kind: str, also: Column | None = None) -> Column:
+def _sum_of(position: int, kind: int, also: Column | None = None) -> Column:
     fits = (F.col("position") == position) & (F.col("kind") == kind)
     return F.coalesce(F.sum(F.when(fits if also is None else fits & also, F.col("n"))), F.lit(0))
 
@@ -268,18 +293,30 @@ def examples(
         raise ValueError("no suite has a batch")
     best = W.partitionBy("suite", "position").orderBy(F.col("rows").desc(), "value")
     ranked = reduce(DataFrame.unionByName, told).withColumn("place", F.row_number().over(best))
-    return ranked.filter(F.col("place") <= most)
+    rules = {name: suites[name] for name in batches if suites.get(name)}
+    expectation = _of_rule(rules, lambda rule: rule["type"])
+    columns = _of_rule(rules, lambda rule: ",".join(_columns(rule)))
+    return ranked.filter(F.col("place") <= most).select(
+        "suite", "position", expectation.alias("expectation"), columns.alias("columns"), "value", "rows", "place"
+    )
+
+
+def _of_rule(suites: dict[str, Sequence[dict]], told: Callable[[dict], str]) -> Column:
+    """What is told of the rule at `suite` and `position`."""
+    listed = [F.array(*[F.lit(told(rule)) for rule in rules]) for rules in suites.values()]
+    of_suite = [F.when(F.col("suite") == name, F.element_at(x, F.col("position"))) for name, x in zip(suites, listed)]
+    return F.coalesce(*of_suite)
 
 
 def _unexpected_values(df: DataFrame, suite: str, rules: Sequence[dict], sentinel_is_null: bool) -> DataFrame:
-    """Every unexpected value of a batch with its rule and the number of rows."""
-    events = []
+    """Every unexpected value of a batch with the position of its rule and the number of rows."""
+    events, shared = [F.lit(None).cast("struct<position:int,value:string>")], []
     for position, rule in enumerate(rules, 1):
         columns = _columns(rule)
         if rule["type"] in ("column_exists", "not_null") or any(c not in df.columns for c in columns):
             continue
-        shared = rule["type"] in _GROUPED
-        if shared:
+        if rule["type"] in _GROUPED:
+            shared.append(position)
             held = [decode(F.col(c).cast("string")) if sentinel_is_null else F.col(c) for c in columns]
             kinds = [T.StringType() if sentinel_is_null else df.schema[c].dataType for c in columns]
             texts = [_key_text(c, kind) for c, kind in zip(held, kinds)]
@@ -287,13 +324,10 @@ def _unexpected_values(df: DataFrame, suite: str, rules: Sequence[dict], sentine
             value = texts[0] if len(texts) == 1 else F.to_json(F.array(*texts), {"ignoreNullFields": "false"})
         else:
             broken, value = _unexpected(rule, sentinel_is_null), _value(rule, sentinel_is_null).cast("string")
-        named = (F.lit(position), F.lit(rule["type"]), F.lit(",".join(columns)), F.lit(2 if shared else 1), value)
-        names = ("position", "expectation", "columns", "_least", "value")
-        events.append(F.when(broken, F.struct(*[v.alias(n) for n, v in zip(names, named)])))
-    kind = "array<struct<position:int,expectation:string,columns:string,_least:int,value:string>>"
-    found = df.select(F.inline(F.array_compact(F.array(*events)) if events else F.array().cast(kind)))
-    counted = found.groupBy(*found.columns).agg(F.count(F.lit(1)).alias("rows")).filter("rows >= _least")
-    return counted.select(F.lit(suite).alias("suite"), "position", "expectation", "columns", "value", "rows")
+        events.append(F.when(broken, F.struct(F.lit(position).alias("position"), value.alias("value"))))
+    counted = _told(df, events).groupBy("position", "value").agg(F.count(F.lit(1)).alias("rows"))
+    counted = counted.filter((F.col("rows") > 1) | ~F.col("position").isin(*shared))
+    return counted.select(F.lit(suite).alias("suite"), "position", "value", "rows")
 
 
 def failing_rows(
