@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelhouse.functions.columns import age, characters, is_alive
+from reelhouse.functions.columns import age, decode, is_alive, listed_characters
 from reelhouse.operators.constraints import repeated_keys
-from reelhouse.operators.joins import hot_keys, skew_join
+from reelhouse.operators.joins import HOT_ROWS, bucket, heavy_buckets, hot_keys, skew_join
 from reelhouse.operators.latest import latest_rows
 from reelhouse.schemas import CAST_CATEGORIES
 
@@ -43,9 +43,27 @@ def credit_counts(principals: DataFrame, key: str) -> DataFrame:
 
     One pass that tells who is cast and crew, and which keys are heavy, for both at once.
     """
+    return _counted(principals, key, F.col(key))
+
+
+def bucket_counts(principals: DataFrame, key: str) -> DataFrame:
+    """_bucket, cast_rows, crew_rows: the same by hash value of the key, a table of bounded size."""
+    return _counted(principals, key, bucket(key).alias("_bucket"))
+
+
+def heavy_credit_counts(
+    principals: DataFrame, key: str, buckets: DataFrame, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """`credit_counts` of the keys that can be heavy by `bucket_counts`; without such keys no credits are read."""
+    listed = F.broadcast(heavy_buckets(buckets, ["cast_rows", "crew_rows"], hot_rows))
+    some = principals.withColumn("_bucket", bucket(key)).join(listed, "_bucket", "left_semi")
+    return credit_counts(some, key)
+
+
+def _counted(principals: DataFrame, key: str, by: Column) -> DataFrame:
     return (
         principals.filter(F.col(key).isNotNull() & F.col("category").isNotNull())
-        .groupBy(key)
+        .groupBy(by)
         .agg(
             F.count_if(_on_screen()).alias("cast_rows"),
             F.count_if(~_on_screen()).alias("crew_rows"),
@@ -56,9 +74,8 @@ def credit_counts(principals: DataFrame, key: str) -> DataFrame:
 def explode_characters(credits: DataFrame, parse: str = "split") -> DataFrame:
     """One row per character; a credit without characters keeps one row with NULL."""
     kept = [c for c in credits.columns if c != "characters"]
-    return credits.select(
-        *kept, F.explode_outer(characters(F.col("characters"), parse)).alias("character")
-    )
+    listed = credits.select(*kept, F.explode_outer(listed_characters(F.col("characters"), parse)).alias("character"))
+    return listed.withColumn("character", decode(F.col("character")))
 
 
 def person_dim(credits: DataFrame, persons: DataFrame) -> DataFrame:
@@ -86,15 +103,15 @@ def link(
 
     `person_ids` holds id and nconst, `title_ids` id and tconst. Credits of a title without an id drop
     out. Either key may be very frequent, so both look-ups split their heavy keys; without a list of
-    these they are counted here.
+    these they are counted here. Both look-ups have one row per key.
     """
     title_map = title_ids.select("tconst", F.col("id").alias("title_id"))
     person_map = person_ids.select("nconst", F.col("id").alias(person_col))
     rest = [c for c in credits.columns if c not in ("tconst", "nconst")]
     hot_titles = hot_keys(credits, "tconst") if hot_titles is None else hot_titles
     hot_persons = hot_keys(credits, "nconst") if hot_persons is None else hot_persons
-    linked = skew_join(credits, title_map, "tconst", hot_titles)
-    linked = skew_join(linked, person_map, "nconst", hot_persons)
+    linked = skew_join(credits, title_map, "tconst", hot_titles, single=True)
+    linked = skew_join(linked, person_map, "nconst", hot_persons, single=True)
     return linked.select("title_id", person_col, *rest)
 
 

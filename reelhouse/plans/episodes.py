@@ -32,7 +32,7 @@ def episode_summary(raw: DataFrame) -> DataFrame:
 def with_title_ids(summary: DataFrame, title_ids: DataFrame) -> DataFrame:
     """title_id, season, total_episodes for the series among `title_ids` (id, tconst)."""
     known = title_ids.select("tconst", F.col("id").alias("title_id"))
-    return summary.join(known, "tconst").select("title_id", "season", "total_episodes")
+    return summary.join(known.hint("shuffle_hash"), "tconst").select("title_id", "season", "total_episodes")
 
 
 def episodes(raw: DataFrame, title_ids: DataFrame) -> DataFrame:

@@ -48,7 +48,7 @@ def written(spark: SparkSession, root: str) -> Callable[[str, DataFrame], DataFr
 
 # What can be put together side by side, each group from what the groups before it made.
 SIDE_BY_SIDE = (
-    ("download_date", "rated_titles", "_episode_totals", "_by_person", "_by_title"),
+    ("download_date", "rated_titles", "_episode_totals", "_by_person", "_title_buckets"),
     ("_title_ids", "cast_people", "crew_people"),
     ("titles", "episodes", "_cast_ids", "_crew_ids"),
     ("casts", "crew", "titles_casts", "titles_crew"),
@@ -59,8 +59,8 @@ class Catalogue:
     """The warehouse tables over decoded raw files, each put together when first asked for.
 
     `read` gives a raw file by name. `keep` says what becomes of a finished table: by default it stays a
-    plan, and with `written` later tables read it back, so that its work is done once. `number` gives
-    the distinct keys of titles, casts and crew their ids. `rated_titles`, `cast_people` and
+    plan, and with `written` later tables read it back, so that its work is done once. `number` adds
+    ids to rows that are unique in a key: the keys of titles, casts and crew, and the episodes. `rated_titles`, `cast_people` and
     `crew_people` are these tables without ids, for reports that join nothing. Titles are stamped with the
     drop of the date `drop`, or with the latest.
     """
@@ -96,8 +96,9 @@ class Catalogue:
     @cached_property
     def titles(self) -> DataFrame:
         drop = titles.snapshot_id(self.download_date, self._drop)
-        rows = self.rated_titles.join(self._title_ids, "tconst").withColumn("download_date_id", drop)
-        return self._keep("titles", rows)
+        # ids are narrow and have one row per key: hashed, so that the titles need no sort
+        ids = self._title_ids.hint("shuffle_hash")
+        return self._keep("titles", self.rated_titles.join(ids, "tconst").withColumn("download_date_id", drop))
 
     @cached_property
     def _episode_totals(self) -> DataFrame:
@@ -105,9 +106,10 @@ class Catalogue:
 
     @cached_property
     def episodes(self) -> DataFrame:
+        # one row per title and season, so the rows are numbered themselves and need not meet their ids again
         keyed = with_episode_key(episodes.with_title_ids(self._episode_totals, self._title_ids))
-        ids = self._ids("episode_ids", keyed, "_key")
-        return self._keep("episodes", keyed.join(ids, "_key").drop("_key"))
+        numbered = self._number("episode_ids", self._keep("episodes_keyed", keyed), "_key")
+        return self._keep("episodes", numbered.drop("_key"))
 
     @cached_property
     def _people(self) -> DataFrame:
@@ -119,14 +121,15 @@ class Catalogue:
         return self._keep("credits_by_person", counts)
 
     @cached_property
-    def _by_title(self) -> DataFrame:
-        counts = credits.credit_counts(self._read("title.principals"), "tconst")
-        return self._keep("credits_by_title", counts)
+    def _title_buckets(self) -> DataFrame:
+        counts = credits.bucket_counts(self._read("title.principals"), "tconst")
+        return self._keep("credits_by_title_bucket", counts)
 
     def _hot(self, n: str) -> dict[str, DataFrame]:
+        by_title = credits.heavy_credit_counts(self._read("title.principals"), "tconst", self._title_buckets)
         return {
             "hot_persons": hottest(self._by_person, "nconst", n),
-            "hot_titles": hottest(self._by_title, "tconst", n),
+            "hot_titles": hottest(by_title, "tconst", n, whole=self._title_buckets),
         }
 
     @cached_property
@@ -191,17 +194,24 @@ def load_drop(
     load = Load.begun(spark, root)
     part = snapshot_date.isoformat()
 
-    def number(kind: str, keys: DataFrame, key: str) -> DataFrame:
+    def number(kind: str, rows: DataFrame, key: str) -> DataFrame:
         name = f"keys/{kind}"
         schema = T.StructType([T.StructField(key, T.StringType()), T.StructField("id", T.LongType())])
+        alone = rows.columns == [key]
         if not load.base.of(name):
-            return load.grow(name, assign_keys(keys, key), "id")
-        known = load.base.read(spark, name, schema)
+            numbered = assign_keys(rows, key)
+            if not alone:
+                numbered = load.write(f"{name}.met", numbered)
+            grown = load.grow(name, numbered.select(key, "id"), "id")
+            return grown if alone else numbered
+        known = load.base.read(spark, name, schema).hint("shuffle_hash")
         # one join finds the ids of the known keys and which keys are new
-        met = load.write(f"{name}.met", keys.join(known, key, "left"))
+        met = load.write(f"{name}.met", rows.join(known, key, "left"))
         fresh = assign_keys(met.filter("id IS NULL").select(key), key)
         fresh = fresh.withColumn("id", F.col("id") + load.high(name))
         added = load.grow(name, fresh, "id").filter(F.col("id") > load.high(name))
+        if not alone:
+            added = met.filter("id IS NULL").drop("id").join(added, key)
         return met.filter("id IS NOT NULL").unionByName(added)
 
     def keep(name: str, rows: DataFrame) -> DataFrame:
