@@ -192,7 +192,9 @@ def whiten(df: DataFrame, key: str = "vec_id", vector: str = "embedding", count:
             else:
                 exact = [sum(int(a) ** 2 for a in row) for row in off]
                 deviation = [a if a < 1 << 63 else None for a in exact]
-            found = off.astype(float) / n @ scaled
+            at = off.astype(float) / n
+            # sums by row and no product of matrices, whose rounding hangs on the place of a row in its batch
+            found = np.stack([(at * side).sum(axis=1) for side in scaled.T], axis=1)
             m = batch.num_rows
             columns = [
                 batch.column("key").take(pa.array(np.repeat(np.arange(m), count))),
