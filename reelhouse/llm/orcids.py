@@ -37,7 +37,7 @@ INDEX_ROWS = 1_000  # rows of an index entry, and of a Bloom filter
 FALSE_HITS = 0.01
 PIECES = 1 << 19  # pieces a worker remembers, some 100 MB; it remembers no more then
 PIECE_BYTES = 64  # longer ones are not remembered
-CHUNK = 8 << 20  # bytes of text encoded together, or one text that is longer
+CHUNK = 12 << 20  # bytes of text encoded together, or one text that is longer; each time the known pieces are hashed
 TOGETHER = 4096  # new pieces encoded as one text
 
 # A blank between two characters that no definition of white space takes for white space.

@@ -2,6 +2,7 @@
 
 import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from reelhouse.operators import constraints, quality
@@ -121,3 +122,9 @@ def test_characters_are_decoded_after_they_are_spread(spark):
     found = credits.explode_characters(df)
     assert "lambda" not in plan(found)
     assert rows(found.filter(F.col("character").isNotNull())) == [("",), ("A",), ("\\\\N",)]
+
+
+def test_texts_of_a_task_are_looked_up_at_once():
+    pa, orcids = pytest.importorskip("pyarrow"), pytest.importorskip("reelhouse.llm.orcids")
+    batch = pa.RecordBatch.from_arrays([pa.array(["a" * (1 << 20)] * 10)], names=["text"])
+    assert [some.num_rows for some in orcids._chunks(batch)] == [10]
