@@ -16,14 +16,17 @@ LEAST_WORDS words there with the first document that holds the run whole.
 from __future__ import annotations
 
 from bisect import bisect_right
+from collections.abc import Iterator
 from difflib import SequenceMatcher
-from functools import lru_cache
+from itertools import chain as joined
 
 import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelhouse.llm.bagminhash import _A, WORD, mix, word_hashes
+from reelhouse.llm.bagminhash import _A, WORD, mix
 from reelhouse.llm.common import kept, map_rows, read, stage
 
 WORDS_K = 8
@@ -33,36 +36,65 @@ LEAST_WORDS = 50
 LEAST_ALIKE = 0.8
 EVERY = 4096  # matches of one seed in two texts up to which each place meets each
 DROP = 10.0  # an end is extended until it is this far below its best
+TOGETHER = 1 << 20  # characters of texts that are hashed in one go; a longer text alone
 _NONE = -(1 << 63)
 
 
-def coded(text: str, memo) -> np.ndarray:
-    """The hash of each word in lower case."""
-    words = WORD.findall(text.lower())
-    return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+def together(sizes: list[int]) -> Iterator[slice]:
+    """Rows next to each other that have TOGETHER characters at most, or one row."""
+    begin = total = 0
+    for end, size in enumerate(sizes):
+        if end > begin and total + size > TOGETHER:
+            yield slice(begin, end)
+            begin, total = end, 0
+        total += size
+    if sizes:
+        yield slice(begin, len(sizes))
+
+
+def coded(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each word in lower case, text after text, and the bounds of the texts."""
+    found = [text.lower().encode().split() for text in texts]  # bytes are split at the six characters of WORD only
+    bounds = np.cumsum([0, *map(len, found)])
+    return np.fromiter(map(xxhash.xxh64_intdigest, joined.from_iterable(found)), np.uint64, bounds[-1]), bounds
 
 
 def kmers(h: np.ndarray, size: int) -> np.ndarray:
-    """The hash of each run of `size` words."""
+    """The hash of each run of `size` words, longer ones by their runs of WORDS_K words."""
     n = max(0, len(h) - size + 1)
     key = np.zeros(n, np.uint64)
-    for i in range(size if n else 0):
+    if size <= WORDS_K:
+        starts = list(range(size))
+    else:
+        h, starts = kmers(h, WORDS_K), [*range(0, size - WORDS_K, WORDS_K), size - WORDS_K]
+    for i in starts if n else ():
         key = mix(key * _A + h[i : i + n])
     return key
 
 
-def minima(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and places (in words) of the window minima."""
-    key = kmers(h, WORDS_K)
-    n = len(key)
-    if not n:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    if n <= WINDOW:
-        at = np.array([int(key.argmin())])
-    else:
-        view = np.lib.stride_tricks.sliding_window_view(key, WINDOW)
-        at = np.unique(view.argmin(axis=1) + np.arange(len(view)))
-    return key[at], at
+def minima(h: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes and places (in words) of the window minima of texts, and the bounds of the texts among them.
+
+    Fewer k-mers than WINDOW are one window. Of equal hashes in a window the first one is taken.
+    """
+    begin, sizes = bounds[:-1], np.diff(bounds)
+    n = np.maximum(sizes - WORDS_K + 1, 0)
+    place = np.arange(len(h))
+    # runs beyond the end of a text come last: there are as many as a short text lacks of a window
+    best = np.full(len(h) + WINDOW - 1, np.iinfo(np.uint64).max)
+    found = kmers(h, WORDS_K)
+    best[: len(found)] = found
+    best[: len(h)][place >= np.repeat(begin + n, sizes)] = np.iinfo(np.uint64).max
+    key, at, step = best, np.arange(len(best)), 1
+    while step < WINDOW:  # a power of two
+        at = np.where(best[step:] < best[:-step], at[step:], at[:-step])
+        best = np.minimum(best[step:], best[:-step])
+        step *= 2
+    windows = np.where(n > 0, np.maximum(n - WINDOW + 1, 1), 0)
+    at = at[place < np.repeat(begin + windows, sizes)]
+    at = at[np.diff(at, prepend=-1) > 0]
+    ends = np.searchsorted(at, bounds)
+    return key[at], at - np.repeat(begin, np.diff(ends)), ends
 
 
 class Fenwick:
@@ -93,6 +125,9 @@ def chains(matches: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
     A match is worth the words that it adds to the one before; words passed over cost GAP each.
     """
     matches = sorted(set(matches), key=lambda m: (m[0], -m[1]))
+    # on one diagonal without a gap that costs more than the next match is worth, each match adds to the one before
+    if all(a - c == d - f and a - d < WORDS_K + WORDS_K / GAP for (d, f), (a, c) in zip(matches, matches[1:])):
+        return [matches] if matches else []
     ranks = {c: i for i, c in enumerate(sorted({c for _, c in matches}))}
     tree = Fenwick(len(ranks))
     worth, previous = [], []
@@ -124,7 +159,16 @@ def chains(matches: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
 
 def _extend(a: np.ndarray, b: np.ndarray) -> int:
     """For how many words from the start on a and b go on being alike."""
+    best = found = score = 0
+    for i, (x, y) in enumerate(zip(a[:16].tolist(), b[:16].tolist())):  # most ends fall at once
+        score += 1 if x == y else -3
+        if score > best:
+            best, found = score, i + 1
+        elif score < best - DROP:
+            return found
     size, limit = min(len(a), len(b)), 256
+    if size <= 16:
+        return found
     while size:
         score = np.where(a[:limit][:size] == b[:limit][:size], 1, -3).cumsum()
         fallen = np.flatnonzero(score < np.maximum(np.maximum.accumulate(score), 0) - DROP)
@@ -135,8 +179,15 @@ def _extend(a: np.ndarray, b: np.ndarray) -> int:
     return 0
 
 
-def blocks(a: np.ndarray, b: np.ndarray, chain: list[tuple[int, int]]) -> np.ndarray:
-    """Rows place, other place, length of the runs of words that agree around a chain, ascending in both."""
+def ends(a: np.ndarray, b: np.ndarray, chain: list[tuple[int, int]]) -> tuple[int, int]:
+    """For how many words a and b go on being alike before a chain and after it."""
+    (begin_a, begin_b), (end_a, end_b) = chain[0], chain[-1]
+    return _extend(a[:begin_a][::-1], b[:begin_b][::-1]), _extend(a[end_a + WORDS_K :], b[end_b + WORDS_K :])
+
+
+def blocks(a: np.ndarray, b: np.ndarray, chain: list[tuple[int, int]], left: int, right: int) -> np.ndarray:
+    """Rows place, other place, length of the runs of words that agree along a chain and in the words on its left
+    and right, ascending in both."""
     out: list[list[int]] = []
 
     def put(i: int, j: int, n: int) -> None:
@@ -152,19 +203,16 @@ def blocks(a: np.ndarray, b: np.ndarray, chain: list[tuple[int, int]]) -> np.nda
             put(i + begin, j + begin, end - begin)
 
     at_a, at_b = chain[0]
-    left = _extend(a[:at_a][::-1], b[:at_b][::-1])
-    along(at_a - left, at_b - left, left)
-    for i, j in [*chain, (chain[-1][0] + WORDS_K, chain[-1][1] + WORDS_K)]:
-        if i <= at_a or j <= at_b:
-            continue
-        if i - at_a == j - at_b:
-            along(at_a, at_b, i - at_a)
-        else:
+    from_a, from_b = at_a - left, at_b - left  # where the diagonal begins, on which the matches lie
+    for i, j in chain[1:]:
+        if i - at_a != j - at_b:
+            along(from_a, from_b, at_a - from_a)
             matcher = SequenceMatcher(None, a[at_a:i].tolist(), b[at_b:j].tolist(), autojunk=False)
             for m in matcher.get_matching_blocks():
                 put(at_a + m.a, at_b + m.b, m.size)
+            from_a, from_b = i, j
         at_a, at_b = i, j
-    along(at_a, at_b, _extend(a[at_a:], b[at_b:]))
+    along(from_a, from_b, at_a + WORDS_K + right - from_a)
     return np.array(out, np.int64).reshape(-1, 3)
 
 
@@ -201,20 +249,24 @@ def _seeded(rows: DataFrame) -> DataFrame:
     """`_key`, `_t`, `n` (words) and `seeds` of each row."""
 
     def start():
-        memo = word_hashes()
-
-        def work(batch: dict[str, list]) -> dict[str, list]:
-            out, sizes = [], []
-            for text in batch["_text"]:
-                h = coded(text, memo)
-                key, at = minima(h)
-                out.append([{"h": h, "at": p} for h, p in zip(key.view(np.int64).tolist(), at.tolist())])
-                sizes.append(len(h))
-            return {"_key": batch["_key"], "_t": batch["_t"], "n": sizes, "seeds": out}
+        def work(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+            texts = batch["_text"].to_pylist()
+            sizes, counts, keys, ats = [], [[0]], [], []
+            for some in together([len(text) for text in texts]):
+                h, bounds = coded(texts[some])
+                key, at, found = minima(h, bounds)
+                sizes.append(np.diff(bounds))
+                counts.append(np.diff(found))
+                keys.append(key.view(np.int64))
+                ats.append(at.astype(np.int32))
+            seeds = pa.StructArray.from_arrays([np.concatenate(keys), np.concatenate(ats)], names=["h", "at"])
+            listed = pa.ListArray.from_arrays(np.concatenate(counts).cumsum().astype(np.int32), seeds)
+            return {"_key": batch["_key"], "_t": batch["_t"], "n": pa.array(np.concatenate(sizes)), "seeds": listed}
 
         return work
 
-    return map_rows(rows, start, "_key bigint, _t bigint, n int, seeds array<struct<h:bigint,at:int>>")
+    schema = "_key bigint, _t bigint, n int, seeds array<struct<h:bigint,at:int>>"
+    return map_rows(rows, start, schema, lists=False)
 
 
 def _numbered(rows: DataFrame) -> DataFrame:
@@ -223,10 +275,18 @@ def _numbered(rows: DataFrame) -> DataFrame:
     return least.orderBy("_own", "_t").select("_t", "_own", F.monotonically_increasing_id().alias("_id"))
 
 
-def _spots(key: np.ndarray, at: np.ndarray) -> dict[int, list[int]]:
-    """The places of each seed; of places at even steps (a periodic run) the first and the last."""
+class Seeds:
+    """The hashes and places of a text's seeds."""
+
+    def __init__(self, key: np.ndarray, at: np.ndarray):
+        self.keys, self.at = key.tolist(), at.tolist()
+        self.distinct = set(self.keys)
+
+
+def _spots(seeds: Seeds, common: set[int]) -> dict[int, list[int]]:
+    """The places of each common seed; of places at even steps (a periodic run) the first and the last."""
     spots: dict[int, list[int]] = {}
-    for k, p in zip(key.tolist(), at.tolist()):
+    for k, p in [m for m in zip(seeds.keys, seeds.at) if m[0] in common]:
         spots.setdefault(k, []).append(p)
     for k, x in spots.items():
         if len(x) > 2:
@@ -235,11 +295,11 @@ def _spots(key: np.ndarray, at: np.ndarray) -> dict[int, list[int]]:
     return spots
 
 
-def places(ours: tuple[np.ndarray, np.ndarray], others: tuple[np.ndarray, np.ndarray]) -> list[tuple[int, int]]:
+def places(ours: Seeds, others: Seeds) -> list[tuple[int, int]]:
     """Matches of all places of the seeds that two texts share. Seeds with more than EVERY of them are
     matched in order, from both ends."""
-    common = np.intersect1d(ours[0], others[0])
-    left, right = (_spots(*(x[np.isin(found[0], common)] for x in found)) for found in (ours, others))
+    common = ours.distinct & others.distinct
+    left, right = _spots(ours, common), _spots(others, common)
     out: list[tuple[int, int]] = []
     for k, x in left.items():
         y = right[k]
@@ -255,8 +315,12 @@ def shared_parts(a: np.ndarray, b: np.ndarray, matches: list[tuple[int, int]]) -
     """The passages of a that b has, none inside another."""
     found: list[tuple] = []
     for chain in chains(matches):
-        if not any(f[0] <= chain[0][0] and chain[-1][0] + WORDS_K <= f[1] for f in found):
-            found.extend(parts(blocks(a, b, chain)))
+        begin, end = chain[0][0], chain[-1][0] + WORDS_K
+        if any(f[0] <= begin and end <= f[1] for f in found):
+            continue
+        left, right = ends(a, b, chain)
+        if end + right - (begin - left) >= LEAST_WORDS:
+            found.extend(parts(blocks(a, b, chain, left, right)))
     out: list[tuple] = []
     for f in sorted(found, key=lambda f: (f[0], -f[1])):
         if not out or f[1] > out[-1][1]:
@@ -264,25 +328,33 @@ def shared_parts(a: np.ndarray, b: np.ndarray, matches: list[tuple[int, int]]) -
     return out
 
 
+def _pairs(batch: dict[str, list]) -> Iterator[tuple[list[int], list[int], dict, dict]]:
+    """`_id` and `_first` of some pairs at a time, and the words and the seeds of their texts, each of which is
+    hashed once."""
+    for some in together([len(x) + len(y) for x, y in zip(batch["_text"], batch["_other"])]):
+        ids, firsts = batch["_id"][some], batch["_first"][some]
+        texts = dict(zip([*ids, *firsts], [*batch["_text"][some], *batch["_other"][some]]))
+        h, bounds = coded(list(texts.values()))
+        key, at, found = minima(h, bounds)
+        words, seeds = {}, {}
+        for n, i in enumerate(texts):
+            words[i] = h[bounds[n] : bounds[n + 1]]
+            seeds[i] = Seeds(key[found[n] : found[n + 1]], at[found[n] : found[n + 1]])
+        yield ids, firsts, words, seeds
+
+
 def _aligned(pairs: DataFrame) -> DataFrame:
     """Passages of pairs `_id`, `_first`, `_text`, `_other`."""
 
     def start():
-        memo = word_hashes()
-
-        @lru_cache(8)
-        def known(text: str) -> tuple:
-            h = coded(text, memo)
-            return h, minima(h)
-
         def work(batch: dict[str, list]) -> dict[str, list]:
             names = ("_id", "_first", "from_word", "to_word", "first_from", "first_to", "alike")
             out: dict[str, list] = {n: [] for n in names}
-            for i, f, x, y in zip(*(batch[c] for c in ("_id", "_first", "_text", "_other"))):
-                (a, ours), (b, others) = known(x), known(y)
-                for part in shared_parts(a, b, places(ours, others)):
-                    for name, value in zip(names, (i, f, *part)):
-                        out[name].append(value)
+            for ids, firsts, words, seeds in _pairs(batch):
+                for i, f in zip(ids, firsts):
+                    for part in shared_parts(words[i], words[f], places(seeds[i], seeds[f])):
+                        for name, value in zip(names, (i, f, *part)):
+                            out[name].append(value)
             return out
 
         return work
@@ -298,30 +370,39 @@ def _starts(at: np.ndarray) -> list[tuple[int, int]]:
     return [(begin, end) for begin, end in ranges if begin < end]
 
 
+def _lists(column: pa.ListArray) -> list[np.ndarray]:
+    """The list of each row, empty for null."""
+    sizes = column.value_lengths().fill_null(0).to_numpy()
+    return np.split(column.flatten().to_numpy(), sizes.cumsum()[:-1])
+
+
 def _uncovered(docs: DataFrame) -> DataFrame:
     """Of `_id`, `_seeds` and `_spans`: `ranges` where a passage can start that has a shared seed outside the
     spans, and the hashes of its seeds."""
 
     def start():
-        def work(batch: dict[str, list]) -> dict[str, list]:
+        def work(batch: pa.RecordBatch) -> dict[str, list]:
             out: dict[str, list] = {"_id": [], "ranges": [], "hashes": []}
-            for i, found, spans in zip(batch["_id"], batch["_seeds"], batch["_spans"]):
-                h = {m["at"]: m["h"] for m in found}
-                at = np.array(sorted(h))
+            for i, *found in zip(batch["_id"].to_pylist(), *(_lists(batch[c]) for c in ("at", "h", "from", "to"))):
+                order = found[0].argsort()
+                at, h = found[0][order], found[1][order]
+                starts = _starts(at)
+                if not starts:
+                    continue
                 left = np.zeros(at[-1] + LEAST_WORDS + WORDS_K + WINDOW, bool)
                 for p in at.tolist():
                     left[p : p + WORDS_K] = True
-                for s in spans or ():
-                    left[s["from_word"] : s["to_word"]] = False
+                for begin, end in zip(*(x.tolist() for x in found[2:])):
+                    left[begin:end] = False
                 sums = np.concatenate([[0], left.cumsum()])
                 ranges, hashes = [], set()
-                for begin, end in _starts(at):
+                for begin, end in starts:
                     p = np.arange(begin, end)
                     some = np.concatenate([[False], sums[p + LEAST_WORDS] > sums[p], [False]])
                     turns = (np.flatnonzero(some[1:] != some[:-1]) + begin).tolist()
                     for x, y in zip(turns[::2], turns[1::2]):
                         ranges.append({"begin": x, "end": y})
-                        hashes.update(h[q] for q in at[(at >= x) & (at < y + LEAST_WORDS - WORDS_K)].tolist())
+                        hashes.update(h[(at >= x) & (at < y + LEAST_WORDS - WORDS_K)].tolist())
                 if ranges:
                     out["_id"].append(i)
                     out["ranges"].append(ranges)
@@ -330,28 +411,34 @@ def _uncovered(docs: DataFrame) -> DataFrame:
 
         return work
 
-    return map_rows(docs, start, "_id bigint, ranges array<struct<begin:int,end:int>>, hashes array<bigint>")
+    columns = {"at": "_seeds.at", "h": "_seeds.h", "from": "_spans.from_word", "to": "_spans.to_word"}
+    schema = "_id bigint, ranges array<struct<begin:int,end:int>>, hashes array<bigint>"
+    return map_rows(docs.select("_id", *[F.col(c).alias(n) for n, c in columns.items()]), start, schema, lists=False)
 
 
 def _long_kmers(docs: DataFrame) -> DataFrame:
     """`_id` and the runs of LEAST_WORDS words that start where `_ats` say."""
 
     def start():
-        memo = word_hashes()
-
-        def work(batch: dict[str, list]) -> dict[str, list]:
-            out = []
-            for ats, text in zip(batch["_ats"], batch["_text"]):
-                h, found = coded(text, memo), []
-                for begin, end in _starts(np.array(sorted(ats))):
-                    keys = kmers(h[begin : end + LEAST_WORDS - 1], LEAST_WORDS).view(np.int64).tolist()
-                    found.extend({"h": k, "at": begin + p} for p, k in enumerate(keys))
-                out.append(found)
-            return {"_id": batch["_id"], "seeds": out}
+        def work(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+            texts, starts = batch["_text"].to_pylist(), [_starts(np.sort(ats)) for ats in _lists(batch["_ats"])]
+            counts, keys, ats = [0], [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+            for some in together([len(text) for text in texts]):
+                h, bounds = coded(texts[some])
+                key = kmers(h, LEAST_WORDS)
+                for ranges, first, last in zip(starts[some], bounds.tolist(), bounds[1:].tolist()):
+                    at = [np.arange(begin, min(end, last - first - LEAST_WORDS + 1)) for begin, end in ranges]
+                    ats.extend(at)
+                    keys.extend(key[first + x] for x in at)
+                    counts.append(sum(map(len, at)))
+            found = [np.concatenate(keys).view(np.int64), np.concatenate(ats).astype(np.int32)]
+            seeds = pa.StructArray.from_arrays(found, names=["h", "at"])
+            return {"_id": batch["_id"], "seeds": pa.ListArray.from_arrays(np.cumsum(counts).astype(np.int32), seeds)}
 
         return work
 
-    return map_rows(docs, start, "_id bigint, seeds array<struct<h:bigint,at:int>>")
+    schema = "_id bigint, seeds array<struct<h:bigint,at:int>>"
+    return map_rows(docs.select("_id", "_ats", "_text"), start, schema, lists=False)
 
 
 def exact_parts(a: np.ndarray, b: np.ndarray, to: dict[int, int]) -> list[tuple]:
@@ -379,8 +466,6 @@ def exact_parts(a: np.ndarray, b: np.ndarray, to: dict[int, int]) -> list[tuple]
 
 def _exact(pairs: DataFrame) -> DataFrame:
     def start():
-        memo = word_hashes()
-
         def work(batch: dict[str, list]) -> dict[str, list]:
             names = ("_id", "_first", "from_word", "to_word", "first_from", "first_to", "alike")
             out: dict[str, list] = {n: [] for n in names}
@@ -388,7 +473,9 @@ def _exact(pairs: DataFrame) -> DataFrame:
             for i, f, matches, ranges, x, y in zip(*(batch[c] for c in columns)):
                 to = {m["at"]: m["to"] for m in matches}
                 wanted = {p: to[p] for r in ranges for p in range(r["begin"], r["end"]) if p in to}
-                for part in exact_parts(coded(x, memo), coded(y, memo), wanted):
+                if not wanted:
+                    continue
+                for part in exact_parts(coded([x])[0], coded([y])[0], wanted):
                     for name, value in zip(names, (i, f, *part)):
                         out[name].append(value)
             return out

@@ -88,11 +88,15 @@ def spread(df: DataFrame, factor: int = 1) -> int:
 
 
 def map_rows(
-    df: DataFrame, start: Callable[[], Callable[[dict[str, list]], dict[str, list]]], schema: str
+    df: DataFrame,
+    start: Callable[[], Callable[[dict[str, list] | pa.RecordBatch], dict[str, list | pa.Array]]],
+    schema: str,
+    lists: bool = True,
 ) -> DataFrame:
     """Apply a function of column lists to each batch; `start` makes it once per task.
 
-    Batches stay small, so that a few very long texts do not meet in one.
+    Batches stay small, so that a few very long texts do not meet in one. Without `lists` the function is given
+    the batch itself. It returns lists or Arrow arrays.
     """
     names = [part.split()[0] for part in schema.split(", ")]
     types = _arrow_types(df.sparkSession, schema)
@@ -101,14 +105,17 @@ def map_rows(
         work = start()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
-                out = work(batch.slice(at, 512).to_pydict())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[n], type=t) for n, t in zip(names, types)], names=names
-                )
+                some = batch.slice(at, 512)
+                out = work(some.to_pydict() if lists else some)
+                yield pa.RecordBatch.from_arrays([_column(out[n], t) for n, t in zip(names, types)], names=names)
 
     return df.mapInArrow(run, schema)
 
 
+def _column(values: list | pa.Array, to: pa.DataType) -> pa.Array:
+    return values.cast(to) if isinstance(values, pa.Array) else pa.array(values, type=to)
+
+
 def _arrow_types(spark: SparkSession, schema: str) -> list[pa.DataType]:
     from pyspark.sql.pandas.types import to_arrow_type
     from pyspark.sql.types import StructType

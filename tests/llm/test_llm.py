@@ -3,6 +3,7 @@
 import base64
 import itertools
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -11,6 +12,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+import xxhash
 
 import corpus_pipeline
 from reelhouse.llm import bagminhash, bpe, chaining, fingerprints, hmm, html, mixing, quality, shards, toxicity
@@ -144,6 +146,50 @@ def test_chains_follow_both_texts():
     assert chaining.chains(matches)[0] == [(0, 100), (5, 105), (12, 112)]
 
 
+def test_seeds_of_many_texts_are_found_together(monkeypatch):
+    rng = random.Random(31)
+    texts = ["", "one", "so " * 90, "A\x1cb\x85 \x0bÜ\tİ " * 9, *(prose(300 + n, n) for n in range(40))]
+    texts += [" ".join(rng.choice("ab") for _ in range(n)) for n in range(60)]
+    mixed = []
+    monkeypatch.setattr(chaining, "mix", lambda x: mixed.append(len(x)) or bagminhash.mix(x))
+    h, bounds = chaining.coded(texts)
+    key, at, ends = chaining.minima(h, bounds)
+    assert len(mixed) == chaining.WORDS_K  # and not as often for each text
+    for n, text in enumerate(texts):
+        words = WORD.findall(text.lower())
+        own = h[bounds[n] : bounds[n + 1]]
+        assert own.tolist() == [xxhash.xxh64_intdigest(w) for w in words]
+        found = chaining.kmers(own, chaining.WORDS_K).tolist()
+        windows = [range(i, min(i + chaining.WINDOW, len(found))) for i in range(max(len(found) - chaining.WINDOW, 0) + 1)]
+        want = sorted({min(w, key=found.__getitem__) for w in windows if w})
+        assert at[ends[n] : ends[n + 1]].tolist() == want
+        assert key[ends[n] : ends[n + 1]].tolist() == [found[p] for p in want]
+
+
+def test_texts_are_hashed_in_bounded_groups():
+    most = chaining.TOGETHER
+    sizes = [1, 2, most, 0, most - 1, 2, 3 * most, 5]
+    found = [(s.start, s.stop) for s in chaining.together(sizes)]
+    assert found == [(0, 2), (2, 4), (4, 5), (5, 6), (6, 7), (7, 8)] and not list(chaining.together([]))
+
+
+def test_equal_stretches_need_no_tree_and_one_comparison(monkeypatch):
+    words = np.random.default_rng(3).integers(0, 2**63, 600).astype("u8")
+    other = np.concatenate([words[:9][::-1], words[:300], words[280:281], words[301:]])
+    matches = [(p, p + 9) for p in range(0, 590, 6) if not 292 < p < 301]
+    monkeypatch.delattr(chaining, "Fenwick")
+    assert chaining.chains(matches) == [matches]
+    assert chaining.blocks(words, other, matches, 0, 0).tolist() == [[0, 9, 300], [301, 310, 295]]
+    assert chaining.shared_parts(words, other, matches) == [(0, 300, 9, 309, 1.0), (301, 600, 310, 609, 1.0)]
+    monkeypatch.delattr(chaining, "blocks")  # what is too short is not aligned
+    assert chaining.shared_parts(words[:49], words[:49], [(0, 0), (20, 20)]) == []
+
+
+def test_rows_around_a_gap_that_costs_too_much_are_chains_apart():
+    near, far = [(0, 0), (23, 23)], [(0, 0), (24, 24)]
+    assert chaining.chains(near) == [near] and sorted(chaining.chains(far)) == [[(0, 0)], [(24, 24)]]
+
+
 def test_passages(spark, docs):
     found = {(r.doc_id, r.first_id): r for r in chaining.passages(docs).collect()}
     assert found[12, 11].to_word - found[12, 11].from_word == 70 and found[12, 11].alike == 1
