@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelhouse.llm.bagminhash import _A, WORD, mix
-from reelhouse.llm.common import kept, map_rows, read, stage
+from reelhouse.llm.common import done_with, kept, map_rows, read, stage
 
 WORDS_K = 8
 WINDOW = 8
@@ -270,9 +270,11 @@ def _seeded(rows: DataFrame) -> DataFrame:
 
 
 def _numbered(rows: DataFrame) -> DataFrame:
-    """`_t`, its least key `_own`, and `_id`, which ascends by both: one row for each text."""
-    least = rows.groupBy("_t").agg(F.min("_key").alias("_own"))
-    return least.orderBy("_own", "_t").select("_t", "_own", F.monotonically_increasing_id().alias("_id"))
+    """`_t`, its least key `_own`, whether one row only has both, and `_id`, which ascends by both: one row for each
+    text."""
+    each = rows.groupBy("_t", "_key").agg((F.count("*") == 1).alias("_once"))
+    least = each.groupBy("_t").agg(F.min("_key").alias("_own"), F.min_by("_once", "_key").alias("_once"))
+    return least.orderBy("_own", "_t").select("_t", "_own", "_once", F.monotonically_increasing_id().alias("_id"))
 
 
 class Seeds:
@@ -486,22 +488,26 @@ def _exact(pairs: DataFrame) -> DataFrame:
     return map_rows(pairs, start, schema)
 
 
-def _second_round(rows: DataFrame, ids: DataFrame, some: DataFrame, left: DataFrame) -> DataFrame:
+def _second_round(texts: DataFrame, some: DataFrame, left: DataFrame) -> DataFrame:
     """Passages of the documents `left` whose seeds are first seen in several documents: runs of LEAST_WORDS
-    words are matched with the first document that holds them whole."""
+    words are matched with the first document that holds them whole. Of `texts` and `some` nothing is left."""
     hashes = kept(left.select(F.explode("hashes").alias("h")).distinct(), "hashes")
     holders = kept(some.join(hashes, "h").groupBy("_id").agg(F.collect_set("at").alias("_ats")), "holders")
-    texts = kept(_texts(rows, ids, holders.select("_id")), "texts")
-    listed = kept(_long_kmers(holders.join(texts, "_id")), "runs")
+    held_texts = kept(holders.join(texts.select("_id", "_text"), "_id"), "texts")
+    spark = left.sparkSession
+    done_with(spark, texts, some, hashes, holders)
+    listed = kept(_long_kmers(held_texts), "runs")
     found = listed.select("_id", F.explode("seeds").alias("_s")).select("_id", "_s.h", "_s.at")
     ends = found.groupBy("h").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"))
     shared = kept(ends.filter("_first < _last").select("h", "_first"), "shared")
     held = kept(found.join(shared, "h"), "held")
+    done_with(spark, listed, shared)
     place = kept(held.filter("_id = _first").groupBy("h").agg(F.min("at").alias("to")), "places")
     ours = held.filter("_id <> _first").join(left.select("_id"), "_id", "left_semi")
     pairs = ours.join(place, "h").groupBy("_id", "_first").agg(F.collect_set(F.struct("at", "to")).alias("matches"))
-    both = pairs.join(left.select("_id", "ranges"), "_id").join(texts, "_id")
-    return _exact(both.join(texts.toDF("_first", "_other"), "_first"))
+    plain = held_texts.select("_id", "_text")
+    both = pairs.join(left.select("_id", "ranges"), "_id").join(plain, "_id")
+    return _exact(both.join(plain.toDF("_first", "_other"), "_first"))
 
 
 def _rows(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -510,10 +516,18 @@ def _rows(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(own.alias("_key"), F.xxhash64(body).alias("_t"), body.alias("_text"))
 
 
-def _texts(rows: DataFrame, ids: DataFrame, wanted: DataFrame) -> DataFrame:
-    """`_id` and `_text` of the ids that are wanted."""
-    chosen = ids.join(wanted, "_id").select("_id", "_t", F.col("_own").alias("_key"))
-    return rows.join(chosen, ["_t", "_key"]).groupBy("_id").agg(F.any_value("_text").alias("_text"))
+def _texts(rows: DataFrame, ids: DataFrame, lists: DataFrame) -> DataFrame:
+    """`_id`, `_text` and `_firsts`, the ids it is compared with, of the ids in `lists` (`_id`, `_firsts`); and of those
+    that they are compared with, which are `_wanted`.
+
+    A text goes through one shuffle: only where rows have both key and text in common, one of them is chosen.
+    """
+    wanted = lists.select(F.explode("_firsts").alias("_id")).distinct().withColumn("_wanted", F.lit(True))
+    chosen = ids.join(lists.join(wanted, "_id", "full"), "_id").withColumnRenamed("_own", "_key")
+    names = ("_text", "_firsts", "_wanted")
+    found = kept(rows.join(chosen, ["_t", "_key"]).select("_id", *names, "_once"), "texts")
+    again = found.filter("not _once").groupBy("_id").agg(*[F.any_value(c).alias(c) for c in names])
+    return found.filter("_once").select("_id", *names).unionByName(kept(again, "again"))
 
 
 def passages(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -525,7 +539,7 @@ def passages(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     lower case. Texts that are equal are looked at once: the later ones are one passage each. Null and short
     texts have no passages; an empty table gives none. Texts are told apart by a 64-bit hash.
     """
-    rows = _rows(df, key, text)
+    spark, rows = df.sparkSession, _rows(df, key, text)
     ids = kept(_numbered(rows), "ids")
     listed = kept(
         _seeded(rows).join(ids, "_t").select(
@@ -533,11 +547,19 @@ def passages(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         ),
         "seeds",
     )
+    done_with(spark)
     found = listed.select("_id", F.explode("seeds").alias("_s")).select("_id", "_s.h", "_s.at")
     ends = found.groupBy("h").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"))
     # written, so that both sides of the joins below are plain shuffles, whose hot keys are split at run time
     shared = kept(ends.filter("_first < _last").select("h", "_first"), "shared")
+    done_with(spark)
     some = kept(found.join(shared, "h"), "matches")
+    copies = kept(
+        listed.filter((F.col("_key") != F.col("_own")) & (F.col("n") >= LEAST_WORDS))
+            .select("_key", "_t", "_own", "n").distinct(),
+        "copies",
+    )
+    done_with(spark, listed, shared)
     per = kept(
         some.filter("_id <> _first").groupBy("_id").agg(
             F.collect_set(F.struct("at", "h", "_first")).alias("_seeds")  # at most the seeds of one text
@@ -545,23 +567,25 @@ def passages(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         "per",
     )
     each = F.array_distinct(F.transform("_seeds", lambda s: s["_first"]))
-    pairs = kept(per.select("_id", F.explode(each).alias("_first")), "pairs")
-    wanted = pairs.select(F.explode(F.array("_id", "_first")).alias("_id")).distinct()
-    texts = kept(_texts(rows, ids, wanted), "texts")
-    both = pairs.join(texts, "_id").join(texts.toDF("_first", "_other"), "_first")
-    out = kept(_aligned(both), "passages")
+    texts = _texts(rows, ids, per.select("_id", each.alias("_firsts")))
+    done_with(spark)
+    pairs = texts.select("_id", "_text", F.explode("_firsts").alias("_first"))
+    others = texts.filter("_wanted").select(F.col("_id").alias("_first"), F.col("_text").alias("_other"))
+    out = kept(_aligned(pairs.join(others, "_first")), "passages")
     spans = out.groupBy("_id").agg(F.collect_list(F.struct("from_word", "to_word")).alias("_spans"))
     left = kept(_uncovered(per.join(spans, "_id", "left")), "left")
-    if not left.isEmpty():
-        out = out.unionByName(_second_round(rows, ids, some, left))
+    done_with(spark, per)
+    if left.isEmpty():
+        done_with(spark, texts, some)
+    else:
+        out = out.unionByName(_second_round(texts, some, left))
     owner = F.nullif("_own", F.lit(_NONE))
     parts_ = (
         out.join(ids.select("_id", owner.alias(key), F.col("_t").alias("mark")), "_id")
         .join(ids.select(F.col("_id").alias("_first"), owner.alias("first_id")), "_first")
         .select(key, "mark", "first_id", "from_word", "to_word", "first_from", "first_to", "alike")
     )
-    copies = listed.filter((F.col("_key") != F.col("_own")) & (F.col("n") >= LEAST_WORDS))
-    whole = copies.select("_key", "_t", "_own", "n").distinct().select(
+    whole = copies.select(
         F.col("_key").alias(key), F.col("_t").alias("mark"), owner.alias("first_id"),
         F.lit(0).alias("from_word"), F.col("n").alias("to_word"),
         F.lit(0).alias("first_from"), F.col("n").alias("first_to"), F.lit(1.0).alias("alike"),

@@ -7,6 +7,7 @@ from functools import wraps
 from urllib.parse import unquote, urlparse
 
 import pyarrow as pa
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +48,23 @@ def kept(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def done_with(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete `kept` tables that nothing reads any more, and the shuffles of finished queries.
+
+    Spark deletes a shuffle once the driver has collected what refers to it, which a driver with memory to spare
+    may not do before the job is over; the disks then hold the shuffles of all steps at once.
+    """
+    context = spark.sparkContext
+    for folder in sorted({unquote(f).rpartition("/")[0] for table in tables for f in table.inputFiles()}):
+        _delete(context, folder)
+    context._jvm.System.gc()
+
+
+def _delete(context: SparkContext, path: str) -> None:
+    where = context._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def stage(function: Callable[[SparkSession, DataFrame, str], DataFrame]):
     """A stage of a pipeline: `function(spark, docs, sf_dir)`.
 
@@ -77,8 +95,7 @@ def _release(spark: SparkSession, docs: DataFrame, application: str) -> None:
         if any(f.startswith(folder) for f in held):
             left.append(path)
             continue
-        where = context._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+        _delete(context, path)
     _working[application] = left
 
 

@@ -15,7 +15,7 @@ import tiktoken
 import xxhash
 
 import corpus_pipeline
-from reelhouse.llm import bagminhash, bpe, chaining, fingerprints, hmm, html, mixing, quality, shards, toxicity
+from reelhouse.llm import bagminhash, bpe, chaining, common, fingerprints, hmm, html, mixing, quality, shards, toxicity
 from reelhouse.llm.components import components
 from tests.llm.conftest import SHARED, TEXTS, prose
 
@@ -244,6 +244,27 @@ def test_passages_whose_parts_are_first_seen_apart(spark):
     assert covered == set(range(11, 211))
 
 
+def test_what_passages_are_done_with_is_deleted(spark, monkeypatch, tmp_path):
+    numbers = itertools.count()
+    monkeypatch.setattr(common, "shared_folder", lambda spark, purpose: f"{tmp_path}/a b/{purpose}-{next(numbers)}")
+    whole = prose(280, 60)
+    rows = [(k, f"{prose(281 + k, 30)} {whole[a:b]}") for k, (a, b) in enumerate([(0, 150), (100, 250), (200, 400)])]
+    rows += [(5, f"{prose(290, 9)} {whole}"), (6, f"{prose(291, 12)} {whole}"), (7, f"{prose(291, 12)} {whole}")]
+    for some, more in ((rows[:1], set()), (rows, {"texts", "held", "places"})):  # without and with a second round
+        found = chaining.passages(spark.createDataFrame(some, "doc_id long, text string"))
+        stay = {re.sub(r"-\d+$", "", p.name) for p in (tmp_path / "a b").iterdir()}
+        assert stay == {"ids", "copies", "passages", "left"} | more
+        assert len({(r.doc_id, r.to_word) for r in found.collect()} & {(6, 72), (7, 72)}) == (2 if more else 0)
+
+
+def test_passages_of_repeated_rows_are_found_once(spark):
+    shared = prose(300, 70)
+    rows = [(1, f"{prose(301, 20)} {shared}"), (2, f"{prose(302, 30)} {shared}"), (3, f"{prose(303, 40)} {shared}")]
+    found = chaining.passages(spark.createDataFrame([*rows, *rows[:2] * 3, (None, rows[0][1])], "doc_id long, text string"))
+    spans = sorted((r.doc_id, r.first_id, r.from_word, r.to_word) for r in found.collect())
+    assert spans == [(1, None, 0, 90), (2, None, 30, 100), (3, None, 40, 110)]
+
+
 def test_forward_recursion_is_exact():
     rng = np.random.default_rng(2)
     start, move, emit = rng.dirichlet(np.ones(3)), rng.dirichlet(np.ones(3), 3), rng.dirichlet(np.ones(5), 3).T
