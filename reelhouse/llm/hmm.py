@@ -14,8 +14,8 @@ back, so that memory beyond the symbols themselves is bounded whatever its lengt
 
 from __future__ import annotations
 
+import itertools
 import zlib
-from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import cached_property
 
@@ -38,31 +38,48 @@ HOLD = 2_500_000  # places whose forward values are held, 64 bytes each
 BLOCK = 128_000  # places worked on at a time
 SLICE = 16_000_000  # bytes of text, or of symbols at eight a place, that a task looks at together, unless one text has more
 DISTINCT = 1_000_000  # words that a task counts before it hands them on
-END = b""  # no word is empty
+PIECE = 512  # symbols whose counts travel in one row
+PIECES = "piece int, places binary, counts binary"
+END = ""  # no word is empty
 
 
 def _class(word: Column) -> Column:
     return (F.crc32(F.substring(word, -3, 3).cast("binary")) % CLASSES).cast("int")
 
 
+def _tokens(texts: pa.Array) -> pa.ListArray:
+    """Words of each text and its end: A-Z in lower case, parted at the six blanks only; null is empty."""
+    plain = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+    # behind a last blank the split finds one more, empty word: the end
+    return pc.ascii_split_whitespace(pc.if_else(pc.equal(plain, ""), "", pc.binary_join_element_wise(plain, "", " ")))
+
+
 class Symbols:
     """Words to symbols: the head by a table, the rest by class; the end is a head word."""
 
     def __init__(self, head: list[str]):
-        self.of = {w.encode(): i for i, w in enumerate(head)}
+        self.head = pa.array(head, pa.string())
         self.size = len(head) + CLASSES
 
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """Symbols of all texts and their ends one after another, where each text begins and the last one ends,
+        and the words without a symbol of their own in the order in which their classes stand there."""
+        lists = _tokens(texts)
+        words, begins = lists.flatten(), lists.offsets.to_numpy()
+        found = pc.index_in(words, value_set=self.head)
+        out = pc.fill_null(found, -1).to_numpy()
+        rare = words.filter(pc.is_null(found))
+        if len(rare):
+            endings = pc.utf8_slice_codeunits(rare, -3).dictionary_encode()
+            classes = np.array([zlib.crc32(w.encode()) % CLASSES for w in endings.dictionary.to_pylist()], np.int32)
+            out = out.copy()
+            out[out < 0] = self.size - CLASSES + classes[endings.indices.to_numpy()]
+        return out, begins - begins[0], rare
+
     def encode(self, text: bytes | None) -> tuple[np.ndarray, list[str]]:
         """Symbols of a text (UTF-8) and its end, and the words without a symbol of their own."""
-        found = (text or b"").lower().split()  # A-Z only, and just the six blanks
-        found.append(END)
-        get, base = self.of.get, self.size - CLASSES
-        out = np.array([get(w, -1) for w in found], np.int32)
-        places = np.flatnonzero(out < 0)
-        rare = [found[i].decode() for i in places]
-        if rare:
-            out[places] = [base + zlib.crc32(w[-3:].encode()) % CLASSES for w in rare]
-        return out, rare
+        out, _, rare = self.encode_all(pa.array([text], pa.binary()))
+        return out, rare.to_pylist()
 
 
 def _slices(batch: pa.RecordBatch, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -79,10 +96,16 @@ def _texts(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
     return _slices(batch, sizes.to_numpy(zero_copy_only=False).astype(np.int64))
 
 
-def _coded_texts(batch: pa.RecordBatch) -> list[np.ndarray]:
-    lists = batch.column(0)
-    ends = lists.offsets.to_numpy()
-    return np.split(lists.flatten().to_numpy(), ends[1:-1] - ends[0])
+def _kind(size: int) -> np.dtype:
+    """What a symbol takes where texts are written down."""
+    return np.min_scalar_type(size - 1).newbyteorder("<")
+
+
+def _coded_texts(batch: pa.RecordBatch, size: int) -> list[np.ndarray]:
+    texts = batch.column(0)
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1] // _kind(size).itemsize
+    ids = np.frombuffer(texts.buffers()[2], _kind(size), ends[-1] - ends[0], ends[0] * _kind(size).itemsize)
+    return np.split(ids.astype(np.int32), ends[1:-1] - ends[0])
 
 
 class _Group:
@@ -198,7 +221,7 @@ class Model:
             else:
                 moves += before[:, :first] @ ahead[:, :first].T
             move += moves * self.move
-            ids = group.ids[group.first[lo] : group.first[hi]]
+            ids = group.ids[group.first[lo] : group.first[hi]].astype(np.intp)
             for s, weights in enumerate(gamma):
                 emit[:, s] += np.bincount(ids, weights, minlength=len(emit))
         return likely
@@ -220,7 +243,7 @@ def _mixture(log: np.ndarray | None, weights: np.ndarray | None):
 
     def work(texts: list[np.ndarray], start, move, emit) -> float:
         sizes = np.array([len(t) for t in texts])
-        ids, firsts = np.concatenate(texts), np.cumsum(sizes) - sizes
+        ids, firsts = np.concatenate(texts).astype(np.intp), np.cumsum(sizes) - sizes  # not cast for each state anew
         if log is None:
             belongs = _begin_with(texts)
         else:
@@ -235,49 +258,76 @@ def _mixture(log: np.ndarray | None, weights: np.ndarray | None):
     return work
 
 
-def _summed(coded: DataFrame, size: int, sent: Broadcast, work_of: Callable) -> tuple[tuple[np.ndarray, ...], float]:
-    """Counts (start, moves, emissions) over all texts and their log10 likelihood, by the work that `work_of`
-    makes of the broadcast value: each task sends one row per symbol it has met, and Spark sums them. The driver
-    gets one row per symbol, HEAD + CLASSES at most, and those of starts and moves."""
-    names = [f"c{s}" for s in range(STATES)]
+def _told(coded: DataFrame, size: int, sent: Broadcast, work_of: Callable) -> DataFrame:
+    """Each task's counts, by the work that `work_of` makes of the broadcast value: `piece`, the first of PIECE
+    symbols, with the places of those it has met and their counts (float64, state by state); -1 for the rest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = work_of(sent.value)
         start, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((size, STATES))
         likely = 0.0
         for batch in batches:
-            lengths = pc.list_value_length(batch.column(0)).to_numpy(zero_copy_only=False)
-            for part in _slices(batch, 8 * lengths.astype(np.int64)):
-                likely += work(_coded_texts(part), start, move, emit)
+            lengths = pc.binary_length(batch.column(0)).to_numpy(zero_copy_only=False)
+            for part in _slices(batch, 8 // _kind(size).itemsize * lengths.astype(np.int64)):
+                likely += work(_coded_texts(part, size), start, move, emit)
+        rows = [(-1, np.arange(2 + STATES), np.concatenate([start[None], move, np.full((1, STATES), likely)]))]
         met = np.flatnonzero(emit.any(axis=1))
-        table = np.concatenate([emit[met], start[None], move, np.full((1, STATES), likely)])
-        ids = np.concatenate([met, -1 - np.arange(2 + STATES)])
-        columns = [pa.array(ids, pa.int64()), *[pa.array(table[:, s]) for s in range(STATES)]]
-        yield pa.RecordBatch.from_arrays(columns, names=["symbol", *names])
+        for some in np.split(met, np.flatnonzero(np.diff(met // PIECE)) + 1):
+            if len(some):
+                rows.append((int(some[0]) // PIECE, some % PIECE, emit[some]))
+        yield _pieces(rows)
+
+    return coded.select("_ids").mapInArrow(run, PIECES)
+
+
+def _pieces(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    columns = [
+        pa.array([piece for piece, _, _ in rows], pa.int32()),
+        pa.array([places.astype("<u2").tobytes() for _, places, _ in rows], pa.binary()),
+        pa.array([counts.astype("<f8").tobytes() for _, _, counts in rows], pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["piece", "places", "counts"])
+
+
+def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums of the pieces that have come to a task: one row each."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for piece, places, counts in zip(*(c.to_pylist() for c in batch.columns)):
+            into = sums.setdefault(piece, np.zeros((PIECE, STATES)))
+            into[np.frombuffer(places, "<u2")] += np.frombuffer(counts, "<f8").reshape(-1, STATES)
+    if sums:
+        yield _pieces([(piece, np.arange(PIECE), counts) for piece, counts in sums.items()])
 
-    sums = coded.select("_ids").mapInArrow(run, "symbol long, " + ", ".join(f"{n} double" for n in names))
-    found = sums.groupBy("symbol").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
-    at = found.column("symbol").to_numpy()
-    values = np.stack([found.column(n).to_numpy() for n in names], axis=1)
-    emit, rest = np.zeros((size, STATES)), np.zeros((2 + STATES, STATES))
-    emit[at[at >= 0]] = values[at >= 0]
-    rest[-1 - at[at < 0]] = values[at < 0]
-    return (rest[0], rest[1:-1], emit), float(rest[-1, 0])
+
+def _summed(coded: DataFrame, size: int, sent: Broadcast, work_of: Callable) -> tuple[tuple[np.ndarray, ...], float]:
+    """Counts (start, moves, emissions) over all texts and their log10 likelihood, by the work that `work_of`
+    makes of the broadcast value: tasks send theirs in pieces, which are summed where they meet. The driver
+    gets one row a piece, HEAD + CLASSES symbols at most, and that of starts and moves."""
+    found = _told(coded, size, sent, work_of).repartition("piece").mapInArrow(_add, PIECES).toArrow()
+    emit, rest = np.zeros((-(-size // PIECE) * PIECE, STATES)), np.zeros((PIECE, STATES))
+    for piece, counts in zip(found.column("piece").to_pylist(), found.column("counts").to_pylist()):
+        values = np.frombuffer(counts, "<f8").reshape(-1, STATES)
+        if piece < 0:
+            rest = values
+        else:
+            emit[piece * PIECE : (piece + 1) * PIECE] = values
+    return (rest[0], rest[1 : 1 + STATES], emit[:size]), float(rest[1 + STATES, 0])
 
 
 def encoded(rows: DataFrame, symbols: Symbols) -> DataFrame:
-    """`_ids`, the symbols of each text of the column `_text`."""
+    """`_ids`, the symbols of each text of the column `_text`, one after another in the bytes that `_kind` gives."""
     sent = rows.sparkSession.sparkContext.broadcast(symbols)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = _kind(sent.value.size)
         for batch in batches:
             for part in _texts(batch, 0):
-                found = [sent.value.encode(t)[0] for t in part.column(0).to_pylist()]
-                ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
-                yield pa.RecordBatch.from_arrays([lists], names=["_ids"])
+                ids, begins, _ = sent.value.encode_all(part.column(0))
+                values = [t.tobytes() for t in np.split(ids.astype(kind), begins[1:-1])]
+                yield pa.RecordBatch.from_arrays([pa.array(values, pa.binary())], names=["_ids"])
 
-    return rows.select(F.col("_text").cast("binary")).mapInArrow(run, "_ids array<int>")
+    return rows.select(F.col("_text").cast("binary")).mapInArrow(run, "_ids binary")
 
 
 def counted(rows: DataFrame) -> DataFrame:
@@ -285,27 +335,41 @@ def counted(rows: DataFrame) -> DataFrame:
     first; a word that is nearly everywhere sends a row per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter[bytes] = Counter()
-
-        def told() -> pa.RecordBatch:
-            words = pa.array(found.keys(), pa.binary()).cast(pa.string())
-            return pa.RecordBatch.from_arrays([words, pa.array(found.values(), pa.int64())], names=["word", "n"])
-
+        found: list[pa.Table] = []
         for batch in batches:
             for part in _texts(batch, 0):
-                for text in part.column(0).to_pylist():
-                    found[END] += 1
-                    if text:
-                        found.update(text.lower().split())
-                    if len(found) > DISTINCT:
-                        yield told()
-                        found.clear()
-        yield told()
+                each = pc.value_counts(_tokens(part.column(0)).flatten())
+                found.append(pa.Table.from_arrays(each.flatten(), names=["word", "n"]))
+                if sum(t.num_rows for t in found) > DISTINCT:
+                    found = [_merged(found)]
+                    if found[0].num_rows > DISTINCT // 2:
+                        yield from found.pop().to_batches()
+        if found:
+            yield from _merged(found).to_batches()
 
     each = rows.select(F.col("_text").cast("binary")).mapInArrow(run, "word string, n long")
     return each.groupBy("word").agg(F.sum("n").alias("c"))
 
 
+def _merged(found: list[pa.Table]) -> pa.Table:
+    if len(found) == 1:
+        return found[0]
+    sums = pa.concat_tables(found).group_by("word", use_threads=False).aggregate([("n", "sum")])
+    return sums.select(["word", "n_sum"]).rename_columns(["word", "n"])
+
+
+def _rare_of(rare: pa.Array, text: np.ndarray, texts: int) -> pa.ListArray:
+    """For each text its words of `rare` and how often it has them; `text` tells whose each word is."""
+    table = pa.table({"text": text, "word": rare}).group_by(["text", "word"], use_threads=False).aggregate([([], "count_all")])
+    whose = table.column("text").to_numpy()
+    order = np.argsort(whose, kind="stable")  # the groups come in no order
+    pairs = pa.StructArray.from_arrays(
+        [table.column(c).combine_chunks().take(pa.array(order)) for c in ("word", "count_all")], names=["word", "n"]
+    )
+    ends = np.cumsum(np.bincount(whose, minlength=texts))
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pairs)
+
+
 def begun(coded: DataFrame, unigram: np.ndarray) -> Model:
     """The model that training starts from: a mixture of unigrams over all texts, with moves that stay."""
     context = coded.sparkSession.sparkContext
@@ -342,8 +406,12 @@ def score(train: DataFrame, df: DataFrame, key: str = "doc_id", text: str = "tex
     spark = df.sparkSession
     rows = train.select(F.col(text).alias("_text"))
     counts = kept(counted(rows), "counts")
-    total, distinct = (x or 0 for x in counts.agg(F.sum("c"), F.count(F.lit(1))).first())
-    top = counts.orderBy((F.col("word") == "").desc(), F.col("c").desc(), "word").limit(HEAD).collect()
+    # few distinct counts, and of the words only those that occur often enough for the head come to the driver
+    often = counts.groupBy("c").agg(F.count(F.lit(1)).alias("v")).orderBy(F.desc("c")).toArrow().to_pydict()
+    total, distinct = sum(c * v for c, v in zip(often["c"], often["v"])), sum(often["v"])
+    enough = next((c for c, v in zip(often["c"], itertools.accumulate(often["v"])) if v >= HEAD), 0)
+    top = counts.filter((F.col("c") >= enough) | (F.col("word") == END))
+    top = top.orderBy((F.col("word") == END).desc(), F.col("c").desc(), "word").limit(HEAD).collect()
     head = [r[0] for r in top] or [""]
     symbols = Symbols(head)
     least = (top[-1]["c"], top[-1]["word"]) if top else (0, "")
@@ -363,26 +431,28 @@ def score(train: DataFrame, df: DataFrame, key: str = "doc_id", text: str = "tex
     model, _ = trained(coded, begun(coded, unigram), unigram, total)
 
     floor = float(np.log10(total + 0.5 * (distinct + 1)))
-    sent = spark.sparkContext.broadcast((symbols, model, np.log10(head_c + 0.5) - floor, np.log10(class_n + 0.5 * (class_v + 1))))
-
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-    rare_kind = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))
+    # of each symbol: its base, and how likely a word is within its class as far as it goes without its own count
+    base = np.concatenate([np.log10(head_c + 0.5) - floor, np.zeros(CLASSES)])
+    inside = np.concatenate([np.zeros(len(head_c)), np.log10(class_n + 0.5 * (class_v + 1))])
+    sent = spark.sparkContext.broadcast((symbols, model, base, inside))
     names = ["_key", "_row", "n_tokens", "_head", "_base", "_log", "_rare"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols, model, base, inside = sent.value
         for batch in batches:
             for part in _texts(batch, 1):
-                coded = [symbols.encode(t) for t in part.column(1).to_pylist()]
-                likely = model.score([ids for ids, _ in coded])
-                numbers, rares = [], []
-                for row, (ids, rare), x in zip(part.column(0).to_pylist(), coded, likely.tolist()):
-                    known = ids[ids < len(base)]
-                    classed = inside[ids[ids >= len(base)] - len(base)]
-                    numbers.append((row, len(ids), len(known), float(base[known].sum()), x - float(classed.sum())))
-                    rares.append([{"word": w, "n": n} for w, n in Counter(rare).items()])
-                columns = [pa.array(c, k) for c, k in zip(zip(*numbers), kinds)]
-                yield pa.RecordBatch.from_arrays([part.column(2), *columns, pa.array(rares, rare_kind)], names=names)
+                ids, begins, rare = symbols.encode_all(part.column(1))
+                first, n = begins[:-1], np.diff(begins)
+                classed = ids >= symbols.size - CLASSES
+                likely = model.score(np.split(ids, begins[1:-1])) - np.add.reduceat(inside[ids], first)
+                columns = [
+                    pa.array(n, pa.int64()),
+                    pa.array(n - np.add.reduceat(classed, first, dtype=np.int64), pa.int64()),
+                    pa.array(np.add.reduceat(base[ids], first)),
+                    pa.array(likely),
+                    _rare_of(rare, np.repeat(np.arange(len(n)), n)[classed], len(n)),
+                ]
+                yield pa.RecordBatch.from_arrays([part.column(2), part.column(0), *columns], names=names)
 
     kind = df.schema[key].dataType.simpleString()
     given = df.select(F.monotonically_increasing_id().alias("_row"), F.col(text).cast("binary").alias("_text"), F.col(key).alias("_key"))

@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -333,6 +334,58 @@ def test_training_sees_all_texts_in_each_round(spark):
     assert model.score(ids).sum() / total >= likely[-1] - 0.01 and likely[-1] >= likely[0]
 
 
+def test_counts_of_a_round_travel_in_pieces(spark, monkeypatch):
+    words_ = [f"w{k}" for k in range(3_000)]
+    symbols, unigram = hmm.Symbols(["", *words_]), np.full(1 + len(words_) + hmm.CLASSES, 1e-4)
+    texts = [" ".join(words_[k::3]) for k in range(3)]
+    coded = hmm.encoded(spark.createDataFrame([(t,) for t in texts], "_text string"), symbols)
+    got, plain = [], type(coded).toArrow
+    monkeypatch.setattr(type(coded), "toArrow", lambda self: got.append(plain(self)) or got[-1])
+    sent = spark.sparkContext.broadcast((None, None))
+    (start, _, emit), _ = hmm._summed(coded, len(unigram), sent, lambda value: hmm._mixture(*value))
+    assert sum(t.num_rows for t in got) <= 20  # one row a symbol before
+    want = np.zeros(hmm.STATES), np.zeros((hmm.STATES, hmm.STATES)), np.zeros((len(unigram), hmm.STATES))
+    hmm._mixture(None, None)([symbols.encode(t.encode())[0] for t in texts], *want)
+    assert np.allclose(start, want[0]) and np.allclose(emit, want[2]) and math.isclose(emit.sum(), 3_003)
+
+
+def test_symbols_of_many_texts_are_those_of_each():
+    texts = [None, "", " \t\n\x0b\x0c\r", "A b", " b\x1c\x85\xa0c\u3000 \u00c9 ABCD", "zabcd zabcd\x00 \r\na", "x\U0001f600yz \U0001f600"]
+    head = ["", "a", "b"]
+    ids, begins, rare = hmm.Symbols(head).encode_all(pa.array([t and t.encode() for t in texts], pa.binary()))
+    words_ = [[*WORD.findall("".join(c.lower() if c.isascii() else c for c in t or "")), ""] for t in texts]
+    of = lambda w: head.index(w) if w in head else len(head) + zlib.crc32(w[-3:].encode()) % hmm.CLASSES
+    assert ids.tolist() == [of(w) for t in words_ for w in t] and np.diff(begins).tolist() == [len(t) for t in words_]
+    assert rare.to_pylist() == [w for t in words_ for w in t if w not in head]
+    whose = np.repeat(np.arange(len(texts)), np.diff(begins))[ids >= len(head)]
+    counts = [{p["word"]: p["n"] for p in t} for t in hmm._rare_of(rare, whose, len(texts)).to_pylist()]
+    assert counts == [dict(Counter(w for w in t if w not in head)) for t in words_]
+
+
+def test_words_are_counted_over_all_texts(spark):
+    texts = [*(f"{prose(400 + k, 30)} Same same{k}" for k in range(40)), None, ""]
+    want = Counter(w for t in texts for w in [*WORD.findall((t or "").lower()), ""])
+    rows = spark.createDataFrame([(t,) for t in texts], "_text string")
+    assert {r.word: r.c for r in hmm.counted(rows).collect()} == want
+    tables = [pa.table({"word": [w], "n": [2]}) for w in "abcab"]
+    assert dict(zip(*hmm._merged(tables).to_pydict().values())) == {"a": 4, "b": 4, "c": 2}
+
+
+def test_rare_words_and_ties_at_the_end_of_the_head(spark, monkeypatch):
+    monkeypatch.setattr(hmm, "HEAD", 4)
+    monkeypatch.setattr(hmm, "CLUSTER_ROUNDS", 1)
+    monkeypatch.setattr(hmm, "ENOUGH", 10.0)
+    texts = ["b b b a a c c d d e e f", "g g b", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tok = lambda t: [*WORD.findall(t or ""), ""]
+    c = Counter(w for t in texts for w in tok(t))
+    n, v = sum(c.values()), len(c)
+    base = [sum(math.log10((c[w] + 0.5) / (n + 0.5 * (v + 1))) for w in tok(t)) for t in texts]
+    found = sorted(hmm.score(docs, docs).collect())
+    assert [(r.n_tokens, r.n_known, r.train_tokens) for r in found] == [(len(tok(t)), len(tok(t)), n) for t in texts]
+    assert np.allclose([r.base_score for r in found], base) and all(r.score < 0 for r in found)
+
+
 def test_language_model_base(docs):
     train = docs.filter("doc_id % 2 = 0 or doc_id is null")
     tok = lambda t: [*WORD.findall((t or "").lower()), ""]
